@@ -122,3 +122,64 @@ select func_no, case when {hash_bucket(42, 'func_no')} < 8000 then 'train'
  when {hash_bucket(42, 'func_no')} < 9000 then 'val' else 'test' end as split
 from code_functions
 """
+
+_DOC_TOKENS = f"""
+with t as (select doc_id, {py_split('text')} as tokens from documents),
+t10 as (select doc_id, tokens, len(tokens) as n from t where len(tokens) >= 10),
+e as (select doc_id, n, unnest(tokens) as tok, unnest(range(len(tokens))) as pos from t10),
+r as (select *, row_number() over (partition by doc_id order by sha256(concat('42:', cast(doc_id as string), ':', cast(pos as string))), pos) as rk,
+ greatest(1, n * 15 // 100) as k from e),
+m as (select *, rk <= k as masked from r),
+o as (select *, case when masked then sum(case when masked then 1 else 0 end) over (partition by doc_id order by pos rows between unbounded preceding and current row) - 1 end as ord from m)
+"""
+
+SQL["sample_positions"] = _DOC_TOKENS + """
+select doc_id, max(n) as n_tokens, cast(count(*) filter (where masked) as int) as n_masks,
+ string_agg(case when masked then cast(pos as string) end, ',' order by pos) as positions
+from o group by doc_id
+"""
+
+SQL["corrupt_tokens"] = _DOC_TOKENS + """
+select doc_id,
+ string_agg(case when masked then concat('<extra_id_', cast(ord as string), '>') else tok end, ' ' order by pos) as input,
+ string_agg(case when masked then concat('<extra_id_', cast(ord as string), '> ', tok) end, ' ' order by pos) as target
+from o group by doc_id
+"""
+
+SQL["split_counts"] = with_views("code_functions") + f""",
+s as (select func_no, row_number() over (order by {seeded(42, 'func_no')}, func_no) - 1 as idx from code_functions)
+select func_no, case when idx < 350 then 'pretrain' when idx < 500 then 'finetune' else 'unused' end as split from s
+"""
+
+_EXAMPLES = with_views("code_functions", "code_ifs") + _FUNCS + f""",
+x as (
+  select f.func_no, f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
+  from funcs f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+ex as (select sha256(concat(fid, ':', cast(line as string))) as id from y where masked is not null),
+s as (select id, row_number() over (order by {seeded(42, 'id')}, id) - 1 as idx, count(*) over () as n from ex),
+sp as (select id, case when idx < floor(cast(n as double) * 0.8) then 'train'
+ when idx < floor(cast(n as double) * 0.8) + floor(cast(n as double) * 0.1) then 'val' else 'test' end as split from s)
+"""
+
+SQL["split_80_10_10"] = _EXAMPLES + "select id, split from sp\n"
+
+SQL["split_sizes"] = _EXAMPLES + "select split, count(*) as n from sp group by split\n"
+
+SQL["holdout_95_5"] = f"""
+with t as (select doc_id, {py_split('text')} as tokens from documents),
+s as (select doc_id, row_number() over (order by {seeded(42, 'doc_id')}, doc_id) - 1 as idx, count(*) over () as n
+ from t where len(tokens) >= 10)
+select doc_id, case when idx < ceil(cast(n as double) * 0.05) then 'test' else 'train' end as split from s
+"""
+
+SQL["masking_success_rate"] = with_views("code_functions", "code_ifs") + _FUNCS + f""",
+x as (
+  select f.func_no, c.line, string_split(f.code, chr(10)) as lines
+  from funcs f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+a as (select (select count(*) from x) as n_ifs, (select count(*) from y where masked is not null) as n_examples)
+select n_ifs, n_examples, coalesce(n_examples / nullif(cast(n_ifs as double), 0), 0.0) as rate from a
+"""

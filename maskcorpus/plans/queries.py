@@ -107,3 +107,52 @@ def shuffle_index(spark, sf):
 @register("split_hash")
 def split_hash(spark, sf):
     return ordering.split_hash(table(spark, sf, "code_functions"), "func_no").select("func_no", "split")
+
+
+def document_tokens(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", py_split("text").alias("tokens"))
+
+
+@register("sample_positions")
+def sample_positions(spark, sf):
+    from maskcorpus.operators.corrupt import min_tokens, sample_positions as sp
+    t = sp(min_tokens(document_tokens(spark, sf)), "tokens", "doc_id", 42)
+    return t.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("positions").alias("n_masks"),
+                    F.array_join("positions", ",").alias("positions"))
+
+
+@register("corrupt_tokens")
+def corrupt_tokens(spark, sf):
+    from maskcorpus.operators.corrupt import corrupt_tokens as ct, min_tokens
+    return ct(min_tokens(document_tokens(spark, sf)), "tokens", "doc_id", 42).select("doc_id", "input", "target")
+
+
+@register("split_counts")
+def split_counts(spark, sf):
+    f = table(spark, sf, "code_functions")
+    return ordering.split_counts(f, "func_no", [350, 150], ["pretrain", "finetune"], 42).select("func_no", "split")
+
+
+@register("split_80_10_10")
+def split_80_10_10(spark, sf):
+    ex = mask_conditions(spark, sf)
+    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42).select("id", "split")
+
+
+@register("holdout_95_5")
+def holdout_95_5(spark, sf):
+    ex = corrupt_tokens(spark, sf)
+    return ordering.holdout(ex, "doc_id", 0.05, 42).select("doc_id", "split")
+
+
+@register("split_sizes")
+def split_sizes(spark, sf):
+    from maskcorpus.operators.stats import split_sizes as sizes
+    return sizes(split_80_10_10(spark, sf), "split")
+
+
+@register("masking_success_rate")
+def masking_success_rate(spark, sf):
+    from maskcorpus.operators.stats import masking_success_rate as rate
+    f = functions_with_ifs(spark, sf).withColumn("num_ifs", F.size("if_statements"))
+    return rate(f, mask_conditions(spark, sf))
