@@ -183,3 +183,62 @@ y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(li
 a as (select (select count(*) from x) as n_ifs, (select count(*) from y where masked is not null) as n_examples)
 select n_ifs, n_examples, coalesce(n_examples / nullif(cast(n_ifs as double), 0), 0.0) as rate from a
 """
+
+SQL["catalog_pages"] = with_views("repo_catalog") + """
+select cast(floor(repo_key / 100) as bigint) as page,
+ cast(row_number() over (partition by floor(repo_key / 100) order by repo_key) - 1 as int) as item_ord,
+ owner, repo, html_url, language, stars, fork, archived, license, default_branch
+from repo_catalog
+"""
+
+_FILTERED = with_views("repo_catalog") + """,
+b1 as (select * from repo_catalog where language = 'Python' and stars >= 10 and not fork and not archived),
+b2 as (select * from b1 where license in ('MIT', 'Apache-2.0', 'BSD-3-Clause', 'BSD-2-Clause', 'ISC')),
+b3 as (select repo_key, stars, owner, repo, html_url, license, coalesce(default_branch, 'main') as default_branch from b2),
+c1 as (select *, row_number() over (order by stars desc, repo_key) as repo_rank from b3 qualify repo_rank <= 500)
+"""
+
+SQL["catalog_filter"] = _FILTERED + "select * from b1\n"
+SQL["license_filter"] = _FILTERED + "select * from b2\n"
+SQL["repo_projection"] = _FILTERED + "select * from b3\n"
+SQL["top_repos"] = _FILTERED + "select * from c1\n"
+
+SQL["repo_function_counts"] = with_views("repo_functions") + """
+select repo_key, count(*) as n_functions from repo_functions group by repo_key
+"""
+
+_TAKE = _FILTERED + """,
+code_functions as (""" + with_views("code_functions").split(" as (", 1)[1].rsplit(")", 1)[0] + """),
+repo_functions as (select func_no, cast(floor(sqrt(func_no)) as bigint) as repo_key from code_functions),
+cnt as (select repo_key, count(*) as n_functions from repo_functions group by repo_key),
+g as (select c1.repo_rank, c1.repo_key, coalesce(cnt.n_functions, 0) as n_functions from c1 left join cnt on c1.repo_key = cnt.repo_key),
+cut as (select *, coalesce(sum(n_functions) over (order by repo_rank rows between unbounded preceding and 1 preceding), 0) as functions_before from g)
+"""
+
+SQL["take_until_target"] = _TAKE + """
+select repo_rank, repo_key, n_functions, cast(functions_before as bigint) as functions_before from cut where functions_before < 100
+"""
+
+SQL["functions_until_target"] = _TAKE + """
+select func_no, repo_key from repo_functions where repo_key in (select repo_key from cut where functions_before < 100)
+"""
+
+_SCORED = with_views("code_functions", "code_ifs", "if_predictions") + _FUNCS + f""",
+x as (
+  select f.func_no, f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
+  from funcs f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+ex as (select sha256(concat(fid, ':', cast(line as string))) as id, func_no, line, {py_strip('condition')} as target
+ from y where masked is not null),
+sc as (select ex.id, ex.target, p.prediction,
+ coalesce(lower({py_strip('p.prediction')}) = lower({py_strip('ex.target')}), false) as correct
+ from ex left join if_predictions p on ex.func_no = p.func_no and ex.line = p.line)
+"""
+
+SQL["score_predictions"] = _SCORED + "select * from sc\n"
+
+SQL["exact_match_metrics"] = _SCORED + """
+select count(*) filter (where correct) as exact_match, count(*) as total,
+ coalesce(count(*) filter (where correct) / nullif(cast(count(*) as double), 0), 0.0) as accuracy from sc
+"""

@@ -156,3 +156,71 @@ def masking_success_rate(spark, sf):
     from maskcorpus.operators.stats import masking_success_rate as rate
     f = functions_with_ifs(spark, sf).withColumn("num_ifs", F.size("if_statements"))
     return rate(f, mask_conditions(spark, sf))
+
+
+# ---- catalog (A1, B1-B3, C1, C2, I7, K3) ----------------------------------
+
+def _catalog():
+    from maskcorpus.operators import catalog
+    return catalog
+
+
+@register("catalog_pages")
+def catalog_pages(spark, sf):
+    from maskcorpus.sources.catalog import flatten_pages, to_pages
+    flat = flatten_pages(to_pages(table(spark, sf, "repo_catalog")))
+    return flat.select("page", "item_ord", "owner", "repo", "html_url", "language", "stars", "fork", "archived",
+                       "license", "default_branch")
+
+
+@register("catalog_filter")
+def catalog_filter(spark, sf):
+    return _catalog().filter_catalog(table(spark, sf, "repo_catalog"))
+
+
+@register("license_filter")
+def license_filter(spark, sf):
+    return _catalog().filter_license(catalog_filter(spark, sf))
+
+
+@register("repo_projection")
+def repo_projection(spark, sf):
+    return _catalog().project_repos(license_filter(spark, sf))
+
+
+@register("top_repos")
+def top_repos(spark, sf):
+    return _catalog().top_repos(repo_projection(spark, sf), k=500)
+
+
+@register("repo_function_counts")
+def repo_function_counts(spark, sf):
+    from maskcorpus.operators.stats import functions_per_group
+    return functions_per_group(table(spark, sf, "repo_functions"), "repo_key")
+
+
+@register("take_until_target")
+def take_until_target(spark, sf):
+    kept = _catalog().take_until(top_repos(spark, sf), repo_function_counts(spark, sf), target=100)
+    return kept.select("repo_rank", "repo_key", "n_functions", "functions_before")
+
+
+@register("functions_until_target")
+def functions_until_target(spark, sf):
+    return _catalog().keep_groups(table(spark, sf, "repo_functions"), take_until_target(spark, sf))
+
+
+# ---- scoring (K1, L4, I3) ---------------------------------------------------
+
+@register("score_predictions")
+def score_predictions(spark, sf):
+    from maskcorpus.operators.evaluate import score_predictions as sp
+    ex = mask_conditions(spark, sf)
+    return sp(ex, table(spark, sf, "if_predictions"), on=("func_no", "line")).select(
+        "id", "target", "prediction", "correct")
+
+
+@register("exact_match_metrics")
+def exact_match_metrics(spark, sf):
+    from maskcorpus.operators.evaluate import exact_match
+    return exact_match(score_predictions(spark, sf))
