@@ -98,6 +98,16 @@ select item_id, case item_id % 4
 from benchmark
 """
 
+# Predictions for the benchmark examples: a third right, a third right after
+# strip + lower, a third wrong.
+BENCHMARK_PREDICTIONS = """
+select item_id, case item_id % 3
+ when 0 then concat('x > ', cast(item_id * 7 % 89 as string))
+ when 1 then concat(' VALUE == ', cast(item_id as string))
+ else 'None' end as prediction
+from benchmark
+"""
+
 # name -> (sql, dependencies)
 VIEWS = {
     "code_functions": (CODE_FUNCTIONS, ("documents",)),
@@ -108,6 +118,7 @@ VIEWS = {
     "code_files": (CODE_FILES, ("code_functions",)),
     "code_file_ifs": (CODE_FILE_IFS, ("code_ifs",)),
     "benchmark_code": (BENCHMARK_CODE, ("benchmark",)),
+    "benchmark_predictions": (BENCHMARK_PREDICTIONS, ("benchmark",)),
 }
 
 

@@ -242,3 +242,51 @@ SQL["exact_match_metrics"] = _SCORED + """
 select count(*) filter (where correct) as exact_match, count(*) as total,
  coalesce(count(*) filter (where correct) / nullif(cast(count(*) as double), 0), 0.0) as accuracy from sc
 """
+
+SQL["extract_functions"] = with_views("code_functions", "code_ifs", "code_files") + """,
+n as (select func_no, cast(count(*) as int) as num_ifs from code_ifs group by func_no),
+r as (
+  select f.file_no, case when f.file_no % 3 = 2 then 1 else 0 end as fn_ord,
+   case when f.file_no % 3 = 0 then c.code else replace(c.code, chr(10), concat(chr(10), '    ')) end as code, n.num_ifs
+  from code_files f join code_functions c on c.func_no = f.file_no join n on n.func_no = f.file_no
+  union all
+  select f.file_no, 0, f.code, n.num_ifs from code_files f join n on n.func_no = f.file_no where f.file_no % 3 = 2
+)
+select file_no, cast(fn_ord as int) as fn_ord, code, num_ifs, cast(len(string_split(code, chr(10))) as int) as lines from r
+"""
+
+SQL["extract_ifs"] = with_views("code_file_ifs") + """
+select file_no, cast(fn_ord as int) as fn_ord, line, depth, condition from code_file_ifs
+"""
+
+_BENCH = with_views("benchmark_code") + """,
+bex as (
+  select item_id, concat('def g', cast(item_id as string), '(x):', chr(10), '    if <extra_id_0>:', chr(10), '        if x < 0:', chr(10), '            return 1', chr(10), '    return 0') as input,
+   concat('x > ', cast(item_id * 7 % 89 as string)) as target
+  from benchmark_code where item_id % 4 = 0
+  union all
+  select item_id, concat('value = compute()', chr(10), 'if <extra_id_0>:', chr(10), '    print(value)'),
+   concat('value == ', cast(item_id as string))
+  from benchmark_code where item_id % 4 = 1
+)
+"""
+
+SQL["mask_benchmark_first_if"] = _BENCH + "select * from bex\n"
+
+_TWO = _SCORED.rstrip() + "," + with_views("benchmark_predictions").replace("with ", "", 1) + "," + \
+    _BENCH.replace("with ", "", 1) + f""",
+bsc as (select coalesce(lower({py_strip('p.prediction')}) = lower({py_strip('b.target')}), false) as correct
+ from bex b left join benchmark_predictions p on b.item_id = p.item_id),
+allsc as (select 'generated_testset' as testset, correct from sc union all select 'provided_testset', correct from bsc),
+m as (select testset, count(*) filter (where correct) as exact_match, count(*) as total from allsc group by testset)
+"""
+
+SQL["evaluate_two_testsets"] = _TWO + """
+select testset, exact_match, total, coalesce(exact_match / nullif(cast(total as double), 0), 0.0) as accuracy from m
+"""
+
+SQL["metrics_json"] = _TWO + """,
+mm as (select testset, {'accuracy': coalesce(exact_match / nullif(cast(total as double), 0), 0.0), 'exact_match': exact_match, 'total': total} as s from m)
+select to_json({'generated_testset': (select s from mm where testset = 'generated_testset'),
+                'provided_testset': (select s from mm where testset = 'provided_testset')})::varchar as metrics_json
+"""

@@ -224,3 +224,52 @@ def score_predictions(spark, sf):
 def exact_match_metrics(spark, sf):
     from maskcorpus.operators.evaluate import exact_match
     return exact_match(score_predictions(spark, sf))
+
+
+# ---- extraction (D1, D2, G2) and evaluation (L5, L6, I4, A9) --------------
+
+@register("extract_functions")
+def extract_functions(spark, sf):
+    from maskcorpus.operators.extract import extract_functions as ef
+    out = ef(table(spark, sf, "code_files"), ("file_no",))
+    return out.select("file_no", "fn_ord", "code", "num_ifs", "lines")
+
+
+@register("extract_ifs")
+def extract_ifs(spark, sf):
+    from maskcorpus.operators.extract import extract_functions as ef
+    out = ef(table(spark, sf, "code_files"), ("file_no",))
+    return out.select("file_no", "fn_ord", F.inline("if_statements")).select(
+        "file_no", "fn_ord", "line", "depth", "condition")
+
+
+def benchmark_examples(spark, sf):
+    from maskcorpus.operators.extract import extract_ifs as ei
+    return mask.mask_first_if(ei(table(spark, sf, "benchmark_code"), ("item_id",)), ("item_id",))
+
+
+@register("mask_benchmark_first_if")
+def mask_benchmark_first_if(spark, sf):
+    return benchmark_examples(spark, sf)
+
+
+def _two_testsets(spark, sf):
+    from maskcorpus.operators.evaluate import score_predictions as sp
+    gen = score_predictions(spark, sf).select(F.lit("generated_testset").alias("testset"), "correct")
+    prov = sp(benchmark_examples(spark, sf), table(spark, sf, "benchmark_predictions"), on=("item_id",))
+    return gen.unionByName(prov.select(F.lit("provided_testset").alias("testset"), "correct"))
+
+
+@register("evaluate_two_testsets")
+def evaluate_two_testsets(spark, sf):
+    from maskcorpus.operators.evaluate import per_testset
+    return per_testset(_two_testsets(spark, sf))
+
+
+@register("metrics_json")
+def metrics_json(spark, sf):
+    from maskcorpus.operators.evaluate import assemble_metrics, exact_match, score_predictions as sp
+    from maskcorpus.sources.files import metrics_to_json
+    gen = exact_match(score_predictions(spark, sf))
+    prov = exact_match(sp(benchmark_examples(spark, sf), table(spark, sf, "benchmark_predictions"), on=("item_id",)))
+    return metrics_to_json(assemble_metrics(gen, prov))
