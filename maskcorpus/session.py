@@ -29,6 +29,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         # Arrow batches of long texts: keep each batch a bounded size.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     }
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("MASKCORPUS_DRIVER_MEMORY", "16g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
