@@ -290,3 +290,80 @@ mm as (select testset, {'accuracy': coalesce(exact_match / nullif(cast(total as
 select to_json({'generated_testset': (select s from mm where testset = 'generated_testset'),
                 'provided_testset': (select s from mm where testset = 'provided_testset')})::varchar as metrics_json
 """
+
+# ---- vocabulary (J1-J5) ------------------------------------------------------
+# The byte-level pre-tokenizer's last alternatives are "\s+(?!\S)|\s+"; RE2 has no
+# lookahead, so the oracle uses "\s+" alone. The two differ only where a run of
+# two or more whitespace characters precedes a non-space character, and the
+# driver's documents hold no such run (checked at every scale). NFKC is not
+# applied either: the documents hold no NFKC-changing text. The Spark side is
+# unit-tested against the tokenizers library for both.
+
+
+def _byte_table_sql() -> str:
+    from maskcorpus.functions.bytelevel import byte_to_char
+    return "[" + ", ".join("'" + c.replace("'", "''") + "'" for c in byte_to_char()) + "]"
+
+
+_PRETOKEN_RE2 = (r"''s|''t|''re|''ve|''m|''ll|''d| ?\p{L}+| ?\p{N}+| ?[^\x{09}-\x{0d}\x{85}\p{Z}\p{L}\p{N}]+|"
+                 r"[\x{09}-\x{0d}\x{85}\p{Z}]+")
+
+
+def _byte_level_sql(x: str) -> str:
+    return (f"array_to_string(list_transform(regexp_extract_all(hex(encode({x})), '..'), "
+            f"lambda h: ({_byte_table_sql()})[('0x' || h)::int + 1]), '')")
+
+
+_WORDS = f"""
+with raw as (select unnest(regexp_extract_all(text, '{_PRETOKEN_RE2}')) as w from documents),
+words as (select {_byte_level_sql('w')} as word, count(*) as n from raw group by w)
+"""
+
+SQL["word_frequencies"] = _WORDS + "select word, n from words\n"
+
+SQL["pair_counts"] = _WORDS + """,
+c as (select n, regexp_extract_all(word, '.') as cs from words where length(word) >= 2),
+p as (select n, cs, unnest(range(1, len(cs))) as i from c)
+select cs[i] as "left", cs[i + 1] as "right", sum(n) as n from p group by cs[i], cs[i + 1]
+"""
+
+
+def _bpe_chain(merges: int) -> str:
+    """CTE chain: alphabet ids, the word table as <id> strings, then one materialised round per merge."""
+    from maskcorpus.config import SPECIAL_TOKENS
+    n_sp = len(SPECIAL_TOKENS)
+    parts = [_WORDS.rstrip(), f""",
+chars as (select distinct unnest(regexp_extract_all(word, '.')) as c from words),
+alpha as (select c as token, cast({n_sp - 1} + row_number() over (order by c) as int) as id from chars),
+wc as (select word, n, unnest(regexp_extract_all(word, '.')) as c, unnest(range(length(word))) as pos from words),
+w0 as materialized (select wc.word, any_value(wc.n) as n, string_agg('<' || cast(a.id as string) || '>', '' order by wc.pos) as s
+  from wc join alpha a on a.token = wc.c group by wc.word),
+base as (select count(*) as n_alpha from alpha),
+tok0 as materialized (select token, id from alpha)"""]
+    for k in range(merges):
+        parts.append(f""",
+x{k} as (select n, regexp_extract_all(s, '<([0-9]+)>', 1) as ids from w{k} where s like '%><%'),
+y{k} as (select n, ids, unnest(range(1, len(ids))) as i from x{k}),
+p{k} as materialized (select cast(ids[i] as int) as a, cast(ids[i + 1] as int) as b, sum(n) as cnt from y{k} group by all),
+t{k} as materialized (select a, b, cnt, (select n_alpha from base) + {n_sp + k} as new_id from p{k} order by cnt desc, a, b limit 1),
+m{k} as materialized (select {k} as rank, t.a, t.b, t.cnt, t.new_id, la.token as "left", ra.token as "right"
+  from t{k} t join tok{k} la on la.id = t.a join tok{k} ra on ra.id = t.b),
+tok{k + 1} as materialized (select token, id from tok{k} union all select "left" || "right", new_id from m{k}),
+w{k + 1} as materialized (select w.word, w.n, replace(w.s, '<' || cast(m.a as string) || '><' || cast(m.b as string) || '>',
+  '<' || cast(m.new_id as string) || '>') as s from w{k} w, m{k} m)""")
+    return "".join(parts) + "\n"
+
+
+SQL["bpe_merges_8"] = _bpe_chain(8) + " union all ".join(
+    f'select cast(rank as int) as rank, "left", "right", cast(cnt as bigint) as pair_count from m{k}' for k in range(8)) + "\n"
+
+_SPECIALS_SQL = "select * from (values " + ", ".join(
+    f"('{t}', {i})" for i, t in enumerate(__import__("maskcorpus.config", fromlist=["x"]).SPECIAL_TOKENS)) + ") v(token, id)"
+
+SQL["vocab_ids"] = _bpe_chain(8) + f"""
+select token, cast(id as int) as id from ({_SPECIALS_SQL}) union all select token, cast(id as int) from tok8
+"""
+
+SQL["encode_words"] = _bpe_chain(8) + """
+select word, array_to_string(regexp_extract_all(s, '<([0-9]+)>', 1), ',') as ids from w8
+"""

@@ -273,3 +273,57 @@ def metrics_json(spark, sf):
     gen = exact_match(score_predictions(spark, sf))
     prov = exact_match(sp(benchmark_examples(spark, sf), table(spark, sf, "benchmark_predictions"), on=("item_id",)))
     return metrics_to_json(assemble_metrics(gen, prov))
+
+
+# ---- vocabulary and encoding (J1-J8) ---------------------------------------
+
+BPE_MERGES = 8
+
+
+def _words(spark, sf):
+    from maskcorpus.operators.bpe import word_frequencies as wf
+    return wf(table(spark, sf, "documents"), "text")
+
+
+def _model(spark, sf):
+    from maskcorpus.operators.bpe import learn_bpe
+    return learn_bpe(_words(spark, sf), vocab_size=10**9, max_merges=BPE_MERGES)
+
+
+@register("word_frequencies")
+def word_frequencies(spark, sf):
+    return _words(spark, sf)
+
+
+@register("pair_counts")
+def pair_counts(spark, sf):
+    from maskcorpus.operators.bpe import pair_counts as pc
+    return pc(_words(spark, sf))
+
+
+@register("bpe_merges_8")
+def bpe_merges_8(spark, sf):
+    return _model(spark, sf).merges_df(spark)
+
+
+@register("vocab_ids")
+def vocab_ids(spark, sf):
+    return _model(spark, sf).vocab(spark)
+
+
+@register("encode_words")
+def encode_words(spark, sf):
+    from maskcorpus.operators.encode import encode_words as ew
+    out = ew(_words(spark, sf), _model(spark, sf))
+    return out.select("word", F.array_join("ids", ",").alias("ids"))
+
+
+@register("encode_padded")
+def encode_padded(spark, sf):
+    from maskcorpus.operators.encode import add_labels, encode
+    model = _model(spark, sf)
+    ex = mask_conditions(spark, sf).select("id", "input", "target")
+    enc = add_labels(encode(ex, "input", model, 512), "target", model, 512)
+    return enc.select("id", "n_tokens", F.array_join("input_ids", ",").alias("input_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"),
+                      F.array_join("labels", ",").alias("labels"))

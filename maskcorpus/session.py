@@ -40,6 +40,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -60,3 +61,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="maskcorpus-ckpt-", dir=os.environ.get("MASKCORPUS_SCRATCH"))
     sc.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``maskcorpus`` importable in executor Python workers (once per context).
+
+    Zips the package's sources and registers the zip with ``addPyFile``; Spark
+    distributes it to every executor, so kernels and UDFs resolve on any cluster.
+    """
+    import zipfile
+
+    import maskcorpus
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(maskcorpus.__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="maskcorpus-pkg-"), "maskcorpus.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
