@@ -22,7 +22,7 @@ def _c(col) -> Column:
 
 def py_split(col) -> Column:
     """``str.split()``: split on runs of Python whitespace, drop empty pieces."""
-    return F.filter(F.split(_c(col), WS_RUN), lambda x: x != "")
+    return F.array_remove(F.split(_c(col), WS_RUN), "")
 
 
 def py_strip(col) -> Column:

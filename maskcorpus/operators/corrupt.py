@@ -1,18 +1,19 @@
 """Token corruption for pre-training examples.
 
-Per row: hash every token position with sha256("seed:key:pos"), keep the
+Per row: rank token positions by a seeded integer hash, keep the
 ``max(1, n*15 div 100)`` smallest, and replace each kept token with its own
 sentinel ``<extra_id_j>`` (j = rank among kept positions, no span merging,
 unbounded j). All array work stays inside one narrow projection: no explode,
-no shuffle, O(n log n) per row.
+no shuffle, O(n log n) per row with primitive sorts only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from maskcorpus.functions.text import mask_budget, py_split, sentinel
+from maskcorpus.functions.text import mask_budget, py_split, seeded_key, sentinel
 
 
 def min_tokens(df: DataFrame, tokens: str = "tokens", n: int = 10) -> DataFrame:
@@ -20,39 +21,85 @@ def min_tokens(df: DataFrame, tokens: str = "tokens", n: int = 10) -> DataFrame:
     return df.where(F.size(tokens) >= n)
 
 
+_M32 = 4294967296  # 2**32
+_MUL = 73244475     # odd 27-bit multiplier: products stay below 2**63, no overflow
+
+
+def doc_seed(seed: int, key) -> Column:
+    """32-bit per-row seed: the first 8 hex digits of sha256("seed:key") (one hash per row)."""
+    return F.conv(F.substring(seeded_key(seed, key), 1, 8), 16, 10).cast("long")
+
+
+def mix32(x: Column) -> Column:
+    """A bijective 32-bit integer mixer (xor-shift-multiply, twice): distinct inputs, distinct outputs."""
+    x = (F.shiftright(x, 16).bitwiseXOR(x) * _MUL) % _M32
+    x = (F.shiftright(x, 16).bitwiseXOR(x) * _MUL) % _M32
+    return F.shiftright(x, 16).bitwiseXOR(x)
+
+
+def mix32_np(x):
+    """numpy twin of ``mix32`` (uint64 arithmetic, same constants, same results)."""
+    import numpy as np
+    x = x.astype(np.uint64)
+    m = np.uint64(_M32 - 1)
+    x = (((x >> np.uint64(16)) ^ x) * np.uint64(_MUL)) & m
+    x = (((x >> np.uint64(16)) ^ x) * np.uint64(_MUL)) & m
+    return (x >> np.uint64(16)) ^ x
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _pick(n, k, seed):
+    """Per row: the ``k`` positions of ``0..n-1`` with the smallest ``mix32(seed xor i)``, ascending.
+
+    Only two numbers per row cross into Python; numpy does the per-token work.
+    """
+    import numpy as np
+
+    def one(nn, kk, ss):
+        if nn <= 0:
+            return np.zeros(0, dtype=np.int32)
+        h = mix32_np(np.arange(nn, dtype=np.uint64) ^ np.uint64(ss))
+        sel = np.argpartition(h, kk - 1)[:kk] if kk < nn else np.arange(nn)
+        return np.sort(sel).astype(np.int32)
+    return pd_series([one(int(a), int(b), int(c)) for a, b, c in zip(n, k, seed)])
+
+
+def pd_series(values):
+    import pandas as pd
+    return pd.Series(values)
+
+
 def sample_positions(df: DataFrame, tokens: str = "tokens", key: str = "id", seed: int = 42,
                      rate_percent: int = 15, out: str = "positions") -> DataFrame:
-    """distinct positions without replacement, ascending, ``max(1, int(n*rate))`` of them."""
+    """``max(1, int(n*rate))`` distinct positions without replacement, ascending.
+
+    Position ``i`` ranks by ``mix32(seed32 xor i)`` with ``seed32`` from one
+    sha256 per row; the mixer is a bijection, so ranks never tie.
+    """
     n = F.size(tokens)
-    k = mask_budget(n, rate_percent)
-    prefix = F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"), F.lit(":"))
-    with_prefix = df.withColumn("_pfx", prefix)
-    keyed = F.transform(F.sequence(F.lit(0), n - 1),
-                        lambda i: F.struct(F.sha2(F.concat(F.col("_pfx"), i.cast("string")), 256).alias("h"),
-                                           i.alias("p")))
-    picked = F.transform(F.slice(F.array_sort(keyed), 1, k), lambda x: x["p"])
-    return with_prefix.withColumn(out, F.when(n > 0, F.array_sort(picked)).otherwise(F.array().cast("array<int>"))).drop("_pfx")
+    return df.withColumn(out, _pick(n, mask_budget(n, rate_percent), doc_seed(seed, key)))
 
 
 def corrupt_tokens(df: DataFrame, tokens: str = "tokens", key: str = "id", seed: int = 42,
                    rate_percent: int = 15) -> DataFrame:
     """add ``input`` (tokens with sentinels) and ``target`` (sentinel, token, sentinel, token ...).
 
-    Needs at least one token per row (use ``min_tokens`` first, as the reference does).
+    ``input`` is built from the slices between consecutive masked positions,
+    O(n + k). Needs at least one token per row (``min_tokens`` first, as the reference).
     """
     s = sample_positions(df, tokens, key, seed, rate_percent, "_pos")
-    n = F.size(tokens)
-    # every position once with ordinal -1, every masked position again with its ordinal;
-    # sorted by (p, o) the last entry of each position is the one to emit
-    merged = F.array_sort(F.concat(
-        F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(i.alias("p"), F.lit(-1).alias("o"))),
-        F.transform("_pos", lambda p, j: F.struct(p.alias("p"), j.alias("o")))))
-    s = s.withColumn("_m", merged)
-    last = F.filter("_m", lambda e, x: (x == F.size("_m") - 1) | (F.get("_m", x + 1)["p"] != e["p"]))
-    tok = F.col(tokens)
-    inp = F.array_join(F.transform(last, lambda e: F.when(e["o"] >= 0, sentinel(e["o"])).otherwise(F.get(tok, e["p"]))), " ")
-    tgt = F.array_join(F.transform("_pos", lambda p, j: F.concat(sentinel(j), F.lit(" "), F.get(tok, p))), " ")
-    return s.withColumn("input", inp).withColumn("target", tgt).drop("_pos", "_m")
+    tok, pos = F.col(tokens), F.col("_pos")
+    n, k = F.size(tokens), F.size("_pos")
+
+    def piece(j):
+        start = F.when(j == 0, F.lit(1)).otherwise(F.get(pos, j - 1) + 2)
+        stop = F.when(j < k, F.get(pos, j)).otherwise(n)  # exclusive, 0-based
+        run = F.slice(tok, start, stop - start + 1)
+        return F.when(j < k, F.concat(run, F.array(sentinel(j)))).otherwise(run)
+
+    inp = F.array_join(F.flatten(F.transform(F.sequence(F.lit(0), k), piece)), " ")
+    tgt = F.array_join(F.transform(pos, lambda p, j: F.concat(sentinel(j), F.lit(" "), F.get(tok, p))), " ")
+    return s.withColumn("input", inp).withColumn("target", tgt).drop("_pos")
 
 
 def pretrain_examples(functions: DataFrame, code: str = "code", key: str = "id", seed: int = 42,

@@ -41,8 +41,13 @@ def mask_line(line, keywords: Sequence[str] = IF_KEYWORDS, terminator: str = IF_
 
 
 def replace_line(lines: Column, index: Column, new_line: Column) -> Column:
-    """Join ``lines`` with newlines, element ``index`` (0-based) replaced."""
-    return F.array_join(F.transform(lines, lambda x, i: F.when(i == index, new_line).otherwise(x)), "\n")
+    """Join ``lines`` with newlines, element ``index`` (0-based) replaced.
+
+    Built from two slices around the line: no per-element lambda, and the new
+    line is evaluated once per row.
+    """
+    return F.array_join(F.concat(F.slice(lines, F.lit(1), index), F.array(new_line),
+                                 F.slice(lines, index + 2, F.size(lines))), "\n")
 
 
 def having_ifs(functions: DataFrame, col: str = "if_statements") -> DataFrame:

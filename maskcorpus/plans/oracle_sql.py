@@ -127,8 +127,11 @@ _DOC_TOKENS = f"""
 with t as (select doc_id, {py_split('text')} as tokens from documents),
 t10 as (select doc_id, tokens, len(tokens) as n from t where len(tokens) >= 10),
 e as (select doc_id, n, unnest(tokens) as tok, unnest(range(len(tokens))) as pos from t10),
-r as (select *, row_number() over (partition by doc_id order by sha256(concat('42:', cast(doc_id as string), ':', cast(pos as string))), pos) as rk,
- greatest(1, n * 15 // 100) as k from e),
+s32 as (select *, ('0x' || substring(sha256(concat('42:', cast(doc_id as string))), 1, 8))::bigint as seed32 from e),
+h1 as (select *, (xor(xor(seed32, pos) >> 16, xor(seed32, pos)) * 73244475) % 4294967296 as x1 from s32),
+h2 as (select *, (xor(x1 >> 16, x1) * 73244475) % 4294967296 as x2 from h1),
+r as (select *, row_number() over (partition by doc_id order by xor(x2 >> 16, x2), pos) as rk,
+ greatest(1, n * 15 // 100) as k from h2),
 m as (select *, rk <= k as masked from r),
 o as (select *, case when masked then sum(case when masked then 1 else 0 end) over (partition by doc_id order by pos rows between unbounded preceding and current row) - 1 end as ord from m)
 """
