@@ -370,3 +370,77 @@ select token, cast(id as int) as id from ({_SPECIALS_SQL}) union all select toke
 SQL["encode_words"] = _bpe_chain(8) + """
 select word, array_to_string(regexp_extract_all(s, '<([0-9]+)>', 1), ',') as ids from w8
 """
+
+_FILL = _EXAMPLES.replace(
+    "ex as (select sha256(concat(fid, ':', cast(line as string))) as id from y where masked is not null)",
+    f"ex as (select sha256(concat(fid, ':', cast(line as string))) as id, {py_strip('condition')} as target,\n"
+    " array_to_string(list_transform(lines, lambda s, i: case when i = line then masked else s end), chr(10)) as input\n"
+    " from y where masked is not null)").replace(
+    "sp as (select id, case",
+    "sp as (select id, case") + f""",
+spx as (select ex.*, sp.split, string_split(ex.input, chr(10)) as ls from ex join sp on ex.id = sp.id),
+spk as (select *, list_position(list_transform(ls, lambda x: instr(x, '<extra_id_0>') > 0), true) as kk from spx),
+ctx as (select id, target, split,
+  case when kk > 1 then {py_strip('ls[kk - 1]')} else '' end as ctx_prev,
+  coalesce({py_strip('ls[kk + 1]')}, '') as ctx_next from spk),
+tr as (select * from ctx where split = 'train'),
+c1 as (select ctx_prev, ctx_next, target, count(*) as n from tr group by all),
+pair as (select ctx_prev, ctx_next, arg_min(target, (-n, target)) as prediction, max(n) as votes, sum(n) as support
+  from c1 group by ctx_prev, ctx_next),
+c2 as (select ctx_prev, target, count(*) as n from tr group by all),
+prev as (select ctx_prev, arg_min(target, (-n, target)) as prediction from c2 group by ctx_prev),
+c3 as (select target, count(*) as n from tr group by target),
+gmode as (select arg_min(target, (-n, target)) as prediction from c3)
+"""
+
+SQL["fill_counts"] = _FILL + "select ctx_prev, ctx_next, prediction, votes, support from pair\n"
+
+SQL["predict_fill_counts"] = _FILL + f""",
+te as (select c.id, c.target, p1.prediction as p1, p2.prediction as p2 from ctx c
+  left join pair p1 on c.ctx_prev = p1.ctx_prev and c.ctx_next = p1.ctx_next
+  left join prev p2 on c.ctx_prev = p2.ctx_prev where c.split = 'test')
+select id, target, coalesce(p1, p2, (select prediction from gmode)) as prediction,
+ case when p1 is not null then 'pair' when p2 is not null then 'prev'
+  when (select prediction from gmode) is not null then 'global' else 'none' end as level,
+ coalesce(lower({py_strip('coalesce(p1, p2, (select prediction from gmode))')}) = lower({py_strip('target')}), false) as correct
+from te
+"""
+
+
+def _corrupt_ctes(src: str, key: str, text: str, seed: int = 42) -> str:
+    """CTE text: corruption of ``text`` keyed by ``key`` from CTE ``src`` -> ``cor(key, input, target)``."""
+    return f""",
+ct as (select {key} as k, {py_split(text)} as tokens from {src}),
+ct10 as (select k, tokens, len(tokens) as n from ct where len(tokens) >= 10),
+ce as (select k, n, unnest(tokens) as tok, unnest(range(len(tokens))) as pos from ct10),
+cs as (select *, ('0x' || substring(sha256(concat('{seed}:', cast(k as string))), 1, 8))::bigint as seed32 from ce),
+ch1 as (select *, (xor(xor(seed32, pos) >> 16, xor(seed32, pos)) * 73244475) % 4294967296 as x1 from cs),
+ch2 as (select *, (xor(x1 >> 16, x1) * 73244475) % 4294967296 as x2 from ch1),
+cr as (select *, row_number() over (partition by k order by xor(x2 >> 16, x2), pos) as rk, greatest(1, n * 15 // 100) as kk from ch2),
+cm as (select *, rk <= kk as masked from cr),
+co as (select *, case when masked then sum(case when masked then 1 else 0 end) over (partition by k order by pos rows between unbounded preceding and current row) - 1 end as ord from cm),
+cor as (select k,
+ string_agg(case when masked then concat('<extra_id_', cast(ord as string), '>') else tok end, ' ' order by pos) as input,
+ string_agg(case when masked then concat('<extra_id_', cast(ord as string), '> ', tok) end, ' ' order by pos) as target
+ from co group by k)
+"""
+
+
+SQL["build_datasets"] = with_views("code_functions", "code_ifs") + _FUNCS + f""",
+parts as (select func_no, fid, code, row_number() over (order by {seeded(42, 'fid')}, fid) - 1 as pidx from funcs),
+pre as (select * from parts where pidx < 350),
+fin as (select * from parts where pidx >= 350 and pidx < 500)""" + _corrupt_ctes("pre", "fid", "code") + f""",
+x as (
+  select f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
+  from fin f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+ex as (select sha256(concat(fid, ':', cast(line as string))) as id,
+ array_to_string(list_transform(lines, lambda s, i: case when i = line then masked else s end), chr(10)) as input,
+ {py_strip('condition')} as target from y where masked is not null),
+s as (select *, row_number() over (order by {seeded(42, 'id')}, id) - 1 as idx, count(*) over () as n from ex)
+select 'pretrain' as kind, 'train' as split, k as id, input, target from cor
+union all
+select 'finetune', case when idx < floor(cast(n as double) * 0.8) then 'train'
+ when idx < floor(cast(n as double) * 0.8) + floor(cast(n as double) * 0.1) then 'val' else 'test' end, id, input, target from s
+"""

@@ -327,3 +327,34 @@ def encode_padded(spark, sf):
     return enc.select("id", "n_tokens", F.array_join("input_ids", ",").alias("input_ids"),
                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"),
                       F.array_join("labels", ",").alias("labels"))
+
+
+# ---- count-based fill model (L2, L3) ---------------------------------------
+
+def _finetune_splits(spark, sf):
+    ex = mask_conditions(spark, sf)
+    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42)
+
+
+@register("fill_counts")
+def fill_counts(spark, sf):
+    from maskcorpus.operators.predict import fit_fill_counts
+    model = fit_fill_counts(_finetune_splits(spark, sf).where(F.col("split") == "train"))
+    return model["pair"]
+
+
+@register("predict_fill_counts")
+def predict_fill_counts(spark, sf):
+    from maskcorpus.operators.evaluate import score
+    from maskcorpus.operators.predict import fit_fill_counts, predict_fill_counts as pf
+    sp = _finetune_splits(spark, sf)
+    model = fit_fill_counts(sp.where(F.col("split") == "train"))
+    out = score(pf(sp.where(F.col("split") == "test"), model))
+    return out.select("id", "target", "prediction", "level", "correct")
+
+
+@register("build_datasets")
+def build_datasets(spark, sf):
+    from maskcorpus.config import Params
+    from maskcorpus.plans.stages import build_datasets as bd
+    return bd(functions_with_ids(spark, sf), Params(pretrain_target=350, finetune_target=150))
