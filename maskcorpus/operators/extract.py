@@ -113,3 +113,8 @@ def extract_ifs(texts: DataFrame, key: Sequence[str] = ("item_id",), code: str =
     src = spread(texts.select(*key, code), num_partitions)
     out = src.mapInPandas(kernel, schema)
     return out.select(*key, "code", _to_structs("conds", "if_lines", "depths").alias("if_statements"), "status")
+
+
+def filter_length(functions: DataFrame, lo: int = 5, hi: int = 500, lines: str = "lines") -> DataFrame:
+    """Keep functions of ``lo``..``hi`` lines (a documented quality filter; off by default in the pipeline)."""
+    return functions.where(F.col(lines).between(lo, hi))

@@ -77,3 +77,24 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> Non
 
 def json_col(col: str) -> Column:
     return F.to_json(F.col(col))
+
+
+def write_vocab(vocab: DataFrame, merges: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The learned vocabulary as two Parquet tables (``vocab``, ``merges``)."""
+    vocab.write.mode(mode).parquet(f"{path.rstrip('/')}/vocab")
+    merges.write.mode(mode).parquet(f"{path.rstrip('/')}/merges")
+
+
+def read_vocab(spark: SparkSession, path: str):
+    """Read back ``(vocab, merges)`` and rebuild a model (sizes bounded by ``vocab_size``)."""
+    from maskcorpus.config import SPECIAL_TOKENS
+    from maskcorpus.operators.bpe import BpeModel
+    vocab = spark.read.parquet(f"{path.rstrip('/')}/vocab")
+    merges = spark.read.parquet(f"{path.rstrip('/')}/merges")
+    toks = [r["token"] for r in vocab.orderBy("id").collect()]
+    ms = [(r["left"], r["right"], r["pair_count"]) for r in merges.orderBy("rank").collect()]
+    merged = {a + b for a, b, _ in ms}
+    n_sp = len(SPECIAL_TOKENS)
+    alpha = [t for t in toks[n_sp:] if t not in merged or len(t) == 1]
+    alpha = alpha[:len(toks) - n_sp - len(merged)]
+    return BpeModel(toks[:n_sp], alpha, ms)
