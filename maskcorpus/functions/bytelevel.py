@@ -64,7 +64,31 @@ def _nfkc(s):
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+def _stable_class() -> str:
+    """Regex class of code points below U+0100 that NFKC leaves alone, built from the rule.
+
+    Two such characters never compose either (composition needs a combining mark,
+    all of which lie above U+02FF), so a text made only of them is already NFKC.
+    """
+    import unicodedata
+    keep = [c for c in range(256) if unicodedata.normalize("NFKC", chr(c)) == chr(c)]
+    runs, start = [], keep[0]
+    for a, b in zip(keep, keep[1:] + [None]):
+        if b != a + 1:
+            runs.append((start, a))
+            start = b
+    return "[" + "".join(f"\\x{{{x:02x}}}" if x == y else f"\\x{{{x:02x}}}-\\x{{{y:02x}}}" for x, y in runs) + "]"
+
+
+NEEDS_NFKC = "[^" + _stable_class()[1:]  # any character outside the stable set
+
+
 def nfkc(col) -> Column:
-    """NFKC normalisation; ASCII rows (already NFKC) skip Python: the UDF sees null for them."""
+    """NFKC normalisation; rows made only of NFKC-stable characters skip Python (the UDF sees null)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.coalesce(_nfkc(F.when(c.rlike(r"[^\x00-\x7f]"), c)), c)
+    return F.coalesce(_nfkc(F.when(needs_nfkc(c), c)), c)
+
+
+def needs_nfkc(c: Column) -> Column:
+    """Cheap test first (pure ASCII: byte length equals character length), regex only otherwise."""
+    return (F.length(c) != F.octet_length(c)) & c.rlike(NEEDS_NFKC)

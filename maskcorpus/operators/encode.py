@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from maskcorpus.config import EOS_TOKEN, N_SENTINELS, PAD_TOKEN, SPECIAL_TOKENS, UNK_TOKEN
-from maskcorpus.functions.bytelevel import byte_level, byte_to_char, pretokenize
+from maskcorpus.functions.bytelevel import byte_level, byte_to_char, needs_nfkc, pretokenize
 from maskcorpus.operators.bpe import BpeModel
 
 # Special tokens as one pattern: <pad> <unk> </s> <extra_id_0> .. <extra_id_99>
@@ -47,7 +47,7 @@ def normalised_segments(col) -> Column:
     """``segments`` with NFKC on the non-special runs; Python sees non-ASCII rows only."""
     c = F.col(col) if isinstance(col, str) else col
     segs = segments(c)
-    return F.coalesce(_nfkc_segments(F.when(c.rlike(r"[^\x00-\x7f]"), segs)), segs)
+    return F.coalesce(_nfkc_segments(F.when(needs_nfkc(c), segs)), segs)
 
 
 def pieces(segs: Column) -> Column:

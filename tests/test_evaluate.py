@@ -54,3 +54,14 @@ def test_results_csv_round_trips(spark, tmp_dir):
     pdf = pd.concat([pd.read_csv(os.path.join(path, f)) for f in files])
     assert set(pdf["input"]) == {r[0] for r in rows}
     assert F  # noqa
+
+
+def test_predict_batch_runs_user_model_per_task(spark):
+    from maskcorpus.operators.predict import predict_batch
+
+    def make():
+        table = {"if <extra_id_0>:": "x"}
+        return lambda inputs: [table.get(s, " none ") for s in inputs]
+    ex = spark.createDataFrame([("a", "if <extra_id_0>:"), ("b", "other")], "id string, input string")
+    got = {r["id"]: r["prediction"] for r in predict_batch(ex, make).collect()}
+    assert got == {"a": "x", "b": "none"}

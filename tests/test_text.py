@@ -53,3 +53,13 @@ def test_mask_budget_equals_reference_float_form(spark):
     assert bad.count() == 0
     sample = {r["n"]: r["k"] for r in df.where(F.col("n") < 2000).collect()}
     assert all(sample[n] == max(1, int(n * 0.15)) for n in sample)
+
+
+def test_nfkc_prefilter_and_udf(spark):
+    import unicodedata
+
+    from maskcorpus.functions.bytelevel import nfkc
+    texts = ["plain ascii", "café crème ñ ü ß ¿", "ﬁne ＡＢＣ ²", "x y", "é", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(nfkc("t")).collect()]
+    assert got == [None if t is None else unicodedata.normalize("NFKC", t) for t in texts]
