@@ -70,20 +70,20 @@ from funcs f join code_ifs c on f.func_no = c.func_no
 """
 
 SQL["line_stats"] = with_views("code_functions", "code_ifs") + """
-select f.func_no, len(string_split(f.code, chr(10))) as lines, cast(coalesce(n.num_ifs, 0) as int) as num_ifs
+select f.func_no, cast(len(string_split(f.code, chr(10))) as int) as lines, cast(coalesce(n.num_ifs, 0) as int) as num_ifs
 from code_functions f left join (select func_no, count(*) as num_ifs from code_ifs group by func_no) n on f.func_no = n.func_no
 """
 
 SQL["token_split"] = f"""
 with t as (select doc_id, {py_split('text')} as tokens from documents)
-select doc_id, len(tokens) as n_tokens, sha256(array_to_string(tokens, ' ')) as tokens_sha,
+select doc_id, cast(len(tokens) as int) as n_tokens, sha256(array_to_string(tokens, ' ')) as tokens_sha,
  tokens[1] as first_token, tokens[len(tokens)] as last_token
 from t
 """
 
 SQL["min_token_filter"] = f"""
 with t as (select doc_id, len({py_split('text')}) as n_tokens from documents)
-select doc_id, n_tokens from t where n_tokens >= 10
+select doc_id, cast(n_tokens as int) as n_tokens from t where n_tokens >= 10
 """
 
 SQL["explode_ifs"] = with_views("code_ifs") + """
@@ -107,7 +107,7 @@ SQL["mask_after_keyword"] = f"""
 with l as (select doc_id, string_split(text, chr(10)) as ls from documents),
 e as (select doc_id, ls, unnest(range(1, len(ls) + 1)) as line from l),
 m as (select doc_id, line, ls[line] as tl from e)
-select doc_id, line, {mask_line('tl', ('and', 'the'), ',')} as masked_line,
+select doc_id, cast(line as int) as line, {mask_line('tl', ('and', 'the'), ',')} as masked_line,
  {py_strip(span('tl', ('and', 'the'), ','))} as span
 from m where ({mask_line('tl', ('and', 'the'), ',')}) is not null
 """
@@ -137,7 +137,7 @@ o as (select *, case when masked then sum(case when masked then 1 else 0 end) ov
 """
 
 SQL["sample_positions"] = _DOC_TOKENS + """
-select doc_id, max(n) as n_tokens, cast(count(*) filter (where masked) as int) as n_masks,
+select doc_id, cast(max(n) as int) as n_tokens, cast(count(*) filter (where masked) as int) as n_masks,
  string_agg(case when masked then cast(pos as string) end, ',' order by pos) as positions
 from o group by doc_id
 """
@@ -327,7 +327,7 @@ SQL["word_frequencies"] = _WORDS + "select word, n from words\n"
 SQL["pair_counts"] = _WORDS + """,
 c as (select n, regexp_extract_all(word, '.') as cs from words where length(word) >= 2),
 p as (select n, cs, unnest(range(1, len(cs))) as i from c)
-select cs[i] as "left", cs[i + 1] as "right", sum(n) as n from p group by cs[i], cs[i + 1]
+select cs[i] as "left", cs[i + 1] as "right", cast(sum(n) as bigint) as n from p group by cs[i], cs[i + 1]
 """
 
 
@@ -385,7 +385,7 @@ ctx as (select id, target, split,
   coalesce({py_strip('ls[kk + 1]')}, '') as ctx_next from spk),
 tr as (select * from ctx where split = 'train'),
 c1 as (select ctx_prev, ctx_next, target, count(*) as n from tr group by all),
-pair as (select ctx_prev, ctx_next, arg_min(target, (-n, target)) as prediction, max(n) as votes, sum(n) as support
+pair as (select ctx_prev, ctx_next, arg_min(target, (-n, target)) as prediction, max(n) as votes, cast(sum(n) as bigint) as support
   from c1 group by ctx_prev, ctx_next),
 c2 as (select ctx_prev, target, count(*) as n from tr group by all),
 prev as (select ctx_prev, arg_min(target, (-n, target)) as prediction from c2 group by ctx_prev),
