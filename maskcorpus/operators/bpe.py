@@ -87,9 +87,68 @@ def symbol_table(words: DataFrame, alpha: list[str], first_id: int, word: str =
     return words.where(F.col(word) != "").select(s.alias("s"), F.col(n).cast("long").alias("n"))
 
 
+def _safe_batch(top: list, bounds: dict, budget: int) -> list:
+    """Merges from one pair count that greedy BPE provably takes next, in order.
+
+    ``top`` is the pair table's head, sorted by (count desc, a, b). The first
+    pair is always taken. A later pair ``(c, d)`` is taken while (1) no merge
+    taken before it can break one of its occurrences (merging ``(p, q)`` only
+    breaks ``(x, p)`` and ``(q, y)``, so ``d`` must not be a taken left part and
+    ``c`` not a taken right part; counts of other pairs only fall) and (2) its
+    count is strictly above every count a pair created by those merges can reach. Merging ``(a, b)`` creates ``(x, ab)``
+    at most as often as the triple ``x a b`` occurred and ``(ab, y)`` at most as
+    often as ``a b y``; ``bounds[(a, b)]`` is the largest such triple count.
+    The scan stops at the first pair failing a test, so the merge sequence
+    equals one merge per round.
+    """
+    taken, firsts, seconds, bound = [], set(), set(), -1
+    for a, b, n in top:
+        if len(taken) >= budget:
+            break
+        # merging (p, q) only breaks occurrences of (x, p) and (q, y): a pair whose
+        # right symbol was merged as a left part, or whose left symbol was merged as a right part
+        if taken and (b in firsts or a in seconds or n <= bound):
+            break
+        taken.append((a, b, n))
+        firsts.add(a)
+        seconds.add(b)
+        bound = max(bound, bounds.get((a, b), 0))
+    return taken
+
+
+def _triple_bounds(words: DataFrame, head: list) -> dict:
+    """For each head pair ``(a, b)``: the largest weighted count of a triple ``x a b`` or ``a b y``.
+
+    One aggregation over the word table; the head set (bounded by ``head``) is a literal ``isin``.
+    """
+    keys = [f"{a},{b}" for a, b, _ in head]
+    ids = F.regexp_extract_all(F.col("s"), F.lit(_IDS), 1)
+    k = F.size(ids) - 2
+    z = F.arrays_zip(F.slice(ids, 1, k).alias("x"), F.slice(ids, 2, k).alias("y"), F.slice(ids, 3, k).alias("z"))
+    t = (words.where(F.size(ids) >= 3).select(F.explode(z).alias("t"), "n")
+         .select(F.concat_ws(",", "t.y", "t.z").alias("right_pair"), F.concat_ws(",", "t.x", "t.y").alias("left_pair"),
+                 F.concat_ws(",", "t.x", "t.y", "t.z").alias("tri"), "n"))
+    hits = (t.where(F.col("right_pair").isin(keys)).select(F.col("right_pair").alias("pair"), "tri", "n")
+            .unionByName(t.where(F.col("left_pair").isin(keys)).select(F.col("left_pair").alias("pair"), "tri", "n")))
+    per_tri = hits.groupBy("pair", "tri").agg(F.sum("n").alias("c"))
+    out = {}
+    for r in per_tri.groupBy("pair").agg(F.max("c").alias("m")).collect():
+        a, b = r["pair"].split(",")
+        out[(int(a), int(b))] = r["m"]
+    return out
+
+
 def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = None, word: str = "word",
-              n: str = "n", checkpoint_every: int = 20, max_merges: int | None = None) -> BpeModel:
-    """Greedy merges until the vocabulary holds ``vocab_size`` tokens or no pair is left."""
+              n: str = "n", checkpoint_every: int = 20, max_merges: int | None = None,
+              batch: int = 64, head: int = 512) -> BpeModel:
+    """Greedy merges until the vocabulary holds ``vocab_size`` tokens or no pair is left.
+
+    Exact: the merge sequence equals one merge per round. Each round is one
+    pass over the word table; it may commit up to ``batch`` merges when
+    ``_safe_batch`` proves their order (``batch=1`` gives the plain loop).
+    ``head`` pairs and the per-symbol maxima (both bounded by the vocabulary)
+    are all that reach the driver.
+    """
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
     specials = list(SPECIAL_TOKENS if specials is None else specials)
@@ -101,22 +160,33 @@ def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
     merges: list[tuple[str, str, int]] = []
     rounds, stale = 0, None
     while len(tok_id) < vocab_size and (max_merges is None or len(merges) < max_merges):
-        top = _pairs(cur).orderBy(F.col("n").desc(), "a", "b").limit(1).collect()
+        pairs = _pairs(cur).persist(StorageLevel.MEMORY_AND_DISK)
+        top = [(r["a"], r["b"], r["n"]) for r in pairs.orderBy(F.col("n").desc(), "a", "b").limit(head).collect()]
         if stale is not None:  # ``cur`` is materialised now; its parent's cache can go
             stale.unpersist()
             stale = None
-        if not top or top[0]["n"] < 1:
+        if not top or top[0][2] < 1:
+            pairs.unpersist()
             break
-        a, b, cnt = top[0]["a"], top[0]["b"], top[0]["n"]
-        left, right = id_tok[a], id_tok[b]
-        new = left + right
-        if new not in tok_id:
-            tok_id[new] = len(id_tok)
-            id_tok[tok_id[new]] = new
-        merges.append((left, right, int(cnt)))
-        pat, rep = f"<{a}><{b}>", f"<{tok_id[new]}>"
-        nxt = cur.select(F.when(F.col("s").contains(pat), F.replace(F.col("s"), F.lit(pat), F.lit(rep)))
-                         .otherwise(F.col("s")).alias("s"), "n")
+        budget = min(batch, vocab_size - len(tok_id))
+        if max_merges is not None:
+            budget = min(budget, max_merges - len(merges))
+        if budget > 1 and len(top) > 1:
+            chosen = _safe_batch(top, _triple_bounds(cur, top[:2 * batch]), budget)
+        else:
+            chosen = top[:1]
+        pairs.unpersist()
+        col = F.col("s")
+        for a, b, cnt in chosen:
+            left, right = id_tok[a], id_tok[b]
+            new = left + right
+            if new not in tok_id:
+                tok_id[new] = len(id_tok)
+                id_tok[tok_id[new]] = new
+            merges.append((left, right, int(cnt)))
+            pat, rep = f"<{a}><{b}>", f"<{tok_id[new]}>"
+            col = F.replace(col, F.lit(pat), F.lit(rep))  # one reference per level: the tree stays linear
+        nxt = cur.select(col.alias("s"), "n")
         rounds += 1
         if rounds % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)  # cuts lineage; reliable storage survives executor loss

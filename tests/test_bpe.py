@@ -35,7 +35,7 @@ def test_pretokenize_matches_library(spark):
 @pytest.fixture(scope="module")
 def trained(spark, corpus):
     docs, texts = corpus
-    model = learn_bpe(word_frequencies(docs, "text"), vocab_size=10**9, max_merges=25, checkpoint_every=10)
+    model = learn_bpe(word_frequencies(docs, "text"), vocab_size=10**9, max_merges=60, checkpoint_every=5)
     tok = Tokenizer(models.BPE(unk_token="<unk>"))
     tok.normalizer = normalizers.NFKC()
     tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
@@ -77,3 +77,14 @@ def test_decode_inverts_encode(spark, trained, corpus):
 
 def test_bpe_checkpoints_in_configured_folder(spark):
     assert spark.sparkContext.getCheckpointDir()
+
+
+def test_safe_batch_rules():
+    from maskcorpus.operators.bpe import _safe_batch
+    top = [(1, 2, 100), (3, 4, 90), (2, 5, 80), (6, 1, 70), (7, 8, 60)]
+    # merging (1,2) can break (x,1) and (2,y): (3,4) is safe, (2,5) may have lost count, so the batch stops
+    assert _safe_batch(top, {(1, 2): 10, (3, 4): 10}, 10) == top[:2]
+    # a new pair may reach 85: (3,4) at 90 is still safe, (2,5) is not reached
+    assert _safe_batch(top, {(1, 2): 85}, 10) == top[:2]
+    assert _safe_batch(top, {(1, 2): 95}, 10) == top[:1]
+    assert _safe_batch(top, {}, 1) == top[:1]
