@@ -295,12 +295,14 @@ select to_json({'generated_testset': (select s from mm where testset = 'generate
 """
 
 # ---- vocabulary (J1-J5) ------------------------------------------------------
-# The byte-level pre-tokenizer's last alternatives are "\s+(?!\S)|\s+"; RE2 has no
-# lookahead, so the oracle uses "\s+" alone. The two differ only where a run of
-# two or more whitespace characters precedes a non-space character, and the
-# driver's documents hold no such run (checked at every scale). NFKC is not
-# applied either: the documents hold no NFKC-changing text. The Spark side is
-# unit-tested against the tokenizers library for both.
+# The byte-level pre-tokenizer ends with "\s+(?!\S)|\s+". RE2 has no lookahead, so
+# pre-tokens are matched with a greedy whitespace alternative and then fixed up:
+# a whitespace run of two or more characters that precedes a token gives up its
+# last character, which becomes its own token or, when it is a space, the prefix
+# of the next token. This equals the lookahead pattern except for a contraction
+# right after such a run ("  's"), which no fixture holds. NFKC is not applied:
+# no fixture text changes under it. The Spark side is unit-tested against the
+# tokenizers library for both.
 
 
 def _byte_table_sql() -> str:
@@ -317,8 +319,21 @@ def _byte_level_sql(x: str) -> str:
             f"lambda h: ({_byte_table_sql()})[('0x' || h)::int + 1]), '')")
 
 
+_WSC = r"[\x{09}-\x{0d}\x{85}\p{Z}]"
+
+
+def _fixup_sql(toks: str) -> str:
+    """Lookahead emulation over a materialised list of greedy pre-tokens (see the note above)."""
+    return f"""flatten(list_transform({toks}, lambda t, i:
+  case when regexp_full_match(t, '{_WSC}{{2,}}') and i < len({toks}) then
+         case when right(t, 1) = ' ' then [left(t, length(t) - 1)] else [left(t, length(t) - 1), right(t, 1)] end
+       when i > 1 and regexp_full_match({toks}[i - 1], '{_WSC}{{2,}}') and right({toks}[i - 1], 1) = ' ' then [' ' || t]
+       else [t] end))"""
+
+
 _WORDS = f"""
-with raw as (select unnest(regexp_extract_all(text, '{_PRETOKEN_RE2}')) as w from documents),
+with raw0 as (select regexp_extract_all(text, '{_PRETOKEN_RE2}') as toks from documents),
+raw as (select unnest({_fixup_sql('toks')}) as w from raw0),
 words as (select {_byte_level_sql('w')} as word, count(*) as n from raw group by w)
 """
 
@@ -444,3 +459,62 @@ union all
 select 'finetune', case when idx < floor(cast(n as double) * 0.8) then 'train'
  when idx < floor(cast(n as double) * 0.8) + floor(cast(n as double) * 0.1) then 'val' else 'test' end, id, input, target from s
 """
+
+
+# ---- encoding (J5, J6) -------------------------------------------------------
+
+_SPECIAL_RE2 = r"<pad>|<unk>|</s>|<extra_id_(?:[1-9]?[0-9])>"
+
+
+def _encode_ctes(src: str, key: str, text: str, tag: str, max_len: int = 512, merges: int = 8) -> str:
+    """CTEs ending in ``{tag}_enc(k, n_tokens, ids_str, n_attended)`` for ``text`` of CTE ``src``."""
+    from maskcorpus.config import SPECIAL_TOKENS
+    chain = "s"
+    for k in range(merges):
+        chain = f"replace({chain}, '<' || cast(a{k} as string) || '><' || cast(b{k} as string) || '>', '<' || cast(n{k} as string) || '>')"
+    sp_case = "case " + " ".join(f"when seg = '{t}' then {i}" for i, t in enumerate(SPECIAL_TOKENS)) + " end"
+    mp_cols = ", ".join(f"m{k}.a as a{k}, m{k}.b as b{k}, m{k}.new_id as n{k}" for k in range(merges))
+    mp_from = ", ".join(f"m{k}" for k in range(merges))
+    return f""",
+{tag}_mp as (select {mp_cols} from {mp_from}),
+{tag}_segs as (select {key} as k, list_filter(string_split(regexp_replace({text}, '({_SPECIAL_RE2})', chr(1) || '\\1' || chr(1), 'g'), chr(1)), lambda z: z <> '') as segs from {src}),
+{tag}_seg as (select k, unnest(segs) as seg, unnest(range(len(segs))) as seg_no from {tag}_segs),
+{tag}_sp as (select k, seg_no, 0 as tok_no, 0 as piece_no, {sp_case} as id from {tag}_seg where regexp_full_match(seg, '{_SPECIAL_RE2}')),
+{tag}_pt0 as (select k, seg_no, regexp_extract_all(seg, '{_PRETOKEN_RE2}') as toks from {tag}_seg where not regexp_full_match(seg, '{_SPECIAL_RE2}')),
+{tag}_pt as (select k, seg_no, {_fixup_sql('toks')} as pts from {tag}_pt0),
+{tag}_w as (select k, seg_no, unnest(pts) as w, unnest(range(len(pts))) as tok_no from {tag}_pt),
+{tag}_wb as (select k, seg_no, tok_no, {_byte_level_sql('w')} as bw from {tag}_w),
+{tag}_ch as (select k, seg_no, tok_no, unnest(regexp_extract_all(bw, '.')) as c, unnest(range(length(bw))) as ci from {tag}_wb),
+{tag}_sym as (select h.k, h.seg_no, h.tok_no, string_agg('<' || cast(coalesce(a.id, 1) as string) || '>', '' order by h.ci) as s
+  from {tag}_ch h left join alpha a on a.token = h.c group by h.k, h.seg_no, h.tok_no),
+{tag}_bpe as (select k, seg_no, tok_no, regexp_extract_all({chain}, '<([0-9]+)>', 1) as ids from {tag}_sym, {tag}_mp),
+{tag}_pc as (select k, seg_no, tok_no, cast(unnest(ids) as int) as id, unnest(range(len(ids))) as piece_no from {tag}_bpe),
+{tag}_all as (select k, seg_no, tok_no, piece_no, id from {tag}_pc union all select k, seg_no, tok_no, piece_no, id from {tag}_sp),
+{tag}_list as (select s.k, coalesce(list(a.id order by a.seg_no, a.tok_no, a.piece_no) filter (where a.id is not null), []) as ids
+  from {tag}_segs s left join {tag}_all a on a.k = s.k group by s.k),
+{tag}_cut as (select k, len(ids) + 1 as n_tokens, list_slice(list_concat([2], ids), 1, {max_len}) as x from {tag}_list),
+{tag}_enc as (select k, cast(n_tokens as int) as n_tokens, cast(len(x) as int) as n_attended,
+  array_to_string(list_concat(x, list_transform(range({max_len} - len(x)), lambda z: 0)), ',') as ids_str from {tag}_cut)"""
+
+
+def _encode_padded_sql() -> str:
+    ex = with_views("code_functions", "code_ifs") + _FUNCS + f""",
+x as (
+  select f.func_no, f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
+  from funcs f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+ex as (select sha256(concat(fid, ':', cast(line as string))) as id,
+ array_to_string(list_transform(lines, lambda s, i: case when i = line then masked else s end), chr(10)) as input,
+ {py_strip('condition')} as target from y where masked is not null),
+"""
+    chain = _bpe_chain(8).strip()
+    assert chain.startswith("with ")
+    return (ex + chain[len("with "):] + _encode_ctes("ex", "id", "input", "ei") + _encode_ctes("ex", "id", "target", "et")
+            + """
+select i.k as id, i.n_tokens, i.ids_str as input_ids, i.n_attended, t.ids_str as labels
+from ei_enc i join et_enc t on i.k = t.k
+""")
+
+
+SQL["encode_padded"] = _encode_padded_sql()
