@@ -151,3 +151,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             table(spark, sf_dir, d).createOrReplaceTempView(d)
         return spark.sql(sql)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...]) -> DataFrame:
+    """A text table for CPU-heavy per-row work: only ``columns``, spread over all cores
+    when its row groups give fewer partitions than the cluster has (see ``spread_rows``)."""
+    from maskcorpus.session import spread_rows
+    return spread_rows(table(spark, sf_dir, name).select(*columns))

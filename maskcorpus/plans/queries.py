@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from maskcorpus.functions.text import example_id, function_id, line_count, py_split
 from maskcorpus.operators import mask, ordering
-from maskcorpus.plans.fixtures import table
+from maskcorpus.plans.fixtures import table, text_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,7 +65,7 @@ def line_stats(spark, sf):
 
 @register("token_split")
 def token_split(spark, sf):
-    t = table(spark, sf, "documents").select("doc_id", py_split("text").alias("tokens"))
+    t = document_tokens(spark, sf)
     return t.select("doc_id", F.size("tokens").alias("n_tokens"),
                     F.sha2(F.array_join("tokens", " "), 256).alias("tokens_sha"),
                     F.get("tokens", 0).alias("first_token"),
@@ -75,7 +75,7 @@ def token_split(spark, sf):
 @register("min_token_filter")
 def min_token_filter(spark, sf):
     from maskcorpus.operators.corrupt import min_tokens
-    t = table(spark, sf, "documents").select("doc_id", py_split("text").alias("tokens"))
+    t = document_tokens(spark, sf)
     return min_tokens(t, "tokens", 10).select("doc_id", F.size("tokens").alias("n_tokens"))
 
 
@@ -110,7 +110,7 @@ def split_hash(spark, sf):
 
 
 def document_tokens(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", py_split("text").alias("tokens"))
+    return text_table(spark, sf, "documents", ("doc_id", "text")).select("doc_id", py_split("text").alias("tokens"))
 
 
 @register("sample_positions")
@@ -282,7 +282,7 @@ BPE_MERGES = 8
 
 def _words(spark, sf):
     from maskcorpus.operators.bpe import word_frequencies as wf
-    return wf(table(spark, sf, "documents"), "text")
+    return wf(text_table(spark, sf, "documents", ("text",)), "text")
 
 
 def _model(spark, sf):

@@ -90,3 +90,19 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(out)
     _SHIPPED.add(key)
+
+
+def spread_rows(df, min_partitions: int | None = None):
+    """Round-robin rows over at least ``min_partitions`` tasks when the input has fewer partitions.
+
+    A Parquet row group is never split, so a few large row groups leave most
+    cores idle for CPU-heavy per-row work (tokenising, sampling, parsing). On a
+    large input the scan already has more partitions than cores and this is a
+    no-op; otherwise it costs one shuffle of the rows. Round-robin
+    repartitioning sorts rows first, so a retried task gets the same rows.
+    """
+    sc = df.sparkSession.sparkContext
+    target = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
