@@ -66,11 +66,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _SHIPPED: set[int] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
+def ship_package(spark: SparkSession, zip_dir: str | None = None) -> None:
     """Make ``maskcorpus`` importable in executor Python workers (once per context).
 
-    Zips the package's sources and registers the zip with ``addPyFile``; Spark
-    distributes it to every executor, so kernels and UDFs resolve on any cluster.
+    Zips the package's sources and registers the zip with ``addPyFile``, which
+    distributes it to every executor. The zip goes to ``zip_dir`` (or the
+    ``MASKCORPUS_PKG_DIR`` setting) when given; a private temporary folder is
+    used only in local mode. On a cluster with neither, the package is expected
+    on the executors already (``spark-submit --py-files maskcorpus.zip``).
     """
     import zipfile
 
@@ -79,9 +82,16 @@ def ship_package(spark: SparkSession) -> None:
     key = id(sc._jsc)
     if key in _SHIPPED:
         return
+    zip_dir = zip_dir or os.environ.get("MASKCORPUS_PKG_DIR")
+    if zip_dir is None:
+        if not sc.master.startswith("local"):
+            _SHIPPED.add(key)
+            return
+        zip_dir = tempfile.mkdtemp(prefix="maskcorpus-pkg-")
     pkg = os.path.dirname(os.path.abspath(maskcorpus.__file__))
     root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="maskcorpus-pkg-"), "maskcorpus.zip")
+    os.makedirs(zip_dir, exist_ok=True)
+    out = os.path.join(zip_dir, "maskcorpus.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for d, _, files in os.walk(pkg):
             for f in files:
