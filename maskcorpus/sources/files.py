@@ -59,9 +59,13 @@ def read_benchmark(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_results(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``input,target,prediction,correct`` CSV with header; quotes and newlines round-trip."""
-    (df.select(*[f.name for f in RESULT.fields]).write.mode(mode)
-       .option("header", "true").option("escape", '"').option("quoteAll", "false").csv(path))
+    """``input,target,prediction,correct`` CSV with header; quotes and newlines round-trip.
+
+    ``correct`` is written ``True``/``False`` as the reference's pandas writer prints it.
+    """
+    out = df.select("input", "target", "prediction",
+                    F.when(F.col("correct"), "True").when(~F.col("correct"), "False").alias("correct"))
+    (out.write.mode(mode).option("header", "true").option("escape", '"').option("quoteAll", "false").csv(path))
 
 
 def metrics_to_json(metrics: DataFrame) -> DataFrame:
