@@ -118,3 +118,31 @@ def extract_ifs(texts: DataFrame, key: Sequence[str] = ("item_id",), code: str =
 def filter_length(functions: DataFrame, lo: int = 5, hi: int = 500, lines: str = "lines") -> DataFrame:
     """Keep functions of ``lo``..``hi`` lines (a documented quality filter; off by default in the pipeline)."""
     return functions.where(F.col(lines).between(lo, hi))
+
+
+def assign_ids(functions: DataFrame, order: Sequence[str], code: str = "code") -> DataFrame:
+    """E1 over C5: ``id = sha256(f"{i}:{code[:100]}")`` with ``i`` the 0-based position in ``order``
+    (the collection order; equal code at two positions gets two ids, Q9)."""
+    from maskcorpus.functions.text import function_id
+    from maskcorpus.operators.ordering import global_index
+    idx, _ = global_index(functions, list(order), "_i")
+    return idx.withColumn("id", function_id("_i", code)).drop("_i")
+
+
+def functions_from_archives(spark, path: str, repos: DataFrame | None = None, glob: str = "*.zip") -> DataFrame:
+    """Archives -> members -> functions with ids, in collection order.
+
+    ``repos`` (optional) maps each archive ``path`` to its ``repo_rank``; the
+    order is then (repo_rank, member order, function order), as the reference
+    collects them; without it the archive path stands in for the rank.
+    Output follows the functions table: ``id, code, if_statements, num_ifs, lines`` (+ order keys).
+    """
+    from maskcorpus.sources.archives import read_archives
+    members = read_archives(spark, path, glob).where(F.col("status") == "ok")
+    funcs = extract_functions(members, ("path", "member", "member_ord"))
+    if repos is not None:
+        funcs = funcs.join(repos.select("path", "repo_rank"), "path")
+        order = ["repo_rank", "member_ord", "fn_ord"]
+    else:
+        order = ["path", "member_ord", "fn_ord"]
+    return assign_ids(funcs, order)

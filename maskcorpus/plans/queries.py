@@ -38,8 +38,8 @@ def functions_with_ifs(spark: SparkSession, sf: str) -> DataFrame:
 
 def functions_with_ids(spark: SparkSession, sf: str) -> DataFrame:
     """E1 over C5: ``id = sha256(i:code[:100])``, ``i`` = position in collection order."""
-    indexed, _ = ordering.global_index(functions_with_ifs(spark, sf), ["func_no"], "i")
-    return indexed.withColumn("id", function_id("i", "code")).drop("i")
+    from maskcorpus.operators.extract import assign_ids
+    return assign_ids(functions_with_ifs(spark, sf), ["func_no"])
 
 
 @register("function_ids")

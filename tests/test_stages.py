@@ -35,6 +35,14 @@ def test_archives_to_functions(spark, tmp_dir):
     assert st == [(None, "bad_archive"), ("r1/a.py", "ok"), ("r1/b.py", "ok"), ("r2/c.py", "ok")]
     funcs = extract_functions(members.where(F.col("status") == "ok"), ("path", "member"))
     assert sorted(r["code"].split("(")[0] for r in funcs.collect()) == ["def f", "def g"]
+    import hashlib
+
+    from maskcorpus.operators.extract import functions_from_archives
+    repos = spark.createDataFrame([(f"file:{tmp_dir}/r1.zip", 2), (f"file:{tmp_dir}/r2.zip", 1)], "path string, repo_rank long")
+    with_ids = functions_from_archives(spark, tmp_dir, repos).orderBy("repo_rank", "member_ord", "fn_ord").collect()
+    assert [r["member"] for r in with_ids] == ["r1/a.py", "r1/b.py"]
+    assert [r["id"] for r in with_ids] == [hashlib.sha256(f"{i}:{r['code'][:100]}".encode()).hexdigest()
+                                           for i, r in enumerate(with_ids)]
 
 
 def test_functions_jsonl_round_trip_and_length_filter(spark, tmp_dir):
