@@ -285,9 +285,16 @@ def _words(spark, sf):
     return wf(text_table(spark, sf, "documents", ("text",)), "text")
 
 
+_MODELS: dict = {}
+
+
 def _model(spark, sf):
+    """The learned model (driver-side lists bounded by the merge count), once per application and input."""
     from maskcorpus.operators.bpe import learn_bpe
-    return learn_bpe(_words(spark, sf), vocab_size=10**9, max_merges=BPE_MERGES)
+    key = (spark.sparkContext.applicationId, sf, BPE_MERGES)
+    if key not in _MODELS:
+        _MODELS[key] = learn_bpe(_words(spark, sf), vocab_size=10**9, max_merges=BPE_MERGES)
+    return _MODELS[key]
 
 
 @register("word_frequencies")
