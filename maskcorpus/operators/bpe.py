@@ -116,26 +116,28 @@ def _safe_batch(top: list, bounds: dict, budget: int) -> list:
     return taken
 
 
+_KEY = 1 << 21  # symbol ids stay below this: (left, right) packs into one long
+
+
 def _triple_bounds(words: DataFrame, head: list) -> dict:
     """For each head pair ``(a, b)``: the largest weighted count of a triple ``x a b`` or ``a b y``.
 
-    One aggregation over the word table; the head set (bounded by ``head``) is a literal ``isin``.
+    One aggregation over the word table; the head set (bounded by ``head``) is a
+    literal ``isin`` over packed integer pair keys.
     """
-    keys = [f"{a},{b}" for a, b, _ in head]
+    keys = [a * _KEY + b for a, b, _ in head]
     ids = F.regexp_extract_all(F.col("s"), F.lit(_IDS), 1)
     k = F.size(ids) - 2
     z = F.arrays_zip(F.slice(ids, 1, k).alias("x"), F.slice(ids, 2, k).alias("y"), F.slice(ids, 3, k).alias("z"))
     t = (words.where(F.size(ids) >= 3).select(F.explode(z).alias("t"), "n")
-         .select(F.concat_ws(",", "t.y", "t.z").alias("right_pair"), F.concat_ws(",", "t.x", "t.y").alias("left_pair"),
-                 F.concat_ws(",", "t.x", "t.y", "t.z").alias("tri"), "n"))
-    hits = (t.where(F.col("right_pair").isin(keys)).select(F.col("right_pair").alias("pair"), "tri", "n")
-            .unionByName(t.where(F.col("left_pair").isin(keys)).select(F.col("left_pair").alias("pair"), "tri", "n")))
-    per_tri = hits.groupBy("pair", "tri").agg(F.sum("n").alias("c"))
-    out = {}
-    for r in per_tri.groupBy("pair").agg(F.max("c").alias("m")).collect():
-        a, b = r["pair"].split(",")
-        out[(int(a), int(b))] = r["m"]
-    return out
+         .select(F.col("t.x").cast("long").alias("x"), F.col("t.y").cast("long").alias("y"),
+                 F.col("t.z").cast("long").alias("z"), "n"))
+    right = (F.col("y") * _KEY + F.col("z"))
+    left = (F.col("x") * _KEY + F.col("y"))
+    hits = (t.where(right.isin(keys)).select(right.alias("pair"), "x", "y", "z", "n")
+            .unionByName(t.where(left.isin(keys)).select(left.alias("pair"), "x", "y", "z", "n")))
+    per_tri = hits.groupBy("pair", "x", "y", "z").agg(F.sum("n").alias("c"))
+    return {(p // _KEY, p % _KEY): m for p, m in per_tri.groupBy("pair").agg(F.max("c")).collect()}
 
 
 def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = None, word: str = "word",
