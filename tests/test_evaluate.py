@@ -66,3 +66,32 @@ def test_predict_batch_runs_user_model_per_task(spark):
     ex = spark.createDataFrame([("a", "if <extra_id_0>:"), ("b", "other")], "id string, input string")
     got = {r["id"]: r["prediction"] for r in predict_batch(ex, make).collect()}
     assert got == {"a": "x", "b": "none"}
+
+
+def test_fill_model_with_a_hot_context(spark):
+    """One context holds a third of all rows: the mode comes from map-side-combined counts, no window."""
+    from maskcorpus.operators.predict import fit_fill_counts, predict_fill_counts
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        prev = "def f(x):" if hot else f"def g{i % 50}(y):"
+        tgt = ("x" if i % 2 else "y") if hot else f"t{i % 7}"
+        rows.append((f"e{i}", f"{prev}\n    if <extra_id_0>:\n        pass", tgt))
+    rows += [("extra", "def f(x):\n    if <extra_id_0>:\n        pass", "x")]
+    ex = spark.createDataFrame(rows, "id string, input string, target string")
+    model = fit_fill_counts(ex)
+    plan = model["pair"]._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
+    hot = model["pair"].where("ctx_prev = 'def f(x):'").first()
+    assert (hot["prediction"], hot["support"], hot["votes"]) == ("x", 1001, 501)
+    pred = predict_fill_counts(spark.createDataFrame([("q", "def f(x):\n    if <extra_id_0>:\n        pass")],
+                                                     "id string, input string"), model).first()
+    assert (pred["prediction"], pred["level"]) == ("x", "pair")
+
+
+def test_hash_split_by_function_keeps_examples_together(spark):
+    from maskcorpus.operators.ordering import split_hash
+    ex = spark.range(0, 3000).select((F.col("id") % 400).cast("string").alias("func_id"), F.col("id").alias("line"))
+    out = split_hash(ex, "func_id")
+    per_func = out.groupBy("func_id").agg(F.countDistinct("split").alias("k"))
+    assert per_func.where("k > 1").count() == 0  # no function in two splits (the Q17 leak is gone)
