@@ -48,14 +48,94 @@ def _members(batches, suffix: str = SOURCE_SUFFIX):
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
-                  num_partitions: int | None = None) -> DataFrame:
-    """Every ``suffix`` member of every archive under ``path``: ``path, member, member_ord, code, status``."""
+                  num_partitions: int | None = None, split_members: bool = True) -> DataFrame:
+    """Every ``suffix`` member of every archive under ``path``: ``path, member, member_ord, code, status``.
+
+    ``split_members`` (default): members of one archive are read by many tasks
+    (see ``read_archives_split``). Otherwise each archive is read whole by one task.
+    """
+    if split_members:
+        return read_archives_split(spark, path, glob, suffix, num_partitions)
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
     out = raw.mapInPandas(lambda it: _members(it, suffix), MEMBER)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     return out.repartition(n)
 
 
+LISTING = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("member", T.StringType()),
+    T.StructField("member_ord", T.IntegerType()), T.StructField("size", T.LongType()),
+    T.StructField("status", T.StringType()),
+])
+
+
+def _open(path: str):
+    """Random-access handle for a Spark file path (local, HDFS, S3... as pyarrow supports)."""
+    from pyarrow import fs
+    filesystem, p = fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
+    return filesystem.open_input_file(p)
+
+
+def _list_members(batches, suffix: str):
+    import zipfile
+
+    import pandas as pd
+    for pdf in batches:
+        rows = []
+        for path in pdf["path"]:
+            try:
+                with _open(path) as fh, zipfile.ZipFile(fh) as z:  # reads the central directory only
+                    for i, info in enumerate(z.infolist()):
+                        if info.filename.endswith(suffix):
+                            rows.append((path, info.filename, i, int(info.compress_size), "ok"))
+            except Exception:  # noqa: BLE001 - bad archive: report, continue
+                rows.append((path, None, -1, 0, "bad_archive"))
+        yield pd.DataFrame(rows, columns=[f.name for f in LISTING.fields])
+
+
+def _read_members(batches):
+    import zipfile
+
+    import pandas as pd
+    for pdf in batches:
+        rows = []
+        for path, grp in pdf.groupby("path", sort=False):
+            try:
+                with _open(path) as fh, zipfile.ZipFile(fh) as z:  # one open per archive per batch
+                    infos = z.infolist()
+                    for member, ordinal in zip(grp["member"], grp["member_ord"]):
+                        try:
+                            with z.open(infos[int(ordinal)]) as m:
+                                code = m.read().decode("utf-8", errors="ignore")
+                            rows.append((path, member, int(ordinal), code, "ok"))
+                        except Exception:  # noqa: BLE001 - bad member: report, continue
+                            rows.append((path, member, int(ordinal), None, "bad_member"))
+            except Exception:  # noqa: BLE001
+                rows += [(path, m, int(o), None, "bad_archive") for m, o in zip(grp["member"], grp["member_ord"])]
+        yield pd.DataFrame(rows, columns=[f.name for f in MEMBER.fields])
+
+
+def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
+                        num_partitions: int | None = None) -> DataFrame:
+    """Archives read member by member, so one huge repository is decompressed by many tasks.
+
+    1. list archive paths (``binaryFile`` with the content column pruned: no bytes read);
+    2. list each archive's members from its central directory (a small read);
+    3. hash-spread the member list by ``(path, member_ord)``: a hot archive's
+       members land on every task;
+    4. each task opens its archives with random access and reads only its members.
+    Every member is read once; nothing but the member list moves between stages.
+    """
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    paths = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
+    listing = paths.mapInPandas(lambda it: _list_members(it, suffix), LISTING)
+    bad = listing.where(F.col("status") != "ok").select(
+        "path", "member", "member_ord", F.lit(None).cast("string").alias("code"), "status")
+    todo = listing.where(F.col("status") == "ok").select("path", "member", "member_ord")
+    todo = todo.repartition(n, "path", "member_ord").sortWithinPartitions("path", "member_ord")
+    return todo.mapInPandas(_read_members, MEMBER).unionByName(bad)
+
+
 def filter_members(df: DataFrame, suffix: str = SOURCE_SUFFIX, col: str = "member") -> DataFrame:
     """Keep members by name suffix."""
     return df.where(F.col(col).endswith(suffix))

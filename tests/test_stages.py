@@ -106,3 +106,15 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     write_vocab(out["vocab"], out["merges"], os.path.join(tmp_dir, "tok"))
     model = read_vocab(spark, os.path.join(tmp_dir, "tok"))
     assert len(model.tokens()) == out["vocab"].count()
+
+
+def test_split_reader_spreads_one_hot_archive(spark, tmp_dir):
+    members = {f"big/m{i:03d}.py": f"def f{i}(x):\n    if x > {i}:\n        return {i}\n" for i in range(120)}
+    members["big/notes.txt"] = "skip me"
+    _zip(os.path.join(tmp_dir, "big.zip"), members)
+    _zip(os.path.join(tmp_dir, "small.zip"), {"s/a.py": CODE})
+    split = read_archives(spark, tmp_dir, num_partitions=8)
+    whole = read_archives(spark, tmp_dir, split_members=False)
+    assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    tasks = split.where(F.col("path").endswith("big.zip")).groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 1  # the hot archive's members were read by several tasks
