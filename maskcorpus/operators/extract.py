@@ -35,10 +35,11 @@ def spread(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
 
 
 def extract_all(files: DataFrame, key: Sequence[str] = ("file_no",), code: str = "code",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, spread_files: bool = True) -> DataFrame:
     """D1 + D2: every function of every file, with status rows for files that fail to parse.
 
     Output: ``key..., fn_ord, code, if_statements, num_ifs, lines, status``.
+    ``spread_files=False`` when the input is already spread (e.g. the split archive reader).
     """
     key = list(key)
     schema = T.StructType(_key_fields(files, key) + [
@@ -67,7 +68,8 @@ def extract_all(files: DataFrame, key: Sequence[str] = ("file_no",), code: str =
                     rows.append(ks + [i, f["code"], f["conditions"], f["if_lines"], f["depths"], "ok"])
             yield pd.DataFrame(rows, columns=cols)
 
-    src = spread(files.select(*key, code), num_partitions)
+    src = files.select(*key, code)
+    src = spread(src, num_partitions) if spread_files else src
     out = src.mapInPandas(kernel, schema)
     return out.select(*key, "fn_ord", "code", _to_structs("conds", "if_lines", "depths").alias("if_statements"),
                       F.size("conds").alias("num_ifs"),
@@ -75,9 +77,9 @@ def extract_all(files: DataFrame, key: Sequence[str] = ("file_no",), code: str =
 
 
 def extract_functions(files: DataFrame, key: Sequence[str] = ("file_no",), code: str = "code",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, spread_files: bool = True) -> DataFrame:
     """Functions that parsed and hold at least one ``if`` (the reference keeps only those)."""
-    out = extract_all(files, key, code, num_partitions)
+    out = extract_all(files, key, code, num_partitions, spread_files)
     return out.where((F.col("status") == "ok") & (F.col("num_ifs") > 0)).drop("status")
 
 
@@ -138,8 +140,8 @@ def functions_from_archives(spark, path: str, repos: DataFrame | None = None, gl
     Output follows the functions table: ``id, code, if_statements, num_ifs, lines`` (+ order keys).
     """
     from maskcorpus.sources.archives import read_archives
-    members = read_archives(spark, path, glob).where(F.col("status") == "ok")
-    funcs = extract_functions(members, ("path", "member", "member_ord"))
+    members = read_archives(spark, path, glob).where(F.col("status") == "ok")  # already spread by member
+    funcs = extract_functions(members, ("path", "member", "member_ord"), spread_files=False)
     if repos is not None:
         funcs = funcs.join(repos.select("path", "repo_rank"), "path")
         order = ["repo_rank", "member_ord", "fn_ord"]
