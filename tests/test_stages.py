@@ -118,3 +118,24 @@ def test_split_reader_spreads_one_hot_archive(spark, tmp_dir):
     assert sorted(map(tuple, split.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
     tasks = split.where(F.col("path").endswith("big.zip")).groupBy(F.spark_partition_id()).count().count()
     assert tasks > 1  # the hot archive's members were read by several tasks
+
+
+def test_examples_and_metrics_files(spark, tmp_dir):
+    import json as _json
+
+    from maskcorpus.operators.evaluate import assemble_metrics
+    from maskcorpus.sources.files import read_examples, write_examples, write_metrics
+    ex = spark.createDataFrame([("a", "in1", "t1", "train"), ("b", "in\n2", 't"2', "test"), (None, "p", "q", "pretrain")],
+                               "id string, input string, target string, split string")
+    path = os.path.join(tmp_dir, "examples")
+    write_examples(ex, path, fmt="json")
+    assert sorted(f for f in os.listdir(path) if not f.startswith(".")) == ["_SUCCESS", "split=pretrain", "split=test", "split=train"]
+    back = read_examples(spark, os.path.join(path, "split=test"))
+    assert [tuple(r) for r in back.collect()] == [("b", "in\n2", 't"2')]
+    gen = spark.createDataFrame([(1.0, 2, 2)], "accuracy double, exact_match long, total long")
+    mpath = os.path.join(tmp_dir, "metrics")
+    write_metrics(assemble_metrics(gen, None), mpath)
+    txt = [f for f in os.listdir(mpath) if f.startswith("part-")]
+    with open(os.path.join(mpath, txt[0])) as fh:
+        assert _json.loads(fh.read()) == {"generated_testset": {"accuracy": 1.0, "exact_match": 2, "total": 2},
+                                          "provided_testset": None}
