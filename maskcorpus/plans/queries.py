@@ -30,7 +30,7 @@ def functions_with_ifs(spark: SparkSession, sf: str) -> DataFrame:
     """``func_no, code, if_statements`` for functions with at least one if (reference schema order)."""
     ifs = (table(spark, sf, "code_ifs")
            .groupBy("func_no")
-           .agg(F.array_sort(F.collect_list(F.struct("line", "depth", "condition"))).alias("s")))
+           .agg(F.sort_array(F.collect_list(F.struct("line", "depth", "condition"))).alias("s")))
     ifs = ifs.select("func_no", F.transform("s", lambda x: F.struct(
         x["condition"].alias("condition"), x["line"].alias("line"), x["depth"].alias("depth"))).alias("if_statements"))
     return table(spark, sf, "code_functions").join(ifs, "func_no")

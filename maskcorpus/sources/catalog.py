@@ -47,5 +47,5 @@ def to_pages(repos: DataFrame, page_size: int = 100, key: str = "repo_key") -> D
                     F.struct(F.col("owner").alias("login")).alias("owner"),
                     F.when(F.col("license").isNotNull(), F.struct(F.col("license").alias("spdx_id"))).alias("license"))
     p = repos.withColumn("page", F.floor(F.col(key) / page_size).cast("long"))
-    return p.groupBy("page").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), item.alias("it")))),
+    return p.groupBy("page").agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(key).alias("k"), item.alias("it")))),
                                              lambda x: x["it"]).alias("items"))
