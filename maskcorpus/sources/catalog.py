@@ -27,9 +27,10 @@ def read_repo_catalog(spark: SparkSession, path: str) -> DataFrame:
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """Explode ``items`` and lift the nested fields; ``item_ord`` keeps the API order in a page."""
+    """Explode ``items`` and lift the nested fields; ``item_ord``/``repo_key`` keep the API order."""
     e = pages.select("page", F.posexplode("items").alias("item_ord", "it"))
-    return e.select("page", "item_ord",
+    # repo_key: the API's own order (page, position), the tie-break the reference implicitly uses
+    return e.select("page", "item_ord", (F.col("page") * 1_000_000 + F.col("item_ord")).alias("repo_key"),
                     F.col("it.owner.login").alias("owner"), F.col("it.name").alias("repo"),
                     F.col("it.html_url").alias("html_url"), F.col("it.language").alias("language"),
                     F.col("it.stargazers_count").alias("stars"), F.col("it.fork").alias("fork"),

@@ -27,7 +27,7 @@ def test_read_filter_project_rank(spark, tmp_dir):
     for i, p in enumerate(pages):
         with open(os.path.join(tmp_dir, f"p{i}.json"), "w") as fh:
             json.dump(p, fh)
-    df = read_repo_catalog(spark, tmp_dir).withColumnRenamed("item_ord", "repo_key")
+    df = read_repo_catalog(spark, tmp_dir)
     kept = catalog.project_repos(catalog.filter_license(catalog.filter_catalog(df)))
     ranked = catalog.top_repos(kept, k=10).orderBy("repo_rank").collect()
     assert [(r["repo"], r["default_branch"]) for r in ranked] == [("e", "main"), ("a", "dev")]
