@@ -54,6 +54,7 @@ def _pick(n, k, seed):
     Only two numbers per row cross into Python; numpy does the per-token work.
     """
     import numpy as np
+    import pandas as pd
 
     def one(nn, kk, ss):
         if nn <= 0:
@@ -61,12 +62,7 @@ def _pick(n, k, seed):
         h = mix32_np(np.arange(nn, dtype=np.uint64) ^ np.uint64(ss))
         sel = np.argpartition(h, kk - 1)[:kk] if kk < nn else np.arange(nn)
         return np.sort(sel).astype(np.int32)
-    return pd_series([one(int(a), int(b), int(c)) for a, b, c in zip(n, k, seed)])
-
-
-def pd_series(values):
-    import pandas as pd
-    return pd.Series(values)
+    return pd.Series([one(int(a), int(b), int(c)) for a, b, c in zip(n, k, seed)])
 
 
 def sample_positions(df: DataFrame, tokens: str = "tokens", key: str = "id", seed: int = 42,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskcorpus.config import EOS_TOKEN, N_SENTINELS, PAD_TOKEN, SPECIAL_TOKENS, UNK_TOKEN
+from maskcorpus.config import EOS_TOKEN, PAD_TOKEN, SPECIAL_TOKENS, UNK_TOKEN
 from maskcorpus.functions.bytelevel import byte_level, byte_to_char, needs_nfkc, pretokenize
 from maskcorpus.operators.bpe import BpeModel
 
@@ -184,8 +184,6 @@ def decode(df: DataFrame, ids: str, model: BpeModel, out: str = "text", raw_join
     return df.withColumn(out, py_strip(text))
 
 
-assert N_SENTINELS == 100
-
 
 def encode_words(words: DataFrame, model: BpeModel, word: str = "word", out: str = "ids") -> DataFrame:
     """K2: the word -> ids dictionary for distinct byte-level words."""

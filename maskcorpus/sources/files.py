@@ -5,7 +5,7 @@ reference's file formats where a user needs them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,9 +79,6 @@ def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> Non
     metrics_to_json(metrics).coalesce(1).write.mode(mode).text(path)
 
 
-def json_col(col: str) -> Column:
-    return F.to_json(F.col(col))
-
 
 def write_vocab(vocab: DataFrame, merges: DataFrame, path: str, mode: str = "overwrite") -> None:
     """The learned vocabulary as two Parquet tables (``vocab``, ``merges``)."""
@@ -97,8 +94,6 @@ def read_vocab(spark: SparkSession, path: str):
     merges = spark.read.parquet(f"{path.rstrip('/')}/merges")
     toks = [r["token"] for r in vocab.orderBy("id").collect()]
     ms = [(r["left"], r["right"], r["pair_count"]) for r in merges.orderBy("rank").collect()]
-    merged = {a + b for a, b, _ in ms}
     n_sp = len(SPECIAL_TOKENS)
-    alpha = [t for t in toks[n_sp:] if t not in merged or len(t) == 1]
-    alpha = alpha[:len(toks) - n_sp - len(merged)]
+    alpha = [t for t in toks[n_sp:] if len(t) == 1]  # merged tokens always have two or more characters
     return BpeModel(toks[:n_sp], alpha, ms)

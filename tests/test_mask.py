@@ -1,7 +1,5 @@
 """Condition masking rules."""
 
-from pyspark.sql import functions as F
-
 from maskcorpus.operators import mask
 
 CASES = [
