@@ -105,7 +105,8 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     assert m["total"] == out["results"].count() and 0.0 <= m["accuracy"] <= 1.0
     write_vocab(out["vocab"], out["merges"], os.path.join(tmp_dir, "tok"))
     model = read_vocab(spark, os.path.join(tmp_dir, "tok"))
-    assert len(model.tokens()) == out["vocab"].count()
+    assert model.tokens() == [r["token"] for r in out["vocab"].orderBy("id").collect()]
+    assert [(a, b) for a, b, _ in model.merges] == [(r["left"], r["right"]) for r in out["merges"].orderBy("rank").collect()]
 
 
 def test_split_reader_spreads_one_hot_archive(spark, tmp_dir):
