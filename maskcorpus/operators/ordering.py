@@ -53,7 +53,9 @@ def global_index(df: DataFrame, order: Sequence, name: str = "idx",
         total += counts.get(p, 0)
     if not offsets:
         return numbered.drop("_pid", "_mid").withColumn(name, F.lit(0).cast("long")), 0
-    off = F.element_at(F.array(*[F.lit(v).cast("long") for v in offsets]), F.col("_pid") + 1)
+    # one literal string, split once by constant folding: the plan stays small with many partitions
+    table = F.split(F.lit(",".join(str(v) for v in offsets)), ",")
+    off = F.element_at(table, F.col("_pid") + 1).cast("long")
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return numbered.withColumn(name, off + local).drop("_pid", "_mid"), total
 

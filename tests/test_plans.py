@@ -39,3 +39,17 @@ def test_scan_reads_only_needed_columns(spark):
     df = E.queries()["mask_after_keyword"](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_global_index_with_many_partitions(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(0, 30000).select((F.col("id") * 13 % 30011).alias("k"))
+        out, n = ordering.global_index(df, ["k"], "i", num_partitions=2000)
+        assert n == 30000
+        assert out.agg(F.min("i"), F.max("i"), F.countDistinct("i")).first() == (0, 29999, 30000)
+        assert out.where(F.col("k") == 0).first()["i"] == 0
+    finally:
+        spark.conf.set(key, old)
