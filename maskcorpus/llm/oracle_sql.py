@@ -1,3 +1,56 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+#: Counts of every document, the base rules, the sketches of the measures, their fences and the verdict.
+OP4 = r"""
+with d as (
+  select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as l
+  from documents),
+windows as (
+  select rid, i, count(*) over (partition by rid, list_slice(w, i, i + 7)) as found
+  from (select rid, w, unnest(range(1, len(w) - 6)) as i from d)),
+covered as (
+  select rid, sum(gap)::bigint as n
+  from (select rid, least(8, coalesce(lead(i) over (partition by rid order by i) - i, 8)) as gap
+        from windows where found > 1) group by rid),
+s as (
+  select d.rid, doc_id, lang, source, len(w)::bigint as n_words,
+         length(coalesce(array_to_string(w, ''), ''))::bigint as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         (len(l) - len(list_distinct(l)))::bigint as n_dup_lines,
+         coalesce(c.n, 0)::bigint as n_repeat_words
+  from d left join covered c using (rid)),
+b as (select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_failed,
+             word_chars * 1000 // greatest(n_words, 1) as m1, n_symbols * 1000 // greatest(n_words, 1) as m2,
+             n_dup_lines * 1000 // greatest(n_words, 1) as m3, n_repeat_words * 1000 // greatest(n_words, 1) as m4 from s),
+v as (select lang, source, m, v from (
+        select lang, source, unnest([1, 2, 3, 4]) as m, unnest([m1, m2, m3, m4]) as v from b where not base_failed)),
+k as (select lang, source, m, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) as a from v),
+levels as (
+  select 1 as lev, lang, source, m, a, count(*) as n from k group by all
+  union all select 2, lang, null, m, a, count(*) from k group by all
+  union all select 3, null, null, m, a, count(*) from k group by all),
+ranked as (select *, sum(n) over (partition by lev, lang, source, m) as total,
+                  sum(n) over (partition by lev, lang, source, m order by a) as upto from levels),
+q as (select lev, lang, source, m, max(total) as n, min(case when 4 * upto >= total then a end) as q1,
+             min(case when 4 * upto >= 3 * total then a end) as q3 from ranked group by all),
+f as (select *, 4 * greatest(q3 - q1, [500, 50, 20, 50][m]) as reach from q),
+fences as (select lev, lang, source, max(n) as n, max(case when m = 1 then q1 - reach end) as lo,
+                  max(case when m = 1 then q3 + reach end) as h1, max(case when m = 2 then q3 + reach end) as h2,
+                  max(case when m = 3 then q3 + reach end) as h3, max(case when m = 4 then q3 + reach end) as h4
+           from f group by all),
+picked as (
+  select b.*, case when x.n >= 100 then x when y.n >= 100 then y else z end as g
+  from b
+  left join fences x on x.lev = 1 and x.lang is not distinct from b.lang and x.source is not distinct from b.source
+  left join fences y on y.lev = 2 and y.lang is not distinct from b.lang
+  left join fences z on z.lev = 3)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and coalesce(m1 between g.lo and g.h1 and m2 <= g.h2 and m3 <= g.h3 and m4 <= g.h4, true) as kept
+from picked
+"""
+
+SQL: dict[str, str] = {
+    "op4_quality_rules": OP4,
+}

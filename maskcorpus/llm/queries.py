@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the counts, base_failed and the verdict of the adaptive thresholds."""
+    return quality.judge(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op4_quality_rules": op4_quality_rules,
 }
