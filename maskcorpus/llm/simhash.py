@@ -181,6 +181,7 @@ def group_near_duplicates(prints: DataFrame, radius: int = 2) -> DataFrame:
     named = (classes.join(linked, "fingerprint", "left")
              .select("fingerprint", F.coalesce("component", "fingerprint").alias("root"),
                      F.coalesce("lowest", "first").alias("component_id")))
+    named = staged(named, "named")  # a plain table: the join with a group of very many copies can then be split
     return prints.join(named, "fingerprint").select(*prints.columns, "root", "component_id")
 
 
