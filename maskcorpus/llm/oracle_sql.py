@@ -51,6 +51,46 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from picked
 """
 
+#: Targets by source, copies by size class, Pareto ranks and the cut of each source by a sorted running sum.
+OP5 = r"""
+with d as (
+  select doc_id, source, size, length(bin(size)) as c
+  from (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size from documents)),
+s0 as (select source, sum(size)::bigint as ss from d group by source),
+s1 as (select *, row_number() over (order by source nulls last) as i, sum(ss) over () as total from s0),
+s2 as (select *, [1, 2, 3][(i - 1) % 3 + 1] as w, 3 * ss as cap from s1),
+s3 as (select *, (total - coalesce(sum(cap) over o, 0))::double * w >=
+                 cap::double * (sum(w) over () - coalesce(sum(w) over o, 0)) as is_full
+       from s2 window o as (order by cap / w, cap, i rows between unbounded preceding and 1 preceding)),
+goal as (select source, ss, case when is_full then cap::double else
+           (total - coalesce(sum(case when is_full then cap end) over (), 0))::double * w
+           / sum(case when not is_full then w end) over () end as target from s3),
+c1 as (select d.source, c, sum(size)::bigint as words, any_value(target) as target from d
+       join goal g on g.source is not distinct from d.source group by d.source, c having sum(size) > 0),
+c2 as (select *, words * (1000 + 1000 // (1 + c)) as w, 3 * words as cap from c1),
+c3 as (select *, (target - coalesce(sum(cap) over o, 0))::double * w >=
+                 cap::double * (sum(w) over (partition by source) - coalesce(sum(w) over o, 0)) as is_full
+       from c2 window o as (partition by source order by cap / w, cap, c rows between unbounded preceding and 1 preceding)),
+c4 as (select *, case when is_full then cap::double else
+           (target - coalesce(sum(case when is_full then cap end) over (partition by source), 0))::double * w
+           / sum(case when not is_full then w end) over (partition by source) end as share from c3),
+rate as (select source, c, words, target, floor(least(share / words, 3.0))::bigint as whole,
+                least(share / words, 3.0::double) - floor(least(share / words, 3.0::double)) as p from c4),
+need as (select source, max(target) - sum(whole * words) as need from rate group by source having max(target) - sum(whole * words) > 0),
+u as (select d.*, whole, p, (('0x' || substr(md5('42:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint + 0.5::double) / 4503599627370496 as u
+      from d left join rate r on r.source is not distinct from d.source and r.c = d.c),
+r as (select *, case when p > 0 and size > 0 then floor(1073741824.0::double * (u * (1 - p)) / (u * (1 - p) + p * (1 - u)))::bigint end as rk from u),
+k as (select source, rk, sum(size)::bigint as here from r where rk is not null group by source, rk),
+run as (select k.*, need, sum(here) over (partition by k.source order by rk) as upto
+        from k join need n on n.source is not distinct from k.source),
+cut as (select source, max(rk) filter (upto - here < need and upto - here / 2.0 <= need) as cut from run group by source)
+select r.doc_id, r.size, g.ss as source_size, g.target,
+       (case when r.size > 0 then r.whole + case when r.rk <= x.cut then 1 else 0 end else 0 end * r.size)::bigint as taken
+from r join goal g on g.source is not distinct from r.source
+left join cut x on x.source is not distinct from r.source
+"""
+
 SQL: dict[str, str] = {
     "op4_quality_rules": OP4,
+    "op5_mixing": OP5,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import mixing, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +23,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target and words taken; weights 1, 2, 3 in turn, at most three copies."""
+    return mixing.mix(_read(spark, sf_dir, "documents"), seed=42)
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_mixing": op5_mixing,
 }
