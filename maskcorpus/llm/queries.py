@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, simhash
+from . import mixing, pieces, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +29,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"), seed=42)
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """doc_id, n_tokens and digests of ids and decoded text; ``model`` is the vocabulary's path."""
+    return pieces.digests(_read(spark, sf_dir, "documents"), model or public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
+    "op6_sentencepiece": op6_sentencepiece,
 }
