@@ -1,5 +1,21 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
+#: Turns in order, their digests, and the length that the template and its escapes give.
+OP1 = r"""
+with c as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+  union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, length(regexp_replace(role, '(\\|</?turn>|<text>)', 'x\1', 'g'))
+              + length(regexp_replace(text, '(\\|</?turn>|<text>)', 'x\1', 'g')) + 20 as n from c)
+select conv_id, count(*)::bigint as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(n)::bigint as formatted_chars
+from e group by conv_id
+"""
+
 #: Counts of every document, the base rules, the sketches of the measures, their fences and the verdict.
 OP4 = r"""
 with d as (
@@ -91,6 +107,7 @@ left join cut x on x.source is not distinct from r.source
 """
 
 SQL: dict[str, str] = {
+    "op1_chat_format": OP1,
     "op4_quality_rules": OP4,
     "op5_mixing": OP5,
 }

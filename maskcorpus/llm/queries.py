@@ -6,13 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, quality, simhash
+from . import chat, mixing, pieces, quality, simhash
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Conversation -7: texts that look like the template's own marks.
+PROBE = [(-7, turn, role, "\\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and the probe, formatted and read back: turn and loss digests, sizes."""
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame(PROBE, turns.schema)
+    return chat.read_back(chat.format_conversations(turns.unionAll(probe)))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint as 16 hex digits, component_id; 3-word shingles, 2 bits."""
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words=3, seed=42, radius=2)
@@ -35,6 +46,7 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
