@@ -106,8 +106,21 @@ from r join goal g on g.source is not distinct from r.source
 left join cut x on x.source is not distinct from r.source
 """
 
+#: Base 32 from the hex digest, five bytes at a time; of equal payloads the largest page_id is the response.
+OP7 = r"""
+with p as (select page_id, coalesce(html, '') as t, sha1(coalesce(html, '')) as h from pages),
+f as (select *, max(page_id) over (partition by h) as first from p)
+select page_id, strlen(t)::bigint as payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         (((('0x' || substr(h, ((i // 8) * 10 + 1)::int, 10))::bigint >> (35 - 5 * (i % 8))::int) & 31) + 1)::int, 1)), '') as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to, null::varchar as fault
+from f
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": OP1,
     "op4_quality_rules": OP4,
     "op5_mixing": OP5,
+    "op7_warc": OP7,
 }

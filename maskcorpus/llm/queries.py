@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, quality, simhash
+from . import chat, mixing, pieces, quality, simhash, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,10 +45,18 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str, model: str | None = None
     return pieces.digests(_read(spark, sf_dir, "documents"), model or public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back: payload size and digest, record type, what a revisit refers to."""
+    archives = warc.write_archives(_read(spark, sf_dir, "pages"))
+    return warc.read_archives(archives, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "fault")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_warc": op7_warc,
 }
