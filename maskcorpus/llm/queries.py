@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pieces, quality, simhash, warc
+from . import chat, html_text, mixing, pieces, quality, simhash, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, main text and its length; the tree is trained on the labelled table at the start."""
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the counts, base_failed and the verdict of the adaptive thresholds."""
     return quality.judge(_read(spark, sf_dir, "documents"))
@@ -55,6 +60,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_html_extraction": op3_html_extraction,
     "op4_quality_rules": op4_quality_rules,
     "op5_mixing": op5_mixing,
     "op6_sentencepiece": op6_sentencepiece,
