@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, html_text, mixing, pieces, quality, simhash, warc
+from . import chat, embeddings, html_text, mixing, pieces, quality, simhash, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "fault")
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept; cosine 0.95, four tables of 256 x 256 filters."""
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -65,4 +70,5 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_warc": op7_warc,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
