@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, html_text, mixing, pieces, quality, simhash, warc
+from . import chat, embeddings, html_text, mixing, pieces, quality, simhash, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,21 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+#: (verdict, host and path) of the rules of op8.
+RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, verdict, template and its purity.
+
+    The labelled sample is the rows of ``labels`` whose id is a page's: bad
+    if the quality is 0 or the text toxic.
+    """
+    labels = _read(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), F.expr("cast(quality = 0 or toxic = 1 as int)").alias("bad"))
+    return url_filter.judge(_read(spark, sf_dir, "pages"), labels, RULES)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -70,5 +85,6 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_warc": op7_warc,
+    "op8_url_filters": op8_url_filters,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
