@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, html_text, mixing, pieces, quality, simhash, url_filter, warc
+from . import chat, embeddings, html_text, license_scan, mixing, pieces, quality, simhash, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "fault")
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the best notice, its coverage, and all notices of every document; coverage 0.8."""
+    return license_scan.summary(_read(spark, sf_dir, "documents"), coverage=0.8)
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, n_links, component_id, kept; cosine 0.95, four tables of 256 x 256 filters."""
     return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"), threshold=0.95)
@@ -86,5 +91,6 @@ QUERIES = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_warc": op7_warc,
     "op8_url_filters": op8_url_filters,
+    "op9_license_scan": op9_license_scan,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
