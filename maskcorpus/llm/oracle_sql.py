@@ -51,7 +51,7 @@ ranked as (select *, sum(n) over (partition by lev, lang, source, m) as total,
                   sum(n) over (partition by lev, lang, source, m order by a) as upto from levels),
 q as (select lev, lang, source, m, max(total) as n, min(case when 4 * upto >= total then a end) as q1,
              min(case when 4 * upto >= 3 * total then a end) as q3 from ranked group by all),
-f as (select *, 4 * greatest(q3 - q1, [500, 50, 20, 50][m]) as reach from q),
+f as (select *, 4 * greatest(q3 - q1, [500, 50, 20, 75][m]) as reach from q),
 fences as (select lev, lang, source, max(n) as n, max(case when m = 1 then q1 - reach end) as lo,
                   max(case when m = 1 then q3 + reach end) as h1, max(case when m = 2 then q3 + reach end) as h2,
                   max(case when m = 3 then q3 + reach end) as h3, max(case when m = 4 then q3 + reach end) as h4

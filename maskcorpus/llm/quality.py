@@ -43,7 +43,7 @@ MEASURES = (
     Measure("word_length", "word_chars * 1000 div greatest(n_words, 1L)", 500, low=True),
     Measure("symbol_rate", "n_symbols * 1000 div greatest(n_words, 1L)", 50),
     Measure("dup_line_rate", "n_dup_lines * 1000 div greatest(n_words, 1L)", 20),
-    Measure("repeat_rate", "n_repeat_words * 1000 div greatest(n_words, 1L)", 50),
+    Measure("repeat_rate", "n_repeat_words * 1000 div greatest(n_words, 1L)", 75),
 )
 #: Fences stand this many spreads (interquartile range, or the least spread) outside the quartiles.
 FENCE = 4

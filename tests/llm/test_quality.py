@@ -25,7 +25,7 @@ def slow_kept(rows):
     stats = [slow_stats(t) for _, _, t in rows]
     failed = [s[0] < 20 or 100 * s[4] > 30 * s[0] for s in stats]
     values = [s[0] and [s[1] * 1000 // s[0], s[2] * 1000 // s[0], s[3] * 1000 // s[0], s[4] * 1000 // s[0]] for s in stats]
-    spread = [500, 50, 20, 50]
+    spread = [500, 50, 20, 75]
 
     def fences(group):
         out = []
