@@ -183,7 +183,7 @@ def thresholds(stats: DataFrame) -> DataFrame:
 
 def judged(stats: DataFrame) -> DataFrame:
     """Add ``kept`` to rows of ``with_stats``: false for base failures and for rows outside a fence of their group."""
-    fence = thresholds(stats)
+    fence = staged(thresholds(stats), "thresholds")  # its size is then known before the documents are joined, so they need not move
     limits = fence.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
                           *[F.col(c).alias(f"_{c}") for c in fence.columns[2:]])
     inside = " and ".join([f"{m.sql} <= _{m.name}_max" for m in MEASURES]
