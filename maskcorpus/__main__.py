@@ -15,18 +15,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--archives", required=True, help="folder of repository archives named <owner>__<repo>.zip")
     ap.add_argument("--out", required=True, help="output folder (stage tables, results, metrics.json)")
     ap.add_argument("--benchmark", help="optional benchmark CSV with a code column")
-    ap.add_argument("--max-repos", type=int, default=Params.max_repos)
+    ap.add_argument("--max-repos", type=int, help="most-starred repositories to keep (default: all)")
     ap.add_argument("--vocab-size", type=int, default=Params.vocab_size)
-    ap.add_argument("--pretrain", type=int, default=Params.pretrain_target)
-    ap.add_argument("--finetune", type=int, default=Params.finetune_target)
-    ap.add_argument("--target", type=int, default=Params.total_functions_target)
+    ap.add_argument("--pretrain", type=int, help="functions for pre-training (default: a share of all)")
+    ap.add_argument("--finetune", type=int, help="functions for fine-tuning (default: the others)")
+    ap.add_argument("--target", type=int, help="stop after the repository that reaches so many functions (default: no cut)")
     ap.add_argument("--seed", type=int, default=Params.seed)
     a = ap.parse_args(argv)
 
     from maskcorpus.operators import catalog
-    from maskcorpus.operators.extract import functions_from_archives
+    from maskcorpus.operators.extract import extracted_from_archives, extraction_report, functions_of
     from maskcorpus.operators.stats import functions_per_group
-    from maskcorpus.plans.stages import run_pipeline
+    from maskcorpus.plans.stages import Stages, materialize, run_pipeline
     from maskcorpus.session import build_session
     from maskcorpus.sources.catalog import read_repo_catalog
     from maskcorpus.sources.files import read_benchmark
@@ -38,17 +38,26 @@ def main(argv: list[str] | None = None) -> None:
         read_repo_catalog(spark, a.pages), p.language, p.min_stars), p.licenses)), k=p.max_repos)
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(a.archives).select("path")
     names = archives.withColumn("name", F.regexp_extract("path", r"([^/]+)__([^/]+)\.zip$", 0))
-    ranked = repos.join(names, F.col("name") == F.concat("owner", F.lit("__"), "repo", F.lit(".zip")))
+    st = Stages(a.out)
+    # written once: every later use sees the same ranks
+    ranked = materialize(spark, "ranked", lambda: repos.join(names, F.col("name") == F.concat("owner", F.lit("__"), "repo", F.lit(".zip"))),
+                         st.path("ranked"))
 
     def functions():
-        f = functions_from_archives(spark, a.archives, ranked.select("path", "repo_rank"))
-        # whole repos in rank order while the total before each is below the target (Q11)
-        kept = catalog.take_until(ranked.select("repo_rank"), functions_per_group(f, "repo_rank"),
-                                  p.total_functions_target, key="repo_rank")
-        return f.join(kept.select(F.col("repo_rank")), "repo_rank", "left_semi")
+        found = materialize(spark, "extracted", lambda: extracted_from_archives(spark, a.archives, ranked.select("path", "repo_rank")),
+                            st.path("extracted"))
+        materialize(spark, "extraction_report", lambda: extraction_report(found), st.path("extraction_report")).show()
+        if p.total_functions_target is not None:
+            # whole repos in rank order while the total before each is below the target (Q11)
+            with_ifs = found.where((F.col("status") == "ok") & (F.col("num_ifs") > 0))
+            kept = catalog.take_until(ranked.select("repo_rank"), functions_per_group(with_ifs, "repo_rank"),
+                                      p.total_functions_target, key="repo_rank")
+            found = found.join(kept.select("repo_rank"), "repo_rank", "left_semi")
+        return functions_of(found)
 
     bench = (lambda: read_benchmark(spark, a.benchmark)) if a.benchmark else None
     out = run_pipeline(spark, functions, a.out, p, benchmark=bench)
+    out["left_out"].show()
     out["all_metrics"].show(truncate=False)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values. These must equal the reference pipeline's for equal results.
@@ -24,22 +24,26 @@ SOURCE_SUFFIX = ".py"
 # Python's str.isspace() set as one regex class (same text is valid Java regex and RE2):
 # \t \n \v \f \r, the four information separators, space, NEL and Unicode category Z.
 PY_WHITESPACE_CLASS = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\p{Z}]"
-# Byte-level pre-tokenizer pattern (GPT-2 style, no prefix space).
-BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # ---------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class Params:
-    """Pipeline parameters; defaults are the reference's configuration."""
+    """Pipeline parameters.
 
-    max_repos: int = 1000
+    The four sizes are cuts: None keeps everything (all repositories, all
+    functions, PRETRAIN_SHARE of them for pre-training and the rest for
+    fine-tuning). ``reference_sizes`` has the reference's own cuts.
+    """
+
+    max_repos: int | None = None
     min_stars: int = 10
     language: str = "Python"
     licenses: tuple[str, ...] = tuple(LICENSE_ALLOW)
-    total_functions_target: int = 500_000
-    pretrain_target: int = 350_000
-    finetune_target: int = 150_000
+    total_functions_target: int | None = None
+    pretrain_target: int | None = None
+    finetune_target: int | None = None
+    pretrain_share: float = 0.7
     vocab_size: int = 32_000
     max_length: int = 512
     mask_rate_percent: int = 15
@@ -51,4 +55,9 @@ class Params:
     keywords: tuple[str, ...] = tuple(IF_KEYWORDS)
     terminator: str = IF_TERMINATOR
     mask_token: str = MASK_TOKEN
-    extra: dict = field(default_factory=dict)
+
+
+def reference_sizes(**other) -> Params:
+    """The reference's configuration: its cuts at 1,000 repositories and 500,000 functions (350,000 + 150,000)."""
+    sizes = {"max_repos": 1000, "total_functions_target": 500_000, "pretrain_target": 350_000, "finetune_target": 150_000}
+    return Params(**{**sizes, **other})

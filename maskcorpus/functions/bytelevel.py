@@ -34,9 +34,6 @@ def byte_to_char() -> list[str]:
     return out
 
 
-def char_to_byte() -> dict[str, int]:
-    return {c: b for b, c in enumerate(byte_to_char())}
-
 
 def pretokenize(col) -> Column:
     """Pre-tokens of a (normalised) text, in order."""

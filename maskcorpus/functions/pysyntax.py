@@ -24,6 +24,10 @@ import re
 _LINE = re.compile(r"[^\r\n]*(?:\r\n|\r|\n)?")
 
 
+#: What may stand between the keyword and its condition.
+_LEAD = re.compile(r"\A(?:\\\r?\n|\s)+")
+
+
 class _Source:
     """(lineno, UTF-8 byte column) -> character offset in the text."""
 
@@ -65,7 +69,8 @@ def _condition(src: _Source, node: ast.If) -> str:
             j = len(text) if nl < 0 else nl
         else:
             break
-    return text[start:end].strip()
+    # a line may be continued between the keyword and the condition
+    return _LEAD.sub("", text[start:end]).strip()
 
 
 def _collect(src: _Source, body, depth: int, out: list) -> None:

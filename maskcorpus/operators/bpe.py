@@ -17,7 +17,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from maskcorpus.config import SPECIAL_TOKENS
 from maskcorpus.functions.bytelevel import byte_level, nfkc, pretokenize
@@ -116,7 +115,7 @@ def _safe_batch(top: list, bounds: dict, budget: int) -> list:
     return taken
 
 
-_KEY = 1 << 21  # symbol ids stay below this: (left, right) packs into one long
+_KEY = 1 << 31  # ids are 32-bit integers: (left, right) packs into one long
 
 
 def _triple_bounds(words: DataFrame, head: list) -> dict:
@@ -212,6 +211,3 @@ def pair_counts(words: DataFrame, word: str = "word", n: str = "n") -> DataFrame
     return (words.where(F.length(word) >= 2).select(F.explode(z).alias("p"), n)
             .groupBy(F.col("p.l").alias("left"), F.col("p.r").alias("right")).agg(F.sum(n).alias("n")))
 
-
-def vocab_schema() -> T.StructType:
-    return T.StructType([T.StructField("token", T.StringType()), T.StructField("id", T.IntegerType())])

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from maskcorpus.config import DEFAULT_BRANCH, LICENSE_ALLOW
 
 
+#: Groups that ``take_until`` takes: its running sum over them is one task.
+WINDOW_ROWS = 5_000_000
+
+
 def filter_catalog(df: DataFrame, language: str = "Python", min_stars: int = 10) -> DataFrame:
     """B1: the search query's terms: language, stars >= min, no forks, not archived."""
     return df.where((F.col("language") == language) & (F.col("stars") >= min_stars)
@@ -29,13 +33,17 @@ def project_repos(df: DataFrame, keep: Sequence[str] = ("repo_key", "stars")) ->
                      F.coalesce(F.col("default_branch"), F.lit(DEFAULT_BRANCH)).alias("default_branch"))
 
 
-def top_repos(df: DataFrame, k: int = 1000, stars: str = "stars", tie: str = "repo_key",
+def top_repos(df: DataFrame, k: int | None = None, stars: str = "stars", tie: str = "repo_key",
               rank: str = "repo_rank") -> DataFrame:
-    """The ``k`` most-starred repos (after the licence filter), ranked 1..k.
+    """The ``k`` most-starred repos (after the licence filter), ranked 1..k; None ranks all of them.
 
     ``orderBy().limit(k)`` plans as TakeOrderedAndProject (each partition keeps
     its own top k); the rank window then runs over at most ``k`` rows.
     """
+    if k is None:
+        from maskcorpus.operators.ordering import global_index
+        out, _ = global_index(df, [-F.col(stars), tie], rank)
+        return out.withColumn(rank, F.col(rank) + 1)
     top = df.orderBy(F.col(stars).desc(), F.col(tie).asc()).limit(k)
     w = Window.orderBy(F.col(stars).desc(), F.col(tie).asc())
     return top.withColumn(rank, F.row_number().over(w).cast("long"))
@@ -46,8 +54,11 @@ def take_until(ranked: DataFrame, counts: DataFrame, target: int, rank: str = "r
     """Whole groups in rank order while the total *before* the group is below ``target`` (Q11).
 
     ``ranked`` holds at most ``max_repos`` rows (C1's bound), so the running-sum
-    window over it is small; ``counts`` is the per-group count (I7).
+    window over it is small; ``counts`` is the per-group count (I7). A frame of
+    more than ``WINDOW_ROWS`` groups is refused: the running sum is one task.
     """
+    if ranked.limit(WINDOW_ROWS + 1).count() > WINDOW_ROWS:
+        raise ValueError(f"take_until ranks at most {WINDOW_ROWS} groups; cut them with top_repos first")
     g = ranked.join(counts, key, "left").withColumn(n, F.coalesce(F.col(n), F.lit(0).cast("long")))
     w = Window.orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
     g = g.withColumn("functions_before", F.coalesce(F.sum(n).over(w), F.lit(0).cast("long")))

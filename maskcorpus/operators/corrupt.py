@@ -49,7 +49,7 @@ def mix32_np(x):
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))
 def _pick(n, k, seed):
-    """Per row: the ``k`` positions of ``0..n-1`` with the smallest ``mix32(seed xor i)``, ascending.
+    """Per row: the ``k`` positions of ``0..n-1`` with the smallest ``mix32(seed xor i)``, ascending; null for k below 0.
 
     Only two numbers per row cross into Python; numpy does the per-token work.
     """
@@ -57,6 +57,8 @@ def _pick(n, k, seed):
     import pandas as pd
 
     def one(nn, kk, ss):
+        if kk < 0:
+            return None
         if nn <= 0:
             return np.zeros(0, dtype=np.int32)
         h = mix32_np(np.arange(nn, dtype=np.uint64) ^ np.uint64(ss))
@@ -66,24 +68,29 @@ def _pick(n, k, seed):
 
 
 def sample_positions(df: DataFrame, tokens: str = "tokens", key: str = "id", seed: int = 42,
-                     rate_percent: int = 15, out: str = "positions") -> DataFrame:
-    """``max(1, int(n*rate))`` distinct positions without replacement, ascending.
+                     rate_percent: int = 15, out: str = "positions", min_n: int = 0) -> DataFrame:
+    """F1 (+ B6): ``max(1, int(n*rate))`` distinct positions without replacement, ascending.
+
+    Rows of fewer than ``min_n`` tokens go: the sampler answers null for them
+    and the filter is on its answer, so it stays above the one tokenisation.
 
     Position ``i`` ranks by ``mix32(seed32 xor i)`` with ``seed32`` from one
     sha256 per row; the mixer is a bijection, so ranks never tie.
     """
     n = F.size(tokens)
-    return df.withColumn(out, _pick(n, mask_budget(n, rate_percent), doc_seed(seed, key)))
+    k = F.when(n >= min_n, mask_budget(n, rate_percent)).otherwise(-1)
+    picked = df.withColumn(out, _pick(n, k, doc_seed(seed, key)))
+    return picked.where(F.col(out).isNotNull()) if min_n else picked
 
 
 def corrupt_tokens(df: DataFrame, tokens: str = "tokens", key: str = "id", seed: int = 42,
-                   rate_percent: int = 15) -> DataFrame:
+                   rate_percent: int = 15, min_n: int = 0) -> DataFrame:
     """add ``input`` (tokens with sentinels) and ``target`` (sentinel, token, sentinel, token ...).
 
     ``input`` is built from the slices between consecutive masked positions,
-    O(n + k). Needs at least one token per row (``min_tokens`` first, as the reference).
+    O(n + k). Needs at least one token per row (``min_n``, as the reference).
     """
-    s = sample_positions(df, tokens, key, seed, rate_percent, "_pos")
+    s = sample_positions(df, tokens, key, seed, rate_percent, "_pos", min_n)
     tok, pos = F.col(tokens), F.col("_pos")
     n, k = F.size(tokens), F.size("_pos")
 
@@ -102,4 +109,4 @@ def pretrain_examples(functions: DataFrame, code: str = "code", key: str = "id",
                       rate_percent: int = 15, min_n: int = 10) -> DataFrame:
     """The reference's pre-training example builder: ``code.split()`` -> filter -> corrupt."""
     t = functions.withColumn("tokens", py_split(code))
-    return corrupt_tokens(min_tokens(t, "tokens", min_n), "tokens", key, seed, rate_percent).drop("tokens")
+    return corrupt_tokens(t, "tokens", key, seed, rate_percent, min_n).drop("tokens")

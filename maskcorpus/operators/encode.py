@@ -10,6 +10,8 @@ Layout follows the plain tokenizer contract: ``</s>`` first (Q21), truncated to
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,26 +77,27 @@ class Encoder:
         """BPE of one byte-level word: merge the lowest-rank pair, all occurrences left to right."""
         syms = [self.tok_id.get(ch, self.unk) for ch in word]
         syms = [s for s in syms if s is not None]
-        ranks = self.ranks
-        while len(syms) > 1:
-            best = None
-            for i in range(len(syms) - 1):
-                r = ranks.get((syms[i], syms[i + 1]))
-                if r is not None and (best is None or r[0] < best[0]):
-                    best = r
-                    pair = (syms[i], syms[i + 1])
-            if best is None:
-                break
-            out, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and (syms[i], syms[i + 1]) == pair:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(syms[i])
-                    i += 1
-            syms = out
-        return syms
+        ranks, n = self.ranks, len(syms)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        # candidate merges as (rank, place): a heap keeps a very long word at n log n
+        heap = [(r[0], i) for i in range(n - 1) if (r := ranks.get((syms[i], syms[i + 1])))]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if syms[i] is None or j >= n:
+                continue
+            r = ranks.get((syms[i], syms[j]))
+            if r is None or r[0] != rank:
+                continue
+            syms[i], syms[j] = r[1], None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (r := ranks.get((syms[a], syms[b]))):
+                    heappush(heap, (r[0], a))
+        return [s for s in syms if s is not None]
 
 
 def _ids_udf(bc):
@@ -122,13 +125,21 @@ def _ids_udf(bc):
     return ids
 
 
-def token_ids(df: DataFrame, col: str, model: BpeModel, out: str = "ids") -> DataFrame:
-    """Unpadded, untruncated ids of a text column (no ``</s>``)."""
+def token_ids(df: DataFrame, col: str, model: BpeModel, out: str = "ids", first: int | None = None) -> DataFrame:
+    """Unpadded ids of a text column (no ``</s>``): all of them, or enough for the ``first`` so many.
+
+    With ``<unk>`` in the vocabulary every pre-token yields an id or more, so
+    ``first`` pre-tokens are enough and only they cross into Python.
+    """
     spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(Encoder(model))
+    encoder = Encoder(model)
+    bc = spark.sparkContext.broadcast(encoder)
     tmp = "_segs_" + col
     d = df.withColumn(tmp, normalised_segments(col))
-    return d.withColumn(out, _ids_udf(bc)(pieces(F.col(tmp)))).drop(tmp)
+    parts = pieces(F.col(tmp))
+    if first is not None and encoder.unk is not None:
+        parts = F.slice(parts, 1, first)
+    return d.withColumn(out, _ids_udf(bc)(parts)).drop(tmp)
 
 
 def pad_to(ids: Column, eos_id: int, max_len: int, pad_id: int = 0) -> tuple[Column, Column]:
@@ -140,26 +151,30 @@ def pad_to(ids: Column, eos_id: int, max_len: int, pad_id: int = 0) -> tuple[Col
     return padded, mask
 
 
-def encode(df: DataFrame, col: str, model: BpeModel, max_len: int = 512, prefix: str = "") -> DataFrame:
-    """``{prefix}input_ids, {prefix}attention_mask`` (length ``max_len``) and
-    ``{prefix}n_tokens`` (the full, untruncated length including ``</s>``)."""
+def encode(df: DataFrame, col: str, model: BpeModel, max_len: int = 512, prefix: str = "",
+           count: bool = False) -> DataFrame:
+    """``{prefix}input_ids, {prefix}attention_mask`` (length ``max_len``).
+
+    With ``count`` also ``{prefix}n_tokens``, the full length including
+    ``</s>``; only then the whole text is encoded.
+    """
     enc = Encoder(model)
-    d = token_ids(df, col, model, "_ids")
+    d = token_ids(df, col, model, "_ids", None if count else max_len - 1)
     ids, mask = pad_to(F.col("_ids"), enc.eos, max_len, enc.pad)
-    return (d.withColumn(f"{prefix}input_ids", ids).withColumn(f"{prefix}attention_mask", mask)
-             .withColumn(f"{prefix}n_tokens", F.size("_ids") + 1).drop("_ids"))
+    d = d.withColumn(f"{prefix}input_ids", ids).withColumn(f"{prefix}attention_mask", mask)
+    return (d.withColumn(f"{prefix}n_tokens", F.size("_ids") + 1) if count else d).drop("_ids")
 
 
 def add_labels(df: DataFrame, target: str, model: BpeModel, max_len: int = 512) -> DataFrame:
     """``labels`` = padded ids of the target (pad stays 0, Q24)."""
     d = encode(df, target, model, max_len, prefix="_t_")
-    return d.withColumnRenamed("_t_input_ids", "labels").drop("_t_attention_mask", "_t_n_tokens")
+    return d.withColumnRenamed("_t_input_ids", "labels").drop("_t_attention_mask")
 
 
 def encode_examples(df: DataFrame, model: BpeModel, max_len: int = 512) -> DataFrame:
-    """J8 row shape for a trainer: ``input_ids, attention_mask, labels`` (+ ``id`` when present)."""
+    """J8 row shape for a trainer: ``input_ids, attention_mask, labels`` (+ ``kind``, ``split`` and ``id`` when present)."""
     d = add_labels(encode(df, "input", model, max_len), "target", model, max_len)
-    keep = [c for c in ("id",) if c in df.columns]
+    keep = [c for c in ("kind", "split", "id") if c in df.columns]
     return d.select(*keep, "input_ids", "attention_mask", "labels")
 
 
@@ -180,7 +195,8 @@ def decode(df: DataFrame, ids: str, model: BpeModel, out: str = "text", raw_join
     table = byte_to_char()
     moved = [b for b in range(256) if table[b] != chr(b)]
     latin1 = F.translate(F.array_join(pieces_, ""), "".join(table[b] for b in moved), "".join(chr(b) for b in moved))
-    text = F.decode(F.encode(latin1, "ISO-8859-1"), "UTF-8")
+    # ids may end inside a multi-byte character or be any model output: broken bytes become U+FFFD
+    text = F.make_valid_utf8(F.encode(latin1, "ISO-8859-1").cast("string"))
     return df.withColumn(out, py_strip(text))
 
 

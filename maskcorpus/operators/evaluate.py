@@ -25,10 +25,19 @@ def score(df: DataFrame, prediction: str = "prediction", target: str = "target")
     return df.withColumn("correct", F.coalesce(eq, F.lit(False)))
 
 
+def one_prediction(predictions: DataFrame, on: Sequence[str] = ("id",), prediction: str = "prediction") -> DataFrame:
+    """One row per key: its prediction (of several, the smallest text that is not null) and how many rows it had."""
+    return predictions.groupBy(*on).agg(F.min(prediction).alias(prediction), F.count(F.lit(1)).alias("n_predictions"))
+
+
 def score_predictions(examples: DataFrame, predictions: DataFrame, on: Sequence[str] = ("id",),
                       prediction: str = "prediction") -> DataFrame:
-    """K1 + L4: every example with its prediction (left join: missing -> null, not correct)."""
-    p = predictions.select(*on, prediction)
+    """K1 + L4: every example once, with its prediction (left join: missing -> null, not correct).
+
+    Predictions are reduced to one row per key before the join, so a key that
+    repeats cannot repeat an example.
+    """
+    p = one_prediction(predictions, on, prediction).drop("n_predictions")
     return score(examples.join(p, list(on), "left"), prediction)
 
 

@@ -29,9 +29,9 @@ def _to_structs(conds: str, lines: str, depths: str):
 
 
 def spread(df: DataFrame, num_partitions: int | None = None) -> DataFrame:
-    """Round-robin files over tasks so a hot repository is split across many tasks."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n)
+    """Deal files evenly over tasks, so a hot repository is split: by bytes, or over ``num_partitions``."""
+    from maskcorpus.session import spread_rows
+    return df.repartition(num_partitions) if num_partitions else spread_rows(df)
 
 
 def extract_all(files: DataFrame, key: Sequence[str] = ("file_no",), code: str = "code",
@@ -131,20 +131,34 @@ def assign_ids(functions: DataFrame, order: Sequence[str], code: str = "code") -
     return idx.withColumn("id", function_id("_i", code)).drop("_i")
 
 
+def extracted_from_archives(spark, path: str, repos: DataFrame | None = None, glob: str = "*.zip") -> DataFrame:
+    """D4, first half: every function of the archives, and a status row for each archive, member or file that gave none.
+
+    ``repos`` (optional) maps archive ``path`` to ``repo_rank``; archives that it does not name are not opened.
+    """
+    from maskcorpus.sources.archives import read_archives
+    members = read_archives(spark, path, glob, only=repos)  # already spread by member
+    bad = members.where(F.col("status") != "ok")
+    found = extract_all(members.where(F.col("status") == "ok"), ("path", "member", "member_ord"), spread_files=False)
+    none = bad.select("path", "member", "member_ord", F.lit(-1).alias("fn_ord"), "code",
+                      F.lit(None).cast(found.schema["if_statements"].dataType).alias("if_statements"), F.lit(0).alias("num_ifs"),
+                      F.lit(1).alias("lines"), "status")
+    out = found.unionByName(none)
+    return out.join(repos.select("path", "repo_rank"), "path") if repos is not None else out
+
+
+def functions_of(extracted: DataFrame) -> DataFrame:
+    """D4, second half: the functions with an ``if``, with ids in collection order (repository rank or path, member, function)."""
+    funcs = extracted.where((F.col("status") == "ok") & (F.col("num_ifs") > 0)).drop("status")
+    first = "repo_rank" if "repo_rank" in funcs.columns else "path"
+    return assign_ids(funcs, [first, "member_ord", "fn_ord"])
+
+
 def functions_from_archives(spark, path: str, repos: DataFrame | None = None, glob: str = "*.zip") -> DataFrame:
     """Archives -> members -> functions with ids, in collection order.
 
-    ``repos`` (optional) maps each archive ``path`` to its ``repo_rank``; the
-    order is then (repo_rank, member order, function order), as the reference
-    collects them; without it the archive path stands in for the rank.
     Output follows the functions table: ``id, code, if_statements, num_ifs, lines`` (+ order keys).
+    The members are read and parsed once: the extraction is written before ids are given.
     """
-    from maskcorpus.sources.archives import read_archives
-    members = read_archives(spark, path, glob).where(F.col("status") == "ok")  # already spread by member
-    funcs = extract_functions(members, ("path", "member", "member_ord"), spread_files=False)
-    if repos is not None:
-        funcs = funcs.join(repos.select("path", "repo_rank"), "path")
-        order = ["repo_rank", "member_ord", "fn_ord"]
-    else:
-        order = ["path", "member_ord", "fn_ord"]
-    return assign_ids(funcs, order)
+    from maskcorpus.session import written_once
+    return functions_of(written_once(extracted_from_archives(spark, path, repos, glob), "extracted"))

@@ -62,20 +62,28 @@ def explode_ifs(functions: DataFrame, keep: Sequence[str] = ("id", "code")) -> D
         *keep, "if_ord", "s.condition", "s.line", "s.depth")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def mask_at_line(df: DataFrame, code: str = "code", line: str = "line",
                  keywords: Sequence[str] = IF_KEYWORDS, terminator: str = IF_TERMINATOR,
                  mask: str = MASK_TOKEN) -> DataFrame:
     """B7 + B8 + E11: add ``input`` = code with the 1-based ``line`` masked; drop misses.
 
-    Rows whose line is past the text (B7) or has no keyword+terminator (B8) are dropped.
+    Rows whose line is past the text (B7) or has no keyword+terminator (B8) are
+    dropped: the generator below yields one row or none, so no filter repeats
+    the split.
     """
-    lines = split_lines(code)
     k = F.col(line) - 1
-    masked = mask_line(F.get(lines, k), keywords, terminator, mask)
-    return (df.withColumn("_masked", masked)
-              .where(F.col("_masked").isNotNull())
-              .withColumn("input", replace_line(lines, k, F.col("_masked")))
-              .drop("_masked"))
+
+    def of(lines: Column) -> Column:
+        return F.struct(lines.alias("lines"), _once(F.get(lines, k), lambda x: mask_line(x, keywords, terminator, mask)).alias("masked"))
+
+    hit = F.filter(F.transform(F.array(split_lines(code)), of), lambda s: s["masked"].isNotNull())
+    out = df.select("*", F.inline(hit).alias("_lines", "_masked"))
+    return out.withColumn("input", replace_line(F.col("_lines"), k, F.col("_masked"))).drop("_lines", "_masked")
 
 
 def mask_conditions(functions: DataFrame, keywords: Sequence[str] = IF_KEYWORDS,
@@ -84,12 +92,19 @@ def mask_conditions(functions: DataFrame, keywords: Sequence[str] = IF_KEYWORDS,
     """G1: one fine-tune example per maskable ``if``: ``id, input, target`` (+ ``func_id, line``).
 
     ``functions`` needs ``id, code, if_statements``. The example id is
-    sha256(func_id:line); the target is the stripped condition.
+    sha256(func_id:line); the target is the stripped condition. The code is
+    split once per function, below the generator, and the masked line is part
+    of the exploded struct.
     """
-    ifs = explode_ifs(functions, keep=("id", "code", *carry))
-    ex = mask_at_line(ifs, "code", "line", keywords, terminator, mask)
-    return ex.select(example_id("id", "line").alias("id"), F.col("id").alias("func_id"), *carry,
-                     F.col("line"), F.col("input"), py_strip("condition").alias("target"))
+    split = functions.select("id", *carry, "if_statements", split_lines("code").alias("_lines"))
+    hits = F.filter(F.transform("if_statements", lambda s: F.struct(
+        s["condition"].alias("condition"), s["line"].alias("line"),
+        _once(F.get(F.col("_lines"), s["line"] - 1), lambda x: mask_line(x, keywords, terminator, mask)).alias("masked"))),
+        lambda s: s["masked"].isNotNull())
+    ex = split.select("id", *carry, "_lines", F.inline(hits))
+    return ex.select(example_id("id", "line").alias("id"), F.col("id").alias("func_id"), *carry, F.col("line"),
+                     replace_line(F.col("_lines"), F.col("line") - 1, F.col("masked")).alias("input"),
+                     py_strip("condition").alias("target"))
 
 
 def mask_after_keyword(df: DataFrame, text: str, keywords: Sequence[str], terminator: str,

@@ -3,25 +3,31 @@
 Randomness is a key: ``sha256("seed:key")``. Equal seeds give equal permutations
 in any engine, so the oracle can check them by value.
 
-``global_index`` never funnels rows through one partition: it range-partitions
-on the order, numbers rows inside each partition, and adds a per-partition
-offset from a vector of partition counts (one number per partition, the only
-thing collected). The numbered frame is checkpointed to the session's reliable
-checkpoint folder so the two passes see the same rows even if executors are lost.
+Exact splits need no sort: a slice of the permutation ends at a key, the k-th
+smallest, which is found from counts per leading hash digits (at most 65,536
+counters a level) and then exactly inside the one prefix that holds it. Rows
+are labelled by comparing their key with the cut keys; no row moves.
+
+``global_index`` orders keys only: distinct keys are range-partitioned, numbered
+inside each partition and written once; a vector of partition counts gives the
+offsets, and rows get their position by a join on the key.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskcorpus.functions.text import seeded_key
-from maskcorpus.session import ensure_checkpoint_dir
+from maskcorpus.session import written_once
 
 SHUFFLE_KEY = "shuffle_key"
+#: Hash digits per level of the search for a cut, and the rows a prefix may hold to be searched directly.
+PREFIX_DIGITS = 4
+DIRECT_ROWS = 4096
 
 
 def _cols(cols) -> list[Column]:
@@ -34,30 +40,44 @@ def global_index(df: DataFrame, order: Sequence, name: str = "idx",
                  num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Add a dense 0-based position in ``order``; return ``(frame, row count)``.
 
-    ``order`` should be unique per row (add a tie-breaker), else ties get an
-    arbitrary but stable order.
+    Only the order columns are sorted and written; the other columns move once,
+    in the join that brings the positions back. Rows with equal keys get
+    consecutive positions in arbitrary order.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     o = _cols(order)
-    parted = df.repartitionByRange(num_partitions, *o) if num_partitions else df.repartitionByRange(*o)
-    numbered = (parted.sortWithinPartitions(*o)
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
-    counts = dict(numbered.groupBy("_pid").count().collect())
-    n_parts = max(counts) + 1 if counts else 0
+    names = [f"_o{i}" for i in range(len(o))]
+    keys = df.select(*[c.alias(n) for c, n in zip(o, names)]).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    parted = keys.repartitionByRange(num_partitions, *names) if num_partitions else keys.repartitionByRange(*names)
+    numbered = written_once(parted.sortWithinPartitions(*names).withColumn("_pid", F.spark_partition_id())
+                            .withColumn("_mid", F.monotonically_increasing_id()), "index")
+    stats = numbered.groupBy("_pid").agg(F.sum("_n").alias("n"), F.max("_n").alias("most")).collect()
+    if not stats:
+        return df.withColumn(name, F.lit(0).cast("long")), 0
+    counts = {r["_pid"]: r["n"] for r in stats}
     offsets, total = [], 0
-    for p in range(n_parts):
+    for p in range(max(counts) + 1):
         offsets.append(total)
         total += counts.get(p, 0)
-    if not offsets:
-        return numbered.drop("_pid", "_mid").withColumn(name, F.lit(0).cast("long")), 0
     # one literal string, split once by constant folding: the plan stays small with many partitions
     table = F.split(F.lit(",".join(str(v) for v in offsets)), ",")
-    off = F.element_at(table, F.col("_pid") + 1).cast("long")
-    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return numbered.withColumn(name, off + local).drop("_pid", "_mid"), total
+    start = F.element_at(table, F.col("_pid") + 1).cast("long")
+    repeats = max(r["most"] for r in stats) > 1
+    if repeats:
+        before = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+        at = start + F.coalesce(F.sum("_n").over(before), F.lit(0))
+    else:
+        at = start + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    index = numbered.select(*[F.col(n).alias(f"{n}r") for n in names], at.alias(name))
+    keyed = df.select("*", *[c.alias(n) for c, n in zip(o, names)])
+    same = None
+    for n in names:
+        eq = F.col(n).eqNullSafe(F.col(f"{n}r"))
+        same = eq if same is None else same & eq
+    out = keyed.join(index, same)
+    if repeats:
+        own = Window.partitionBy(*names).orderBy(F.lit(0))
+        out = out.withColumn(name, F.col(name) + F.row_number().over(own) - 1)
+    return out.select(*df.columns, name), total
 
 
 def seeded_shuffle(df: DataFrame, key: str, seed: int = 42, name: str = "idx") -> tuple[DataFrame, int]:
@@ -67,24 +87,86 @@ def seeded_shuffle(df: DataFrame, key: str, seed: int = 42, name: str = "idx") -
     return out.drop(SHUFFLE_KEY), n
 
 
-def label_by_sizes(idx: Column, sizes: Sequence[int], names: Sequence[str], rest: str | None) -> Column:
-    """Label consecutive index ranges of the given sizes; the remainder gets ``rest``."""
-    out, start = None, 0
-    for size, nm in zip(sizes, names):
-        cond = idx < start + size
-        out = F.when(cond, F.lit(nm)) if out is None else out.when(cond, F.lit(nm))
-        start += size
+def cut_keys(df: DataFrame, key: str, ranks: Callable[[int], Sequence[int]], seed: int = 42) -> tuple[int, list]:
+    """(row count, cuts) for the permutation by sha256("seed:key"), key.
+
+    ``ranks`` gives the wanted numbers of rows below each cut from the row
+    count. A cut is the (hash, key) of the first row that is not below it, or
+    None where all rows are. Only the key column is read. Rows that repeat a
+    key stay on one side of a cut, the upper one.
+    """
+    rows = df.select(seeded_key(seed, key).alias("h"), F.col(key).alias("k"))
+
+    def counted(rows: DataFrame, digits: int) -> list:
+        got = rows.groupBy(F.substring("h", 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+        return sorted((r["p"], r["n"]) for r in got)
+
+    digits = PREFIX_DIGITS
+    level = counted(rows, digits)
+    total = sum(n for _, n in level)
+    wanted = list(ranks(total))
+    # per cut: the prefix that holds it, the rows before the prefix and the rows in it
+    place: dict[int, tuple[str, int, int]] = {}
+
+    def locate(level: list, cuts: list[int], before: int) -> None:
+        for p, n in level:
+            for i in cuts:
+                if before <= wanted[i] < before + n:
+                    place[i] = (p, before, n)
+            before += n
+
+    locate(level, list(range(len(wanted))), 0)
+    while digits < 64 and any(n > DIRECT_ROWS for _, _, n in place.values()):
+        digits += PREFIX_DIGITS
+        inside = rows.where(F.substring("h", 1, digits - PREFIX_DIGITS).isin([p for p, _, _ in place.values()]))
+        level = counted(inside, digits)
+        for i, (p, before, _) in list(place.items()):
+            locate([x for x in level if x[0].startswith(p)], [i], before)
+    held: dict[str, list] = {}
+    if place:
+        near = rows.where(F.substring("h", 1, digits).isin([p for p, _, _ in place.values()]))
+        for r in near.groupBy("h", "k").agg(F.count(F.lit(1)).alias("n")).collect():
+            held.setdefault(r["h"][:digits], []).append((r["h"], r["k"], r["n"]))
+    cuts: list = []
+    for i in range(len(wanted)):
+        cut = None
+        if i in place:
+            p, upto, _ = place[i]
+            for h, k, n in sorted(held[p]):
+                upto += n
+                if upto > wanted[i]:
+                    cut = (h, k)
+                    break
+        cuts.append(cut)
+    return total, cuts
+
+
+def label_by_cuts(key: str, cuts: Sequence, names: Sequence[str], rest: str | None, seed: int = 42) -> Column:
+    """The first of ``names`` whose cut lies above the row's key; ``rest`` above all cuts."""
+    h = seeded_key(seed, key)
+    out = None
+    for cut, nm in zip(cuts, names):
+        below = F.lit(True) if cut is None else (h < cut[0]) | ((h == cut[0]) & (F.col(key) < F.lit(cut[1])))
+        out = F.when(below, F.lit(nm)) if out is None else out.when(below, F.lit(nm))
     return out.otherwise(F.lit(rest)) if out is not None else F.lit(rest)
 
 
+def _running(sizes: Sequence[int]) -> list[int]:
+    out, total = [], 0
+    for s in sizes:
+        total += s
+        out.append(total)
+    return out
+
+
 def split_counts(df: DataFrame, key: str, counts: Sequence[int], names: Sequence[str],
                  seed: int = 42, rest: str = "unused", col: str = "split") -> DataFrame:
     """H1: first ``counts[0]`` of the permutation -> ``names[0]``, the next ``counts[1]`` -> ``names[1]``, ...
 
     Rows past the last slice are kept and labelled ``rest`` (the reference leaves them unused).
     """
-    out, _ = seeded_shuffle(df, key, seed)
-    return out.withColumn(col, label_by_sizes(F.col("idx"), counts, names, rest))
+    _, cuts = cut_keys(df, key, lambda n: _running(counts), seed)
+    return df.withColumn(col, label_by_cuts(key, cuts, names, rest, seed))
 
 
 def fraction_sizes(n: int, fractions: Sequence[float]) -> list[int]:
@@ -96,17 +178,15 @@ def split_fractions(df: DataFrame, key: str, fractions: Sequence[float] = (0.8,
                     names: Sequence[str] = ("train", "val", "test"), seed: int = 42,
                     col: str = "split") -> DataFrame:
     """H2: train ``int(n*.8)``, val ``int(n*.1)``, test the remainder, over a seeded permutation."""
-    out, n = seeded_shuffle(df, key, seed)
-    sizes = fraction_sizes(n, fractions)
-    return out.withColumn(col, label_by_sizes(F.col("idx"), sizes, names[:-1], names[-1]))
+    _, cuts = cut_keys(df, key, lambda n: _running(fraction_sizes(n, fractions)), seed)
+    return df.withColumn(col, label_by_cuts(key, cuts, names[:-1], names[-1], seed))
 
 
 def holdout(df: DataFrame, key: str, test_fraction: float = 0.05, seed: int = 42,
             col: str = "split") -> DataFrame:
     """H3: ``ceil(n * f)`` rows to ``test`` (first in the permutation), the rest to ``train``."""
-    out, n = seeded_shuffle(df, key, seed)
-    n_test = math.ceil(test_fraction * n)
-    return out.withColumn(col, F.when(F.col("idx") < n_test, "test").otherwise("train"))
+    _, cuts = cut_keys(df, key, lambda n: [math.ceil(test_fraction * n)], seed)
+    return df.withColumn(col, label_by_cuts(key, cuts, ["test"], "train", seed))
 
 
 def hash_bucket(key, seed: int = 42, buckets: int = 10_000) -> Column:

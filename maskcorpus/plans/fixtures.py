@@ -15,15 +15,16 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 
 # One function per document, six templates: plain, multi-line condition (masking
 # drops it), slice colon, 'elif' inside a string plus an elif branch, nested if
-# with a trailing comment, and no if at all.
+# with a trailing comment, and no if at all. Each body goes on with the whole
+# text of its document as comment lines, so functions have the size of documents.
 CODE_FUNCTIONS = """
-select doc_id as func_no, case doc_id % 6
+select doc_id as func_no, concat(case doc_id % 6
  when 0 then concat('def f', cast(doc_id as string), '(n, lang):', chr(10), '    if n > ', cast(n_chars % 97 as string), ' and lang == "', lang, '":', chr(10), '        return "', source, '"', chr(10), '    return None')
  when 1 then concat('def f', cast(doc_id as string), '(a, b):', chr(10), '    if (a or', chr(10), '            b):', chr(10), '        return ', cast(n_chars as string), chr(10), '    return 0')
  when 2 then concat('def f', cast(doc_id as string), '(s):', chr(10), '    if s[1:', cast(2 + n_chars % 5 as string), ']:', chr(10), '        return s')
  when 3 then concat('def f', cast(doc_id as string), '(k):', chr(10), '    if k == ', chr(39), 'elif', chr(39), ':', chr(10), '        return 1', chr(10), '    elif k == "', lang, '":', chr(10), '        return 2')
  when 4 then concat('def f', cast(doc_id as string), '(x):', chr(10), '    if x:', chr(10), '        if x > ', cast(n_chars % 13 as string), ':  # deep', chr(10), '            return x', chr(10), '    return 0')
- else concat('def f', cast(doc_id as string), '(x):', chr(10), '    return x + ', cast(n_chars as string)) end as code
+ else concat('def f', cast(doc_id as string), '(x):', chr(10), '    return x + ', cast(n_chars as string)) end, chr(10), '    # ', replace(text, chr(10), concat(chr(10), '    # ')), chr(10), '    pass') as code
 from documents
 """
 
@@ -87,14 +88,15 @@ from code_ifs where func_no % 3 = 2
 """
 
 # Benchmark rows as code: nested ifs (first = outer), a module-level if, no if,
-# and a multi-line first if (drops out of the denominator).
+# and a multi-line first if (drops out of the denominator); each goes on with the
+# item's text as comment lines.
 BENCHMARK_CODE = """
-select item_id, case item_id % 4
+select item_id, concat(case item_id % 4
  when 0 then concat('def g', cast(item_id as string), '(x):', chr(10), '    if x > ', cast(item_id * 7 % 89 as string), ':', chr(10), '        if x < 0:', chr(10), '            return 1', chr(10), '    return 0')
  when 1 then concat('value = compute()', chr(10), 'if value == ', cast(item_id as string), ':', chr(10), '    print(value)')
  when 2 then concat('def g', cast(item_id as string), '(x):', chr(10), '    return x')
  else concat('def g', cast(item_id as string), '(x, y):', chr(10), '    if (x and', chr(10), '            y):', chr(10), '        pass', chr(10), '    elif x:', chr(10), '        pass')
- end as code
+ end, chr(10), '# ', replace(text, chr(10), concat(chr(10), '# ')), chr(10), 'done()') as code
 from benchmark
 """
 
@@ -108,6 +110,16 @@ select item_id, case item_id % 3
 from benchmark
 """
 
+# Predictions with repeats and gaps: none for every fifth condition, two or three rows for others
+# (the smallest text counts), one of them without a text.
+REPEATED_PREDICTIONS = """
+select func_no, line, prediction from if_predictions where (func_no + line) % 5 <> 0
+union all
+select func_no, line, concat('~', prediction) from if_predictions where (func_no + line) % 5 in (1, 2)
+union all
+select func_no, line, cast(null as string) from if_predictions where (func_no + line) % 5 = 1
+"""
+
 # name -> (sql, dependencies)
 VIEWS = {
     "code_functions": (CODE_FUNCTIONS, ("documents",)),
@@ -118,6 +130,7 @@ VIEWS = {
     "code_files": (CODE_FILES, ("code_functions",)),
     "code_file_ifs": (CODE_FILE_IFS, ("code_ifs",)),
     "benchmark_code": (BENCHMARK_CODE, ("benchmark",)),
+    "repeated_predictions": (REPEATED_PREDICTIONS, ("if_predictions",)),
     "benchmark_predictions": (BENCHMARK_PREDICTIONS, ("benchmark",)),
 }
 
@@ -154,7 +167,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, columns: tuple[str, ...]) -> DataFrame:
-    """A text table for CPU-heavy per-row work: only ``columns``, spread over all cores
-    when its row groups give fewer partitions than the cluster has (see ``spread_rows``)."""
+    """A text table for CPU-heavy per-row work: only ``columns``, dealt evenly over tasks (see ``spread_rows``)."""
     from maskcorpus.session import spread_rows
     return spread_rows(table(spark, sf_dir, name).select(*columns))

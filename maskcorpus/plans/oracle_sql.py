@@ -7,7 +7,7 @@ the same result relationally and independently of the Spark code path.
 from __future__ import annotations
 
 from maskcorpus.config import MASK_TOKEN, PY_WHITESPACE_CLASS
-from maskcorpus.plans.fixtures import with_views
+from maskcorpus.plans.fixtures import VIEWS, with_views
 
 WS = PY_WHITESPACE_CLASS
 
@@ -151,7 +151,8 @@ from o group by doc_id
 
 SQL["split_counts"] = with_views("code_functions") + f""",
 s as (select func_no, row_number() over (order by {seeded(42, 'func_no')}, func_no) - 1 as idx from code_functions)
-select func_no, case when idx < 350 then 'pretrain' when idx < 500 then 'finetune' else 'unused' end as split from s
+select func_no, case when idx < (select count(*) from s) * 35 // 100 then 'pretrain'
+ when idx < (select count(*) from s) * 35 // 100 + (select count(*) from s) * 15 // 100 then 'finetune' else 'unused' end as split from s
 """
 
 _EXAMPLES = with_views("code_functions", "code_ifs") + _FUNCS + f""",
@@ -264,13 +265,15 @@ select file_no, cast(fn_ord as int) as fn_ord, line, depth, condition from code_
 
 _BENCH = with_views("benchmark_code") + """,
 bex as (
-  select item_id, concat('def g', cast(item_id as string), '(x):', chr(10), '    if <extra_id_0>:', chr(10), '        if x < 0:', chr(10), '            return 1', chr(10), '    return 0') as input,
+  select item_id, concat('def g', cast(item_id as string), '(x):', chr(10), '    if <extra_id_0>:', chr(10), '        if x < 0:', chr(10), '            return 1', chr(10), '    return 0',
+   chr(10), '# ', replace(text, chr(10), concat(chr(10), '# ')), chr(10), 'done()') as input,
    concat('x > ', cast(item_id * 7 % 89 as string)) as target
-  from benchmark_code where item_id % 4 = 0
+  from benchmark where item_id % 4 = 0
   union all
-  select item_id, concat('value = compute()', chr(10), 'if <extra_id_0>:', chr(10), '    print(value)'),
+  select item_id, concat('value = compute()', chr(10), 'if <extra_id_0>:', chr(10), '    print(value)',
+   chr(10), '# ', replace(text, chr(10), concat(chr(10), '# ')), chr(10), 'done()'),
    concat('value == ', cast(item_id as string))
-  from benchmark_code where item_id % 4 = 1
+  from benchmark where item_id % 4 = 1
 )
 """
 
@@ -443,8 +446,8 @@ cor as (select k,
 
 SQL["build_datasets"] = with_views("code_functions", "code_ifs") + _FUNCS + f""",
 parts as (select func_no, fid, code, row_number() over (order by {seeded(42, 'fid')}, fid) - 1 as pidx from funcs),
-pre as (select * from parts where pidx < 350),
-fin as (select * from parts where pidx >= 350 and pidx < 500)""" + _corrupt_ctes("pre", "fid", "code") + f""",
+pre as (select * from parts where pidx < floor((select count(*) from parts)::double * 0.7)),
+fin as (select * from parts where pidx >= floor((select count(*) from parts)::double * 0.7))""" + _corrupt_ctes("pre", "fid", "code") + f""",
 x as (
   select f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
   from fin f join code_ifs c on f.func_no = c.func_no
@@ -512,9 +515,154 @@ ex as (select sha256(concat(fid, ':', cast(line as string))) as id,
     assert chain.startswith("with ")
     return (ex + chain[len("with "):] + _encode_ctes("ex", "id", "input", "ei") + _encode_ctes("ex", "id", "target", "et")
             + """
-select i.k as id, i.n_tokens, i.ids_str as input_ids, i.n_attended, t.ids_str as labels
+select i.k as id, i.ids_str as input_ids, i.n_attended, t.ids_str as labels
 from ei_enc i join et_enc t on i.k = t.k
 """)
 
 
 SQL["encode_padded"] = _encode_padded_sql()
+
+
+# ---- files, archives and stages ------------------------------------------------
+SQL["catalog_files"] = with_views("repo_catalog") + """
+select cast(row_number() over (partition by floor(repo_key / 100) order by repo_key) - 1 as int) as item_ord,
+ owner, repo, html_url, language, stars, fork, archived, license, default_branch
+from repo_catalog
+"""
+
+SQL["archive_members"] = with_views("code_files") + """
+select concat('src/f', cast(file_no as string), '.py') as member,
+ cast(row_number() over (partition by file_no // 50 order by file_no) as int) as member_ord, 'ok' as status, sha256(code) as code_sha
+from code_files
+"""
+
+_EXTRACTED = SQL["extract_functions"].rstrip().rsplit("\nselect ", 1)[0]
+
+SQL["functions_from_archives"] = _EXTRACTED + """
+select concat('src/f', cast(file_no as string), '.py') as member, cast(fn_ord as int) as fn_ord, num_ifs, cast(len(string_split(code, chr(10))) as int) as lines,
+ sha256(concat(cast(row_number() over (order by -(file_no // 50), file_no, fn_ord) - 1 as string), ':', substring(code, 1, 100))) as id
+from r where (file_no // 50) % 2 = 0
+"""
+
+SQL["extraction_report"] = """
+select status, cast(sum(n) as bigint) as n from (
+ select case when doc_id % 10 = 7 then 'syntax_error' else 'ok' end as status, case when doc_id % 10 <> 7 and doc_id % 3 = 2 then 2 else 1 end as n
+ from documents) group by status
+"""
+
+SQL["length_filter"] = f"with e as ({SQL['extract_functions']}) select file_no, fn_ord, lines from e where lines between 5 and 12\n"
+
+SQL["functions_jsonl"] = with_views("code_functions", "code_ifs") + _FUNCS + """
+select f.fid as id, cast(count(*) as int) as num_ifs, cast(len(string_split(any_value(f.code), chr(10))) as int) as lines,
+ sha256(any_value(f.code)) as code_sha, string_agg(concat(cast(c.line as string), ':', c.condition), '|' order by c.line) as ifs
+from funcs f join code_ifs c on f.func_no = c.func_no group by f.func_no, f.fid
+"""
+
+_EX_FULL = _EXAMPLES.replace(
+    "ex as (select sha256(concat(fid, ':', cast(line as string))) as id from y where masked is not null)",
+    f"ex as (select sha256(concat(fid, ':', cast(line as string))) as id, func_no, line, {py_strip('condition')} as target,\n"
+    " array_to_string(list_transform(lines, lambda s, i: case when i = line then masked else s end), chr(10)) as input\n"
+    " from y where masked is not null)")
+
+SQL["examples_by_split"] = _EX_FULL + """
+select sp.split, ex.id, sha256(ex.input) as input_sha, ex.target from ex join sp on ex.id = sp.id
+"""
+
+SQL["benchmark_csv"] = with_views("benchmark_code") + "select sha256(code) as code_sha from benchmark_code where item_id % 7 <> 3\n"
+
+SQL["results_csv"] = _EX_FULL.rstrip() + f""",
+if_predictions as ({VIEWS["if_predictions"][0].strip()})
+select sha256(ex.input) as input_sha, ex.target, p.prediction,
+ coalesce(lower({py_strip('p.prediction')}) = lower({py_strip('ex.target')}), false) as correct
+from ex left join if_predictions p on ex.func_no = p.func_no and ex.line = p.line
+"""
+
+SQL["vocab_tables"] = SQL["vocab_ids"]
+
+SQL["nfkc_text"] = """
+select doc_id, cast(length(text) as int) as n_chars, sha256(text) as text_sha from documents
+"""
+
+SQL["count_at_least"] = """
+select n::bigint as n, (select count(*) from documents) >= n as enough from (select unnest([1, 150, 900, 1000000000]) as n)
+"""
+
+SQL["materialized_stage"] = f"select doc_id, cast(len({py_split('text')}) as int) as n_tokens from documents\n"
+
+SQL["progress_report"] = """
+select 'functions' as stage, true as complete, count(*) as rows from documents union all
+select 'words', true, count(*) from documents union all select 'missing', false, null
+"""
+
+_REPEATED = with_views("code_functions", "code_ifs", "if_predictions", "repeated_predictions") + _FUNCS + f""",
+x as (
+  select f.func_no, f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
+  from funcs f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+ex as (select sha256(concat(fid, ':', cast(line as string))) as id, func_no, line, {py_strip('condition')} as target
+ from y where masked is not null),
+one as (select func_no, line, min(prediction) as prediction from repeated_predictions group by func_no, line)
+"""
+
+SQL["score_repeated_predictions"] = _REPEATED + f"""
+select ex.id, ex.target, p.prediction, coalesce(lower({py_strip('p.prediction')}) = lower({py_strip('ex.target')}), false) as correct
+from ex left join one p on ex.func_no = p.func_no and ex.line = p.line
+"""
+
+SQL["predict_batch"] = _EX_FULL + """
+select ex.id, cast(len(string_split(ex.input, chr(10))) as string) as prediction from ex join sp on ex.id = sp.id where sp.split = 'test'
+"""
+
+SQL["decode_truncated"] = "select doc_id, true as is_prefix, true as has_text from documents\n"
+
+_DATASETS = SQL["build_datasets"].rstrip()
+
+
+def _encode_datasets_sql() -> str:
+    head, tail = _DATASETS.rsplit("\nselect 'pretrain' as kind", 1)
+    chain = _bpe_chain(8).strip()[len("with "):]
+    hold = seeded(42, "id")
+    return (head + f""",
+ds as (select 'pretrain' as kind{tail}),
+pr as (select kind, id, input, target, row_number() over (order by {hold}, id) - 1 as hidx, count(*) over () as hn from ds where kind = 'pretrain'),
+todo as (select kind, case when hidx < ceil(cast(hn as double) * 0.05) then 'test' else 'train' end as split, id, input, target from pr
+ union all select kind, split, id, input, target from ds where kind = 'finetune' and split <> 'test'),
+""" + chain + _encode_ctes("todo", "id", "input", "ei") + _encode_ctes("todo", "id", "target", "et") + """
+select t.kind, t.split, t.id, sha256(i.ids_str) as input_sha, i.n_attended, sha256(l.ids_str) as labels_sha
+from todo t join ei_enc i on i.k = t.id join et_enc l on l.k = t.id
+""")
+
+
+SQL["encode_datasets"] = _encode_datasets_sql()
+
+
+def _pipeline_metrics_sql() -> str:
+    head, tail = _DATASETS.rsplit("\nselect 'pretrain' as kind", 1)
+    return head + f""",
+ds as (select 'pretrain' as kind{tail}),""" + _BENCH.replace("with ", "", 1) + """,
+pairs as (select 'g' as t, target from ds where kind = 'finetune' and split = 'test' union all select 'p', target from bex),
+m as (select t, count(*) filter (where length(target) % 2 = 0) as exact_match, count(*) as total from pairs group by t),
+mm as (select t, {'accuracy': coalesce(exact_match / nullif(cast(total as double), 0), 0.0), 'exact_match': exact_match, 'total': total} as s from m)
+select to_json({'generated_testset': (select s from mm where t = 'g'), 'provided_testset': (select s from mm where t = 'p')})::varchar as metrics_json
+"""
+
+
+SQL["pipeline_metrics"] = _pipeline_metrics_sql()
+
+SQL["incremental_examples"] = with_views("code_functions", "code_ifs") + _FUNCS + _corrupt_ctes("funcs", "fid", "code") + f""",
+x as (
+  select f.fid, c.line, c.condition, string_split(f.code, chr(10)) as lines
+  from funcs f join code_ifs c on f.func_no = c.func_no
+),
+y as (select *, {mask_line('lines[line]')} as masked from x where line <= len(lines)),
+both_kinds as (
+  select 'pretrain' as kind, k as func_id, k as id, input, target from cor
+  union all
+  select 'finetune', fid, sha256(concat(fid, ':', cast(line as string))),
+   array_to_string(list_transform(lines, lambda s, i: case when i = line then masked else s end), chr(10)), {py_strip('condition')}
+  from y where masked is not null)
+select kind, case when {hash_bucket(42, 'func_id')} < 8000 then 'train' when {hash_bucket(42, 'func_id')} < 9000 then 'val' else 'test' end as split,
+ func_id, id, sha256(input) as input_sha, target
+from both_kinds
+"""

@@ -115,22 +115,23 @@ def document_tokens(spark, sf):
 
 @register("sample_positions")
 def sample_positions(spark, sf):
-    from maskcorpus.operators.corrupt import min_tokens, sample_positions as sp
-    t = sp(min_tokens(document_tokens(spark, sf)), "tokens", "doc_id", 42)
+    from maskcorpus.operators.corrupt import sample_positions as sp
+    t = sp(document_tokens(spark, sf), "tokens", "doc_id", 42, min_n=10)
     return t.select("doc_id", F.size("tokens").alias("n_tokens"), F.size("positions").alias("n_masks"),
                     F.array_join("positions", ",").alias("positions"))
 
 
 @register("corrupt_tokens")
 def corrupt_tokens(spark, sf):
-    from maskcorpus.operators.corrupt import corrupt_tokens as ct, min_tokens
-    return ct(min_tokens(document_tokens(spark, sf)), "tokens", "doc_id", 42).select("doc_id", "input", "target")
+    from maskcorpus.operators.corrupt import corrupt_tokens as ct
+    return ct(document_tokens(spark, sf), "tokens", "doc_id", 42, min_n=10).select("doc_id", "input", "target")
 
 
 @register("split_counts")
 def split_counts(spark, sf):
     f = table(spark, sf, "code_functions")
-    return ordering.split_counts(f, "func_no", [350, 150], ["pretrain", "finetune"], 42).select("func_no", "split")
+    n = f.count()
+    return ordering.split_counts(f, "func_no", [n * 35 // 100, n * 15 // 100], ["pretrain", "finetune"], 42).select("func_no", "split")
 
 
 @register("split_80_10_10")
@@ -285,16 +286,21 @@ def _words(spark, sf):
     return wf(text_table(spark, sf, "documents", ("text",)), "text")
 
 
-_MODELS: dict = {}
+def _model(spark, sf):
+    """The model of BPE_MERGES merges (driver-side lists bounded by the merge count)."""
+    from maskcorpus.operators.bpe import learn_bpe
+    return learn_bpe(_words(spark, sf), vocab_size=2**31 - 1, max_merges=BPE_MERGES)
 
 
-def _model(spark, sf):
-    """The learned model (driver-side lists bounded by the merge count), once per application and input."""
+#: Special tokens, at most 256 byte letters, and 301 merges or more.
+VOCAB_SIZE = 660
+
+
+@register("bpe_vocab_660")
+def bpe_vocab_660(spark, sf):
+    """J3 up to a vocabulary size: the merges, in order (no SQL twin; a test compares with the tokenizers trainer)."""
     from maskcorpus.operators.bpe import learn_bpe
-    key = (spark.sparkContext.applicationId, sf, BPE_MERGES)
-    if key not in _MODELS:
-        _MODELS[key] = learn_bpe(_words(spark, sf), vocab_size=10**9, max_merges=BPE_MERGES)
-    return _MODELS[key]
+    return learn_bpe(_words(spark, sf), vocab_size=VOCAB_SIZE).merges_df(spark)
 
 
 @register("word_frequencies")
@@ -331,7 +337,7 @@ def encode_padded(spark, sf):
     model = _model(spark, sf)
     ex = mask_conditions(spark, sf).select("id", "input", "target")
     enc = add_labels(encode(ex, "input", model, 512), "target", model, 512)
-    return enc.select("id", "n_tokens", F.array_join("input_ids", ",").alias("input_ids"),
+    return enc.select("id", F.array_join("input_ids", ",").alias("input_ids"),
                       F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"),
                       F.array_join("labels", ",").alias("labels"))
 
@@ -364,4 +370,241 @@ def predict_fill_counts(spark, sf):
 def build_datasets(spark, sf):
     from maskcorpus.config import Params
     from maskcorpus.plans.stages import build_datasets as bd
-    return bd(functions_with_ids(spark, sf), Params(pretrain_target=350, finetune_target=150))
+    return bd(functions_with_ids(spark, sf), Params())
+
+
+# ---- files, archives and stages (A1-A8, A11, B4, B9, B10, D4, E13, E14, I1, I6, J7, J8, L1, M1-M3) -------------------
+# Each writes what it derives from the given tables to a scratch folder of this application and reads it back.
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from maskcorpus.session import _written_root
+    return f"{_written_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@register("catalog_files")
+def catalog_files(spark, sf):
+    from maskcorpus.sources.catalog import read_repo_catalog, to_pages
+    path = _scratch(spark, "pages")
+    to_pages(table(spark, sf, "repo_catalog")).select("items").repartition(3).write.json(path)  # several pages per file
+    return read_repo_catalog(spark, path).select("item_ord", "owner", "repo", "html_url", "language", "stars", "fork",
+                                                 "archived", "license", "default_branch")
+
+
+#: Files per archive of the derived archives.
+ARCHIVE_FILES = 50
+
+
+def _archives(spark, sf) -> str:
+    """Zip archives of code_files: a text member first, then the sources, each with bytes that are no UTF-8 at its end."""
+    path = _scratch(spark, "archives")
+    files = table(spark, sf, "code_files").withColumn("archive", F.expr(f"file_no div {ARCHIVE_FILES}"))
+
+    def write(pdf):
+        import io
+        import zipfile
+
+        import pandas as pd
+        from pyarrow import fs
+        system, root = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+        system.create_dir(root, recursive=True)
+        no = int(pdf["archive"].iloc[0])
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("readme.txt", "no source")
+            for file_no, code in sorted(zip(pdf["file_no"], pdf["code"])):
+                z.writestr(f"src/f{file_no}.py", code.encode() + b"\xff\xc3")
+        with system.open_output_stream(f"{root}/a{no}.zip") as out:
+            out.write(buf.getvalue())
+        return pd.DataFrame({"archive": [no]})
+
+    files.groupBy("archive").applyInPandas(write, "archive long").count()
+    return path
+
+
+@register("archive_members")
+def archive_members(spark, sf):
+    from maskcorpus.sources.archives import filter_members, read_archives
+    members = filter_members(read_archives(spark, _archives(spark, sf), suffix=""), ".py")
+    return members.select("member", "member_ord", "status", F.sha2("code", 256).alias("code_sha"))
+
+
+@register("functions_from_archives")
+def functions_from_archives(spark, sf):
+    """Of the archives with an even number, the later ones first."""
+    from maskcorpus.operators.extract import functions_from_archives as ffa
+    path = _archives(spark, sf)
+    found = spark.read.format("binaryFile").load(path).select("path", F.regexp_extract("path", "a(\\d+)[.]zip$", 1).cast("long").alias("no"))
+    repos = found.where("no % 2 = 0").select("path", (-F.col("no")).alias("repo_rank"))
+    return ffa(spark, path, repos).select("member", "fn_ord", "num_ifs", "lines", "id")
+
+
+BROKEN_FILES = "select file_no, case when file_no % 10 = 7 then concat(code, chr(10), 'def (') else code end as code from code_files"
+
+
+@register("extraction_report")
+def extraction_report(spark, sf):
+    from maskcorpus.operators.extract import extract_all, extraction_report as report
+    table(spark, sf, "code_files").createOrReplaceTempView("code_files")
+    return report(extract_all(spark.sql(BROKEN_FILES), ("file_no",)))
+
+
+@register("length_filter")
+def length_filter(spark, sf):
+    from maskcorpus.operators.extract import filter_length
+    return filter_length(extract_functions(spark, sf), 5, 12).select("file_no", "fn_ord", "lines")
+
+
+def _functions_table(spark, sf) -> DataFrame:
+    return functions_with_ids(spark, sf).select("id", "code", "if_statements", F.size("if_statements").alias("num_ifs"),
+                                                line_count("code").alias("lines"))
+
+
+@register("functions_jsonl")
+def functions_jsonl(spark, sf):
+    from maskcorpus.sources.files import read_functions, write_functions
+    path = _scratch(spark, "functions")
+    write_functions(_functions_table(spark, sf), path, fmt="json")
+    back = read_functions(spark, path)
+    return back.select("id", "num_ifs", "lines", F.sha2("code", 256).alias("code_sha"),
+                       F.array_join(F.transform("if_statements", lambda s: F.concat(s["line"].cast("string"), F.lit(":"), s["condition"])), "|").alias("ifs"))
+
+
+@register("examples_by_split")
+def examples_by_split(spark, sf):
+    from maskcorpus.sources.files import read_examples, write_examples
+    path = _scratch(spark, "examples")
+    write_examples(_finetune_splits(spark, sf).select("id", "input", "target", "split"), path, fmt="json")
+    out = None
+    for name in ("train", "val", "test"):
+        part = read_examples(spark, f"{path}/split={name}").select(
+            F.lit(name).alias("split"), "id", F.sha2("input", 256).alias("input_sha"), "target")
+        out = part if out is None else out.unionAll(part)
+    return out
+
+
+@register("benchmark_csv")
+def benchmark_csv(spark, sf):
+    from maskcorpus.sources.files import read_benchmark
+    path = _scratch(spark, "benchmark")
+    rows = table(spark, sf, "benchmark_code").selectExpr("item_id", "case when item_id % 7 <> 3 then code end as code", "'a, \"b\"' as other")
+    rows.write.option("header", "true").option("escape", '"').option("quoteAll", "true").csv(path)
+    return read_benchmark(spark, path).select(F.sha2("code", 256).alias("code_sha"))
+
+
+@register("results_csv")
+def results_csv(spark, sf):
+    from maskcorpus.operators.evaluate import score_predictions as sp
+    from maskcorpus.sources.files import read_results, write_results
+    path = _scratch(spark, "results")
+    write_results(sp(mask_conditions(spark, sf), table(spark, sf, "if_predictions"), on=("func_no", "line")), path)
+    return read_results(spark, path).select(F.sha2("input", 256).alias("input_sha"), "target", "prediction", "correct")
+
+
+@register("vocab_tables")
+def vocab_tables(spark, sf):
+    from maskcorpus.sources.files import read_vocab, write_vocab
+    path = _scratch(spark, "vocab")
+    model = _model(spark, sf)
+    write_vocab(model.vocab(spark), model.merges_df(spark), path)
+    return read_vocab(spark, path).vocab(spark)
+
+
+@register("nfkc_text")
+def nfkc_text(spark, sf):
+    """Every "in" of the texts as two full-width letters, which NFKC turns back."""
+    from maskcorpus.functions.bytelevel import nfkc
+    d = text_table(spark, sf, "documents", ("doc_id", "text"))
+    wide = d.select("doc_id", F.replace("text", F.lit("in"), F.lit("\uff49\uff4e")).alias("wide"))
+    return wide.select("doc_id", F.length("wide").alias("n_chars"), F.sha2(nfkc("wide"), 256).alias("text_sha"))
+
+
+@register("count_at_least")
+def count_at_least(spark, sf):
+    from maskcorpus.operators.stats import count_at_least as at_least
+    d = table(spark, sf, "documents")
+    return spark.createDataFrame([(n, at_least(d, n)) for n in (1, 150, 900, 10**9)], "n long, enough boolean")
+
+
+def _two_stages(spark, sf) -> dict[str, str]:
+    from maskcorpus.plans.stages import materialize
+    paths = {name: _scratch(spark, name) for name in ("functions", "words", "missing")}
+    for _ in range(2):  # the second round reads back
+        materialize(spark, "functions", lambda: table(spark, sf, "code_functions"), paths["functions"], min_rows=10)
+        materialize(spark, "words", lambda: table(spark, sf, "documents").select("doc_id", F.size(py_split("text")).alias("n_tokens")), paths["words"])
+    return paths
+
+
+@register("materialized_stage")
+def materialized_stage(spark, sf):
+    return spark.read.parquet(_two_stages(spark, sf)["words"])
+
+
+@register("progress_report")
+def progress_report(spark, sf):
+    from maskcorpus.plans.stages import progress_report as report
+    return report(spark, _two_stages(spark, sf)).drop("path")
+
+
+@register("score_repeated_predictions")
+def score_repeated_predictions(spark, sf):
+    from maskcorpus.operators.evaluate import score_predictions as sp
+    out = sp(mask_conditions(spark, sf), table(spark, sf, "repeated_predictions"), on=("func_no", "line"))
+    return out.select("id", "target", "prediction", "correct")
+
+
+@register("predict_batch")
+def predict_batch(spark, sf):
+    """A model that answers with the number of lines of its input."""
+    from maskcorpus.operators.predict import predict_batch as pb
+    test = _finetune_splits(spark, sf).where(F.col("split") == "test")
+    return pb(test, lambda: lambda texts: [f" {len(t.splitlines())} " for t in texts])
+
+
+@register("decode_truncated")
+def decode_truncated(spark, sf):
+    """Documents cut after 39 ids, also inside a character, are a prefix of the text once broken bytes are gone."""
+    from maskcorpus.functions.text import py_strip
+    from maskcorpus.operators.encode import decode, encode
+    model = _model(spark, sf)
+    d = decode(encode(text_table(spark, sf, "documents", ("doc_id", "text")), "text", model, 40), "input_ids", model, "back")
+    whole = py_strip(F.regexp_replace("back", "\ufffd+$", ""))
+    return d.select("doc_id", F.startswith(py_strip("text"), whole).alias("is_prefix"), (F.length(whole) > 0).alias("has_text"))
+
+
+@register("encode_datasets")
+def encode_datasets(spark, sf):
+    from maskcorpus.config import Params
+    from maskcorpus.plans.stages import encode_datasets as ed
+    out = ed(build_datasets(spark, sf), _model(spark, sf), Params())
+    return out.select("kind", "split", "id", F.sha2(F.array_join("input_ids", ","), 256).alias("input_sha"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"),
+                      F.sha2(F.array_join("labels", ","), 256).alias("labels_sha"))
+
+
+def _even_lengths(examples: DataFrame) -> DataFrame:
+    """Predictions that are right where the target's length is even."""
+    return examples.selectExpr("id", "case when length(target) % 2 = 0 then upper(target) else 'None' end as prediction")
+
+
+@register("pipeline_metrics")
+def pipeline_metrics(spark, sf):
+    from maskcorpus.config import Params
+    from maskcorpus.plans.stages import run_pipeline
+    from maskcorpus.sources.files import metrics_to_json
+    out = run_pipeline(spark, lambda: _functions_table(spark, sf), _scratch(spark, "run"), Params(vocab_size=240, max_length=128),
+                       predictions=_even_lengths, benchmark=lambda: table(spark, sf, "benchmark_code").select("code"))
+    return metrics_to_json(out["all_metrics"])
+
+
+@register("incremental_examples")
+def incremental_examples(spark, sf):
+    """Two landings of functions, each followed by a run of the stream."""
+    from maskcorpus.streaming.incremental import incremental_examples as stream
+    src, out, state = (_scratch(spark, x) for x in ("landing", "examples", "state"))
+    f = _functions_table(spark, sf).withColumn("half", F.substring("id", 1, 1) < "8")
+    for k, half in enumerate((F.col("half"), ~F.col("half"))):
+        f.where(half).drop("half").write.parquet(f"{src}/b{k}")
+        stream(spark, f"{src}/*", out, state).awaitTermination()
+    return spark.read.parquet(out).select("kind", "split", "func_id", "id", F.sha2("input", 256).alias("input_sha"), "target")

@@ -18,17 +18,33 @@ from maskcorpus.config import Params
 from maskcorpus.operators import corrupt, mask, ordering
 
 
+def dataset_parts(functions: DataFrame, p: Params = Params(), col: str = "part") -> DataFrame:
+    """Label functions ``pretrain``, ``finetune`` or ``unused`` over the seeded permutation.
+
+    With targets: the first ``pretrain_target``, the next ``finetune_target``, the rest unused. Without:
+    ``pretrain_share`` of all functions for pre-training and the others for fine-tuning. Only ids are read for it.
+    """
+    if p.pretrain_target is None and p.finetune_target is None:
+        return ordering.split_fractions(functions, "id", (p.pretrain_share,), ("pretrain", "finetune"), p.seed, col)
+    if p.pretrain_target is None or p.finetune_target is None:
+        raise ValueError("pretrain_target and finetune_target come together")
+    return ordering.split_counts(functions, "id", [p.pretrain_target, p.finetune_target], ["pretrain", "finetune"], p.seed, col=col)
+
+
+def cut_report(functions: DataFrame, p: Params = Params()) -> DataFrame:
+    """``part, n``: how many functions each part got and how many the targets left out (``unused``)."""
+    return dataset_parts(functions, p).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
 def build_datasets(functions: DataFrame, p: Params = Params()) -> DataFrame:
     """The preprocessing stage as one plan.
 
-    ``functions`` needs ``id, code, if_statements``. The seeded permutation of
-    functions gives the first ``pretrain_target`` to corruption and the next
-    ``finetune_target`` to condition masking; fine-tune examples are then split
-    80/10/10 by exact counts. Output: ``kind, split, id, input, target``
-    (pre-train rows carry their function id).
+    ``functions`` needs ``id, code, if_statements``. ``dataset_parts`` sends functions to corruption or to
+    condition masking; fine-tune examples are then split 80/10/10 by exact counts. Output:
+    ``kind, split, id, input, target`` (pre-train rows carry their function id). Cuts are keys, so code and
+    examples are never sorted or written for a split.
     """
-    parts = ordering.split_counts(functions, "id", [p.pretrain_target, p.finetune_target],
-                                  ["pretrain", "finetune"], p.seed, col="part")
+    parts = dataset_parts(functions, p)
     pre = corrupt.pretrain_examples(parts.where(F.col("part") == "pretrain"), "code", "id", p.seed,
                                     p.mask_rate_percent, p.min_tokens)
     pre = pre.select(F.lit("pretrain").alias("kind"), F.lit("train").alias("split"), "id", "input", "target")
@@ -38,6 +54,18 @@ def build_datasets(functions: DataFrame, p: Params = Params()) -> DataFrame:
     return pre.unionByName(fine)
 
 
+def encode_datasets(datasets: DataFrame, model, p: Params = Params()) -> DataFrame:
+    """All training examples encoded: ``kind, split, id, input_ids, attention_mask, labels``.
+
+    Pre-train rows get their hold-out (H3: ``holdout_fraction`` to ``test``), fine-tune rows keep train and val.
+    """
+    from maskcorpus.operators.encode import encode_examples
+    pre = datasets.where(F.col("kind") == "pretrain").drop("split")
+    pre = ordering.holdout(pre, "id", p.holdout_fraction, p.seed).select(*datasets.columns)
+    fine = datasets.where((F.col("kind") == "finetune") & (F.col("split") != "test"))
+    return encode_examples(pre.unionByName(fine), model, p.max_length)
+
+
 def is_complete(spark: SparkSession, path: str, min_rows: int | None = None) -> bool:
     """A stage output counts as complete when Spark's ``_SUCCESS`` marker is there
     (a partial write has none) and, optionally, it holds at least ``min_rows`` rows."""
@@ -80,6 +108,15 @@ class Stages:
         return os.path.join(self.root, name)
 
 
+def learned_vocabulary(spark: SparkSession, root: str, learn: Callable):
+    """The model written below ``root`` if both its tables are complete, else ``learn()`` written there."""
+    from maskcorpus.sources.files import read_vocab, write_vocab
+    if not all(is_complete(spark, os.path.join(root, t)) for t in ("vocab", "merges")):
+        model = learn()
+        write_vocab(model.vocab(spark), model.merges_df(spark), root)
+    return read_vocab(spark, root)
+
+
 def run_pipeline(spark: SparkSession, functions: Callable[[], DataFrame], out_root: str,
                  p: Params = Params(), vocab_texts: Callable[[], DataFrame] | None = None,
                  predictions: Callable[[DataFrame], DataFrame] | None = None,
@@ -87,48 +124,58 @@ def run_pipeline(spark: SparkSession, functions: Callable[[], DataFrame], out_ro
     """M2: stages in order, each materialised: functions -> datasets -> vocabulary -> encoded -> evaluation.
 
     ``benchmark`` (optional) returns rows with a ``code`` column; its first maskable ``if`` per row is the
-    second test set (L6), and ``metrics.json`` carries ``provided_testset: null`` without it.
+    second test set (L6), and ``metrics.json`` carries ``provided_testset: null`` without it. A second run
+    reads back every complete stage, the vocabulary included; functions count as complete from
+    ``total_functions_target`` rows on. Files for other tools: ``examples`` (JSON lines by kind and split),
+    ``generated-testset.csv``, ``provided-testset.csv``, ``metrics.json``; ``left_out`` has what the targets cut off.
     """
     from maskcorpus.operators.bpe import learn_bpe, word_frequencies
-    from maskcorpus.operators.encode import encode_examples
-    from maskcorpus.operators.evaluate import evaluate_dataset
+    from maskcorpus.operators.evaluate import assemble_metrics, exact_match, score_predictions
     from maskcorpus.operators.predict import fit_fill_counts, predict_fill_counts
+    from maskcorpus.sources.files import write_examples, write_metrics, write_results
     st = Stages(out_root)
     out: dict[str, DataFrame] = {}
-    out["functions"] = materialize(spark, "functions", functions, st.path("functions"))
+    out["functions"] = materialize(spark, "functions", functions, st.path("functions"), min_rows=p.total_functions_target)
+    out["left_out"] = materialize(spark, "left_out", lambda: cut_report(out["functions"], p), st.path("left_out"))
     out["datasets"] = materialize(spark, "datasets", lambda: build_datasets(out["functions"], p),
                                   st.path("datasets"), partition_by="kind")
-    texts = vocab_texts() if vocab_texts else out["functions"].select(F.col("code").alias("text"))
-    model = learn_bpe(word_frequencies(texts, "text"), p.vocab_size)
-    out["vocab"] = materialize(spark, "vocab", lambda: model.vocab(spark), st.path("vocab"))
-    out["merges"] = materialize(spark, "merges", lambda: model.merges_df(spark), st.path("merges"))
     ds = out["datasets"]
-    out["encoded"] = materialize(spark, "encoded", lambda: encode_examples(
-        ds.where(F.col("kind") == "finetune").where(F.col("split") != "test"), model, p.max_length),
-        st.path("encoded"))
+    if not is_complete(spark, st.path("examples")):
+        write_examples(ds.select("id", "input", "target", "kind", "split"), st.path("examples"), ("kind", "split"), fmt="json")
+
+    def learn():
+        texts = vocab_texts() if vocab_texts else out["functions"].select(F.col("code").alias("text"))
+        return learn_bpe(word_frequencies(texts, "text"), p.vocab_size)
+
+    model = learned_vocabulary(spark, out_root, learn)
+    out["vocab"], out["merges"] = (spark.read.parquet(st.path(t)) for t in ("vocab", "merges"))
+    out["encoded"] = materialize(spark, "encoded", lambda: encode_datasets(ds, model, p), st.path("encoded"), partition_by="kind")
     fine = ds.where(F.col("kind") == "finetune")
-    test = fine.where(F.col("split") == "test")
-    if predictions is None:
-        m = fit_fill_counts(fine.where(F.col("split") == "train"))
-        preds = predict_fill_counts(test, m).select("id", "prediction")
-    else:
-        preds = predictions(test)
-    results, metrics = evaluate_dataset(test, preds)
-    out["results"] = materialize(spark, "results", lambda: results, st.path("results"))
-    out["metrics"] = metrics
-    prov_metrics = None
+    test = fine.where(F.col("split") == "test").select("id", "input", "target")
+    fills: list = []
+
+    def predicted(examples: DataFrame) -> DataFrame:
+        if predictions is not None:
+            return predictions(examples)
+        if not fills:
+            fills.append(fit_fill_counts(fine.where(F.col("split") == "train")))
+        return predict_fill_counts(examples, fills[0]).select("id", "prediction")
+
+    def evaluated(name: str, examples: DataFrame, csv: str) -> DataFrame:
+        out[name] = materialize(spark, name, lambda: score_predictions(examples, predicted(examples)), st.path(name))
+        if not is_complete(spark, st.path(csv)):
+            write_results(out[name], st.path(csv))
+        return exact_match(out[name])
+
+    out["metrics"] = evaluated("results", test, "generated-testset.csv")
+    provided = None
     if benchmark is not None:
         from maskcorpus.operators.extract import extract_ifs
         from maskcorpus.operators.mask import mask_first_if
-        bench = benchmark().withColumn("item_id", F.monotonically_increasing_id())
-        bex = mask_first_if(extract_ifs(bench, ("item_id",)), ("item_id",)).withColumnRenamed("item_id", "id")
-        bpred = (predictions(bex) if predictions is not None else
-                 predict_fill_counts(bex, fit_fill_counts(fine.where(F.col("split") == "train"))).select("id", "prediction"))
-        b_results, prov_metrics = evaluate_dataset(bex, bpred)
-        out["provided_results"] = materialize(spark, "provided_results", lambda: b_results, st.path("provided_results"))
-        out["provided_metrics"] = prov_metrics
-    from maskcorpus.operators.evaluate import assemble_metrics
-    from maskcorpus.sources.files import write_metrics
-    out["all_metrics"] = assemble_metrics(metrics, prov_metrics)
+        # numbered once and written: both sides of the scoring join then see the same numbers
+        bench = materialize(spark, "benchmark", lambda: benchmark().withColumn("id", F.monotonically_increasing_id()), st.path("benchmark"))
+        provided = evaluated("provided_results", mask_first_if(extract_ifs(bench, ("id",)), ("id",)), "provided-testset.csv")
+        out["provided_metrics"] = provided
+    out["all_metrics"] = assemble_metrics(out["metrics"], provided)
     write_metrics(out["all_metrics"], st.path("metrics.json"))
     return out

@@ -25,6 +25,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # checkpoint files go when nothing refers to them any more
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Arrow batches of long texts: keep each batch a bounded size.
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
@@ -102,17 +104,34 @@ def ship_package(spark: SparkSession, zip_dir: str | None = None) -> None:
     _SHIPPED.add(key)
 
 
-def spread_rows(df, min_partitions: int | None = None):
-    """Round-robin rows over at least ``min_partitions`` tasks when the input has fewer partitions.
+def spread_rows(df):
+    """Deal rows evenly over tasks for CPU-heavy per-row work (tokenising, sampling, parsing).
 
-    A Parquet row group is never split, so a few large row groups leave most
-    cores idle for CPU-heavy per-row work (tokenising, sampling, parsing). On a
-    large input the scan already has more partitions than cores and this is a
-    no-op; otherwise it costs one shuffle of the rows. Round-robin
-    repartitioning sorts rows first, so a retried task gets the same rows.
+    A Parquet row group is never split, so a few large row groups would leave
+    most cores idle. The hint gives one plan at every size: a rebalancing
+    exchange whose partition sizes adaptive execution sets from the bytes.
     """
-    sc = df.sparkSession.sparkContext
-    target = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    return df.hint("rebalance")
+
+
+def written_once(df, name: str):
+    """Write ``df`` below the shared checkpoint folder and read it back: two passes then see the same rows.
+
+    For narrow tables (keys, counts). The folder is the application's scratch;
+    ``clear_written`` deletes it.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{_written_root(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _written_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/written-{spark.sparkContext.applicationId}"
+
+
+def clear_written(spark: SparkSession) -> None:
+    """Delete every table that ``written_once`` wrote in this application (call when results are stored)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_written_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -48,18 +48,20 @@ def _members(batches, suffix: str = SOURCE_SUFFIX):
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
-                  num_partitions: int | None = None, split_members: bool = True) -> DataFrame:
+                  num_partitions: int | None = None, split_members: bool = True, only: DataFrame | None = None) -> DataFrame:
     """Every ``suffix`` member of every archive under ``path``: ``path, member, member_ord, code, status``.
 
     ``split_members`` (default): members of one archive are read by many tasks
     (see ``read_archives_split``). Otherwise each archive is read whole by one task.
+    ``only(path)`` names the archives to read; others are not opened.
     """
     if split_members:
-        return read_archives_split(spark, path, glob, suffix, num_partitions)
+        return read_archives_split(spark, path, glob, suffix, num_partitions, only)
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
+    if only is not None:
+        raw = raw.join(only.select("path").distinct(), "path", "left_semi")
     out = raw.mapInPandas(lambda it: _members(it, suffix), MEMBER)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return out.repartition(n)
+    return out.repartition(num_partitions) if num_partitions else out.hint("rebalance")
 
 
 LISTING = T.StructType([
@@ -93,47 +95,67 @@ def _list_members(batches, suffix: str):
         yield pd.DataFrame(rows, columns=[f.name for f in LISTING.fields])
 
 
+#: Decoded text that a task holds before it hands rows on.
+BATCH_BYTES = 16_000_000
+#: Compressed bytes of members that one task reads.
+TASK_BYTES = 64_000_000
+
+
 def _read_members(batches):
     import zipfile
 
     import pandas as pd
+    columns = [f.name for f in MEMBER.fields]
     for pdf in batches:
-        rows = []
+        rows, held = [], 0
         for path, grp in pdf.groupby("path", sort=False):
+            ok = grp[grp["status"] == "ok"]
+            rows += [(path, None, -1, None, s) for s in grp["status"] if s != "ok"]
+            if ok.empty:
+                continue
             try:
                 with _open(path) as fh, zipfile.ZipFile(fh) as z:  # one open per archive per batch
                     infos = z.infolist()
-                    for member, ordinal in zip(grp["member"], grp["member_ord"]):
+                    for member, ordinal in zip(ok["member"], ok["member_ord"]):
                         try:
                             with z.open(infos[int(ordinal)]) as m:
                                 code = m.read().decode("utf-8", errors="ignore")
                             rows.append((path, member, int(ordinal), code, "ok"))
+                            held += len(code)
                         except Exception:  # noqa: BLE001 - bad member: report, continue
                             rows.append((path, member, int(ordinal), None, "bad_member"))
+                        if held >= BATCH_BYTES:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, held = [], 0
             except Exception:  # noqa: BLE001
-                rows += [(path, m, int(o), None, "bad_archive") for m, o in zip(grp["member"], grp["member_ord"])]
-        yield pd.DataFrame(rows, columns=[f.name for f in MEMBER.fields])
+                done = {r[2] for r in rows if r[0] == path}
+                rows += [(path, m, int(o), None, "bad_archive") for m, o in zip(ok["member"], ok["member_ord"]) if int(o) not in done]
+        yield pd.DataFrame(rows, columns=columns)
 
 
 def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
-                        num_partitions: int | None = None) -> DataFrame:
+                        num_partitions: int | None = None, only: DataFrame | None = None) -> DataFrame:
     """Archives read member by member, so one huge repository is decompressed by many tasks.
 
-    1. list archive paths (``binaryFile`` with the content column pruned: no bytes read);
-    2. list each archive's members from its central directory (a small read);
-    3. hash-spread the member list by ``(path, member_ord)``: a hot archive's
-       members land on every task;
-    4. each task opens its archives with random access and reads only its members.
-    Every member is read once; nothing but the member list moves between stages.
+    1. list archive paths (``binaryFile`` with the content column pruned: no bytes
+       read), and keep those of ``only(path)`` if given: no other archive is opened;
+    2. list each archive's members from its central directory, once, into a small table;
+    3. deal the members by ``(path, member_ord)`` over as many tasks as their bytes ask
+       for: a hot archive's members land on every task;
+    4. each task opens its archives with random access, reads only its members and
+       hands rows on every BATCH_BYTES.
     """
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from maskcorpus.session import written_once
     paths = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
-    listing = paths.mapInPandas(lambda it: _list_members(it, suffix), LISTING)
-    bad = listing.where(F.col("status") != "ok").select(
-        "path", "member", "member_ord", F.lit(None).cast("string").alias("code"), "status")
-    todo = listing.where(F.col("status") == "ok").select("path", "member", "member_ord")
-    todo = todo.repartition(n, "path", "member_ord").sortWithinPartitions("path", "member_ord")
-    return todo.mapInPandas(_read_members, MEMBER).unionByName(bad)
+    if only is not None:
+        paths = paths.join(only.select("path").distinct(), "path", "left_semi")
+    listing = written_once(paths.repartition("path").mapInPandas(lambda it: _list_members(it, suffix), LISTING), "members")
+    if num_partitions is None:
+        size = listing.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        num_partitions = max(spark.sparkContext.defaultParallelism, -(-int(size) // TASK_BYTES))
+    todo = listing.select("path", "member", "member_ord", "status")
+    todo = todo.repartition(num_partitions, "path", "member_ord").sortWithinPartitions("path", "member_ord")
+    return todo.mapInPandas(_read_members, MEMBER)
 
 
 def filter_members(df: DataFrame, suffix: str = SOURCE_SUFFIX, col: str = "member") -> DataFrame:

@@ -41,10 +41,10 @@ def read_examples(spark: SparkSession, path: str, fmt: str = "json") -> DataFram
     return r.json(path) if fmt == "json" else r.parquet(path)
 
 
-def write_examples(df: DataFrame, path: str, split: str = "split", fmt: str = "parquet",
+def write_examples(df: DataFrame, path: str, split: str | tuple[str, ...] = "split", fmt: str = "parquet",
                    mode: str = "overwrite") -> None:
     """All example sets in one write, one folder per split label."""
-    w = df.write.mode(mode).partitionBy(split)
+    w = df.write.mode(mode).partitionBy(*([split] if isinstance(split, str) else split))
     w.json(path) if fmt == "json" else w.parquet(path)
 
 
@@ -65,7 +65,15 @@ def write_results(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """
     out = df.select("input", "target", "prediction",
                     F.when(F.col("correct"), "True").when(~F.col("correct"), "False").alias("correct"))
-    (out.write.mode(mode).option("header", "true").option("escape", '"').option("quoteAll", "false").csv(path))
+    (out.write.mode(mode).option("header", "true").option("escape", '"').option("quoteAll", "true")
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """The result CSV read back with its texts unchanged."""
+    df = (spark.read.option("header", "true").option("multiLine", "true").option("escape", '"')
+          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return df.withColumn("correct", F.col("correct") == "True")
 
 
 def metrics_to_json(metrics: DataFrame) -> DataFrame:

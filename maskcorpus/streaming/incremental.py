@@ -1,7 +1,7 @@
 """M3: new function files -> new examples only (the re-aim of resumability).
 
 A file-source stream over a folder of function tables; each trigger masks the
-new functions (G1, stateless per row) and gives them a sort-free split (H4),
+new functions (G1), corrupts them (F2), both stateless per row, and gives them a sort-free split (H4),
 so earlier output is never recomputed. The checkpoint location keeps which
 files were processed, so a restarted run resumes where it stopped. Exact-count
 splits (H1/H2) need totals and stay batch jobs.
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from maskcorpus.config import Params
+from maskcorpus.operators.corrupt import pretrain_examples
 from maskcorpus.operators.mask import mask_conditions
 from maskcorpus.operators.ordering import split_hash
 from maskcorpus.sources.files import FUNCTION
@@ -25,12 +26,19 @@ def incremental_examples(spark: SparkSession, in_path: str, out_path: str, check
     src = spark.readStream.schema(FUNCTION).format(fmt).option("maxFilesPerTrigger", 1000).load(in_path)
     ex = examples_of(src, p)
     w = (ex.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
-         .partitionBy("split").outputMode("append"))
+         .partitionBy("kind", "split").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
 def examples_of(functions: DataFrame, p: Params = Params()) -> DataFrame:
-    """Stateless per-row part of the stage: masking + hash split by function id (no leak across splits)."""
-    ex = mask_conditions(functions.where(F.size("if_statements") > 0), p.keywords, p.terminator, p.mask_token)
-    return split_hash(ex, "func_id", (p.train_fraction, p.val_fraction), seed=p.seed)
+    """Stateless per-row part of the stage: ``kind, split, func_id, id, input, target``.
+
+    Every function gives a corrupted pre-train example (F2) and an example per maskable condition (G1); the hash
+    split by function id keeps all examples of a function in one split.
+    """
+    fine = mask_conditions(functions.where(F.size("if_statements") > 0), p.keywords, p.terminator, p.mask_token)
+    fine = fine.select(F.lit("finetune").alias("kind"), "func_id", "id", "input", "target")
+    pre = pretrain_examples(functions, "code", "id", p.seed, p.mask_rate_percent, p.min_tokens)
+    pre = pre.select(F.lit("pretrain").alias("kind"), F.col("id").alias("func_id"), "id", "input", "target")
+    return split_hash(pre.unionByName(fine), "func_id", (p.train_fraction, p.val_fraction), seed=p.seed)

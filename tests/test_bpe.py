@@ -57,12 +57,14 @@ def test_encode_equals_library(spark, trained, corpus):
     model, tok = trained
     samples = corpus[1][:20] + EDGE
     df = spark.createDataFrame(list(enumerate(samples)), "i int, text string")
-    rows = encode(df, "text", model, max_len=48).orderBy("i").collect()
+    rows = encode(df, "text", model, max_len=48, count=True).orderBy("i").collect()
+    cut = encode(df, "text", model, max_len=48).orderBy("i").collect()
     for r, t in zip(rows, samples):
         ids = tok.encode(t).ids
         exp = ids[:48] + [0] * (48 - min(48, len(ids)))
         assert r["input_ids"] == exp, t
         assert r["attention_mask"] == [1] * min(48, len(ids)) + [0] * (48 - min(48, len(ids)))
+        assert cut.pop(0)["input_ids"] == exp, t
         assert r["n_tokens"] == len(ids) and r["input_ids"][0] == 2  # </s> is a prefix
 
 
@@ -75,6 +77,27 @@ def test_decode_inverts_encode(spark, trained, corpus):
     assert "Ġ" in raw  # no-decoder parity mode keeps the byte map
 
 
+def test_decode_of_cut_and_broken_bytes(spark, trained):
+    model, tok = trained
+    for text in ("é漢字🙂 é", "ab漢", "é"):
+        ids = tok.encode(text).ids
+        df = spark.createDataFrame([(ids[:k],) for k in range(len(ids) + 1)], "ids array<int>")
+        got = [r["text"] for r in decode(df, "ids", model).collect()]
+        assert got[-1] == text and all(text.startswith(g.rstrip("\ufffd").rstrip()) for g in got)
+    odd = spark.createDataFrame([([0, 1, 2, 10 ** 6, -1],), ([],), (None,)], "ids array<int>")
+    assert [r["text"] for r in decode(odd, "ids", model).collect()] == ["", "", None]
+
+
+def test_long_word_is_encoded_soon(trained):
+    import time
+
+    from maskcorpus.operators.encode import Encoder
+    model, tok = trained
+    start = time.time()
+    word = "abcde" * 40000
+    assert Encoder(model).word_ids(word) and time.time() - start < 20
+
+
 def test_bpe_checkpoints_in_configured_folder(spark):
     assert spark.sparkContext.getCheckpointDir()
 

@@ -26,8 +26,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_is_declared():
-    rows_only = set()
-    assert set(QUERIES) - set(ORACLE) == rows_only
+    rows_only = {"bpe_vocab_660"}  # checked against the trainer of the tokenizers library in test_bpe
+    own = {q for q in QUERIES if q != "pipeline" and not q.startswith("op")}
+    assert own - set(ORACLE) == rows_only
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

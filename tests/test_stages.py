@@ -85,10 +85,12 @@ def test_incremental_stream_processes_new_files_once(spark, tmp_dir):
     schema = "id string, code string, if_statements array<struct<condition:string,line:int,depth:int>>, num_ifs int, lines int"
     spark.createDataFrame([("a", CODE, [("x > 1", 2, 3)], 1, 5)], schema).write.parquet(os.path.join(src, "b1"))
     incremental_examples(spark, os.path.join(src, "*"), out, ck).awaitTermination()
-    assert spark.read.parquet(out).count() == 1
+    assert spark.read.parquet(out).count() == 2  # one corrupted function, one masked condition
     spark.createDataFrame([("b", CODE.replace("x > 1", "x < 0"), [("x < 0", 2, 3)], 1, 5)], schema).write.parquet(os.path.join(src, "b2"))
     incremental_examples(spark, os.path.join(src, "*"), out, ck).awaitTermination()
-    got = spark.read.parquet(out)
+    both = spark.read.parquet(out)
+    got = both.where("kind = 'finetune'")
+    assert both.count() == 4 and both.groupBy("func_id").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
     assert got.count() == 2 and {r["target"] for r in got.collect()} == {"x > 1", "x < 0"}
 
 
