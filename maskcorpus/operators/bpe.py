@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from maskcorpus.config import SPECIAL_TOKENS
 from maskcorpus.functions.bytelevel import byte_level, nfkc, pretokenize
 from maskcorpus.session import ensure_checkpoint_dir
 
-_IDS = r"<(\d+)>"
+_KEY = 1 << 31  # ids are 32-bit integers: (left, right) packs into one long
 
 
 def word_frequencies(df: DataFrame, text: str = "text", normalise: bool = True) -> DataFrame:
@@ -36,14 +37,21 @@ def word_frequencies(df: DataFrame, text: str = "text", normalise: bool = True)
     return raw.select(byte_level("w").alias("word"), "n")
 
 
-def _pairs(words: DataFrame, s: str = "s", n: str = "n") -> DataFrame:
-    ids = F.regexp_extract_all(F.col(s), F.lit(_IDS), 1)
-    k = F.size(ids) - 1
-    z = F.arrays_zip(F.slice(ids, 1, k).alias("a"), F.slice(ids, 2, k).alias("b"))
-    return (words.where(F.col(s).contains("><"))
-            .select(F.explode(z).alias("p"), n)
-            .groupBy(F.col("p.a").cast("int").alias("a"), F.col("p.b").cast("int").alias("b"))
-            .agg(F.sum(n).alias("n")))
+def with_ids(words: DataFrame, s: str = "s") -> DataFrame:
+    """``s, n`` and the symbols as ``ids array<int>``."""
+    return words.withColumn("ids", F.split(F.substring(s, 2, 2**31 - 1), "><").cast("array<string>")).withColumn(
+        "ids", F.transform("ids", lambda x: F.rtrim(x, F.lit(">")).cast("int")))
+
+
+def _pair_keys() -> F.Column:
+    """The adjacent pairs of ``ids`` as longs: left * _KEY + right."""
+    k = F.greatest(F.size("ids") - 1, F.lit(0))
+    return F.zip_with(F.slice("ids", F.lit(1), k), F.slice("ids", F.lit(2), k), lambda a, b: a.cast("long") * _KEY + b)
+
+
+def _pairs(words: DataFrame) -> DataFrame:
+    """``p, n``: how often each adjacent pair occurs, for words with ``ids``; one long key, summed before the shuffle."""
+    return words.select(F.explode(_pair_keys()).alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -86,6 +94,16 @@ def symbol_table(words: DataFrame, alpha: list[str], first_id: int, word: str =
     return words.where(F.col(word) != "").select(s.alias("s"), F.col(n).cast("long").alias("n"))
 
 
+def _merged(s, steps: list[str]):
+    """``s`` after replacing ``steps[0]`` by ``steps[1]``, then ``steps[2]`` by ``steps[3]``, ...
+
+    One fold over a literal array: the plan and its compiled code do not grow with the batch.
+    """
+    table = F.lit(np.array(steps))
+    at = F.lit(np.arange(1, len(steps), 2, dtype=np.int32))
+    return F.aggregate(at, s, lambda word, i: F.replace(word, F.element_at(table, i), F.element_at(table, i + 1)))
+
+
 def _safe_batch(top: list, bounds: dict, budget: int) -> list:
     """Merges from one pair count that greedy BPE provably takes next, in order.
 
@@ -115,28 +133,22 @@ def _safe_batch(top: list, bounds: dict, budget: int) -> list:
     return taken
 
 
-_KEY = 1 << 31  # ids are 32-bit integers: (left, right) packs into one long
-
-
 def _triple_bounds(words: DataFrame, head: list) -> dict:
     """For each head pair ``(a, b)``: the largest weighted count of a triple ``x a b`` or ``a b y``.
 
-    One aggregation over the word table; the head set (bounded by ``head``) is a
-    literal ``isin`` over packed integer pair keys.
+    One aggregation over the word table; only the places of head pairs leave
+    their word. The head (bounded by the batch) is a literal array, which
+    enters the compiled code as a reference: the code is the same in every round.
     """
-    keys = [a * _KEY + b for a, b, _ in head]
-    ids = F.regexp_extract_all(F.col("s"), F.lit(_IDS), 1)
-    k = F.size(ids) - 2
-    z = F.arrays_zip(F.slice(ids, 1, k).alias("x"), F.slice(ids, 2, k).alias("y"), F.slice(ids, 3, k).alias("z"))
-    t = (words.where(F.size(ids) >= 3).select(F.explode(z).alias("t"), "n")
-         .select(F.col("t.x").cast("long").alias("x"), F.col("t.y").cast("long").alias("y"),
-                 F.col("t.z").cast("long").alias("z"), "n"))
-    right = (F.col("y") * _KEY + F.col("z"))
-    left = (F.col("x") * _KEY + F.col("y"))
-    hits = (t.where(right.isin(keys)).select(right.alias("pair"), "x", "y", "z", "n")
-            .unionByName(t.where(left.isin(keys)).select(left.alias("pair"), "x", "y", "z", "n")))
-    per_tri = hits.groupBy("pair", "x", "y", "z").agg(F.sum("n").alias("c"))
-    return {(p // _KEY, p % _KEY): m for p, m in per_tri.groupBy("pair").agg(F.max("c")).collect()}
+    keys = F.lit(np.array([a * _KEY + b for a, b, _ in head], np.int64))
+    places = F.transform(_pair_keys(), lambda p, i: F.struct(
+        p.alias("p"), F.get(F.col("ids"), i - 1).alias("x"), F.get(F.col("ids"), i + 2).alias("y")))
+    hits = F.filter(places, lambda e: F.array_contains(keys, e["p"]))
+    sides = F.flatten(F.transform(hits, lambda e: F.array(
+        F.struct(e["p"].alias("p"), F.lit(0).alias("side"), e["x"].alias("other")),
+        F.struct(e["p"].alias("p"), F.lit(1).alias("side"), e["y"].alias("other")))))
+    triples = words.select(F.inline(sides), "n").where("other is not null").groupBy("p", "side", "other").agg(F.sum("n").alias("c"))
+    return {(r["p"] // _KEY, r["p"] % _KEY): r["m"] for r in triples.groupBy("p").agg(F.max("c").alias("m")).collect()}
 
 
 def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = None, word: str = "word",
@@ -157,17 +169,16 @@ def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
     tokens = specials + [c for c in alpha if c not in set(specials)]
     tok_id = {t: i for i, t in enumerate(tokens)}
     id_tok = dict(enumerate(tokens))
-    cur = symbol_table(words, alpha, len(specials), word, n).checkpoint(eager=True)
+    cur = with_ids(symbol_table(words, alpha, len(specials), word, n)).checkpoint(eager=True)
     merges: list[tuple[str, str, int]] = []
     rounds, stale = 0, None
     while len(tok_id) < vocab_size and (max_merges is None or len(merges) < max_merges):
-        pairs = _pairs(cur).persist(StorageLevel.MEMORY_AND_DISK)
-        top = [(r["a"], r["b"], r["n"]) for r in pairs.orderBy(F.col("n").desc(), "a", "b").limit(head).collect()]
+        # left ids first, then right ids: the order of the keys is the order of the pairs
+        top = [(r["p"] // _KEY, r["p"] % _KEY, r["n"]) for r in _pairs(cur).orderBy(F.col("n").desc(), "p").limit(head).collect()]
         if stale is not None:  # ``cur`` is materialised now; its parent's cache can go
             stale.unpersist()
             stale = None
         if not top or top[0][2] < 1:
-            pairs.unpersist()
             break
         budget = min(batch, vocab_size - len(tok_id))
         if max_merges is not None:
@@ -176,8 +187,7 @@ def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
             chosen = _safe_batch(top, _triple_bounds(cur, top[:2 * batch]), budget)
         else:
             chosen = top[:1]
-        pairs.unpersist()
-        col = F.col("s")
+        steps = []
         for a, b, cnt in chosen:
             left, right = id_tok[a], id_tok[b]
             new = left + right
@@ -185,9 +195,8 @@ def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
                 tok_id[new] = len(id_tok)
                 id_tok[tok_id[new]] = new
             merges.append((left, right, int(cnt)))
-            pat, rep = f"<{a}><{b}>", f"<{tok_id[new]}>"
-            col = F.replace(col, F.lit(pat), F.lit(rep))  # one reference per level: the tree stays linear
-        nxt = cur.select(col.alias("s"), "n")
+            steps += [f"<{a}><{b}>", f"<{tok_id[new]}>"]
+        nxt = with_ids(cur.select(_merged(F.col("s"), steps).alias("s"), "n"))
         rounds += 1
         if rounds % checkpoint_every == 0:
             nxt = nxt.checkpoint(eager=True)  # cuts lineage; reliable storage survives executor loss
