@@ -118,9 +118,78 @@ select page_id, strlen(t)::bigint as payload_bytes,
 from f
 """
 
+#: The article of a page by patterns: blocks end at paragraph and heading tags; references of the pages' texts are decoded.
+OP3 = r"""
+with a as (select page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) as t from pages),
+b as (select page_id, url, list_filter(list_transform(regexp_split_to_array(t, '</?(?:p|h1)(?:\s[^>]*)?>'), lambda x:
+        trim(regexp_replace(regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]+>', '', 'g'), '[\x20\x09-\x0D]+', ' ', 'g'))),
+        lambda x: x <> '') as blocks from a),
+d as (select page_id, url, regexp_replace(regexp_replace(regexp_replace(regexp_replace(array_to_string(blocks, chr(10)),
+        '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&amp;?', '&', 'g') as text from b)
+select page_id, url, coalesce(text, '') as text, length(coalesce(text, ''))::bigint as n_chars from d
+"""
+
+
+def _op8() -> str:
+    """Hosts, paths and rules, then one level of the template tree after the other."""
+    from .queries import RULES
+    from .url_filter import LOWER, MAX_DEPTH, MIN_LABELS, REJECT, SMOOTHING, UPPER, Z
+    fits = []
+    for says, text in sorted(RULES, key=lambda r: (-len(r[1]), r[1])):
+        name, _, rest = text.partition("/")
+        fits.append((f"(host = '{name}' or ends_with(host, '.{name}')) and starts_with(path, '/{rest}')", says, text))
+    rule = "case " + " ".join(f"when {f} then '{t}'" for f, _, t in fits) + " end"
+    says = "case " + " ".join(f"when {f} then '{v}'" for f, v, _ in fits) + " end"
+    parts = [f"""
+with u as (select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from u),
+r as (select *, {rule} as rule, {says} as says from h),
+lab as (select doc_id, max((quality = 0 or toxic = 1)::int) as bad from labels where doc_id is not null and (quality = 0 or toxic = 1) is not null group by doc_id),
+p as (select host, path, count(lab.bad) as labelled, coalesce(sum(lab.bad), 0)::bigint as bad from r left join lab on lab.doc_id = r.page_id group by host, path),
+s as (select *, list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: regexp_replace(x, '[0-9]+', '*', 'g')) as sg from p),
+n0 as (select host, path, labelled, bad, '' as prefix, least(len(sg), {MAX_DEPTH + 1}) as depth,
+  case when len(sg) > {MAX_DEPTH} then list_concat(sg[1:{MAX_DEPTH}], ['**']) else sg end as sg from s)"""]
+    for k in range(MAX_DEPTH + 1):
+        parts.append(f"""
+b{k} as (select host, depth, prefix, sg[{k + 1}] as branch, sum(labelled) as n, sum(bad) as b from n{k} where depth > {k} group by all),
+t{k} as (select host, depth, prefix, count(*) as k, sum(n) as an, sum(b) as ab from b{k} group by all),
+d{k} as (select host, depth, prefix, branch, case when k = 1 or (n >= {MIN_LABELS} and abs((b + 0.5::double) / (n + 1) - (ab - b + 0.5::double) / (an - n + 1))
+  > {Z}::double * sqrt((ab + 0.5::double) / (an + 1) * (1 - (ab + 0.5::double) / (an + 1)) * (1::double / (n + 1) + 1::double / (an - n + 1)))) then branch else '*' end as name
+  from b{k} join t{k} using (host, depth, prefix)),
+n{k + 1} as (select host, path, labelled, bad, prefix || '/' || d.name as prefix, depth, sg from n{k} x join d{k} d using (host, depth, prefix)
+  where x.depth > {k} and d.branch = x.sg[{k + 1}]
+  union all select host, path, labelled, bad, prefix, depth, sg from n{k} where depth <= {k})""")
+    last = MAX_DEPTH + 1
+    parts.append(f"""
+t as (select host, path, host || case when prefix = '' then '/' else prefix end as template, labelled, bad from n{last}),
+prior as (select coalesce(sum(bad)::double / nullif(sum(labelled), 0), 0) as q from t),
+pur as (select template, (sum(bad) + {SMOOTHING}::double * any_value(q)) / (sum(labelled) + {SMOOTHING}::double) as purity from t, prior group by template)""")
+    return ",".join(parts) + f"""
+select r.page_id, r.host, r.path, r.rule, coalesce(r.says, case when pur.purity >= {REJECT} then 'block' else 'allow' end) as verdict, t.template, pur.purity
+from r join t on t.host = r.host and t.path = r.path join pur on pur.template = t.template
+"""
+
+
+#: All pairs of vectors, and the ids that can be reached from each.
+OP10 = """
+with recursive v as (
+  select row_number() over () as r, vec_id, embedding::double[] as e,
+         coalesce(len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+                  and len(list_filter(embedding, lambda x: x <> 0)) > 0, false) as good from embeddings),
+l as (select a.r as x, b.r as y from v a join v b on a.good and b.good and a.r <> b.r and len(a.e) = len(b.e)
+      where list_cosine_similarity(a.e, b.e) >= 0.95),
+c as (select r, vec_id as c from v union select l.y, c.c from c join l on l.x = c.r),
+m as (select r, min(c) as component_id from c group by r)
+select v.vec_id, (select count(*) from l where l.x = v.r)::bigint as n_links, m.component_id, v.vec_id = m.component_id as kept
+from v join m on m.r = v.r
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": OP1,
+    "op3_html_extraction": OP3,
     "op4_quality_rules": OP4,
     "op5_mixing": OP5,
     "op7_warc": OP7,
+    "op8_url_filters": _op8(),
+    "op10_embedding_near_dedup": OP10,
 }
