@@ -67,6 +67,10 @@ def _pick(n, k, seed):
     return pd.Series([one(int(a), int(b), int(c)) for a, b, c in zip(n, k, seed)])
 
 
+# The optimizer must not copy the sampler into filters further down, where it and the tokenisation would run again.
+_pick = _pick.asNondeterministic()
+
+
 def sample_positions(df: DataFrame, tokens: str = "tokens", key: str = "id", seed: int = 42,
                      rate_percent: int = 15, out: str = "positions", min_n: int = 0) -> DataFrame:
     """F1 (+ B6): ``max(1, int(n*rate))`` distinct positions without replacement, ascending.

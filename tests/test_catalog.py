@@ -41,3 +41,45 @@ def test_top_k_plan_and_take_until(spark):
     kept = catalog.take_until(top, counts, target=9).orderBy("repo_rank").collect()
     # before-group totals 0, 4, 8 are below 9: three whole repos, 12 functions > target (Q11)
     assert [r["repo_key"] for r in kept] == [0, 1, 2]
+
+
+def test_pages_of_every_layout(spark, tmp_dir):
+    """Several pages per file, a list of pages, one page over many lines; no page field; nothing is lost."""
+    def pages(k):
+        return [{"items": [_item(f"r{k}_{i}_{j}", 10 + j) for j in range(2)]} for i in range(3)]
+    with open(os.path.join(tmp_dir, "a.json"), "w") as fh:
+        fh.write("\n".join(json.dumps(p) for p in pages(0)) + "\n\n")
+    with open(os.path.join(tmp_dir, "b.json"), "w") as fh:
+        json.dump(pages(1), fh)
+    with open(os.path.join(tmp_dir, "c.json"), "w") as fh:
+        json.dump(pages(2)[0], fh, indent=2)
+    with open(os.path.join(tmp_dir, "d.json"), "w") as fh:
+        fh.write("")
+    rows = read_repo_catalog(spark, tmp_dir).orderBy("repo_key").collect()
+    assert [r["repo"] for r in rows] == [f"r{k}_{i}_{j}" for k, n in ((0, 3), (1, 3), (2, 1)) for i in range(n) for j in range(2)]
+    assert len({r["repo_key"] for r in rows}) == 14 and all(r["repo_key"] for r in rows)
+    lines = read_repo_catalog(spark, os.path.join(tmp_dir, "a.json"), layout="lines")
+    assert lines.count() == 6
+
+
+def test_a_broken_page_fails(spark, tmp_dir):
+    import pytest
+    with open(os.path.join(tmp_dir, "a.json"), "w") as fh:
+        fh.write('{"items": [\n')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        read_repo_catalog(spark, tmp_dir).collect()
+
+
+def test_rank_without_a_cut_and_refusal_of_huge_windows(spark, monkeypatch):
+    repos = spark.createDataFrame([(f"k{i}", i % 4) for i in range(10)], "repo_key string, stars long")
+    ranked = catalog.top_repos(repos).orderBy("repo_rank").collect()
+    assert [r["repo_rank"] for r in ranked] == list(range(1, 11))
+    assert [(-r["stars"], r["repo_key"]) for r in ranked] == sorted((-(i % 4), f"k{i}") for i in range(10))
+    monkeypatch.setattr(catalog, "WINDOW_ROWS", 5)
+    with pytest_raises():
+        catalog.take_until(repos.withColumnRenamed("stars", "repo_rank"), repos.selectExpr("repo_key", "stars as n_functions"), 3)
+
+
+def pytest_raises():
+    import pytest
+    return pytest.raises(ValueError)

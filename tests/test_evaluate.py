@@ -94,3 +94,10 @@ def test_hash_split_by_function_keeps_examples_together(spark):
     out = split_hash(ex, "func_id")
     per_func = out.groupBy("func_id").agg(F.countDistinct("split").alias("k"))
     assert per_func.where("k > 1").count() == 0  # no function in two splits (the Q17 leak is gone)
+
+
+def test_repeated_predictions_do_not_repeat_examples(spark):
+    from maskcorpus.operators.evaluate import exact_match, score_predictions
+    ex = spark.createDataFrame([(1, "a"), (2, "b")], "id long, target string")
+    pred = spark.createDataFrame([(1, "a"), (1, "zz"), (1, None), (3, "x")], "id long, prediction string")
+    assert exact_match(score_predictions(ex, pred)).first().asDict() == {"exact_match": 1, "total": 2, "accuracy": 0.5}

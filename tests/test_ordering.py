@@ -44,3 +44,29 @@ def test_split_hash_stable_and_roughly_proportional(spark):
     assert joined.where(F.col("split") != F.col("s2")).count() == 0  # stable under growth
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_cuts_equal_a_sort(spark):
+    import hashlib
+    import random
+    rng = random.Random(3)
+    keys = rng.sample(range(10**6), 3000)
+    order = sorted(keys, key=lambda k: (hashlib.sha256(f"7:{k}".encode()).hexdigest(), k))
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    old = ordering.PREFIX_DIGITS, ordering.DIRECT_ROWS
+    try:
+        for ordering.PREFIX_DIGITS, ordering.DIRECT_ROWS in (old, (1, 5)):  # the second goes several levels deep
+            for counts in ([1000, 500], [0, 3000], [2999, 1], [5000, 10], [0, 0], [1, 1]):
+                got = {r["key"]: r["split"] for r in ordering.split_counts(df, "key", counts, ["a", "b"], seed=7).collect()}
+                want = {k: "a" if i < counts[0] else "b" if i < sum(counts) else "unused" for i, k in enumerate(order)}
+                assert got == want, counts
+    finally:
+        ordering.PREFIX_DIGITS, ordering.DIRECT_ROWS = old
+
+
+def test_splits_of_empty_and_repeated_keys(spark):
+    empty = spark.createDataFrame([], "key long")
+    assert ordering.split_fractions(empty, "key").collect() == [] and ordering.holdout(empty, "key").collect() == []
+    rows = spark.createDataFrame([(5,)] * 20 + [(i,) for i in range(10)], "key long")
+    out = ordering.split_counts(rows, "key", [12, 6], ["a", "b"])
+    assert out.count() == 30 and out.groupBy("key").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0

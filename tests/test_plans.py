@@ -53,3 +53,45 @@ def test_global_index_with_many_partitions(spark):
         assert out.where(F.col("k") == 0).first()["i"] == 0
     finally:
         spark.conf.set(key, old)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_exact_splits_move_no_payload(spark):
+    rows = spark.createDataFrame([(i, "x" * 50, "y" * 50) for i in range(500)], "id long, input string, target string")
+    for out in (ordering.split_counts(rows, "id", [100, 50], ["a", "b"]), ordering.split_fractions(rows, "id"),
+                ordering.holdout(rows, "id")):
+        plan = _plan(out)
+        assert "Exchange" not in plan and "Sort" not in plan and "ExistingRDD[checkpoint" not in plan
+        assert out.count() == 500
+
+
+def test_global_index_sorts_keys_only(spark, monkeypatch):
+    written = []
+    keep = ordering.written_once
+    monkeypatch.setattr(ordering, "written_once", lambda df, name: written.append(df.columns) or keep(df, name))
+    rows = spark.createDataFrame([(i % 90, "x" * 50) for i in range(300)], "k long, code string")
+    out, n = ordering.global_index(rows, ["k"], "i")
+    assert n == 300 and written == [["_o0", "_n", "_pid", "_mid"]]  # no code column
+    got = [(r["k"], r["i"]) for r in out.orderBy("i").collect()]
+    assert [i for _, i in got] == list(range(300)) and [k for k, _ in got] == sorted(k for k, _ in got)  # ties are consecutive
+
+
+def test_masking_splits_a_function_once(spark):
+    import __spark_entry__ as E
+    plan = _optimized(E.queries()["mask_conditions"](spark, SF_SMALL))
+    assert plan.count("split(") == 1  # the code of a function, below the generator
+
+
+def test_corruption_tokenises_once(spark):
+    import __spark_entry__ as E
+    plan = _optimized(E.queries()["corrupt_tokens"](spark, SF_SMALL))
+    assert plan.count("split(") == 1, plan
+
+
+def test_spreading_is_one_plan_at_every_size(spark):
+    from maskcorpus.session import spread_rows
+    small, large = (_optimized(spread_rows(spark.range(0, n, 1, p).selectExpr("id", "id as text"))) for n, p in ((10, 1), (10**6, 64)))
+    assert "RebalancePartitions" in small and "RebalancePartitions" in large

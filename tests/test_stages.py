@@ -142,3 +142,40 @@ def test_examples_and_metrics_files(spark, tmp_dir):
     with open(os.path.join(mpath, txt[0])) as fh:
         assert _json.loads(fh.read()) == {"generated_testset": {"accuracy": 1.0, "exact_match": 2, "total": 2},
                                           "provided_testset": None}
+
+
+def test_unselected_archives_are_never_opened(spark, tmp_dir):
+    _zip(os.path.join(tmp_dir, "r1.zip"), {"r1/a.py": CODE})
+    with open(os.path.join(tmp_dir, "bad.zip"), "wb") as fh:
+        fh.write(b"not a zip")  # would give a bad_archive row if it were opened
+    only = spark.createDataFrame([(f"file:{tmp_dir}/r1.zip", 1)], "path string, repo_rank long")
+    for split in (True, False):
+        rows = read_archives(spark, tmp_dir, split_members=split, only=only).collect()
+        assert [(r["member"], r["status"]) for r in rows] == [("r1/a.py", "ok")]
+
+
+def test_second_run_learns_nothing_and_keeps_every_stage(spark, tmp_dir, monkeypatch):
+    from __spark_entry__ import SMOKE_DIR
+    from maskcorpus.operators import bpe
+    from maskcorpus.plans.queries import _functions_table, table
+    p = Params(vocab_size=215, max_length=32, pretrain_target=60, finetune_target=40)
+    root = os.path.join(tmp_dir, "run")
+
+    def run():
+        return run_pipeline(spark, lambda: _functions_table(spark, SMOKE_DIR), root, p,
+                            benchmark=lambda: table(spark, SMOKE_DIR, "benchmark_code").select("code"))
+    first = run()
+    left = {r["part"]: r["n"] for r in first["left_out"].collect()}
+    assert left["pretrain"] == 60 and left["finetune"] == 40 and left["unused"] == first["functions"].count() - 100
+    splits = {(r["kind"], r["split"]): r["count"] for r in first["encoded"].groupBy("kind", "split").count().collect()}
+    assert {("pretrain", "train"), ("pretrain", "test"), ("finetune", "train"), ("finetune", "val")} == set(splits)
+    assert splits["pretrain", "test"] == -(-sum(n for (k, _), n in splits.items() if k == "pretrain") * 5 // 100)
+    before = [r.asDict() for r in first["all_metrics"].collect()]
+
+    def refuse(*a, **k):
+        raise AssertionError("the vocabulary was learned again")
+    monkeypatch.setattr(bpe, "learn_bpe", refuse)
+    monkeypatch.setattr(bpe, "word_frequencies", refuse)
+    second = run()
+    assert [r.asDict() for r in second["all_metrics"].collect()] == before
+    assert {"examples", "generated-testset.csv", "provided-testset.csv", "metrics.json"} <= set(os.listdir(root))
