@@ -448,7 +448,9 @@ _ROWS = 500
 
 def _rows(batches, columns: list[str]) -> Iterator[dict]:
     for batch in batches:
-        yield from map(dict, (zip(columns, values) for values in zip(*(c.to_pylist() for c in batch.columns))))
+        # one row at a time: a batch of long texts is not held twice
+        for values in zip(*((v.as_py() for v in c) for c in batch.columns)):
+            yield dict(zip(columns, values))
 
 
 def _batched(rows: Iterator[tuple], schema: pa.Schema, weight: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:

@@ -311,7 +311,7 @@ def extract(pages: DataFrame, tree=None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(h, tree) if h else "" for h in batch.column(2).to_pylist()]
+            texts = [main_text(h, tree) if h else "" for h in (v.as_py() for v in batch.column(2))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()),
                                               pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 

@@ -207,7 +207,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                      "end": spans[min(f.end, len(spans)) - 1][1]} for f in found]
 
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([notices(t) if t else [] for t in batch.column(1).to_pylist()], pa.list_(notice))],
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([notices(t) if t else [] for t in (v.as_py() for v in batch.column(1))], pa.list_(notice))],
                                              names=["doc_id", "notices"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

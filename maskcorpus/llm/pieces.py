@@ -16,12 +16,13 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Characters of text that are encoded at a time.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text that are encoded at a time.
+CHUNK_BYTES = 2_000_000
 #: Distinct marked words that a worker's table holds before it starts afresh.
 TABLE_WORDS = 300_000
 
@@ -93,16 +94,16 @@ def word_table(model: str) -> WordTable:
     return WordTable(model)
 
 
-def _pieces_of(texts: list[str]):
-    """Slices of ``texts`` of about CHUNK_CHARS characters; one long text is a slice of its own."""
+def _slices(sizes: list[int]):
+    """Slices of texts of about CHUNK_BYTES bytes together; one long text is a slice of its own."""
     start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_CHARS:
+    for i, n in enumerate(sizes):
+        if size and size + n > CHUNK_BYTES:
             yield start, i
             start, size = i, 0
-        size += len(t)
-    if start < len(texts):
-        yield start, len(texts)
+        size += n
+    if start < len(sizes):
+        yield start, len(sizes)
 
 
 def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
@@ -120,9 +121,10 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
     def run(batches):
         table = word_table(model)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
-            for a, b in _pieces_of(texts):
-                offsets, ids = table.encode(texts[a:b])
+            texts = batch.column(len(keep))
+            sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_pylist()
+            for a, b in _slices(sizes):
+                offsets, ids = table.encode([t or "" for t in texts.slice(a, b - a).to_pylist()])
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [*(c.slice(a, b - a) for c in batch.columns[: len(keep)]), lists,

@@ -110,7 +110,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_bytes: int =
         run_id, out, name, records, size, k = uuid.uuid4().hex, None, None, 0, 0, 0
         for batch in batches:
             done = []
-            for page_id, url, payload, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, url, payload, refers_to in zip(*((v.as_py() for v in c) for c in batch.columns)):
                 if out is None:
                     name = f"pages-{run_id}-{k:05d}.warc.gz"
                     out, records, size, k = files.open_output_stream(f"{path}/{name}", compression=None), 0, 0, k + 1

@@ -45,10 +45,10 @@ def test_rows_through_spark(spark, library, monkeypatch):
 
 def test_bounded_table_and_slices(library, monkeypatch):
     monkeypatch.setattr(P, "TABLE_WORDS", 5)
-    monkeypatch.setattr(P, "CHUNK_CHARS", 10)
+    monkeypatch.setattr(P, "CHUNK_BYTES", 10)
     table = P.WordTable(MODEL)
     texts = ["one two three", "four five six seven", "", "one eight", "x" * 50]
-    assert list(P._pieces_of(texts)) == [(0, 1), (1, 2), (2, 4), (4, 5)]
+    assert list(P._slices([len(t) for t in texts])) == [(0, 1), (1, 2), (2, 4), (4, 5)]
     for t in texts * 2:
         offsets, ids = table.encode([t])
         assert ids.tolist() == library.encode(t)
