@@ -23,6 +23,8 @@ from maskcorpus.operators.bpe import BpeModel
 # Special tokens as one pattern: <pad> <unk> </s> <extra_id_0> .. <extra_id_99>
 SPECIAL_RE = r"<pad>|<unk>|</s>|<extra_id_(?:[1-9]?[0-9])>"
 _SEGMENTS = r"(?:" + SPECIAL_RE + r")|(?s:(?:(?!" + SPECIAL_RE + r").)+)"
+#: Tokens of a model that tasks get as a broadcast: some hundred bytes each.
+MAX_VOCAB = 1_000_000
 _MARK = "\u0000"  # marks a special token among the pieces (never produced by the byte map)
 
 
@@ -63,6 +65,8 @@ class Encoder:
 
     def __init__(self, model: BpeModel):
         self.tokens = model.tokens()
+        if len(self.tokens) > MAX_VOCAB:
+            raise ValueError(f"a vocabulary of {len(self.tokens)} tokens is not broadcast (at most {MAX_VOCAB})")
         self.tok_id = {t: i for i, t in enumerate(self.tokens)}
         self.ranks = {}
         for r, (a, b, _) in enumerate(model.merges):

@@ -92,10 +92,11 @@ def cut_keys(df: DataFrame, key: str, ranks: Callable[[int], Sequence[int]], see
 
     ``ranks`` gives the wanted numbers of rows below each cut from the row
     count. A cut is the (hash, key) of the first row that is not below it, or
-    None where all rows are. Only the key column is read. Rows that repeat a
-    key stay on one side of a cut, the upper one.
+    None where all rows are. Only the key column is read, and written once, as
+    it may come from a long plan. Rows that repeat a key stay on one side of a
+    cut, the upper one.
     """
-    rows = df.select(seeded_key(seed, key).alias("h"), F.col(key).alias("k"))
+    rows = written_once(df.select(seeded_key(seed, key).alias("h"), F.col(key).alias("k")), "keys")
 
     def counted(rows: DataFrame, digits: int) -> list:
         got = rows.groupBy(F.substring("h", 1, digits).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
