@@ -544,6 +544,12 @@ select concat('src/f', cast(file_no as string), '.py') as member, cast(fn_ord as
 from r where (file_no // 50) % 2 = 0
 """
 
+SQL["functions_from_all_archives"] = _EXTRACTED + """
+select concat('src/f', cast(file_no as string), '.py') as member, cast(fn_ord as int) as fn_ord, num_ifs, cast(len(string_split(code, chr(10))) as int) as lines,
+ sha256(concat(cast(row_number() over (order by -(file_no // 50), file_no, fn_ord) - 1 as string), ':', substring(code, 1, 100))) as id
+from r
+"""
+
 SQL["extraction_report"] = """
 select status, cast(sum(n) as bigint) as n from (
  select case when doc_id % 10 = 7 then 'syntax_error' else 'ok' end as status, case when doc_id % 10 <> 7 and doc_id % 3 = 2 then 2 else 1 end as n

@@ -430,16 +430,26 @@ def archive_members(spark, sf):
     return members.select("member", "member_ord", "status", F.sha2("code", 256).alias("code_sha"))
 
 
-@register("functions_from_archives")
-def functions_from_archives(spark, sf):
-    """Of the archives with an even number, the later ones first."""
+def _functions_of_archives(spark, sf, which: str) -> DataFrame:
     from maskcorpus.operators.extract import functions_from_archives as ffa
     path = _archives(spark, sf)
     found = spark.read.format("binaryFile").load(path).select("path", F.regexp_extract("path", "a(\\d+)[.]zip$", 1).cast("long").alias("no"))
-    repos = found.where("no % 2 = 0").select("path", (-F.col("no")).alias("repo_rank"))
+    repos = found.where(which).select("path", (-F.col("no")).alias("repo_rank"))
     return ffa(spark, path, repos).select("member", "fn_ord", "num_ifs", "lines", "id")
 
 
+@register("functions_from_archives")
+def functions_from_archives(spark, sf):
+    """Of the archives with an even number, the later ones first: the others have no rank and are not opened."""
+    return _functions_of_archives(spark, sf, "no % 2 = 0")
+
+
+@register("functions_from_all_archives")
+def functions_from_all_archives(spark, sf):
+    """Of every archive, the later ones first."""
+    return _functions_of_archives(spark, sf, "true")
+
+
 BROKEN_FILES = "select file_no, case when file_no % 10 = 7 then concat(code, chr(10), 'def (') else code end as code from code_files"
 
 

@@ -179,3 +179,11 @@ def test_second_run_learns_nothing_and_keeps_every_stage(spark, tmp_dir, monkeyp
     second = run()
     assert [r.asDict() for r in second["all_metrics"].collect()] == before
     assert {"examples", "generated-testset.csv", "provided-testset.csv", "metrics.json"} <= set(os.listdir(root))
+
+
+def test_every_archive_is_read(spark):
+    from __spark_entry__ import SMOKE_DIR, queries
+    registered = queries()
+    want = {(f"src/f{r.file_no}.py", r.fn_ord) for r in registered["extract_functions"](spark, SMOKE_DIR).collect()}
+    got = [(r.member, r.fn_ord) for r in registered["functions_from_all_archives"](spark, SMOKE_DIR).collect()]
+    assert set(got) == want and len(got) == len(want)
