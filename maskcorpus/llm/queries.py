@@ -79,7 +79,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     labels = _read(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("page_id"), F.expr("cast(quality = 0 or toxic = 1 as int)").alias("bad"))
-    return url_filter.judge(_read(spark, sf_dir, "pages"), labels, RULES)
+    return url_filter.judge(_read(spark, sf_dir, "pages"), labels, RULES, max_depth=None)
 
 
 QUERIES = {

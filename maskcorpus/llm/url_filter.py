@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .storage import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Levels of a template; what lies deeper is one wildcard.
+#: Levels of a template where a caller asks for no more; what lies deeper is one wildcard then.
 MAX_DEPTH = 6
 #: Standard errors by which a branch must differ from its siblings to stay on its own.
 Z = 3.0
@@ -62,37 +62,56 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[C
     return (none, none) if rule is None else (rule, verdict)
 
 
-def templates(paths: DataFrame) -> DataFrame:
+def templates(paths: DataFrame, max_depth: int | None = None) -> DataFrame:
     """(host, path, template) for ``paths(host, path, pages, labelled, bad)``, one row per path.
 
     At each level the branches of a node are the path segments with digits
     as ``*``. A branch keeps its name if it is the only one, or if it has
     MIN_LABELS labels and its bad share differs from that of its siblings by Z
     standard errors; all others merge into ``*``, and the next level looks at
-    the merged branch as one.
+    the merged branch as one. With ``max_depth`` what lies deeper is ``**``.
+
+    A round names the branches of one level and goes on through the levels
+    where all paths of the new node agree, so a chain of any length costs one
+    round; only paths that still branch are read again.
     """
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     now = paths.withColumn("segments", F.transform(segments, lambda s: F.regexp_replace(s, "[0-9]+", "*")))
-    now = now.withColumn("depth", F.least(F.size("segments"), F.lit(MAX_DEPTH + 1)))
-    now = now.withColumn("segments", F.when(F.size("segments") > MAX_DEPTH, F.concat(F.slice("segments", 1, MAX_DEPTH), F.array(F.lit("**"))))
-                         .otherwise(F.col("segments"))).withColumn("prefix", F.lit(""))
+    if max_depth is not None:
+        cut = F.concat(F.slice("segments", 1, max_depth), F.array(F.lit("**")))
+        now = now.withColumn("segments", F.when(F.size("segments") > max_depth, cut).otherwise(F.col("segments")))
+    now = now.withColumns({"depth": F.size("segments"), "prefix": F.lit("")})
     now = staged(now, "paths")
-    depth = now.agg(F.max("depth")).first()[0] or 0
     node = ["host", "depth", "prefix"]
-    for level in range(depth):
-        open_ = now.where(F.col("depth") > level).withColumn("branch", F.get("segments", F.lit(level)))
-        branches = open_.groupBy(*node, "branch").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"))
+    found = None
+    while True:  # segments are those that have no name yet
+        closed = now.where(F.size("segments") == 0)
+        found = closed if found is None else found.unionAll(closed)
+        open_ = now.where(F.size("segments") > 0)
+        if open_.isEmpty():
+            break
+        rest = F.slice("segments", F.lit(2), F.size("segments"))
+        open_ = open_.withColumn("branch", F.get("segments", F.lit(0))).withColumn("segments", rest)
+        branches = open_.groupBy(*node, "branch").agg(F.sum("labelled").alias("n"), F.sum("bad").alias("b"),
+                                                      F.min("segments").alias("low"), F.max("segments").alias("high"))
         total = branches.groupBy(*node).agg(F.count("*").alias("k"), F.sum("n").alias("all_n"), F.sum("b").alias("all_b"))
         told = branches.join(total, node).withColumns({
             "p": F.expr("(b + 0.5D) / (n + 1)"), "q": F.expr("(all_b - b + 0.5D) / (all_n - n + 1)"),
             "r": F.expr("(all_b + 0.5D) / (all_n + 1)")})
         own = f"k = 1 or (n >= {MIN_LABELS} and abs(p - q) > {Z}D * sqrt(r * (1 - r) * (1D / (n + 1) + 1D / (all_n - n + 1))))"
-        named = staged(told.select(*node, "branch", F.expr(f"if({own}, branch, '*')").alias("name")), "branches")
-        moved = (open_.join(named, [*node, "branch"]).withColumn("prefix", F.concat("prefix", F.lit("/"), "name"))
-                 .select(*now.columns))
-        now = staged(moved.unionAll(now.where(F.col("depth") <= level)), "paths")
-    return now.select("host", "path", F.concat("host", F.when(F.col("prefix") == "", "/").otherwise(F.col("prefix"))).alias("template"),
-                      "pages", "labelled", "bad")
+        named = staged(told.select(*node, "branch", F.expr(f"if({own}, branch, '*')").alias("name"), "low", "high"), "branches")
+        # what the first and the last path of a node share, all share
+        ends = named.groupBy(*node, "name").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+        differs = F.array_position(F.zip_with("low", "high", lambda x, y: x == y), False)
+        shared = F.when(differs == 0, F.size("low")).otherwise(differs - 1).cast("int")
+        ends = ends.select(*node, "name", shared.alias("shared"))
+        onward = named.select(*node, "branch", "name").join(ends, [*node, "name"])
+        moved = open_.join(onward, [*node, "branch"])
+        path = F.concat_ws("/", F.concat("prefix", F.lit("/"), "name"), F.slice("segments", F.lit(1), F.col("shared")))
+        moved = moved.withColumn("prefix", path).withColumn("segments", F.slice("segments", F.col("shared") + 1, F.size("segments")))
+        now = staged(moved.select(*now.columns), "paths")
+    return found.select("host", "path", F.concat("host", F.when(F.col("prefix") == "", "/").otherwise(F.col("prefix"))).alias("template"),
+                        "pages", "labelled", "bad")
 
 
 def purities(found: DataFrame) -> DataFrame:
@@ -103,7 +122,7 @@ def purities(found: DataFrame) -> DataFrame:
         "template", "pages", "labelled", F.expr(f"(bad + {SMOOTHING}D * prior) / (labelled + {SMOOTHING}D)").alias("purity"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], max_depth: int | None = MAX_DEPTH) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) of every page.
 
     ``labels(page_id, bad)`` with bad 0 or 1 is the labelled sample (an id that
@@ -111,7 +130,8 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]) ->
     for nothing). A url that is null or has no ``://`` has an empty host and
     path. Without a fitting rule the verdict is block if the template's
     purity reaches REJECT. Repeated rows are pages of their own; extra
-    columns are not read; an empty table gives an empty one.
+    columns are not read; an empty table gives an empty one. Templates have
+    ``max_depth`` levels, or as many as the paths with None.
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
@@ -120,7 +140,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]]) ->
     with_labels = rows.select("page_id", "host", "path").join(known, "page_id", "left")
     paths = with_labels.groupBy("host", "path").agg(F.count("*").alias("pages"), F.count("bad").alias("labelled"),
                                                     F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
-    found = staged(templates(paths), "templates")
+    found = staged(templates(paths, max_depth), "templates")
     rated = staged(found.select("host", "path", "template").join(purities(found).select("template", "purity"), "template"), "rated")
     return rows.join(rated, ["host", "path"]).select(
         "page_id", "host", "path", "rule",

@@ -105,3 +105,36 @@ def test_against_brute_force(spark):
 def test_without_labels_or_pages(spark):
     assert run(spark, [], []) == []
     assert run(spark, [(1, "http://a.org/x")], []) == [(1, "a.org", "/x", None, "allow", "a.org/x", 0.0)]
+
+
+def test_query_sees_every_level(spark, tmp_dir, monkeypatch):
+    from maskcorpus.llm.queries import op8_url_filters
+    rng = random.Random(5)
+    pages, labels = [], []
+    for i in range(900):
+        top = "/".join("l%s" % c for c in "abcdefg")
+        branch = rng.choice(["good", "bad", "fine", "also"])
+        tail = rng.choice(["", "/x/y%d" % rng.randint(0, 3), "/" + "/".join(rng.choice("pq") for _ in range(rng.randint(1, 5)))])
+        pages.append((i, f"http://deep.example.edu/{top}/{branch}{tail}/{rng.randint(1, 300)}"))
+        labels.append((i, 0 if branch == "bad" else 1, 0))
+    pages.append((5000, "http://long.example.edu/" + "/".join("c%s" % chr(97 + k % 26) for k in range(30))))
+    spark.createDataFrame(pages, "page_id long, url string").write.parquet(f"{tmp_dir}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_dir}/labels.parquet")
+    with monkeypatch.context() as deep:
+        deep.setattr(U, "MAX_DEPTH", 40)  # of the brute force: deeper than any of these paths
+        want = slow(pages, [(i, 1 - q) for i, q, _ in labels])
+    got = [(*tuple(r)[:6], round(r.purity, 12)) for r in op8_url_filters(spark, tmp_dir).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    verdicts = {(r[2].split("/")[8], r[4]) for r in got if r[0] < 5000}
+    assert verdicts == {("good", "allow"), ("fine", "allow"), ("also", "allow"), ("bad", "block")}
+    assert not any("**" in r[5] for r in got)
+
+
+def test_a_long_chain_is_one_round(spark, monkeypatch):
+    rounds = []
+    stage = U.staged
+    monkeypatch.setattr(U, "staged", lambda df, name: rounds.append(name) or stage(df, name))
+    chain = "/".join("s%s" % chr(97 + k % 26) for k in range(200))
+    paths = spark.createDataFrame([("h", f"/{chain}/{end}", 1, 0, 0) for end in ("x", "y")], "host string, path string, pages long, labelled long, bad long")
+    assert {r.template for r in U.templates(paths).collect()} == {f"h/{chain}/*"}
+    assert rounds.count("branches") == 2
