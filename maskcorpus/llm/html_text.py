@@ -55,6 +55,9 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: Searched in the page itself: lower-casing may change the length of a text.
+_CLOSING = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in DROPPED_TAGS}
+_BODY = re.compile("<body", re.I | re.A)
 
 
 @dataclass
@@ -104,7 +107,7 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, int, int]] = []  # open elements with (level, chrome) inside them
     text: list[str] = []
     level = chrome = links = link_words = 0
-    at, end, lower = 0, len(html), html.lower()
+    at, end = 0, len(html)
     unclosed: set[str] = set()  # dropped tags that nothing closes any more
 
     def flush() -> None:
@@ -148,7 +151,7 @@ def blocks(html: str) -> list[Block]:
         elif m[2]:
             tag = m[2].lower()
             if tag in DROPPED_TAGS:
-                after = -1 if tag in unclosed or m[3].endswith("/") else _skip(lower, tag, at)
+                after = -1 if tag in unclosed or m[3].endswith("/") else _skip(html, tag, at)
                 if after >= 0:
                     at = after
                     continue
@@ -172,15 +175,15 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def _skip(lower: str, tag: str, at: int) -> int:
+def _skip(html: str, tag: str, at: int) -> int:
     """Where the text goes on behind the element that opened before ``at``; -1 if nothing closes it."""
-    closed = lower.find(f"</{tag}", at)
-    if tag == "head" and (body := lower.find("<body", at)) >= 0 and not 0 <= closed < body:
-        return body
-    if closed < 0:
+    closed = _CLOSING[tag].search(html, at)
+    if tag == "head" and (body := _BODY.search(html, at)) and not (closed and closed.start() < body.start()):
+        return body.start()
+    if not closed:
         return -1
-    end = lower.find(">", closed)
-    return len(lower) if end < 0 else end + 1
+    end = html.find(">", closed.start())
+    return len(html) if end < 0 else end + 1
 
 
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "level", "gap", "chrome", "heading")

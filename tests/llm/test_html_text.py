@@ -122,3 +122,12 @@ def test_rows(spark, tree):
 def test_tree_fits_its_table(tree):
     rows = H.labelled_rows()
     assert sum(H.decide(tree, r[:-1]) == r[-1] for r in rows) / len(rows) > 0.95
+
+
+def test_letters_that_grow_in_lower_case(tree):
+    dotted = "\u0130" * 9
+    page = (f"<html><HEAD><title>{dotted}</title></HEAD><body><script>var a = '{dotted}';</SCRIPT><article><p>one {dotted}</p>"
+            f"<style>{dotted}</style><p>two</p><button>{dotted}</button><p>three</p></article></body></html>")
+    assert H.main_text(page, tree) == f"one {dotted}\ntwo\nthree"
+    assert H.blocks(page) == H.blocks(page.replace("<HEAD>", "<head>").replace("</HEAD>", "</head>").replace("</SCRIPT>", "</script>"))
+    assert H.main_text(f"<head><title>{dotted}</title><BODY><article><p>here</p></article>", tree) == "here"
