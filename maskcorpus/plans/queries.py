@@ -603,7 +603,7 @@ def pipeline_metrics(spark, sf):
     from maskcorpus.config import Params
     from maskcorpus.plans.stages import run_pipeline
     from maskcorpus.sources.files import metrics_to_json
-    out = run_pipeline(spark, lambda: _functions_table(spark, sf), _scratch(spark, "run"), Params(vocab_size=240, max_length=128),
+    out = run_pipeline(spark, lambda: _functions_table(spark, sf), _scratch(spark, "run"), Params(vocab_size=VOCAB_SIZE),
                        predictions=_even_lengths, benchmark=lambda: table(spark, sf, "benchmark_code").select("code"))
     return metrics_to_json(out["all_metrics"])
 

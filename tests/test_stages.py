@@ -187,3 +187,15 @@ def test_every_archive_is_read(spark):
     want = {(f"src/f{r.file_no}.py", r.fn_ord) for r in registered["extract_functions"](spark, SMOKE_DIR).collect()}
     got = [(r.member, r.fn_ord) for r in registered["functions_from_all_archives"](spark, SMOKE_DIR).collect()]
     assert set(got) == want and len(got) == len(want)
+
+
+def test_pipeline_metrics_encodes_with_a_learned_vocabulary(spark, monkeypatch):
+    from __spark_entry__ import SMOKE_DIR, queries
+    from maskcorpus.plans import stages
+    seen = {}
+    run = stages.run_pipeline
+    monkeypatch.setattr(stages, "run_pipeline", lambda *a, **k: seen.update(run(*a, **k)) or seen)
+    assert queries()["pipeline_metrics"](spark, SMOKE_DIR).count() == 1
+    assert seen["vocab"].count() == 660 and seen["merges"].count() > 300
+    sizes = seen["encoded"].select(F.size("input_ids"), F.size("labels")).distinct().collect()
+    assert [tuple(r) for r in sizes] == [(512, 512)]
