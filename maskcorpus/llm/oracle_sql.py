@@ -184,6 +184,47 @@ select v.vec_id, (select count(*) from l where l.x = v.r)::bigint as n_links, m.
 from v join m on m.r = v.r
 """
 
+#: CRC-32 (unsigned) of ASCII text, as a table of the 256 bytes and a fold.
+CRC_TABLE = """crc as (
+  select list(v order by i) as t from (
+    select i, list_reduce(range(0, 8), lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, i) as v
+    from (select unnest(range(0, 256)) as i)))"""
+
+
+def _crc32(text: str) -> str:
+    return (f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint), "
+            "lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1]), 4294967295), 4294967295)")
+
+
+#: Planted words, pairs of equal 5-grams a lag apart, their islands as stretches, and those without a smaller period.
+OP12 = r"""
+with """ + CRC_TABLE + r""",
+s as (
+  select row_number() over () as rid, doc_id, case when doc_id is null then 1 else """ + _crc32("doc_id::varchar") + r""" end as h,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from documents, crc),
+m as (select *, len(w) as n, case when len(w) > 0 then (h // 10) % len(w) end as a from s),
+d as (select rid, doc_id, n,
+             case when h % 10 = 0 and n > 0
+                  then list_transform(range(0, n), lambda i: w[1 + case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) end])
+                  else w end as w from m),
+g as (select rid, n, i, array_to_string(list_slice(w, i + 1, i + 5), ' ') as x from (select rid, n, w, unnest(range(0, n - 4)) as i from d)),
+e as (select l.rid, r.i - l.i as q, l.i - row_number() over (partition by l.rid, r.i - l.i order by l.i) as island, l.i
+      from g l join g r on l.rid = r.rid and l.x = r.x and r.i > l.i and 4 * (r.i - l.i) <= l.n),
+p as (select rid, q, min(i) as start, max(i) + 5 + q - min(i) as length from e group by rid, q, island),
+r as (select * from p where length >= greatest(6, 4 * q) and not exists (
+        select 1 from p as o where o.rid = p.rid and o.q < p.q and o.start <= p.start and o.start + o.length >= p.start + p.length)),
+dropped as (select distinct rid, i from (select rid, unnest(range(start + q, start + length)) as i from r)),
+kept as (select rid, string_agg(w[i + 1], ' ' order by i) as t
+         from (select rid, w, unnest(range(0, n)) as i from d) anti join dropped using (rid, i) group by rid),
+best as (select rid, count(*) as n_runs, min(struct_pack(rest := -length, start := start, q := q)) as b,
+                string_agg(start || ',' || length || ',' || q || chr(10), '' order by start, q) as lines from r group by rid)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, b.start::bigint as start, (-b.rest)::bigint as length, b.q::bigint as period,
+       (-b.rest * 1000 // b.q)::bigint as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+       sha256(coalesce(t, '')) as collapsed_sha256
+from d left join best using (rid) left join kept using (rid)
+"""
+
 SQL: dict[str, str] = {
     "op1_chat_format": OP1,
     "op3_html_extraction": OP3,
@@ -192,4 +233,5 @@ SQL: dict[str, str] = {
     "op7_warc": OP7,
     "op8_url_filters": _op8(),
     "op10_embedding_near_dedup": OP10,
+    "op12_periodic_runs": OP12,
 }
