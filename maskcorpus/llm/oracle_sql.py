@@ -184,6 +184,20 @@ select v.vec_id, (select count(*) from l where l.x = v.r)::bigint as n_links, m.
 from v join m on m.r = v.r
 """
 
+#: Keys of all lines, their smallest ids, and the lines that stay.
+OP11 = r"""
+with d as (select row_number() over () as rid, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents),
+x as (select rid, doc_id, unnest(range(1, len(l) + 1)) as i, unnest(l) as line from d),
+k as (select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from x),
+r as (select key, min(doc_id) as first from k where length(key) >= 10 group by key
+      having min(doc_id) <> max(doc_id) or count(*) > count(doc_id) and min(doc_id) is not null),
+f as (select k.*, coalesce(k.doc_id <> r.first, r.first is not null) as gone from k left join r using (key))
+select any_value(doc_id) as doc_id, count(*)::bigint as n_lines, count(*) filter (gone)::bigint as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+from f group by rid
+"""
+
 #: CRC-32 (unsigned) of ASCII text, as a table of the 256 bytes and a fold.
 CRC_TABLE = """crc as (
   select list(v order by i) as t from (
@@ -233,5 +247,6 @@ SQL: dict[str, str] = {
     "op7_warc": OP7,
     "op8_url_filters": _op8(),
     "op10_embedding_near_dedup": OP10,
+    "op11_line_dedup": OP11,
     "op12_periodic_runs": OP12,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, html_text, license_scan, mixing, pieces, quality, runs, simhash, url_filter, warc
+from . import chat, embeddings, html_text, license_scan, lines, mixing, pieces, quality, runs, simhash, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages"), labels, RULES, max_depth=None)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, lines, dropped lines and digest of the kept text of every document."""
+    return lines.summary(_read(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, number of runs, the longest run, digests of all runs and of the collapsed text of every document."""
     return runs.summary(_read(spark, sf_dir, "documents"))
@@ -98,5 +103,6 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_license_scan": op9_license_scan,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_line_dedup": op11_line_dedup,
     "op12_periodic_runs": op12_periodic_runs,
 }
