@@ -239,6 +239,58 @@ select doc_id, coalesce(n_runs, 0)::bigint as n_runs, b.start::bigint as start,
 from d left join best using (rid) left join kept using (rid)
 """
 
+
+
+def _op13() -> str:
+    """Damage, faults, and a fold over each conversation's rows that keeps the least (cost, audit) of each state as text."""
+    def plus(state: str, cost: str, edit: str) -> str:
+        return f"lpad((left({state}, 9)::int + {cost})::varchar, 9, '0') || substr({state}, 10) || '{edit}'"
+
+    def step(sources: list[int], initial: str) -> list[str]:
+        keep = [f"case when x[1] = '{initial}' and x[2] <> 'out' then {plus(f's[{p}]', 'x[3]::int', 'K')} end" for p in sources]
+        rerole = [f"case when x[2] <> 'out' then {plus(f's[{p}]', '3 + x[3]::int', 'R')} end" for p in sources]
+        return keep + (rerole if initial != "s" else [])
+
+    # states 1..4: nothing yet, after s, after u, after a
+    edits = [[plus(f"s[{q}]", "4", "D")] + more for q, more in ((1, []), (2, step([1], "s")), (3, step([1, 2, 4], "u")), (4, step([3], "a")))]
+    edit = "[" + ", ".join(f"least({', '.join(e)}, null)" for e in edits) + "]"
+    insert = ("[s[1], s[2], least(s[3], " + ", ".join(plus(f"s[{p}]", "3", "I") for p in (1, 2, 4)) + "), least(s[4], "
+              + plus("s[3]", "3", "I") + ", " + ", ".join(plus(f"s[{p}]", "6", "II") for p in (1, 2)) + ")]")
+    blank = r"[\x20\x09-\x0D]"
+    return f"""
+with {CRC_TABLE},
+c as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+             {_crc32("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as kind from conversations, crc),
+w as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+             case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+             unnest(range(0, case when kind = 3 then 2 else 1 end)) as copy from c where kind <> 0),
+o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as i from w),
+b as (select *, left(role, 1) as initial, lead(left(role, 1)) over (partition by conv_id order by i) as follower,
+             regexp_replace(text, '{blank}+$', '') as body, row_number() over (partition by conv_id, role, text order by i) as seen from o),
+f as (select *, case when body = '' then 'blank' when seen > 1 then 'duplicate' when right(body, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault from b),
+p as (select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (fault = 'blank') as blank,
+             count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+             count(*) filter (follower is not null and initial || follower not in ('su', 'ua', 'au')) as illegal,
+             list(role order by i) as roles, list(text order by i) as texts,
+             list([initial, case when fault in ('blank', 'duplicate') then 'out' else 'in' end, case when fault = 'truncated' then '3' else '0' end] order by i) as rows
+      from f group by conv_id),
+z as (select *, list_reduce(flatten(list_transform(rows, lambda r: [r, ['I']])),
+                            lambda s, x: case when x[1] = 'I' then {insert} else {edit} end,
+                            ['000000000', null, '000000003I', '000000006II']) as s from p),
+e as (select *, substr(least(s[1], s[4]), 10) as audit, left(least(s[1], s[4]), 9)::bigint as cost from z),
+l as (select conv_id, roles, texts, i, audit[i] as edit, i - length(replace(audit[:i], 'I', '')) as inserted,
+             length(replace(audit[:i], 'D', '')) as at, length(replace(audit, 'D', '')) as n from (select *, unnest(range(1, length(audit) + 1)) as i from e)),
+t as (select conv_id, string_agg(case when edit = 'K' then roles[i - inserted] when (at + n) % 2 = 1 then 'user' else 'assistant' end || ':'
+                                 || case when edit = 'I' then '' else texts[i - inserted] end, chr(10) order by i) as repaired
+      from l where edit <> 'D' group by conv_id),
+every as (select distinct conv_id from conversations)
+select every.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+       coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost,
+       coalesce(audit, '') as audit, sha256(coalesce(repaired, '')) as repaired_sha256
+from every left join e on e.conv_id is not distinct from every.conv_id left join t on t.conv_id is not distinct from every.conv_id
+"""
+
+
 SQL: dict[str, str] = {
     "op1_chat_format": OP1,
     "op3_html_extraction": OP3,
@@ -249,4 +301,5 @@ SQL: dict[str, str] = {
     "op10_embedding_near_dedup": OP10,
     "op11_line_dedup": OP11,
     "op12_periodic_runs": OP12,
+    "op13_conversation_repair": _op13(),
 }

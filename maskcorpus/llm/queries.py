@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embeddings, html_text, license_scan, lines, mixing, pieces, quality, runs, simhash, url_filter, warc
+from . import chat, embeddings, html_text, license_scan, lines, mixing, pieces, quality, repair, runs, simhash, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +92,12 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.summary(_read(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, faults, cost and audit of the cheapest repair and the repaired rows' digest, after the contract's damage."""
+    turns = _read(spark, sf_dir, "conversations")
+    return repair.reports(repair.damaged(turns), every=turns)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -105,4 +111,5 @@ QUERIES = {
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_line_dedup": op11_line_dedup,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_conversation_repair": op13_conversation_repair,
 }
