@@ -279,8 +279,8 @@ z as (select *, list_reduce(flatten(list_transform(rows, lambda r: [r, ['I']])),
                             ['000000000', null, '000000003I', '000000006II']) as s from p),
 e as (select *, substr(least(s[1], s[4]), 10) as audit, left(least(s[1], s[4]), 9)::bigint as cost from z),
 l as (select conv_id, roles, texts, i, audit[i] as edit, i - length(replace(audit[:i], 'I', '')) as inserted,
-             length(replace(audit[:i], 'D', '')) as at, length(replace(audit, 'D', '')) as n from (select *, unnest(range(1, length(audit) + 1)) as i from e)),
-t as (select conv_id, string_agg(case when edit = 'K' then roles[i - inserted] when (at + n) % 2 = 1 then 'user' else 'assistant' end || ':'
+             length(replace(audit[:i], 'D', '')) as place, length(replace(audit, 'D', '')) as n from (select *, unnest(range(1, length(audit) + 1)) as i from e)),
+t as (select conv_id, string_agg(case when edit = 'K' then roles[i - inserted] when (place + n) % 2 = 1 then 'user' else 'assistant' end || ':'
                                  || case when edit = 'I' then '' else texts[i - inserted] end, chr(10) order by i) as repaired
       from l where edit <> 'D' group by conv_id),
 every as (select distinct conv_id from conversations)
