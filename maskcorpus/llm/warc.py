@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .storage import scratch_path, staged
@@ -141,6 +141,9 @@ def _listing(folder: str, done: list[tuple]) -> pa.RecordBatch:
                                       names=["path", "records", "bytes"])
 
 
+#: Compressed bytes of archives that one task reads.
+TASK_BYTES = 256_000_000
+
 # --- reading -------------------------------------------------------------------------------------------------------
 
 
@@ -249,8 +252,11 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
     for a revisit too (its HTTP header and digest header have them). A digest
     or length that does not hold is named in ``fault``, otherwise null; what
     breaks the framing (a cut file, no gzip, no Content-Length) ends its
-    archive with a row that has only fault, path and offset. ``payloads``
-    false leaves the payload column null after verification.
+    archive with a row that has only fault, path and offset, as does a path
+    that is null or that no file has any more. ``payloads`` false leaves the
+    payload column null after verification. An empty list gives no rows, a
+    path that is listed twice is read twice, other columns than path and
+    bytes are not read. Archives are dealt evenly over ``reading_tasks`` tasks.
     """
 
     def run(batches):
@@ -258,12 +264,28 @@ def read_archives(archives: DataFrame, payloads: bool = True) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 yield from _read(path, payloads)
 
-    return archives.select("path").repartition("path").mapInArrow(run, READ_SQL)
+    # an explicit number of partitions is not coalesced, however small the list of paths is
+    listed = archives.select("path", (F.col("bytes") if "bytes" in archives.columns else F.lit(None)).cast("long").alias("bytes"),
+                             F.monotonically_increasing_id().alias("at"))
+    n, size = listed.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    dealt = listed.repartitionByRange(reading_tasks(archives.sparkSession, n, size), F.xxhash64("path", "at"))
+    return dealt.select("path").mapInArrow(run, READ_SQL)
+
+
+def reading_tasks(spark: SparkSession, archives: int, size: int) -> int:
+    """Tasks that read so many archives of ``size`` bytes: TASK_BYTES each, all cores if there are archives for them."""
+    return max(1, min(archives, max(spark.sparkContext.defaultParallelism, -(-size // TASK_BYTES))))
 
 
 def _read(path: str, payloads: bool) -> Iterator[pa.RecordBatch]:
+    if path is None:
+        yield _batch([(None,) * 7 + ("no path", None, 0)])
+        return
     folder, _, name = path.rpartition("/")
     files, base = open_folder(folder)
+    if files.get_file_info(f"{base}/{name}").type.name == "NotFound":
+        yield _batch([(None,) * 7 + ("no such file", path, 0)])
+        return
     held, size, last = [], 0, 0
     with files.open_input_stream(f"{base}/{name}", compression=None) as stream:
         try:

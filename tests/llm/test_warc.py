@@ -5,6 +5,7 @@ import io
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from maskcorpus.llm import warc as W
 
@@ -90,3 +91,25 @@ def test_long_records_stream():
     data = W.page_record(7, "u", big, None) + W.page_record(8, "u", b"", None)
     found = list(W.records(io.BytesIO(data)))
     assert W._page(found[0])[2] == big and W._page(found[1])[2] == b""
+
+
+def test_archives_are_dealt_over_tasks(spark, tmp_dir):
+    paths = []
+    for k in range(24):
+        paths.append(os.path.join(tmp_dir, f"a{k}.warc.gz"))
+        with open(paths[-1], "wb") as f:
+            f.write(W.page_record(k, "http://a/", b"abc %d" % k, None))
+    listing = spark.createDataFrame([(p, 10, "x") for p in paths], "path string, bytes long, offset string")
+    out = W.read_archives(listing)
+    by_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(by_task) >= min(8, spark.sparkContext.defaultParallelism) and max(by_task) <= 6 and sum(by_task) == 24
+    assert W.reading_tasks(spark, 10_000, 160 * 2 ** 30) == -(-160 * 2 ** 30 // W.TASK_BYTES)
+
+
+def test_missing_archives_are_faults(spark, tmp_dir):
+    good = os.path.join(tmp_dir, "a.warc.gz")
+    with open(good, "wb") as f:
+        f.write(W.page_record(1, "http://a/", b"abc", None))
+    listing = spark.createDataFrame([(good,), (None,), (good + ".gone",), (good,)], "path string")
+    got = sorted(((r.page_id, r.fault, r.path) for r in W.read_archives(listing).collect()), key=str)
+    assert got == sorted([(1, None, good), (1, None, good), (None, "no path", None), (None, "no such file", good + ".gone")], key=str)
