@@ -26,8 +26,9 @@ def main(argv: list[str] | None = None) -> None:
     from maskcorpus.operators import catalog
     from maskcorpus.operators.extract import extracted_from_archives, extraction_report, functions_of
     from maskcorpus.operators.stats import functions_per_group
+    from maskcorpus.plans.manifest import listing
     from maskcorpus.plans.stages import Stages, materialize, run_pipeline
-    from maskcorpus.session import build_session
+    from maskcorpus.session import build_session, clear_written
     from maskcorpus.sources.catalog import read_repo_catalog
     from maskcorpus.sources.files import read_benchmark
 
@@ -39,14 +40,16 @@ def main(argv: list[str] | None = None) -> None:
     archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(a.archives).select("path")
     names = archives.withColumn("name", F.regexp_extract("path", r"([^/]+)__([^/]+)\.zip$", 0))
     st = Stages(a.out)
+    landed = {"pages": listing(spark, [a.pages]), "archives": listing(spark, [a.archives])}
+    chosen = {**landed, "language": p.language, "min_stars": p.min_stars, "licenses": p.licenses, "max_repos": p.max_repos}
     # written once: every later use sees the same ranks
     ranked = materialize(spark, "ranked", lambda: repos.join(names, F.col("name") == F.concat("owner", F.lit("__"), "repo", F.lit(".zip"))),
-                         st.path("ranked"))
+                         st.path("ranked"), depends=chosen)
 
     def functions():
         found = materialize(spark, "extracted", lambda: extracted_from_archives(spark, a.archives, ranked.select("path", "repo_rank")),
-                            st.path("extracted"))
-        materialize(spark, "extraction_report", lambda: extraction_report(found), st.path("extraction_report")).show()
+                            st.path("extracted"), depends=chosen)
+        materialize(spark, "extraction_report", lambda: extraction_report(found), st.path("extraction_report"), depends=chosen).show()
         if p.total_functions_target is not None:
             # whole repos in rank order while the total before each is below the target (Q11)
             with_ifs = found.where((F.col("status") == "ok") & (F.col("num_ifs") > 0))
@@ -56,9 +59,10 @@ def main(argv: list[str] | None = None) -> None:
         return functions_of(found)
 
     bench = (lambda: read_benchmark(spark, a.benchmark)) if a.benchmark else None
-    out = run_pipeline(spark, functions, a.out, p, benchmark=bench)
+    out = run_pipeline(spark, functions, a.out, p, benchmark=bench, inputs=[a.pages, a.archives], chosen=chosen)
     out["left_out"].show()
     out["all_metrics"].show(truncate=False)
+    clear_written(spark)
 
 
 if __name__ == "__main__":

@@ -595,6 +595,12 @@ select n::bigint as n, (select count(*) from documents) >= n as enough from (sel
 
 SQL["materialized_stage"] = f"select doc_id, cast(len({py_split('text')}) as int) as n_tokens from documents\n"
 
+SQL["rebuilt_stage"] = f"""
+select doc_id, case when {hash_bucket(42, 'doc_id')} < 8000 then 'train'
+ when {hash_bucket(42, 'doc_id')} < 9000 then 'val' else 'test' end as split
+from documents
+"""
+
 SQL["progress_report"] = """
 select 'functions' as stage, true as complete, count(*) as rows from documents union all
 select 'words', true, count(*) from documents union all select 'missing', false, null

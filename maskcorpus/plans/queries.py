@@ -551,6 +551,24 @@ def materialized_stage(spark, sf):
     return spark.read.parquet(_two_stages(spark, sf)["words"])
 
 
+@register("rebuilt_stage")
+def rebuilt_stage(spark, sf):
+    """M1: a stage that was written from another table, then with another seed, is rebuilt; an unchanged one is read back."""
+    from maskcorpus.plans.manifest import listing
+    from maskcorpus.plans.stages import materialize
+    path, out = _scratch(spark, "splits"), None
+
+    def unused():
+        raise RuntimeError("an unchanged stage is not built again")
+
+    for name, seed, build in (("benchmark", 42, None), ("documents", 7, None), ("documents", 42, None), ("documents", 42, unused)):
+        key = "doc_id" if name == "documents" else "item_id"
+        rows = table(spark, sf, name).select(F.col(key).alias("doc_id"))
+        out = materialize(spark, "splits", build or (lambda r=rows, s=seed: ordering.split_hash(r, "doc_id", seed=s)), path,
+                          depends={"input": listing(spark, [f"{sf}/{name}.parquet"]), "seed": seed})
+    return out
+
+
 @register("progress_report")
 def progress_report(spark, sf):
     from maskcorpus.plans.stages import progress_report as report

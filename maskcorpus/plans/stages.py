@@ -1,21 +1,23 @@
 """The staged pipeline.
 
 Each stage is a DataFrame job; ``materialize`` writes it once (Parquet, with
-Spark's ``_SUCCESS`` marker) and later runs read it back instead of recomputing.
+Spark's ``_SUCCESS`` marker and a manifest of what it was made from) and later
+runs read it back instead of recomputing, as long as that has not changed.
 Written stage tables also cut lineage for the next stage.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from maskcorpus.config import Params
 from maskcorpus.operators import corrupt, mask, ordering
+from maskcorpus.plans.manifest import code_of, is_fresh, listing, read_manifest, source_of, stage_key, write_manifest
 
 
 def dataset_parts(functions: DataFrame, p: Params = Params(), col: str = "part") -> DataFrame:
@@ -76,26 +78,42 @@ def is_complete(spark: SparkSession, path: str, min_rows: int | None = None) ->
         return False
     if min_rows is None:
         return True
+    known = (read_manifest(spark, path) or {}).get("rows")
+    if known is not None:
+        return known >= min_rows
     return spark.read.parquet(path).limit(min_rows).count() >= min_rows
 
 
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame], path: str,
-                min_rows: int | None = None, partition_by: str | None = None) -> DataFrame:
-    """M1: read the stage back if complete, else compute, write (overwrite) and read back."""
-    if not is_complete(spark, path, min_rows):
-        w = build().write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
+                min_rows: int | None = None, partition_by: str | None = None, depends: dict | None = None) -> DataFrame:
+    """M1: read the stage back if complete, else compute, write (overwrite) and read back.
+
+    ``depends`` names what the stage is made from (parameters, input listings,
+    keys of earlier stages; see ``manifest``): a stage written from anything
+    else is rebuilt. Without ``depends`` only completeness counts, as in the
+    reference, and then a changed ``build`` is not noticed. The number of rows
+    is observed while they are written and kept in the manifest.
+    """
+    key = stage_key(name, depends or {})
+    if is_fresh(spark, path, key) if depends is not None else is_complete(spark, path, min_rows):
+        return spark.read.parquet(path)
+    rows = Observation()
+    df = build()
+    w = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
+    write_manifest(spark, path, key, name=name, depends=depends or {}, rows=rows.get["rows"], schema=df.schema.simpleString())
     return spark.read.parquet(path)
 
 
 def progress_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Per stage output: present/complete and row count (one small row per stage)."""
+    """Per stage output: present/complete and row count (one small row per stage; the count is the manifest's if it has one)."""
     rows = []
     for name, path in paths.items():
         done = is_complete(spark, path)
-        n = spark.read.parquet(path).count() if done else None
+        known = (read_manifest(spark, path) or {}).get("rows") if done else None
+        n = known if known is not None or not done else spark.read.parquet(path).count()
         rows.append((name, path, done, n))
     return spark.createDataFrame(rows, "stage string, path string, complete boolean, rows long")
 
@@ -108,48 +126,79 @@ class Stages:
         return os.path.join(self.root, name)
 
 
-def learned_vocabulary(spark: SparkSession, root: str, learn: Callable):
-    """The model written below ``root`` if both its tables are complete, else ``learn()`` written there."""
+def learned_vocabulary(spark: SparkSession, root: str, learn: Callable, depends: dict | None = None):
+    """The model written below ``root`` if both its tables are complete and made from ``depends``, else ``learn()`` written there."""
     from maskcorpus.sources.files import read_vocab, write_vocab
-    if not all(is_complete(spark, os.path.join(root, t)) for t in ("vocab", "merges")):
+    paths = [os.path.join(root, t) for t in ("vocab", "merges")]
+    key = stage_key("vocabulary", depends or {})
+    if not all(is_fresh(spark, x, key) if depends is not None else is_complete(spark, x) for x in paths):
         model = learn()
         write_vocab(model.vocab(spark), model.merges_df(spark), root)
+        for x, rows in zip(paths, (len(model.tokens()), len(model.merges))):
+            write_manifest(spark, x, key, name="vocabulary", depends=depends or {}, rows=rows)
     return read_vocab(spark, root)
 
 
 def run_pipeline(spark: SparkSession, functions: Callable[[], DataFrame], out_root: str,
                  p: Params = Params(), vocab_texts: Callable[[], DataFrame] | None = None,
                  predictions: Callable[[DataFrame], DataFrame] | None = None,
-                 benchmark: Callable[[], DataFrame] | None = None) -> dict[str, DataFrame]:
+                 benchmark: Callable[[], DataFrame] | None = None, inputs: Sequence[str] | None = None,
+                 chosen: dict | None = None) -> dict[str, DataFrame]:
     """M2: stages in order, each materialised: functions -> datasets -> vocabulary -> encoded -> evaluation.
 
     ``benchmark`` (optional) returns rows with a ``code`` column; its first maskable ``if`` per row is the
     second test set (L6), and ``metrics.json`` carries ``provided_testset: null`` without it. A second run
-    reads back every complete stage, the vocabulary included; functions count as complete from
-    ``total_functions_target`` rows on. Files for other tools: ``examples`` (JSON lines by kind and split),
-    ``generated-testset.csv``, ``provided-testset.csv``, ``metrics.json``; ``left_out`` has what the targets cut off.
+    reads back every stage, the vocabulary included, whose parameters and inputs are those of this run, and
+    rebuilds the others (``manifest``). ``inputs`` are the files and folders that ``functions`` reads; without them
+    ``functions`` is called for its plan, whose files are listed. ``chosen`` has further parameters of ``functions``. ``predictions`` counts by its name and code.
+    Files for other tools: ``examples`` (JSON lines by kind and split), ``generated-testset.csv``,
+    ``provided-testset.csv``, ``metrics.json``; ``left_out`` has what the targets cut off.
     """
     from maskcorpus.operators.bpe import learn_bpe, word_frequencies
     from maskcorpus.operators.evaluate import assemble_metrics, exact_match, score_predictions
     from maskcorpus.operators.predict import fit_fill_counts, predict_fill_counts
+    from maskcorpus.session import _written_root
     from maskcorpus.sources.files import write_examples, write_metrics, write_results
     st = Stages(out_root)
     out: dict[str, DataFrame] = {}
-    out["functions"] = materialize(spark, "functions", functions, st.path("functions"), min_rows=p.total_functions_target)
-    out["left_out"] = materialize(spark, "left_out", lambda: cut_report(out["functions"], p), st.path("left_out"))
-    out["datasets"] = materialize(spark, "datasets", lambda: build_datasets(out["functions"], p),
-                                  st.path("datasets"), partition_by="kind")
-    ds = out["datasets"]
-    if not is_complete(spark, st.path("examples")):
-        write_examples(ds.select("id", "input", "target", "kind", "split"), st.path("examples"), ("kind", "split"), fmt="json")
+    keys: dict[str, str] = {}
+
+    def stage(name: str, build: Callable[[], DataFrame], after: Sequence[str] = (), params: Sequence[str] = (), partition_by: str | None = None,
+              **more) -> DataFrame:
+        depends = {"after": {a: keys[a] for a in after}, "params": {x: getattr(p, x) for x in params}, **more}
+        keys[name] = stage_key(name, depends)
+        out[name] = materialize(spark, name, build, st.path(name), partition_by=partition_by, depends=depends)
+        return out[name]
+
+    def files(name: str, after: str, write: Callable[[str], None]) -> None:
+        """A folder in another format, rewritten when the stage it shows was."""
+        key = stage_key(name, {"after": keys[after]})
+        if not is_fresh(spark, st.path(name), key):
+            write(st.path(name))
+            write_manifest(spark, st.path(name), key, name=name)
+
+    def source(build: Callable[[], DataFrame]) -> dict:
+        return source_of(build(), _written_root(spark).split(":")[-1])
+
+    stage("functions", functions, params=("total_functions_target",), chosen=chosen or {},
+          source={"listing": listing(spark, list(inputs))} if inputs is not None else source(functions))
+    sizes = ("pretrain_target", "finetune_target", "pretrain_share", "seed")
+    stage("left_out", lambda: cut_report(out["functions"], p), ["functions"], sizes)
+    ds = stage("datasets", lambda: build_datasets(out["functions"], p), ["functions"],
+               (*sizes, "mask_rate_percent", "min_tokens", "keywords", "terminator", "mask_token", "train_fraction", "val_fraction"), "kind")
+    files("examples", "datasets", lambda path: write_examples(
+        ds.select("id", "input", "target", "kind", "split"), path, ("kind", "split"), fmt="json"))
 
     def learn():
         texts = vocab_texts() if vocab_texts else out["functions"].select(F.col("code").alias("text"))
         return learn_bpe(word_frequencies(texts, "text"), p.vocab_size)
 
-    model = learned_vocabulary(spark, out_root, learn)
+    from_texts = {"texts": source(vocab_texts)} if vocab_texts else {"functions": keys["functions"]}
+    learned_from = {**from_texts, "vocab_size": p.vocab_size}
+    model = learned_vocabulary(spark, out_root, learn, learned_from)
+    keys["vocabulary"] = stage_key("vocabulary", learned_from)
     out["vocab"], out["merges"] = (spark.read.parquet(st.path(t)) for t in ("vocab", "merges"))
-    out["encoded"] = materialize(spark, "encoded", lambda: encode_datasets(ds, model, p), st.path("encoded"), partition_by="kind")
+    stage("encoded", lambda: encode_datasets(ds, model, p), ["datasets", "vocabulary"], ("max_length", "holdout_fraction", "seed"), "kind")
     fine = ds.where(F.col("kind") == "finetune")
     test = fine.where(F.col("split") == "test").select("id", "input", "target")
     fills: list = []
@@ -161,20 +210,20 @@ def run_pipeline(spark: SparkSession, functions: Callable[[], DataFrame], out_ro
             fills.append(fit_fill_counts(fine.where(F.col("split") == "train")))
         return predict_fill_counts(examples, fills[0]).select("id", "prediction")
 
-    def evaluated(name: str, examples: DataFrame, csv: str) -> DataFrame:
-        out[name] = materialize(spark, name, lambda: score_predictions(examples, predicted(examples)), st.path(name))
-        if not is_complete(spark, st.path(csv)):
-            write_results(out[name], st.path(csv))
+    def evaluated(name: str, examples: DataFrame, csv: str, after: Sequence[str]) -> DataFrame:
+        stage(name, lambda: score_predictions(examples, predicted(examples)), after, predictions=code_of(predictions))
+        files(csv, name, lambda path: write_results(out[name], path))
         return exact_match(out[name])
 
-    out["metrics"] = evaluated("results", test, "generated-testset.csv")
+    out["metrics"] = evaluated("results", test, "generated-testset.csv", ["datasets"])
     provided = None
     if benchmark is not None:
         from maskcorpus.operators.extract import extract_ifs
         from maskcorpus.operators.mask import mask_first_if
         # numbered once and written: both sides of the scoring join then see the same numbers
-        bench = materialize(spark, "benchmark", lambda: benchmark().withColumn("id", F.monotonically_increasing_id()), st.path("benchmark"))
-        provided = evaluated("provided_results", mask_first_if(extract_ifs(bench, ("id",)), ("id",)), "provided-testset.csv")
+        bench = stage("benchmark", lambda: benchmark().withColumn("id", F.monotonically_increasing_id()), source=source(benchmark))
+        provided = evaluated("provided_results", mask_first_if(extract_ifs(bench, ("id",)), ("id",)), "provided-testset.csv",
+                             ["benchmark", "datasets"])
         out["provided_metrics"] = provided
     out["all_metrics"] = assemble_metrics(out["metrics"], provided)
     write_metrics(out["all_metrics"], st.path("metrics.json"))

@@ -199,3 +199,65 @@ def test_pipeline_metrics_encodes_with_a_learned_vocabulary(spark, monkeypatch):
     assert seen["vocab"].count() == 660 and seen["merges"].count() > 300
     sizes = seen["encoded"].select(F.size("input_ids"), F.size("labels")).distinct().collect()
     assert [tuple(r) for r in sizes] == [(512, 512)]
+
+
+def _rows(df):
+    return sorted(df.collect(), key=str)
+
+
+def test_changed_stage_is_rebuilt(spark, tmp_dir):
+    import pytest
+
+    from maskcorpus.plans import manifest as M
+    path, source = os.path.join(tmp_dir, "stage"), os.path.join(tmp_dir, "in")
+    spark.range(5).write.parquet(source)
+    calls = []
+
+    def run(seed, fail=False):
+        def build():
+            calls.append(seed)
+            df = spark.read.parquet(source).selectExpr("id", f"{seed} as seed")
+            return df.selectExpr("id", "if(id = 3, raise_error('stopped'), 1) as seed") if fail else df
+        return materialize(spark, "s", build, path, depends={"seed": seed, "in": M.listing(spark, [source])}).count()
+
+    assert run(1) == 5 and run(1) == 5 and calls == [1]
+    assert run(2) == 5 and calls == [1, 2]
+    spark.range(3).write.mode("append").parquet(source)  # a landed file
+    assert run(2) == 8 and run(2) == 8 and calls == [1, 2, 2]
+    found = M.read_manifest(spark, path)
+    assert found["rows"] == 8 and found["name"] == "s" and is_complete(spark, path, 8) and not is_complete(spark, path, 9)
+    with pytest.raises(Exception, match="stopped"):
+        run(3, fail=True)  # a stage that broke off is no stage
+    assert run(3) == 8 and calls[-1] == 3
+    os.remove(os.path.join(path, M.MANIFEST))  # ended before the manifest was written
+    assert run(3) == 8 and calls[-2:] == [3, 3]
+    with open(os.path.join(path, M.MANIFEST), "w") as f:
+        f.write('{"key": "')
+    assert M.read_manifest(spark, path) is None and run(3) == 8 and len(calls) == 7
+
+
+def test_changed_run_equals_a_fresh_one(spark, tmp_dir):
+    from __spark_entry__ import SMOKE_DIR
+    from maskcorpus.plans import manifest as M
+    from maskcorpus.plans.queries import _functions_table
+    first = Params(vocab_size=240, max_length=32)
+    other = Params(vocab_size=246, max_length=32, seed=7)
+    functions = _functions_table(spark, SMOKE_DIR).persist()
+    folder, fresh = os.path.join(tmp_dir, "run"), os.path.join(tmp_dir, "fresh")
+
+    def run(root, p):
+        return run_pipeline(spark, lambda: functions, root, p, inputs=[f"{SMOKE_DIR}/documents.parquet"])
+
+    def written():
+        return {d: M.read_manifest(spark, os.path.join(folder, d))["key"] + str(os.stat(os.path.join(folder, d, M.MANIFEST)).st_mtime_ns)
+                for d in os.listdir(folder) if d != "metrics.json"}
+
+    run(folder, first)
+    before = written()
+    run(folder, first)
+    assert written() == before  # nothing was written again
+    changed, want = run(folder, other), run(fresh, other)
+    for name in ("functions", "left_out", "datasets", "vocab", "merges", "encoded", "results", "all_metrics"):
+        assert _rows(changed[name]) == _rows(want[name]), name
+    assert {d for d, x in written().items() if x == before[d]} == {"functions"}
+    functions.unpersist()
