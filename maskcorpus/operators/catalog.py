@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 from maskcorpus.config import DEFAULT_BRANCH, LICENSE_ALLOW
 
 
-#: Groups that ``take_until`` takes: its running sum over them is one task.
-WINDOW_ROWS = 5_000_000
-
-
 def filter_catalog(df: DataFrame, language: str = "Python", min_stars: int = 10) -> DataFrame:
     """B1: the search query's terms: language, stars >= min, no forks, not archived."""
     return df.where((F.col("language") == language) & (F.col("stars") >= min_stars)
@@ -53,16 +49,13 @@ def take_until(ranked: DataFrame, counts: DataFrame, target: int, rank: str = "r
                key: str = "repo_key", n: str = "n_functions") -> DataFrame:
     """Whole groups in rank order while the total *before* the group is below ``target`` (Q11).
 
-    ``ranked`` holds at most ``max_repos`` rows (C1's bound), so the running-sum
-    window over it is small; ``counts`` is the per-group count (I7). A frame of
-    more than ``WINDOW_ROWS`` groups is refused: the running sum is one task.
+    ``counts`` is the per-group count (I7); groups without one count 0. The
+    totals are a two-level prefix sum (``ordering.prefix_sum``), so any number
+    of groups may be ranked.
     """
-    if ranked.limit(WINDOW_ROWS + 1).count() > WINDOW_ROWS:
-        raise ValueError(f"take_until ranks at most {WINDOW_ROWS} groups; cut them with top_repos first")
+    from maskcorpus.operators.ordering import prefix_sum
     g = ranked.join(counts, key, "left").withColumn(n, F.coalesce(F.col(n), F.lit(0).cast("long")))
-    w = Window.orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
-    g = g.withColumn("functions_before", F.coalesce(F.sum(n).over(w), F.lit(0).cast("long")))
-    return g.where(F.col("functions_before") < target)
+    return prefix_sum(g, [rank], n, "functions_before").where(F.col("functions_before") < target)
 
 
 def keep_groups(rows: DataFrame, kept: DataFrame, key: str = "repo_key") -> DataFrame:

@@ -36,6 +36,44 @@ def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
 
+def _numbered(rows: DataFrame, names: list[str], num_partitions: int | None, what: str) -> DataFrame:
+    """``rows`` range-partitioned by ``names`` and written once, with the partition (``_pid``) and the place in it (``_mid``)."""
+    parted = rows.repartitionByRange(num_partitions, *names) if num_partitions else rows.repartitionByRange(*names)
+    return written_once(parted.sortWithinPartitions(*names).withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_mid", F.monotonically_increasing_id()), what)
+
+
+def _before(sums: dict[int, int]) -> tuple[Column, int]:
+    """(sum of all earlier partitions as a column over ``_pid``, sum of all).
+
+    The numbers are one literal string, split once by constant folding: the plan stays small with many partitions.
+    """
+    offsets, total = [], 0
+    for p in range(max(sums) + 1):
+        offsets.append(total)
+        total += sums.get(p, 0)
+    table = F.split(F.lit(",".join(str(v) for v in offsets)), ",")
+    return F.element_at(table, F.col("_pid") + 1).cast("long"), total
+
+
+def prefix_sum(df: DataFrame, order: Sequence[str], value: str, name: str, num_partitions: int | None = None) -> DataFrame:
+    """Add ``name``: the sum of ``value`` (whole numbers) over all rows before a row in ``order``.
+
+    Two levels: rows are range-partitioned by ``order`` and written once, each
+    partition is summed on its own, the sums of earlier partitions come as one
+    folded literal, and a running sum inside each partition gives the rest. No
+    task reads more than its range. Rows that are equal in ``order`` follow one
+    another in arbitrary order; null values count as 0; an empty frame stays empty.
+    """
+    numbered = _numbered(df, list(order), num_partitions, "ranges")
+    sums = {r["_pid"]: r["s"] for r in numbered.groupBy("_pid").agg(F.coalesce(F.sum(value), F.lit(0)).cast("long").alias("s")).collect()}
+    if not sums:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    start, _ = _before(sums)
+    inside = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    return numbered.withColumn(name, (start + F.coalesce(F.sum(value).over(inside), F.lit(0))).cast("long")).select(*df.columns, name)
+
+
 def global_index(df: DataFrame, order: Sequence, name: str = "idx",
                  num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Add a dense 0-based position in ``order``; return ``(frame, row count)``.
@@ -47,20 +85,11 @@ def global_index(df: DataFrame, order: Sequence, name: str = "idx",
     o = _cols(order)
     names = [f"_o{i}" for i in range(len(o))]
     keys = df.select(*[c.alias(n) for c, n in zip(o, names)]).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    parted = keys.repartitionByRange(num_partitions, *names) if num_partitions else keys.repartitionByRange(*names)
-    numbered = written_once(parted.sortWithinPartitions(*names).withColumn("_pid", F.spark_partition_id())
-                            .withColumn("_mid", F.monotonically_increasing_id()), "index")
+    numbered = _numbered(keys, names, num_partitions, "index")
     stats = numbered.groupBy("_pid").agg(F.sum("_n").alias("n"), F.max("_n").alias("most")).collect()
     if not stats:
         return df.withColumn(name, F.lit(0).cast("long")), 0
-    counts = {r["_pid"]: r["n"] for r in stats}
-    offsets, total = [], 0
-    for p in range(max(counts) + 1):
-        offsets.append(total)
-        total += counts.get(p, 0)
-    # one literal string, split once by constant folding: the plan stays small with many partitions
-    table = F.split(F.lit(",".join(str(v) for v in offsets)), ",")
-    start = F.element_at(table, F.col("_pid") + 1).cast("long")
+    start, total = _before({r["_pid"]: r["n"] for r in stats})
     repeats = max(r["most"] for r in stats) > 1
     if repeats:
         before = Window.partitionBy("_pid").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
@@ -177,15 +206,22 @@ def fraction_sizes(n: int, fractions: Sequence[float]) -> list[int]:
 
 def split_fractions(df: DataFrame, key: str, fractions: Sequence[float] = (0.8, 0.1),
                     names: Sequence[str] = ("train", "val", "test"), seed: int = 42,
-                    col: str = "split") -> DataFrame:
-    """H2: train ``int(n*.8)``, val ``int(n*.1)``, test the remainder, over a seeded permutation."""
+                    col: str = "split", once: bool = False) -> DataFrame:
+    """H2: train ``int(n*.8)``, val ``int(n*.1)``, test the remainder, over a seeded permutation.
+
+    ``once``: ``df`` is the end of a costly plan (not a table). It is then run
+    once and its rows are written; the cuts are found from the key column of
+    what was written, and the labels are given to the rows read back.
+    """
+    df = written_once(df, "rows") if once else df
     _, cuts = cut_keys(df, key, lambda n: _running(fraction_sizes(n, fractions)), seed)
     return df.withColumn(col, label_by_cuts(key, cuts, names[:-1], names[-1], seed))
 
 
 def holdout(df: DataFrame, key: str, test_fraction: float = 0.05, seed: int = 42,
-            col: str = "split") -> DataFrame:
-    """H3: ``ceil(n * f)`` rows to ``test`` (first in the permutation), the rest to ``train``."""
+            col: str = "split", once: bool = False) -> DataFrame:
+    """H3: ``ceil(n * f)`` rows to ``test`` (first in the permutation), the rest to ``train``; ``once`` as in ``split_fractions``."""
+    df = written_once(df, "rows") if once else df
     _, cuts = cut_keys(df, key, lambda n: [math.ceil(test_fraction * n)], seed)
     return df.withColumn(col, label_by_cuts(key, cuts, ["test"], "train", seed))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,12 +50,55 @@ def fit_fill_counts(examples: DataFrame, input_col: str = "input", target: str =
             "global": g["prediction"] if g else None}
 
 
+#: Keys with more than this share of the rows are answered from a broadcast: at most 1 / HEAVY_SHARE keys.
+HEAVY_SHARE = 0.001
+#: A heavy key's rows go through the shuffle in so many lanes.
+LANES = 4096
+
+
+def heavy_keys(rows: DataFrame, keys: list[str], share: float = HEAVY_SHARE) -> list[int]:
+    """Hashes of the keys that may hold more than ``share`` of the rows: one pass with a sketch of 1 / ``share`` counters.
+
+    Every heavier key is among them; others may be too, which costs nothing but a place in the broadcast.
+    """
+    found = rows.select(F.xxhash64(*keys).alias("h")).freqItems(["h"], share).first()
+    return sorted(found[0] or []) if found else []
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], heavy: list[int]) -> DataFrame:
+    """Left join with ``right``, which has one row per key: heavy keys by a broadcast, all others by a shuffle.
+
+    The broadcast holds at most ``len(heavy)`` rows. Rows of heavy keys have
+    their answer then and go through the shuffled join in LANES lanes that
+    match nothing, so that no task gets all rows of one key.
+    """
+    values = [c for c in right.columns if c not in keys]
+    hashes = F.lit(np.array(heavy, np.int64)) if heavy else F.array().cast("array<bigint>")
+    is_heavy = F.array_contains(hashes, F.xxhash64(*keys))
+    few = right.where(is_heavy).select(*[F.col(k).alias(f"_h_{k}") for k in keys], *[F.col(v).alias(f"_h_{v}") for v in values])
+    same = None
+    for k in keys:
+        one = F.col(k) == F.col(f"_h_{k}")
+        same = one if same is None else same & one
+    first = left.join(F.broadcast(few), same, "left") if heavy else left.select("*", *[F.lit(None).cast(right.schema[v].dataType).alias(f"_h_{v}") for v in values])
+    lane = F.when(is_heavy, 1 + F.pmod(F.xxhash64(*left.columns), F.lit(LANES))).otherwise(F.lit(0)).cast("long")
+    # always 0, but no literal: a constant would leave the join's keys, and with it the lanes
+    rest = right.where(~is_heavy).withColumn("_lane", F.pmod(F.xxhash64(*keys), F.lit(1)))
+    out = first.withColumn("_lane", lane).join(rest, [*keys, "_lane"], "left")
+    return out.select(*left.columns, *[F.coalesce(F.col(f"_h_{v}"), F.col(v)).alias(v) for v in values])
+
+
 def predict_fill_counts(examples: DataFrame, model: dict, input_col: str = "input") -> DataFrame:
-    """L3: add ``prediction`` and ``level`` (pair, prev, global, none) by back-off."""
+    """L3: add ``prediction`` and ``level`` (pair, prev, global, none) by back-off.
+
+    Contexts may be very unevenly frequent: both joins are split by ``heavy_keys``.
+    """
     ex = with_context(examples, input_col)
     pair = model["pair"].select("ctx_prev", "ctx_next", F.col("prediction").alias("_p1"))
     prev = model["prev"].select("ctx_prev", F.col("prediction").alias("_p2"))
-    out = ex.join(pair, ["ctx_prev", "ctx_next"], "left").join(prev, ["ctx_prev"], "left")
+    both = ["ctx_prev", "ctx_next"]
+    out = split_join(ex, pair, both, heavy_keys(ex, both))
+    out = split_join(out, prev, ["ctx_prev"], heavy_keys(ex, ["ctx_prev"]))
     glob = F.lit(model["global"]).cast("string")
     level = (F.when(F.col("_p1").isNotNull(), "pair").when(F.col("_p2").isNotNull(), "prev")
              .when(glob.isNotNull(), "global").otherwise("none"))

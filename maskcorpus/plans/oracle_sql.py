@@ -216,15 +216,16 @@ code_functions as (""" + with_views("code_functions").split(" as (", 1)[1].rspli
 repo_functions as (select func_no, cast(floor(sqrt(func_no)) as bigint) as repo_key from code_functions),
 cnt as (select repo_key, count(*) as n_functions from repo_functions group by repo_key),
 g as (select c1.repo_rank, c1.repo_key, coalesce(cnt.n_functions, 0) as n_functions from c1 left join cnt on c1.repo_key = cnt.repo_key),
-cut as (select *, coalesce(sum(n_functions) over (order by repo_rank rows between unbounded preceding and 1 preceding), 0) as functions_before from g)
+sums as (select *, coalesce(sum(n_functions) over (order by repo_rank rows between unbounded preceding and 1 preceding), 0) as functions_before from g),
+cut as (select * from sums where functions_before < (select sum(n_functions) // 3 from g))
 """
 
 SQL["take_until_target"] = _TAKE + """
-select repo_rank, repo_key, n_functions, cast(functions_before as bigint) as functions_before from cut where functions_before < 100
+select repo_rank, repo_key, n_functions, cast(functions_before as bigint) as functions_before from cut
 """
 
 SQL["functions_until_target"] = _TAKE + """
-select func_no, repo_key from repo_functions where repo_key in (select repo_key from cut where functions_before < 100)
+select func_no, repo_key from repo_functions where repo_key in (select repo_key from cut)
 """
 
 _SCORED = with_views("code_functions", "code_ifs", "if_predictions") + _FUNCS + f""",

@@ -137,13 +137,13 @@ def split_counts(spark, sf):
 @register("split_80_10_10")
 def split_80_10_10(spark, sf):
     ex = mask_conditions(spark, sf)
-    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42).select("id", "split")
+    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42, once=True).select("id", "split")
 
 
 @register("holdout_95_5")
 def holdout_95_5(spark, sf):
     ex = corrupt_tokens(spark, sf)
-    return ordering.holdout(ex, "doc_id", 0.05, 42).select("doc_id", "split")
+    return ordering.holdout(ex, "doc_id", 0.05, 42, once=True).select("doc_id", "split")
 
 
 @register("split_sizes")
@@ -202,7 +202,10 @@ def repo_function_counts(spark, sf):
 
 @register("take_until_target")
 def take_until_target(spark, sf):
-    kept = _catalog().take_until(top_repos(spark, sf), repo_function_counts(spark, sf), target=100)
+    """Until a third of the ranked repositories' functions is reached."""
+    ranked, counts = top_repos(spark, sf), repo_function_counts(spark, sf)
+    target = ranked.join(counts, "repo_key").agg(F.coalesce(F.sum("n_functions"), F.lit(0))).first()[0] // 3
+    kept = _catalog().take_until(ranked, counts, target)
     return kept.select("repo_rank", "repo_key", "n_functions", "functions_before")
 
 
@@ -346,7 +349,7 @@ def encode_padded(spark, sf):
 
 def _finetune_splits(spark, sf):
     ex = mask_conditions(spark, sf)
-    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42)
+    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42, once=True)
 
 
 @register("fill_counts")

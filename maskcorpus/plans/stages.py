@@ -44,14 +44,14 @@ def build_datasets(functions: DataFrame, p: Params = Params()) -> DataFrame:
     ``functions`` needs ``id, code, if_statements``. ``dataset_parts`` sends functions to corruption or to
     condition masking; fine-tune examples are then split 80/10/10 by exact counts. Output:
     ``kind, split, id, input, target`` (pre-train rows carry their function id). Cuts are keys, so code and
-    examples are never sorted or written for a split.
+    examples are never sorted; fine-tune examples are written once, so that masking runs once for cuts and labels.
     """
     parts = dataset_parts(functions, p)
     pre = corrupt.pretrain_examples(parts.where(F.col("part") == "pretrain"), "code", "id", p.seed,
                                     p.mask_rate_percent, p.min_tokens)
     pre = pre.select(F.lit("pretrain").alias("kind"), F.lit("train").alias("split"), "id", "input", "target")
     fine = mask.mask_conditions(parts.where(F.col("part") == "finetune"), p.keywords, p.terminator, p.mask_token)
-    fine = ordering.split_fractions(fine, "id", (p.train_fraction, p.val_fraction), ("train", "val", "test"), p.seed)
+    fine = ordering.split_fractions(fine, "id", (p.train_fraction, p.val_fraction), ("train", "val", "test"), p.seed, once=True)
     fine = fine.select(F.lit("finetune").alias("kind"), "split", "id", "input", "target")
     return pre.unionByName(fine)
 

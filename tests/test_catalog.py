@@ -70,16 +70,45 @@ def test_a_broken_page_fails(spark, tmp_dir):
         read_repo_catalog(spark, tmp_dir).collect()
 
 
-def test_rank_without_a_cut_and_refusal_of_huge_windows(spark, monkeypatch):
+def test_rank_without_a_cut(spark):
     repos = spark.createDataFrame([(f"k{i}", i % 4) for i in range(10)], "repo_key string, stars long")
     ranked = catalog.top_repos(repos).orderBy("repo_rank").collect()
     assert [r["repo_rank"] for r in ranked] == list(range(1, 11))
     assert [(-r["stars"], r["repo_key"]) for r in ranked] == sorted((-(i % 4), f"k{i}") for i in range(10))
-    monkeypatch.setattr(catalog, "WINDOW_ROWS", 5)
-    with pytest_raises():
-        catalog.take_until(repos.withColumnRenamed("stars", "repo_rank"), repos.selectExpr("repo_key", "stars as n_functions"), 3)
 
 
-def pytest_raises():
-    import pytest
-    return pytest.raises(ValueError)
+def test_take_until_over_many_partitions(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    counts = [(f"k{i}", rng.choice([None, 0, 1, 5, 40])) for i in range(3000)]
+    ranked = spark.range(0, 3000, 1, 7).select((F.col("id") + 1).alias("repo_rank"), F.concat(F.lit("k"), (F.col("id") * 7 % 3000).cast("string")).alias("repo_key"))
+    n = dict(counts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = catalog.take_until(ranked, spark.createDataFrame(counts, "repo_key string, n_functions long"), 9000)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.repo_rank, r.repo_key, r.n_functions, r.functions_before) for r in kept.collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    want, before = [], 0
+    for i in range(3000):
+        key = f"k{i * 7 % 3000}"
+        if before < 9000:
+            want.append((i + 1, key, n[key] or 0, before))
+        before += n[key] or 0
+    assert got == want and 100 < len(got) < 3000
+    assert "SinglePartition" not in plan
+    assert catalog.take_until(ranked.limit(0), spark.createDataFrame(counts, "repo_key string, n_functions long"), 5).collect() == []
+
+
+def test_prefix_sum(spark):
+    from maskcorpus.operators.ordering import prefix_sum
+    rows = [(i % 50, f"x{i}", i if i % 3 else None) for i in range(400)]
+    out = prefix_sum(spark.createDataFrame(rows, "a long, b string, v long").repartition(6), ["a", "b"], "v", "before").collect()
+    total = 0
+    for r in sorted(out, key=lambda r: (r.a, r.b)):
+        assert r.before == total
+        total += r.v or 0
+    assert len(out) == 400

@@ -101,3 +101,31 @@ def test_repeated_predictions_do_not_repeat_examples(spark):
     ex = spark.createDataFrame([(1, "a"), (2, "b")], "id long, target string")
     pred = spark.createDataFrame([(1, "a"), (1, "zz"), (1, None), (3, "x")], "id long, prediction string")
     assert exact_match(score_predictions(ex, pred)).first().asDict() == {"exact_match": 1, "total": 2, "accuracy": 0.5}
+
+
+def test_hot_context_is_split(spark):
+    """One context holds half of all rows: no task of the joins reads much more than the median, and nothing is lost."""
+    from pyspark.sql import functions as F
+
+    from maskcorpus.operators.predict import heavy_keys, split_join
+    left = spark.range(0, 40_000, 1, 8).selectExpr("id", "if(id % 2 = 0, 'hot', concat('k', id % 3001)) as k", "if(id % 997 = 0, null, 'x') as other")
+    right = spark.range(3001).selectExpr("concat('k', id) as k", "id as v").where("v % 5 <> 0").union(spark.sql("select 'hot', -7L"))
+    heavy = heavy_keys(left, ["k"])
+    assert len(heavy) <= 1000 and left.where("k = 'hot'").select(F.xxhash64("k")).first()[0] in heavy
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {c: spark.conf.get(c) for c in conf}
+    for c, v in conf.items():
+        spark.conf.set(c, v)
+    try:
+        out = split_join(left, right, ["k"], heavy)
+        sizes = sorted(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        plain = sorted(r["count"] for r in left.join(right, "k", "left").groupBy(F.spark_partition_id()).count().collect())
+        assert out.columns == ["id", "k", "other", "v"]
+        assert sorted(map(str, out.collect())) == sorted(map(str, left.join(right, "k", "left").select("id", "k", "other", "v").collect()))
+        assert sizes[-1] <= 3 * sizes[len(sizes) // 2] < plain[-1]
+        none = split_join(left, right, ["k"], [])
+        assert sorted(map(str, none.collect())) == sorted(map(str, out.collect()))
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert heavy_keys(left.limit(0), ["k"]) == []

@@ -95,3 +95,30 @@ def test_spreading_is_one_plan_at_every_size(spark):
     from maskcorpus.session import spread_rows
     small, large = (_optimized(spread_rows(spark.range(0, n, 1, p).selectExpr("id", "id as text"))) for n, p in ((10, 1), (10**6, 64)))
     assert "RebalancePartitions" in small and "RebalancePartitions" in large
+
+
+def test_splits_run_their_input_once(spark, tmp_dir):
+    """Masking and sampling are in the job that writes the rows, and neither in the search for cuts nor in the labels."""
+    from pyspark.sql import types as T
+    ran = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            ran.add(b.num_rows)
+            yield b
+
+    rows = spark.range(0, 3000, 1, 4).selectExpr("cast(id as string) id", "repeat('x', 20) input").mapInArrow(
+        counted, T.StructType([T.StructField("id", T.StringType()), T.StructField("input", T.StringType())]))
+    want = ordering.split_fractions(spark.range(3000).selectExpr("cast(id as string) id"), "id").collect()
+    got = ordering.split_fractions(rows, "id", once=True)
+    assert sorted((r.id, r.split) for r in got.collect()) == sorted(map(tuple, want)) and ran.value == 3000
+    assert "MapInArrow" not in _plan(got)
+    held = ordering.holdout(rows, "id", once=True)
+    assert held.where("split = 'test'").count() == 150 and ran.value == 6000
+
+
+def test_registered_splits_mask_and_sample_once(spark):
+    import __spark_entry__ as E
+    for name in ("split_80_10_10", "holdout_95_5"):
+        plan = _optimized(E.queries()[name](spark, SF_SMALL))
+        assert "split(" not in plan and "ArrowEvalPython" not in plan, name  # labels are read from what was written
