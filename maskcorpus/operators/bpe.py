@@ -1,29 +1,34 @@
 """Corpus vocabulary: word counts, pair counts and greedy BPE merges on Spark
 (SURVEY J1-J4, §7.5).
 
-The word table is ``(s, n)``: a word's symbols written as ``<id><id>...`` and
-its corpus count. One merge of ``(a, b)`` is a native ``replace`` of
-``<a><b>`` by ``<ab>`` (left to right, non-overlapping: BPE's rule). Each round
-is one aggregation that yields the best pair: highest count, then lowest
-``(id(a), id(b))``. Only that one pair and the growing merge list (bounded by
-``vocab_size``) reach the driver. The word table is cached per round and
-checkpointed to the session's reliable checkpoint folder every few rounds.
+Distinct words are written once and dealt into shards that stay cached
+(``pair_state``): their symbols, an index pair -> words, and, dealt by pair, a
+table pair -> count. Each round is one job. It carries out the merges of the
+last round in the words that hold them, sends the changed counts to the pair
+shards and returns the head of the pair table: highest count, then lowest
+``(id(a), id(b))``. Only heads, bounds of their pairs and the merge list
+(bounded by ``vocab_size``) reach the driver. Shards are partitions of an RDD,
+as each needs imperative work on state that it alone owns; lineage is cut by
+reliable checkpoints.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskcorpus.config import SPECIAL_TOKENS
 from maskcorpus.functions.bytelevel import byte_level, nfkc, pretokenize
-from maskcorpus.session import ensure_checkpoint_dir
-
-_KEY = 1 << 31  # ids are 32-bit integers: (left, right) packs into one long
+from maskcorpus.operators.pair_state import KEY, Pairs, Words, dealt, summed
+from maskcorpus.session import ensure_checkpoint_dir, written_once
 
 
 def word_frequencies(df: DataFrame, text: str = "text", normalise: bool = True) -> DataFrame:
@@ -37,23 +42,6 @@ def word_frequencies(df: DataFrame, text: str = "text", normalise: bool = True)
     return raw.select(byte_level("w").alias("word"), "n")
 
 
-def with_ids(words: DataFrame, s: str = "s") -> DataFrame:
-    """``s, n`` and the symbols as ``ids array<int>``."""
-    return words.withColumn("ids", F.split(F.substring(s, 2, 2**31 - 1), "><").cast("array<string>")).withColumn(
-        "ids", F.transform("ids", lambda x: F.rtrim(x, F.lit(">")).cast("int")))
-
-
-def _pair_keys() -> F.Column:
-    """The adjacent pairs of ``ids`` as longs: left * _KEY + right."""
-    k = F.greatest(F.size("ids") - 1, F.lit(0))
-    return F.zip_with(F.slice("ids", F.lit(1), k), F.slice("ids", F.lit(2), k), lambda a, b: a.cast("long") * _KEY + b)
-
-
-def _pairs(words: DataFrame) -> DataFrame:
-    """``p, n``: how often each adjacent pair occurs, for words with ``ids``; one long key, summed before the shuffle."""
-    return words.select(F.explode(_pair_keys()).alias("p"), "n").groupBy("p").agg(F.sum("n").alias("n"))
-
-
 @dataclass
 class BpeModel:
     """Learned vocabulary (driver-side lists, bounded by ``vocab_size``)."""
@@ -86,107 +74,188 @@ def alphabet(words: DataFrame, word: str = "word") -> list[str]:
     return sorted((r[0] for r in chars.collect()), key=ord)
 
 
-def symbol_table(words: DataFrame, alpha: list[str], first_id: int, word: str = "word", n: str = "n") -> DataFrame:
-    """Words as ``<id>`` strings over the alphabet (id = first_id + position in ``alpha``)."""
-    arr = F.split(F.lit("\x00".join(alpha)), "\x00")  # one folded literal, not 256 expressions
-    s = F.array_join(F.transform(F.split(word, ""), lambda c: F.concat(
-        F.lit("<"), (F.array_position(arr, c) + (first_id - 1)).cast("string"), F.lit(">"))), "")
-    return words.where(F.col(word) != "").select(s.alias("s"), F.col(n).cast("long").alias("n"))
+def _safe_batch(top: list, bounds: dict, budget: int, overlaps: dict | None = None, least: int = 0) -> list:
+    """Merges from one pair count that greedy BPE provably takes next, in order, with their counts at that time.
 
+    ``top`` is the pair table's head, sorted by (count desc, a, b); all other
+    pairs have at most ``least``. Two things can change while merges are taken:
 
-def _merged(s, steps: list[str]):
-    """``s`` after replacing ``steps[0]`` by ``steps[1]``, then ``steps[2]`` by ``steps[3]``, ...
+    * Merging ``(p, q)`` takes occurrences from ``(c, p)`` and ``(q, d)`` only.
+      A pair that lost some on one side is put back with its count less
+      ``overlaps``, which has the counts of triples ``c p q`` and ``p q d``. This
+      is exact if all occurrences of the merges it met were free when they were
+      taken. For a pair that met others, or some on both sides, that is only
+      the most it can have, and the batch ends where it might come next.
+    * Merging ``(a, b)`` creates ``(x, ab)`` at most as often as the triple
+      ``x a b`` occurred and ``(ab, y)`` at most as often as ``a b y``. ``bounds``
+      has the largest such count per pair (without one: no bound), and a merge
+      is taken only while its count is strictly above all bounds so far.
 
-    One fold over a literal array: the plan and its compiled code do not grow with the batch.
-    """
-    table = F.lit(np.array(steps))
-    at = F.lit(np.arange(1, len(steps), 2, dtype=np.int32))
-    return F.aggregate(at, s, lambda word, i: F.replace(word, F.element_at(table, i), F.element_at(table, i + 1)))
-
-
-def _safe_batch(top: list, bounds: dict, budget: int) -> list:
-    """Merges from one pair count that greedy BPE provably takes next, in order.
-
-    ``top`` is the pair table's head, sorted by (count desc, a, b). The first
-    pair is always taken. A later pair ``(c, d)`` is taken while (1) no merge
-    taken before it can break one of its occurrences (merging ``(p, q)`` only
-    breaks ``(x, p)`` and ``(q, y)``, so ``d`` must not be a taken left part and
-    ``c`` not a taken right part; counts of other pairs only fall) and (2) its
-    count is strictly above every count a pair created by those merges can reach. Merging ``(a, b)`` creates ``(x, ab)``
-    at most as often as the triple ``x a b`` occurred and ``(ab, y)`` at most as
-    often as ``a b y``; ``bounds[(a, b)]`` is the largest such triple count.
-    The scan stops at the first pair failing a test, so the merge sequence
-    equals one merge per round.
+    So the merge sequence equals one merge per round.
     """
-    taken, firsts, seconds, bound = [], set(), set(), -1
-    for a, b, n in top:
-        if len(taken) >= budget:
-            break
-        # merging (p, q) only breaks occurrences of (x, p) and (q, y): a pair whose
-        # right symbol was merged as a left part, or whose left symbol was merged as a right part
-        if taken and (b in firsts or a in seconds or n <= bound):
+    def overlap(p: int, q: int, r: int) -> int | None:
+        """Occurrences of a triple whose pairs were both watched; without an entry there are none."""
+        return (overlaps or {}).get((p, q, r), 0) if (p, q) in bounds and (q, r) in bounds else None
+
+    taken: list = []
+    after: dict[int, list] = {}  # left symbol of taken merges -> (right symbol, free)
+    before: dict[int, list] = {}  # right symbol -> (left symbol, free)
+    bound = -1
+    heap = [(-n, a, b, n) for a, b, n in top]
+    heapq.heapify(heap)
+    while heap and len(taken) < budget:
+        lost, a, b, n = heapq.heappop(heap)
+        count = -lost
+        if taken and (count <= bound or count <= least):
             break
-        taken.append((a, b, n))
-        firsts.add(a)
-        seconds.add(b)
-        bound = max(bound, bounds.get((a, b), 0))
+        right, left = after.get(b, []), before.get(a, [])
+        if right or left:
+            right = [overlap(a, b, q) if free else None for q, free in right]
+            left = [overlap(p, a, b) if free else None for p, free in left]
+            most = n if a == b else n - max(sum(x or 0 for x in right), sum(x or 0 for x in left))
+            if most < count:  # merges were taken since the pair's count was last reckoned
+                if most > 0:
+                    heapq.heappush(heap, (-most, a, b, n))
+                continue
+            if a == b or right and left or None in right + left:
+                break
+            free = False
+        else:
+            free = a != b
+        taken.append((a, b, count))
+        after.setdefault(a, []).append((b, free))
+        before.setdefault(b, []).append((a, free))
+        bound = max(bound, bounds.get((a, b), math.inf))
     return taken
 
 
-def _triple_bounds(words: DataFrame, head: list) -> dict:
-    """For each head pair ``(a, b)``: the largest weighted count of a triple ``x a b`` or ``a b y``.
+#: Distinct words of one shard.
+SHARD_WORDS = 400_000
+#: Rounds after which word shards are cached anew.
+REFRESH = 8
+#: Pairs of the head whose triples are counted for the next round.
+WATCHED = 1024
+
 
-    One aggregation over the word table; only the places of head pairs leave
-    their word. The head (bounded by the batch) is a literal array, which
-    enters the compiled code as a reference: the code is the same in every round.
+def _word_shards(words: DataFrame, tok_id: dict[str, int], shards: int):
+    """One ``Words`` per partition, from rows (word, n)."""
+    def run(batches):
+        held, counts = [], []
+        for batch in batches:
+            for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if w:
+                    held.append([tok_id[c] for c in w])
+                    counts.append(n)
+        state = pickle.dumps(Words(held, counts), 5)
+        yield pa.RecordBatch.from_arrays([pa.array([state], pa.large_binary())], names=["state"])
+
+    return words.repartition(shards).mapInArrow(run, "state binary").rdd.map(lambda r: pickle.loads(r[0]))
+
+
+def _replayed(merges: list):
+    """The state after batches of merges."""
+    def run(state: Words) -> Words:
+        for batch in merges:
+            state.apply(batch)
+        return state
+    return run
+
+
+def _round(states, pending: list, tables, watched: np.ndarray, head: int):
+    """Pair shards (table, heads, bounds, overlaps) after the last batch of ``pending``.
+
+    Word shards are cached before the batches of ``pending``: repeating a few
+    batches costs less than writing all words in every round. Without any
+    batch, all counts are sent. ``watched`` are pairs whose triples are counted
+    after the merges.
     """
-    keys = F.lit(np.array([a * _KEY + b for a, b, _ in head], np.int64))
-    places = F.transform(_pair_keys(), lambda p, i: F.struct(
-        p.alias("p"), F.get(F.col("ids"), i - 1).alias("x"), F.get(F.col("ids"), i + 2).alias("y")))
-    hits = F.filter(places, lambda e: F.array_contains(keys, e["p"]))
-    sides = F.flatten(F.transform(hits, lambda e: F.array(
-        F.struct(e["p"].alias("p"), F.lit(0).alias("side"), e["x"].alias("other")),
-        F.struct(e["p"].alias("p"), F.lit(1).alias("side"), e["y"].alias("other")))))
-    triples = words.select(F.inline(sides), "n").where("other is not null").groupBy("p", "side", "other").agg(F.sum("n").alias("c"))
-    return {(r["p"] // _KEY, r["p"] % _KEY): r["m"] for r in triples.groupBy("p").agg(F.max("c").alias("m")).collect()}
+    shards = tables.getNumPartitions()
+
+    def step(state: Words):
+        state = _replayed(pending[:-1])(state)
+        keys, by = state.apply(pending[-1]) if pending else state.counts()
+        yield from dealt(keys, by, shards, "count")
+        if len(watched):
+            yield from dealt(*state.triples(watched), shards, "triple")
+
+    def update(one):
+        (table, *_), sent = one
+        bound, overlap = np.zeros(len(watched), np.int64), (np.zeros(0, np.int64),) * 3
+        for kind in ("count", "triple"):
+            found = [x[1:] for _, x in sent if x[0] == kind]
+            keys, by = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+            if kind == "count":
+                table.change(keys, by)
+            elif len(keys):
+                keys, total = summed(keys, by)
+                place = keys // (2 * KEY)
+                np.maximum.at(bound, place, total)
+                # a b y where (b, y) is watched too
+                follower = watched[place] % KEY * KEY + keys % KEY
+                known = (keys // KEY % 2 == 1) & np.isin(follower, watched)
+                overlap = (watched[place[known]], keys[known] % KEY, total[known])
+        return table, table.head(head), bound, overlap
+
+    messages = states.flatMap(step).partitionBy(shards, _same).glom()
+    return tables.zip(messages).map(update).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _same(shard: int) -> int:
+    return shard
 
 
 def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = None, word: str = "word",
               n: str = "n", checkpoint_every: int = 20, max_merges: int | None = None,
-              batch: int = 64, head: int = 512) -> BpeModel:
+              batch: int = 256, head: int = 1024) -> BpeModel:
     """Greedy merges until the vocabulary holds ``vocab_size`` tokens or no pair is left.
 
-    Exact: the merge sequence equals one merge per round. Each round is one
-    pass over the word table; it may commit up to ``batch`` merges when
-    ``_safe_batch`` proves their order (``batch=1`` gives the plain loop).
-    ``head`` pairs and the per-symbol maxima (both bounded by the vocabulary)
-    are all that reach the driver.
+    Exact: the merge sequence equals one merge per round. A round reads the
+    words that hold the last round's merges and may commit up to ``batch``
+    merges when ``_safe_batch`` proves their order (``batch=1`` gives the plain
+    loop). ``head`` pairs of each shard are all that reach the driver.
     """
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
     specials = list(SPECIAL_TOKENS if specials is None else specials)
-    alpha = alphabet(words, word)
-    tokens = specials + [c for c in alpha if c not in set(specials)]
+    table = written_once(words.select(F.col(word).alias("word"), F.col(n).cast("long").alias("n")), "words")
+    alpha = [c for c in alphabet(table) if c not in set(specials)]
+    tokens = specials + alpha
     tok_id = {t: i for i, t in enumerate(tokens)}
     id_tok = dict(enumerate(tokens))
-    cur = with_ids(symbol_table(words, alpha, len(specials), word, n)).checkpoint(eager=True)
+    sc = spark.sparkContext
+    shards = max(sc.defaultParallelism, -(-table.count() // SHARD_WORDS))
+    states = _word_shards(table, tok_id, shards).persist(StorageLevel.MEMORY_AND_DISK)
+    # as many pair shards as word shards; a table is empty at first, in a partition of its own
+    tables = sc.parallelize([(i, None) for i in range(shards)]).partitionBy(shards, _same).glom().map(lambda _: (Pairs(),))
+    pending, watched = [], np.zeros(0, np.int64)
     merges: list[tuple[str, str, int]] = []
-    rounds, stale = 0, None
+    old, rounds = tables, 0
     while len(tok_id) < vocab_size and (max_merges is None or len(merges) < max_merges):
-        # left ids first, then right ids: the order of the keys is the order of the pairs
-        top = [(r["p"] // _KEY, r["p"] % _KEY, r["n"]) for r in _pairs(cur).orderBy(F.col("n").desc(), "p").limit(head).collect()]
-        if stale is not None:  # ``cur`` is materialised now; its parent's cache can go
-            stale.unpersist()
-            stale = None
+        old, tables = tables, _round(states, pending, tables, watched, head)
+        rounds += 1
+        if rounds % checkpoint_every == 0:  # cuts lineage; reliable storage survives executor loss
+            tables.checkpoint()
+        found = tables.map(lambda x: x[1:]).collect()
+        old.unpersist()
+        if rounds % REFRESH == 0:
+            before, states = states, states.map(_replayed(pending)).persist(StorageLevel.MEMORY_AND_DISK)
+            if rounds % (REFRESH * checkpoint_every) == 0:
+                states.checkpoint()
+            states.count()
+            before.unpersist()
+            pending = []
+        keys, counts = (np.concatenate([h[i] for h, *_ in found]) for i in (0, 1))
+        order = np.lexsort((keys, -counts))
+        # beyond the head, and beyond any shard's head, no pair has more than this
+        least = max([int(h[1][-1]) for h, *_ in found if len(h[0]) == head], default=0)
+        top = [(k // KEY, k % KEY, c) for k, c in zip(keys[order].tolist(), counts[order].tolist())]
         if not top or top[0][2] < 1:
             break
-        budget = min(batch, vocab_size - len(tok_id))
-        if max_merges is not None:
-            budget = min(budget, max_merges - len(merges))
-        if budget > 1 and len(top) > 1:
-            chosen = _safe_batch(top, _triple_bounds(cur, top[:2 * batch]), budget)
-        else:
-            chosen = top[:1]
+        bound = np.max([x for _, x, _ in found], axis=0) if len(watched) else watched
+        bounds = {(k // KEY, k % KEY): x for k, x in zip(watched.tolist(), bound.tolist())}
+        overlaps = {(k // KEY, k % KEY, y): x for _, _, o in found for k, y, x in zip(*(v.tolist() for v in o))}
+        budget = min(batch, vocab_size - len(tok_id), max_merges - len(merges) if max_merges is not None else batch)
+        chosen = _safe_batch(top, bounds, budget, overlaps, least)
         steps = []
         for a, b, cnt in chosen:
             left, right = id_tok[a], id_tok[b]
@@ -195,21 +264,13 @@ def learn_bpe(words: DataFrame, vocab_size: int, specials: list[str] | None = No
                 tok_id[new] = len(id_tok)
                 id_tok[tok_id[new]] = new
             merges.append((left, right, int(cnt)))
-            steps += [f"<{a}><{b}>", f"<{tok_id[new]}>"]
-        nxt = with_ids(cur.select(_merged(F.col("s"), steps).alias("s"), "n"))
-        rounds += 1
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)  # cuts lineage; reliable storage survives executor loss
-        else:
-            nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-        if cur.storageLevel.useMemory or cur.storageLevel.useDisk:
-            stale = cur
-        cur = nxt
-    if stale is not None:
-        stale.unpersist()
-    if cur.storageLevel.useMemory or cur.storageLevel.useDisk:
-        cur.unpersist()
-    return BpeModel(specials, [c for c in alpha if c not in set(specials)], merges)
+            steps.append((a, b, tok_id[new]))
+        pending = [*pending, steps]
+        taken = {(a, b) for a, b, _ in chosen}
+        watched = np.array(sorted(a * KEY + b for a, b, _ in top[:WATCHED] if (a, b) not in taken), np.int64)
+    tables.unpersist()
+    states.unpersist()
+    return BpeModel(specials, alpha, merges)
 
 
 def pair_counts(words: DataFrame, word: str = "word", n: str = "n") -> DataFrame:
