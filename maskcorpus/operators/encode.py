@@ -1,7 +1,8 @@
 """Encoding texts to fixed-length token ids, and decoding.
 
 Native Spark does the text work: split on special tokens, pre-tokenize,
-byte-map. The per-word merge loop is a small Python helper in an Arrow-batched
+byte-map. ``encode`` needs no shuffle; ``encode_by_dictionary`` segments each
+distinct word once for the whole corpus and joins the ids back. The per-word merge loop is a small Python helper in an Arrow-batched
 UDF with a per-task cache; it reads the merge table from a broadcast variable
 (bounded by ``vocab_size``). The encoding is narrow: no shuffle of the token stream.
 Layout follows the plain tokenizer contract: ``</s>`` first (Q21), truncated to
@@ -22,10 +23,13 @@ from maskcorpus.operators.bpe import BpeModel
 
 # Special tokens as one pattern: <pad> <unk> </s> <extra_id_0> .. <extra_id_99>
 SPECIAL_RE = r"<pad>|<unk>|</s>|<extra_id_(?:[1-9]?[0-9])>"
+_IS_SPECIAL = r"\A(?:" + SPECIAL_RE + r")\z"
 _SEGMENTS = r"(?:" + SPECIAL_RE + r")|(?s:(?:(?!" + SPECIAL_RE + r").)+)"
 #: Tokens of a model that tasks get as a broadcast: some hundred bytes each.
 MAX_VOCAB = 1_000_000
-_MARK = "\u0000"  # marks a special token among the pieces (never produced by the byte map)
+#: Special tokens among pieces: pre-tokens never mix letters with "<" and ">", so none of them equals one.
+_SPECIALS = frozenset(SPECIAL_TOKENS)
+_GAP = "\u0000"  # joins tokens in a literal (the byte map never gives it)
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -35,16 +39,14 @@ def _nfkc_segments(col):
     def one(segs):
         if segs is None:
             return None
-        return [x if x.startswith(_MARK) else unicodedata.normalize("NFKC", x) for x in segs]
+        return [x if x in _SPECIALS else unicodedata.normalize("NFKC", x) for x in segs]
     return col.map(one)
 
 
 def segments(col) -> Column:
-    """Raw text split into special tokens (marked with a leading NUL) and the runs between them."""
+    """Raw text split into special tokens and the runs between them (a run never is or begins with a special token)."""
     c = F.col(col) if isinstance(col, str) else col
-    segs = F.regexp_extract_all(c, F.lit(_SEGMENTS), 0)
-    return F.transform(segs, lambda x: F.when(x.rlike("^(?:" + SPECIAL_RE + ")$"), F.concat(F.lit(_MARK), x))
-                       .otherwise(x))
+    return F.regexp_extract_all(c, F.lit(_SEGMENTS), 0)
 
 
 def normalised_segments(col) -> Column:
@@ -55,8 +57,8 @@ def normalised_segments(col) -> Column:
 
 
 def pieces(segs: Column) -> Column:
-    """Special tokens (marked) and byte-level words, in order."""
-    return F.flatten(F.transform(segs, lambda x: F.when(x.startswith(_MARK), F.array(x))
+    """Special tokens and byte-level words, in order."""
+    return F.flatten(F.transform(segs, lambda x: F.when(x.rlike(_IS_SPECIAL), F.array(x))
                                  .otherwise(F.transform(pretokenize(x), lambda w: byte_level(w)))))
 
 
@@ -115,8 +117,8 @@ def _ids_udf(bc):
                 return None
             out: list[int] = []
             for p in ps:
-                if p.startswith(_MARK):
-                    out.append(enc.tok_id[p[1:]])
+                if p in _SPECIALS:
+                    out.append(enc.tok_id[p])
                     continue
                 got = cache.get(p)
                 if got is None:
@@ -190,7 +192,7 @@ def decode(df: DataFrame, ids: str, model: BpeModel, out: str = "text", raw_join
     """
     from maskcorpus.functions.text import py_strip
     toks = model.tokens()
-    vocab = F.split(F.lit(_MARK.join(toks)), _MARK)
+    vocab = F.split(F.lit(_GAP.join(toks)), _GAP)
     n_special = len(SPECIAL_TOKENS)
     kept = F.filter(F.col(ids), lambda i: (i >= n_special) & (i < len(toks)))
     pieces_ = F.transform(kept, lambda i: F.element_at(vocab, i + 1))
@@ -204,7 +206,6 @@ def decode(df: DataFrame, ids: str, model: BpeModel, out: str = "text", raw_join
     return df.withColumn(out, py_strip(text))
 
 
-
 def encode_words(words: DataFrame, model: BpeModel, word: str = "word", out: str = "ids") -> DataFrame:
     """K2: the word -> ids dictionary for distinct byte-level words."""
     bc = words.sparkSession.sparkContext.broadcast(Encoder(model))
@@ -212,5 +213,66 @@ def encode_words(words: DataFrame, model: BpeModel, word: str = "word", out: str
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def ids(col):
         enc: Encoder = bc.value
-        return col.map(lambda w: None if w is None else enc.word_ids(w))
+        return col.map(lambda w: None if w is None else [enc.tok_id[w]] if w in _SPECIALS else enc.word_ids(w))
     return words.withColumn(out, ids(F.col(word)))
+
+
+#: Most frequent words that every task gets with their ids; all others come by a join.
+INLINE_WORDS = 1 << 14
+
+
+def word_dictionary(df: DataFrame, cols: list[str], model: BpeModel) -> DataFrame:
+    """K2: ``word, n, ids`` for every distinct pre-token of the text columns, each segmented once; special tokens included."""
+    parts = None
+    for c in cols:
+        one = df.select(F.explode(pieces(normalised_segments(c))).alias("word"))
+        parts = one if parts is None else parts.unionAll(one)
+    counted = parts.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return encode_words(counted.hint("rebalance"), model)
+
+
+def encode_by_dictionary(df: DataFrame, col: str, model: BpeModel, dictionary: DataFrame, out: str = "ids",
+                         first: int | None = None, inline: int = INLINE_WORDS) -> DataFrame:
+    """K2: ids of a text column by a join with the dictionary, the same as ``token_ids`` gives.
+
+    ``dictionary`` is a written table that holds every word (``word_dictionary``). The
+    ``inline`` most frequent words, which are most of the tokens, go to every
+    task as one bounded map; only other words leave their row, as (row, place,
+    word), and meet the dictionary in a shuffled join, where no key is frequent
+    any more. A row's ids come back as one group, put in order by place.
+    """
+    from maskcorpus.session import written_once
+    spark = df.sparkSession
+    head = dictionary.orderBy(F.col("n").desc(), "word").limit(inline).select("word", "ids").collect()
+    bc = spark.sparkContext.broadcast({r["word"]: r["ids"] for r in head})
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def known(col):
+        ids = bc.value
+        return col.map(lambda ps: None if ps is None else [ids.get(p) for p in ps])
+
+    parts = pieces(normalised_segments(col))
+    if first is not None and Encoder(model).unk is not None:
+        parts = F.slice(parts, 1, first)
+    # written once: row numbers and pieces are then the same on both sides of the join
+    rows = written_once(df.withColumn("_pieces", parts).withColumn("_row", F.monotonically_increasing_id())
+                        .withColumn("_known", known("_pieces")), "pieces")
+    missing = F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size("_pieces") - 1).alias("at"), F.col("_pieces").alias("word"), F.col("_known").alias("ids")),
+                       lambda x: x["ids"].isNull())
+    left = rows.where(F.size("_pieces") > 0).select("_row", F.inline(missing)).select("_row", "at", "word")
+    found = (left.join(dictionary.select("word", "ids"), "word")
+             .groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("_found")))
+    joined = rows.join(found, "_row", "left")
+    # the found ids stand in the order of the gaps: the k-th gap takes the k-th of them
+    gaps = F.transform("_known", lambda ids: ids.isNull().cast("int"))
+    rank = F.when(F.col("_found").isNotNull(), _running(gaps))
+    whole = F.when(F.col("_found").isNull(), F.flatten("_known")).otherwise(F.flatten(F.zip_with("_known", "_ranks", lambda ids, k: F.coalesce(
+        ids, F.get(F.col("_found"), k - 1)["ids"]))))
+    return joined.withColumn("_ranks", rank).withColumn(out, whole).drop("_row", "_pieces", "_known", "_found", "_ranks")
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _running(col):
+    """Running sums of whole-number arrays."""
+    import numpy as np
+    return col.map(lambda xs: None if xs is None else np.cumsum(np.asarray(xs, np.int32)))

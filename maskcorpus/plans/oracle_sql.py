@@ -596,6 +596,10 @@ select n::bigint as n, (select count(*) from documents) >= n as enough from (sel
 
 SQL["materialized_stage"] = f"select doc_id, cast(len({py_split('text')}) as int) as n_tokens from documents\n"
 
+SQL["decode_whole_texts"] = f"""
+select doc_id, cast(length({py_strip('text')}) as int) as n_chars, sha256({py_strip('text')}) as text_sha from documents
+"""
+
 SQL["rebuilt_stage"] = f"""
 select doc_id, case when {hash_bucket(42, 'doc_id')} < 8000 then 'train'
  when {hash_bucket(42, 'doc_id')} < 9000 then 'val' else 'test' end as split

@@ -345,6 +345,49 @@ def encode_padded(spark, sf):
                       F.array_join("labels", ",").alias("labels"))
 
 
+#: Size of the vocabulary that whole texts are encoded with (the command line's default is 32,000).
+VOCAB_WHOLE = 2000
+
+
+def _whole_model(spark, sf):
+    """The model of VOCAB_WHOLE tokens: learned once per application and table, then read back (M1)."""
+    from maskcorpus.operators.bpe import learn_bpe
+    from maskcorpus.plans.manifest import listing, stage_key
+    from maskcorpus.plans.stages import learned_vocabulary
+    from maskcorpus.session import _written_root
+    made_from = {"documents": listing(spark, [f"{sf}/documents.parquet"]), "vocab_size": VOCAB_WHOLE}
+    root = f"{_written_root(spark)}/vocabulary-{stage_key('vocabulary', made_from)[:16]}"
+    return learned_vocabulary(spark, root, lambda: learn_bpe(_words(spark, sf), VOCAB_WHOLE), made_from)
+
+
+@register("bpe_vocab_2000")
+def bpe_vocab_2000(spark, sf):
+    """J3 at 2,000 tokens: the merges, in order (no SQL twin; tests compare with the tokenizers trainer and plain merging)."""
+    return _whole_model(spark, sf).merges_df(spark)
+
+
+@register("encode_whole_texts")
+def encode_whole_texts(spark, sf):
+    """J5 through the word dictionary (K2): all ids of every document, ``</s>`` first (a test compares with the tokenizers library)."""
+    from maskcorpus.operators.encode import EOS_TOKEN, encode_by_dictionary, word_dictionary
+    from maskcorpus.session import written_once
+    model = _whole_model(spark, sf)
+    d = text_table(spark, sf, "documents", ("doc_id", "text"))
+    words = written_once(word_dictionary(d, ["text"], model), "dictionary")
+    out = encode_by_dictionary(d, "text", model, words)
+    ids = F.concat(F.array(F.lit(model.tokens().index(EOS_TOKEN))), "ids")
+    return out.select("doc_id", F.size(ids).alias("n_tokens"), F.sha2(F.array_join(ids, ","), 256).alias("ids_sha"))
+
+
+@register("decode_whole_texts")
+def decode_whole_texts(spark, sf):
+    """Every document encoded whole and decoded again; decoding strips the text."""
+    from maskcorpus.operators.encode import decode, token_ids
+    model = _whole_model(spark, sf)
+    coded = token_ids(text_table(spark, sf, "documents", ("doc_id", "text")), "text", model, "ids")
+    return decode(coded, "ids", model, "back").select("doc_id", F.length("back").alias("n_chars"), F.sha2("back", 256).alias("text_sha"))
+
+
 # ---- count-based fill model (L2, L3) ---------------------------------------
 
 def _finetune_splits(spark, sf):

@@ -97,6 +97,8 @@ def _list_members(batches, suffix: str):
 
 #: Decoded text that a task holds before it hands rows on.
 BATCH_BYTES = 16_000_000
+#: Archives whose central directories one task reads.
+LISTED_ARCHIVES = 200
 #: Compressed bytes of members that one task reads.
 TASK_BYTES = 64_000_000
 
@@ -133,13 +135,19 @@ def _read_members(batches):
         yield pd.DataFrame(rows, columns=columns)
 
 
+def listing_tasks(spark: SparkSession, n_archives: int) -> int:
+    """Tasks that read central directories: LISTED_ARCHIVES each, and all cores where there are archives for them."""
+    return max(1, min(n_archives, spark.sparkContext.defaultParallelism), -(-n_archives // LISTED_ARCHIVES))
+
+
 def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
                         num_partitions: int | None = None, only: DataFrame | None = None) -> DataFrame:
     """Archives read member by member, so one huge repository is decompressed by many tasks.
 
     1. list archive paths (``binaryFile`` with the content column pruned: no bytes
        read), and keep those of ``only(path)`` if given: no other archive is opened;
-    2. list each archive's members from its central directory, once, into a small table;
+    2. list each archive's members from its central directory, once, into a small table, by
+       ``listing_tasks`` tasks;
     3. deal the members by ``(path, member_ord)`` over as many tasks as their bytes ask
        for: a hot archive's members land on every task;
     4. each task opens its archives with random access, reads only its members and
@@ -149,7 +157,10 @@ def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suf
     paths = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
     if only is not None:
         paths = paths.join(only.select("path").distinct(), "path", "left_semi")
-    listing = written_once(paths.repartition("path").mapInPandas(lambda it: _list_members(it, suffix), LISTING), "members")
+    # an explicit number of partitions is not coalesced: a list of paths is tiny, but opening archives is not
+    paths = written_once(paths.withColumn("deal", F.xxhash64("path")), "archives")
+    dealt = paths.repartitionByRange(listing_tasks(spark, paths.count()), "deal").select("path")
+    listing = written_once(dealt.mapInPandas(lambda it: _list_members(it, suffix), LISTING), "members")
     if num_partitions is None:
         size = listing.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         num_partitions = max(spark.sparkContext.defaultParallelism, -(-int(size) // TASK_BYTES))

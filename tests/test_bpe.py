@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from maskcorpus.config import SPECIAL_TOKENS
+from maskcorpus.config import SPECIAL_TOKENS, Params
 from maskcorpus.functions.bytelevel import byte_level, pretokenize
 from maskcorpus.operators.bpe import learn_bpe, word_frequencies
 from maskcorpus.operators.encode import decode, encode
@@ -16,7 +16,7 @@ from tokenizers.processors import TemplateProcessing  # noqa: E402
 
 EDGE = ["a  b", "x\n\ny", "it's  'sun  ", "tab\there \xa0nbsp ls", "end   ", "  lead", "nums 123abc 4.5",
         "if <extra_id_0>:\n    return x", "<extra_id_100> <extra_id_10><extra_id_1>x", "ﬁne ＡＢＣ <pad>",
-        "Ω≈ç√∫ 😀 zz", ""]
+        "Ω≈ç√∫ 😀 zz", "", "\x00ab c", "\x00ab", "\x00", "a\x00b <pad>\x00x", "</s>\x00\x00", "＜pad＞ ＜/s＞\n"]
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +114,61 @@ def test_safe_batch_rules():
     assert _safe_batch(top, {(1, 2): 85}, 10) == top[:2]
     assert _safe_batch(top, {(1, 2): 95}, 10) == top[:1]
     assert _safe_batch(top, {}, 1) == top[:1]
+
+
+def test_nul_and_special_tokens_through_examples(spark, trained):
+    """J5, J6 and J8 on texts that begin with NUL, alone, and behind a special token."""
+    from maskcorpus.operators.encode import add_labels, encode_examples
+    from maskcorpus.plans.stages import encode_datasets
+    model, tok = trained
+    texts = ["\x00ab c", "\x00", "<pad>\x00ab", "a <extra_id_3>\x00", "\x00\x00 \x00"]
+
+    def padded(t):
+        ids = tok.encode(t).ids[:12]
+        return ids + [0] * (12 - len(ids))
+
+    df = spark.createDataFrame([(f"i{k}", t, texts[-k]) for k, t in enumerate(texts)], "id string, input string, target string")
+    want = [(f"i{k}", padded(t), padded(texts[-k])) for k, t in enumerate(texts)]
+    labelled = add_labels(df, "target", model, 12).orderBy("id").collect()
+    assert [(r.id, r.labels) for r in labelled] == [(i, x) for i, _, x in want]
+    rows = encode_examples(df, model, 12).orderBy("id").collect()
+    assert [(r.id, r.input_ids, r.labels) for r in rows] == want
+    sets = df.selectExpr("'finetune' as kind", "'train' as split", "id", "input", "target")
+    rows = encode_datasets(sets, model, Params(max_length=12)).orderBy("id").collect()
+    assert [(r.id, r.input_ids, r.labels) for r in rows] == want
+
+
+@pytest.mark.parametrize("inline", [0, 40, 1 << 14])
+def test_dictionary_join_equals_the_library(spark, trained, corpus, inline):
+    from maskcorpus.operators.encode import encode_by_dictionary, token_ids, word_dictionary
+    from maskcorpus.session import written_once
+    model, tok = trained
+    texts = corpus[1][:25] + EDGE + [None, "the", "the"]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "i int, text string, word string").repartition(4)
+    words = written_once(word_dictionary(df, ["text"], model), "dictionary")
+    assert words.count() == words.select("word").distinct().count()
+    got = {r.i: r.ids for r in encode_by_dictionary(df, "text", model, words, inline=inline).collect()}
+    assert got == {i: None if t is None else tok.encode(t).ids[1:] for i, t in enumerate(texts)}
+    assert got == {r.i: r.ids for r in token_ids(df, "text", model).collect()}
+    assert encode_by_dictionary(df.limit(0), "text", model, words).collect() == []
+
+
+def test_whole_documents_at_2000_tokens(spark):
+    """The registered queries against the library, trained and run on the same documents."""
+    import hashlib
+
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").collect()
+    merges = E.queries()["bpe_vocab_2000"](spark, SF_SMALL).orderBy("rank").collect()
+    tok = Tokenizer(models.BPE(unk_token="<unk>"))
+    tok.normalizer = normalizers.NFKC()
+    tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tok.train_from_iterator([r.text for r in docs], trainer=trainers.BpeTrainer(vocab_size=2000, special_tokens=SPECIAL_TOKENS, show_progress=False))
+    tok.post_processor = TemplateProcessing(single="</s> $A", special_tokens=[("</s>", 2)])
+    j = json.loads(tok.to_str())
+    assert [(r.left, r.right) for r in merges] == [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in j["model"]["merges"]]
+    assert len(j["model"]["vocab"]) == 2000
+    got = {r.doc_id: (r.n_tokens, r.ids_sha) for r in E.queries()["encode_whole_texts"](spark, SF_SMALL).collect()}
+    ids = {r.doc_id: tok.encode(r.text).ids for r in docs}
+    assert got == {d: (len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for d, x in ids.items()}
