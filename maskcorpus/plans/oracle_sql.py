@@ -541,8 +541,8 @@ _EXTRACTED = SQL["extract_functions"].rstrip().rsplit("\nselect ", 1)[0]
 
 SQL["functions_from_archives"] = _EXTRACTED + """
 select concat('src/f', cast(file_no as string), '.py') as member, cast(fn_ord as int) as fn_ord, num_ifs, cast(len(string_split(code, chr(10))) as int) as lines,
- sha256(concat(cast(row_number() over (order by -(file_no // 50), file_no, fn_ord) - 1 as string), ':', substring(code, 1, 100))) as id
-from r where (file_no // 50) % 2 = 0
+ sha256(concat(cast(row_number() over (order by case when (file_no // 50) % 2 = 0 then -(file_no // 50) else file_no // 50 + 1 end, file_no, fn_ord) - 1 as string), ':', substring(code, 1, 100))) as id
+from r
 """
 
 SQL["functions_from_all_archives"] = _EXTRACTED + """

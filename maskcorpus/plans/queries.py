@@ -476,24 +476,23 @@ def archive_members(spark, sf):
     return members.select("member", "member_ord", "status", F.sha2("code", 256).alias("code_sha"))
 
 
-def _functions_of_archives(spark, sf, which: str) -> DataFrame:
+def _functions_of_archives(spark, sf, rank) -> DataFrame:
     from maskcorpus.operators.extract import functions_from_archives as ffa
     path = _archives(spark, sf)
     found = spark.read.format("binaryFile").load(path).select("path", F.regexp_extract("path", "a(\\d+)[.]zip$", 1).cast("long").alias("no"))
-    repos = found.where(which).select("path", (-F.col("no")).alias("repo_rank"))
-    return ffa(spark, path, repos).select("member", "fn_ord", "num_ifs", "lines", "id")
+    return ffa(spark, path, found.select("path", rank.alias("repo_rank"))).select("member", "fn_ord", "num_ifs", "lines", "id")
 
 
 @register("functions_from_archives")
 def functions_from_archives(spark, sf):
-    """Of the archives with an even number, the later ones first: the others have no rank and are not opened."""
-    return _functions_of_archives(spark, sf, "no % 2 = 0")
+    """Of every archive, those with an even number first, and among them the later ones."""
+    return _functions_of_archives(spark, sf, F.when(F.col("no") % 2 == 0, -F.col("no")).otherwise(F.col("no") + 1))
 
 
 @register("functions_from_all_archives")
 def functions_from_all_archives(spark, sf):
     """Of every archive, the later ones first."""
-    return _functions_of_archives(spark, sf, "true")
+    return _functions_of_archives(spark, sf, -F.col("no"))
 
 
 BROKEN_FILES = "select file_no, case when file_no % 10 = 7 then concat(code, chr(10), 'def (') else code end as code from code_files"
@@ -674,11 +673,11 @@ def pipeline_metrics(spark, sf):
 
 @register("incremental_examples")
 def incremental_examples(spark, sf):
-    """Two landings of functions, each followed by a run of the stream."""
+    """Two landings of functions, then a third that repeats the first under another name, each followed by a run of the stream."""
     from maskcorpus.streaming.incremental import incremental_examples as stream
     src, out, state = (_scratch(spark, x) for x in ("landing", "examples", "state"))
     f = _functions_table(spark, sf).withColumn("half", F.substring("id", 1, 1) < "8")
-    for k, half in enumerate((F.col("half"), ~F.col("half"))):
+    for k, half in enumerate((F.col("half"), ~F.col("half"), F.col("half"))):
         f.where(half).drop("half").write.parquet(f"{src}/b{k}")
         stream(spark, f"{src}/*", out, state).awaitTermination()
     return spark.read.parquet(out).select("kind", "split", "func_id", "id", F.sha2("input", 256).alias("input_sha"), "target")

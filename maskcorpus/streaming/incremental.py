@@ -3,7 +3,9 @@
 A file-source stream over a folder of function tables; each trigger masks the
 new functions (G1), corrupts them (F2), both stateless per row, and gives them a sort-free split (H4),
 so earlier output is never recomputed. The checkpoint location keeps which
-files were processed, so a restarted run resumes where it stopped. Exact-count
+files were processed, so a restarted run resumes where it stopped, and keyed
+state: the ids of all functions seen, so that a function that is landed again,
+in another file or an overlapping one, gives no second example. Exact-count
 splits (H1/H2) need totals and stay batch jobs.
 """
 
@@ -19,11 +21,22 @@ from maskcorpus.operators.mask import mask_conditions
 from maskcorpus.operators.ordering import split_hash
 from maskcorpus.sources.files import FUNCTION
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def incremental_examples(spark: SparkSession, in_path: str, out_path: str, checkpoint: str,
-                         p: Params = Params(), fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+                         p: Params = Params(), fmt: str = "parquet", available_now: bool = True, once_each: bool = True) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    ``once_each``: only the first landing of a function id counts (null ids are
+    one id). The state is one id per function, kept in the checkpoint location
+    by ``STATE_STORE`` on the executors' disks, not in their heaps. A
+    checkpoint begun with one value must go on with it.
+    """
     src = spark.readStream.schema(FUNCTION).format(fmt).option("maxFilesPerTrigger", 1000).load(in_path)
+    if once_each:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+        src = src.dropDuplicates(["id"])
     ex = examples_of(src, p)
     w = (ex.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", checkpoint)
          .partitionBy("kind", "split").outputMode("append"))

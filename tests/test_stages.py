@@ -94,6 +94,21 @@ def test_incremental_stream_processes_new_files_once(spark, tmp_dir):
     assert got.count() == 2 and {r["target"] for r in got.collect()} == {"x > 1", "x < 0"}
 
 
+def test_landing_again_gives_no_second_example(spark, tmp_dir):
+    """State outlives the query: the same function in a third file, and twice in one, adds no row after a restart."""
+    from maskcorpus.streaming.incremental import incremental_examples
+    src, out, ck = (os.path.join(tmp_dir, x) for x in ("in", "out", "ck"))
+    schema = "id string, code string, if_statements array<struct<condition:string,line:int,depth:int>>, num_ifs int, lines int"
+    one, two = (("a", CODE, [("x > 1", 2, 3)], 1, 5), ("b", CODE.replace("x > 1", "x < 0"), [("x < 0", 2, 3)], 1, 5))
+    seen = []
+    for k, rows in enumerate(([one, one], [two], [one], [two, one])):
+        spark.createDataFrame(rows, schema).write.parquet(os.path.join(src, f"b{k}"))
+        incremental_examples(spark, os.path.join(src, "*"), out, ck).awaitTermination()
+        seen.append(spark.read.parquet(out).count())
+    assert seen == [2, 4, 4, 4]
+    assert spark.read.parquet(out).select("kind", "id").distinct().count() == 4
+
+
 def test_run_pipeline_end_to_end(spark, tmp_dir):
     from __spark_entry__ import SMOKE_DIR
     from maskcorpus.plans.queries import functions_with_ids
@@ -111,6 +126,30 @@ def test_run_pipeline_end_to_end(spark, tmp_dir):
     assert [(a, b) for a, b, _ in model.merges] == [(r["left"], r["right"]) for r in out["merges"].orderBy("rank").collect()]
 
 
+def test_archives_are_listed_by_several_tasks(spark, tmp_dir, monkeypatch):
+    from maskcorpus.sources import archives as A
+    for i in range(40):
+        _zip(os.path.join(tmp_dir, f"r{i}.zip"), {f"r{i}/a.py": CODE})
+    seen = []
+    keep = A._list_members
+
+    def counted(batches, suffix):
+        from pyspark import TaskContext
+        for pdf in keep(batches, suffix):
+            pdf["member"] = pdf["member"] + f"|{TaskContext.get().partitionId()}"
+            yield pdf
+    dealt = A.listing_tasks(spark, 40)
+    assert dealt == min(40, spark.sparkContext.defaultParallelism) and A.listing_tasks(spark, 10 ** 6) == 5000 and A.listing_tasks(spark, 0) == 1
+    monkeypatch.setattr(A, "_list_members", counted)
+    import maskcorpus.session as S
+    write = S.written_once
+    monkeypatch.setattr(S, "written_once", lambda df, name: seen.append((name, write(df, name))) or seen[-1][1])
+    A.read_archives(spark, tmp_dir)
+    rows = [r.member.split("|") for r in dict(seen)["members"].collect()]
+    by_task = {t: sum(x[1] == t for x in rows) for _, t in rows}
+    assert len(rows) == 40 and len(by_task) >= min(6, dealt) and max(by_task.values()) <= 12
+
+
 def test_split_reader_spreads_one_hot_archive(spark, tmp_dir):
     members = {f"big/m{i:03d}.py": f"def f{i}(x):\n    if x > {i}:\n        return {i}\n" for i in range(120)}
     members["big/notes.txt"] = "skip me"
