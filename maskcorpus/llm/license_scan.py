@@ -3,9 +3,12 @@
 A license template is aligned with a stretch of text: words that occur once
 in both are anchors, the longest increasing subsequence of the anchors is
 kept, and the gaps between them are aligned in the same way. Coverage is the
-share of the template's words that the alignment finds. A text is first cut
-into stretches that could reach the wanted coverage at all, by counting
-template words, which loses nothing.
+share of the template's words that the alignment finds. The words that tell a
+template from its neighbours (a version, NonCommercial, Lesser, MIT) must be
+aligned, and none of another template's may stand inside the span; short
+notices have no other words inside at all. A text is first cut into stretches
+that could reach the wanted coverage at all, by counting template words, which
+loses no copy that spans up to twice the template's length.
 """
 
 from __future__ import annotations
@@ -52,11 +55,48 @@ TEMPLATES = {
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
         "the above copyright notice and this permission notice appear in all copies."),
+    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed "
+        "in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A "
+        "PARTICULAR PURPOSE. See the GNU General Public License for more details."),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3",
+    "GPL-3.0-name": "GNU General Public License, version 3",
+    "GPL-2.0-name": "GNU General Public License, version 2",
+    "LGPL-3.0-name": "GNU Lesser General Public License, version 3",
+    "LGPL-2.1-name": "GNU Lesser General Public License, version 2.1",
+    "AGPL-3.0-name": "GNU Affero General Public License, version 3",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "BSD-notice": "Released under the BSD License",
+    "ISC-notice": "Released under the ISC License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-4.0-short": "Licensed under CC BY 4.0",
+    "CC-BY-SA-4.0-short": "Licensed under CC BY-SA 4.0",
+    "CC-BY-ND-4.0-short": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0-short": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0-short": "Licensed under CC BY-NC-ND 4.0",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC-BY-ND-4.0": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "all-rights-reserved": "All rights reserved",
 }
+#: Words that tell licenses apart. A template's own ones must be found, all others must not be in its span.
+TELLING = frozenset(
+    "1 2 3 4 5 affero apache bsd by cc cc0 gnu gpl isc lesser lgpl agpl mit mozilla mpl nc nd noderivatives noderivs noncommercial sa "
+    "sharealike".split())
+#: Words of further names that stand for another license where they are inside a notice.
+FOREIGN = frozenset("artistic eclipse eupl library epl cddl unlicense zlib wtfpl beerware proprietary commercial".split())
+#: Notices of fewer words have no other words inside.
+SHORT = 8
+#: Words between two aligned ones that may part a stray word from a notice.
+STRAY = 2
 COVERAGE = 0.8
 #: Share of a stretch's words between its first and last aligned word that the template must explain.
 DENSITY = 0.5
@@ -131,22 +171,91 @@ class Scanner:
         self.counts = {k: Counter(w) for k, w in self.words.items()}
         self.vocabulary = frozenset(w for c in self.counts.values() for w in c)
         self.need = {k: max(1, -int(-coverage * len(w) // 1)) for k, w in self.words.items()}
+        # in a long text "by", "4" and the like are plain words
+        self.telling = {k: TELLING & set(w) if len(w) < 2 * SHORT else (TELLING - {"by", "1", "4", "5"}) & set(w) for k, w in self.words.items()}
 
     def stretches(self, text: list[str], name: str) -> list[tuple[int, int]]:
         """Windows of text that hold enough template words to reach the coverage.
 
-        A notice with little between its words lies inside some window of
-        twice the template's length; windows start every half length.
+        A notice that spans up to twice the template's length lies whole inside
+        some window: windows start every half length and are two and a half
+        lengths wide. Short notices have nothing between their words.
         """
         size, own = len(self.words[name]), self.counts[name]
         hits = np.fromiter((w in own for w in text), np.int64, len(text))
         upto = np.concatenate([[0], np.cumsum(hits)])
-        step, width = max(1, size // 2), 2 * size
+        step = max(1, size // 2) if size >= SHORT else 1
+        width = 2 * size + step if size >= SHORT else size
         starts = np.arange(0, len(text), step)
         ends = np.minimum(starts + width, len(text))
         full = upto[ends] - upto[starts] >= self.need[name]
         return list(zip(starts[full].tolist(), ends[full].tolist()))
 
+    def holds(self, name: str, text: list[str], pairs: list[tuple[int, int]]) -> bool:
+        """The alignment is that notice, and no neighbour of it."""
+        if len(pairs) < self.need[name]:
+            return False
+        words, aligned = self.words[name], {i for i, _ in pairs}
+        span = range(pairs[0][0], pairs[-1][0] + 1)
+        inside = [text[i] for i in span if i not in aligned]
+        if len(pairs) < DENSITY * len(span) or inside and len(words) < SHORT:
+            return False
+        if not self.telling[name] <= {words[j] for _, j in pairs}:
+            return False
+        foreign = (TELLING | FOREIGN) - set(words)
+        if len(words) >= 2 * SHORT:  # other notices' short words and numbers are plain words in a long text
+            foreign = foreign - {"by", "1", "2", "3", "4", "5", "commercial", "library"}
+        return not any(w in foreign for w in inside)
+
+    def aligned(self, name: str, text: list[str]) -> list[tuple[int, int]] | None:
+        """The best alignment of a notice with a part of the window that holds; None without one.
+
+        If the whole window's alignment does not hold, all parts that begin and
+        end at the notice's words are tried where those are few, and stray
+        words at the ends are left out where they are many.
+        """
+        words = self.words[name]
+        if not self.telling[name] <= set(text):
+            return None
+        pairs = patience(text, words)
+        if self.holds(name, text, pairs):
+            return self._tight(name, text, pairs)
+        if len(words) < 2 * SHORT:
+            own = [i for i, w in enumerate(text) if w in self.counts[name]]
+            best = None
+            for k, a in enumerate(own):
+                for b in own[k + self.need[name] - 1:]:
+                    part = [(a + i, j) for i, j in patience(text[a:b + 1], words)]
+                    if self.holds(name, text, part) and (best is None or (len(part), a - b) > best[0]):
+                        best = (len(part), a - b), part
+            return best and best[1]
+        lo, hi = 0, len(text)
+        while len(pairs) >= self.need[name]:
+            # the gap with the fewest aligned words on one side: those stray from the notice
+            gaps = [(min(k, len(pairs) - k), k) for k in range(1, len(pairs)) if pairs[k][0] - pairs[k - 1][0] > STRAY + 1]
+            if not gaps:
+                return None
+            _, k = min(gaps)
+            lo, hi = (pairs[k - 1][0] + 1, hi) if 2 * k <= len(pairs) else (lo, pairs[k][0])
+            pairs = [(lo + i, j) for i, j in patience(text[lo:hi], words)]
+            if self.holds(name, text, pairs):
+                return self._tight(name, text, pairs)
+        return None
+
+    def _tight(self, name: str, text: list[str], pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """An alignment with as many words on one side of a gap, if there is one: words before the gap were another notice's."""
+        k = 1
+        while k < len(pairs):
+            (left, _), (right, _) = pairs[k - 1], pairs[k]
+            if right - left > STRAY + 1:
+                for a, b in ((left + 1, pairs[-1][0] + 1), (pairs[0][0], right)):
+                    part = [(a + i, j) for i, j in patience(text[a:b], self.words[name])]
+                    if len(part) >= len(pairs) and self.holds(name, text, part):
+                        pairs, k = part, 0
+                        break
+            k += 1
+        return pairs
+
     def scan(self, text: list[str]) -> list[Found]:
         """Every notice found, in order.
 
@@ -164,8 +273,8 @@ class Scanner:
             for name in names:
                 words = self.words[name]
                 for a, b in self.stretches(rest, name):
-                    pairs = patience(rest[a:b], words)
-                    if len(pairs) >= self.need[name] and len(pairs) >= DENSITY * (pairs[-1][0] - pairs[0][0] + 1):
+                    pairs = self.aligned(name, rest[a:b])
+                    if pairs:
                         found.append((len(pairs), Found(name, len(pairs) / len(words), a + pairs[0][0], a + pairs[-1][0] + 1)))
             found.sort(key=lambda f: (-f[0], -f[1].coverage, f[1].license, f[1].start))
             taken = np.zeros(len(text), bool)
