@@ -43,25 +43,27 @@ b as (select *, (n_words < 20 or 100 * n_repeat_words > 30 * n_words) as base_fa
 v as (select lang, source, m, v from (
         select lang, source, unnest([1, 2, 3, 4]) as m, unnest([m1, m2, m3, m4]) as v from b where not base_failed)),
 k as (select lang, source, m, (v >> greatest(length(bin(v)) - 5, 0)) << greatest(length(bin(v)) - 5, 0) as a from v),
-levels as (
-  select 1 as lev, lang, source, m, a, count(*) as n from k group by all
-  union all select 2, lang, null, m, a, count(*) from k group by all
-  union all select 3, null, null, m, a, count(*) from k group by all),
-ranked as (select *, sum(n) over (partition by lev, lang, source, m) as total,
-                  sum(n) over (partition by lev, lang, source, m order by a) as upto from levels),
-q as (select lev, lang, source, m, max(total) as n, min(case when 4 * upto >= total then a end) as q1,
+grp as (select distinct lang, source, m from k),
+ln as (select lang, m, a, count(*) as n from k group by all),
+al as (select m, a, count(*) as n from k group by all),
+parts as (
+  select lang, source, m, a, count(*) as own, 0 as ln, 0 as al from k group by all
+  union all select g.lang, g.source, g.m, x.a, 0, x.n, 0 from grp g join ln x on x.lang is not distinct from g.lang and x.m = g.m
+  union all select g.lang, g.source, g.m, x.a, 0, 0, x.n from grp g join al x on x.m = g.m),
+sums as (select lang, source, m, a, sum(own)::hugeint as own, sum(ln)::hugeint as ln, sum(al)::hugeint as al from parts group by all),
+sized as (select *, (sum(ln) over g)::hugeint as lt, (sum(al) over g)::hugeint as at_all from sums window g as (partition by lang, source, m)),
+levels as (select lang, source, m, a, own * lt * at_all + 50 * ln * at_all + 50 * al * lt as n from sized),
+ranked as (select *, sum(n) over (partition by lang, source, m) as total,
+                  sum(n) over (partition by lang, source, m order by a) as upto from levels),
+q as (select lang, source, m, min(case when 4 * upto >= total then a end) as q1,
              min(case when 4 * upto >= 3 * total then a end) as q3 from ranked group by all),
 f as (select *, 4 * greatest(q3 - q1, [500, 50, 20, 75][m]) as reach from q),
-fences as (select lev, lang, source, max(n) as n, max(case when m = 1 then q1 - reach end) as lo,
+fences as (select lang, source, max(case when m = 1 then q1 - reach end) as lo,
                   max(case when m = 1 then q3 + reach end) as h1, max(case when m = 2 then q3 + reach end) as h2,
                   max(case when m = 3 then q3 + reach end) as h3, max(case when m = 4 then q3 + reach end) as h4
            from f group by all),
 picked as (
-  select b.*, case when x.n >= 100 then x when y.n >= 100 then y else z end as g
-  from b
-  left join fences x on x.lev = 1 and x.lang is not distinct from b.lang and x.source is not distinct from b.source
-  left join fences y on y.lev = 2 and y.lang is not distinct from b.lang
-  left join fences z on z.lev = 3)
+  select b.*, g from b left join fences g on g.lang is not distinct from b.lang and g.source is not distinct from b.source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        not base_failed and coalesce(m1 between g.lo and g.h1 and m2 <= g.h2 and m3 <= g.h3 and m4 <= g.h4, true) as kept
 from picked

@@ -4,9 +4,15 @@ Every document gets counts (words, characters, symbols, repeated lines and
 passages). Fixed base rules reject the hopeless ones; the rest feed one
 quantile sketch per language, source and measure. A sketch is a histogram of
 value classes with five significant bits, so a quantile is within 1/16 of its
-value and sketches merge by adding counts: small groups read the sketch of
-their language, small languages that of the whole corpus. Thresholds are
-fences around the quartiles, joined back to the documents.
+value and sketches merge by adding counts. A group's thresholds come from its
+own sketch merged with those of its language and of the whole corpus, each of
+these scaled to PRIOR documents: so a group of few documents is near its
+language and one of many near itself, by one formula at every size. Thresholds
+are fences around the quartiles, joined back to the documents.
+
+The fence of ``repeat_rate`` never rejects what the base rule lets pass: its
+least reach is the base rule's limit, as documents that are good by their
+labels repeat up to that much.
 
 Everything here is DataFrame and SQL expressions.
 """
@@ -47,8 +53,8 @@ MEASURES = (
 )
 #: Fences stand this many spreads (interquartile range, or the least spread) outside the quartiles.
 FENCE = 4
-#: Documents that a group's own sketch needs.
-MIN_GROUP = 100
+#: Documents that the sketches of a group's language and of the corpus count as beside its own.
+PRIOR = 50
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 
@@ -136,8 +142,34 @@ def merge_sketches(sketch: DataFrame, by: list[str]) -> DataFrame:
     return sketch.groupBy(*by, "measure", "at").agg(F.sum("n").alias("n"))
 
 
+def blended(base: DataFrame) -> DataFrame:
+    """(lang, source, measure, at, weight): each group's sketch merged with its parents', scaled to PRIOR documents each.
+
+    Weights are whole numbers, a group's common factor (the parents' sizes)
+    times documents. A group has at most a few hundred classes whatever the
+    corpus; the corpus's own classes are that few too.
+    """
+    none = F.lit(0).cast("long")
+    groups = base.select("lang", "source", "measure").distinct()
+    key = ["lang", "source", "measure", "at"]
+    lang = merge_sketches(base, ["lang"]).select(F.col("lang").alias("_lang"), F.col("measure").alias("_measure"), "at", "n")
+    every = merge_sketches(base, []).select(F.col("measure").alias("_measure"), "at", "n")
+    own = base.select(*key, F.col("n").alias("own"), none.alias("lang_n"), none.alias("all_n"))
+    of_lang = (groups.join(lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("measure") == F.col("_measure")))
+               .select(*key, none.alias("own"), F.col("n").alias("lang_n"), none.alias("all_n")))
+    of_all = (groups.join(every, F.col("measure") == F.col("_measure"))
+              .select(*key, none.alias("own"), none.alias("lang_n"), F.col("n").alias("all_n")))
+    sums = own.unionAll(of_lang).unionAll(of_all).groupBy(*key).agg(*[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("own", "lang_n", "all_n")])
+    group = Window.partitionBy("lang", "source", "measure")
+    sized = sums.withColumns({"lang_size": F.sum("lang_n").over(group).cast("decimal(38,0)"), "all_size": F.sum("all_n").over(group).cast("decimal(38,0)")})
+    prior = F.lit(PRIOR).cast("decimal(38,0)")
+    weight = (F.col("own") * F.col("lang_size") * F.col("all_size") + prior * F.col("lang_n") * F.col("all_size")
+              + prior * F.col("all_n") * F.col("lang_size"))
+    return sized.select(*key, weight.cast("decimal(38,0)").alias("n"))
+
+
 def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """(by, measure, n, q1, q3): the value classes that hold the ranks ceil(n/4) and ceil(3n/4).
+    """(by, measure, q1, q3): the value classes that hold the ranks ceil(n/4) and ceil(3n/4).
 
     The window runs over a group's classes, at most a few hundred rows whatever the corpus.
     """
@@ -146,39 +178,29 @@ def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
     upto = F.sum("n").over(Window.partitionBy(*group).orderBy("at"))
     ranked = sketch.withColumns({"total": total, "upto": upto})
     return ranked.groupBy(*group).agg(
-        F.max("total").alias("n"),
         F.expr("min(case when 4 * upto >= total then at end)").alias("q1"),
         F.expr("min(case when 4 * upto >= 3 * total then at end)").alias("q3"))
 
 
-def _fences(levels: DataFrame, by: list[str], tag: str) -> DataFrame:
-    """One row per group: its size and a lower and upper fence for each measure."""
+def _fences(levels: DataFrame, by: list[str]) -> DataFrame:
+    """One row per group: a lower and upper fence for each measure."""
     wide = []
     for m in MEASURES:
         q = {x: f"max(case when measure = '{m.name}' then {x} end)" for x in ("q1", "q3")}
         reach = f"{FENCE} * greatest({q['q3']} - {q['q1']}, {m.spread})"
-        wide.append(F.expr(f"{q['q3']} + {reach}").alias(f"{tag}_{m.name}_max"))
+        wide.append(F.expr(f"{q['q3']} + {reach}").alias(f"{m.name}_max"))
         if m.low:
-            wide.append(F.expr(f"{q['q1']} - {reach}").alias(f"{tag}_{m.name}_min"))
-    return levels.groupBy(*by).agg(F.max("n").alias(f"{tag}_n"), *wide)
+            wide.append(F.expr(f"{q['q1']} - {reach}").alias(f"{m.name}_min"))
+    return levels.groupBy(*by).agg(*wide)
 
 
 def thresholds(stats: DataFrame) -> DataFrame:
     """(lang, source, <measure>_max, <measure>_min) for every language and source that passed the base rules.
 
-    A group of fewer than MIN_GROUP documents takes its language's fences, a
-    language of fewer the corpus's. Null languages and sources are groups of
-    their own.
+    Null languages and sources are groups of their own.
     """
-    base = staged(sketches(stats), "sketches")
-    own = _fences(quartiles(base, ["lang", "source"]), ["lang", "source"], "own")
-    by_lang = merge_sketches(base, ["lang"])
-    lang = _fences(quartiles(by_lang, ["lang"]), ["lang"], "lang").withColumnRenamed("lang", "of_lang")
-    every = _fences(quartiles(merge_sketches(by_lang, []), []), [], "all")
-    both = own.join(lang, F.col("lang").eqNullSafe(F.col("of_lang")), "left").join(F.broadcast(every))  # one row
-    names = [f"{m.name}_{side}" for m in MEASURES for side in (("max", "min") if m.low else ("max",))]
-    pick = "case when own_n >= {0} then own_{1} when lang_n >= {0} then lang_{1} else all_{1} end"
-    return both.select("lang", "source", *[F.expr(pick.format(MIN_GROUP, n)).alias(n) for n in names])
+    group = ["lang", "source"]
+    return _fences(quartiles(blended(staged(sketches(stats), "sketches")), group), group)
 
 
 def judged(stats: DataFrame) -> DataFrame:
@@ -204,7 +226,11 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with all their columns (they travel as one struct, so names cannot clash)."""
+    """The documents that the rules keep, with all their columns (they travel as one struct, so names cannot clash).
+
+    Null and empty texts fail the base rules and go; repeated rows stay or go
+    together; an empty table gives an empty one.
+    """
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "lang", "source", "text")
     stats = staged(with_stats(rows).drop("text"), "judged")
     return judged(stats).where("kept").select("doc.*")

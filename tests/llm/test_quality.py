@@ -1,6 +1,7 @@
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 from maskcorpus.llm import quality as Q
 
@@ -27,24 +28,30 @@ def slow_kept(rows):
     values = [s[0] and [s[1] * 1000 // s[0], s[2] * 1000 // s[0], s[3] * 1000 // s[0], s[4] * 1000 // s[0]] for s in stats]
     spread = [500, 50, 20, 75]
 
-    def fences(group):
+    def quartile(shares, k, quarter):
+        """Smallest class at which the weights of ``shares`` (group, documents it counts as) reach that share of all."""
+        weights = Counter()
+        for group, documents in shares:
+            for i in group:
+                weights[slow_class(values[i][k])] += Fraction(documents, len(group))
+        upto = 0
+        for at in sorted(weights):
+            upto += weights[at]
+            if 4 * upto >= quarter * sum(weights.values()):
+                return at
+
+    def fences(own, lang, every):
         out = []
         for k in range(4):
-            v = sorted(slow_class(values[i][k]) for i in group)
-            q1, q3 = v[-(-len(v) // 4) - 1], v[-(-3 * len(v) // 4) - 1]
+            shares = [(own, len(own)), (lang, 50), (every, 50)]
+            q1, q3 = quartile(shares, k, 1), quartile(shares, k, 3)
             reach = 4 * max(q3 - q1, spread[k])
             out.append((q1 - reach if k == 0 else -1, q3 + reach))
         return out
 
     good = [i for i in range(len(rows)) if not failed[i]]
-    kept = []
-    for i, (lang, source, _) in enumerate(rows):
-        if failed[i]:
-            kept.append(False)
-            continue
-        groups = [[j for j in good if rows[j][:2] == (lang, source)], [j for j in good if rows[j][0] == lang], good]
-        group = next((g for g in groups if len(g) >= 100), good)
-        kept.append(all(lo <= v <= hi for (lo, hi), v in zip(fences(group), values[i])))
+    found = {g: fences([j for j in good if rows[j][:2] == g], [j for j in good if rows[j][0] == g[0]], good) for g in {rows[i][:2] for i in good}}
+    kept = [not failed[i] and all(lo <= v <= hi for (lo, hi), v in zip(found[rows[i][:2]], values[i])) for i in range(len(rows))]
     return stats, failed, kept
 
 
@@ -93,3 +100,25 @@ def test_sketches_merge(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert Q.judge(df).collect() == [] and Q.keep_good(df).collect() == []
+
+
+def test_every_group_has_thresholds_of_its_own(spark):
+    """Groups of 5, 60 and 400 documents whose words have different lengths: each fence lies nearer its own, the more documents."""
+    rng = random.Random(7)
+
+    def text(n, size):
+        return " ".join("".join(rng.choices("abcdef", k=rng.randint(size, size + 2))) for _ in range(n))
+
+    rows = [("en", s, text(40, size)) for s, size, n in (("few", 9, 5), ("some", 9, 60), ("many", 9, 400), ("base", 3, 600)) for _ in range(n)]
+    df = spark.createDataFrame([(i, t, g, s) for i, (g, s, t) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r.source: r for r in Q.thresholds(Q.with_stats(df)).collect()}
+    assert set(got) == {"few", "some", "many", "base"}
+    assert got["base"].word_length_max < got["many"].word_length_min  # many documents: near its own
+    assert got["few"].word_length_min < got["base"].word_length_min < got["many"].word_length_min  # few: wide, near its parents
+    assert len({tuple(r[2:]) for r in got.values()}) >= 3
+
+
+def test_repeat_fence_is_the_base_rules(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = Q.thresholds(Q.with_stats(docs)).collect()
+    assert len(got) > 50 and all(r.repeat_rate_max >= 10 * Q.MAX_REPEAT_PERCENT for r in got)
