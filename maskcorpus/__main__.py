@@ -24,10 +24,10 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
 
     from maskcorpus.operators import catalog
-    from maskcorpus.operators.extract import extracted_from_archives, extraction_report, functions_of
+    from maskcorpus.operators.extract import STATUSES, extracted_from_archives, functions_of
     from maskcorpus.operators.stats import functions_per_group
     from maskcorpus.plans.manifest import listing
-    from maskcorpus.plans.stages import Stages, materialize, run_pipeline
+    from maskcorpus.plans.stages import Stages, count_values, materialize, observed, run_pipeline
     from maskcorpus.session import build_session, clear_written
     from maskcorpus.sources.catalog import read_repo_catalog
     from maskcorpus.sources.files import read_benchmark
@@ -48,8 +48,10 @@ def main(argv: list[str] | None = None) -> None:
 
     def functions():
         found = materialize(spark, "extracted", lambda: extracted_from_archives(spark, a.archives, ranked.select("path", "repo_rank")),
-                            st.path("extracted"), depends=chosen)
-        materialize(spark, "extraction_report", lambda: extraction_report(found), st.path("extraction_report"), depends=chosen).show()
+                            st.path("extracted"), depends=chosen, counts=count_values("status", STATUSES))
+        # counted while the extraction was written
+        report = observed(spark, st.path("extracted"), "status")
+        materialize(spark, "extraction_report", lambda: report, st.path("extraction_report"), depends=chosen).show()
         if p.total_functions_target is not None:
             # whole repos in rank order while the total before each is below the target (Q11)
             with_ifs = found.where((F.col("status") == "ok") & (F.col("num_ifs") > 0))

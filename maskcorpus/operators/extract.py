@@ -83,6 +83,10 @@ def extract_functions(files: DataFrame, key: Sequence[str] = ("file_no",), code:
     return out.where((F.col("status") == "ok") & (F.col("num_ifs") > 0)).drop("status")
 
 
+#: What a row of an extraction can be.
+STATUSES = ("ok", "syntax_error", "null_code", "bad_member", "bad_archive")
+
+
 def extraction_report(extracted: DataFrame) -> DataFrame:
     """Visible counts of what was kept and what was dropped, per status."""
     return extracted.groupBy("status").agg(F.count(F.lit(1)).alias("n"))

@@ -537,6 +537,8 @@ select concat('src/f', cast(file_no as string), '.py') as member,
 from code_files
 """
 
+SQL["archive_source"] = SQL["archive_members"]
+
 _EXTRACTED = SQL["extract_functions"].rstrip().rsplit("\nselect ", 1)[0]
 
 SQL["functions_from_archives"] = _EXTRACTED + """

@@ -136,14 +136,14 @@ def split_counts(spark, sf):
 
 @register("split_80_10_10")
 def split_80_10_10(spark, sf):
-    ex = mask_conditions(spark, sf)
-    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42, once=True).select("id", "split")
+    ex = mask_conditions(spark, sf).select("id")  # only labels are asked for, so only ids are written
+    return ordering.split_fractions(ex, "id", (0.8, 0.1), ("train", "val", "test"), 42, once=True)
 
 
 @register("holdout_95_5")
 def holdout_95_5(spark, sf):
-    ex = corrupt_tokens(spark, sf)
-    return ordering.holdout(ex, "doc_id", 0.05, 42, once=True).select("doc_id", "split")
+    ex = corrupt_tokens(spark, sf).select("doc_id")
+    return ordering.holdout(ex, "doc_id", 0.05, 42, once=True)
 
 
 @register("split_sizes")
@@ -476,6 +476,15 @@ def archive_members(spark, sf):
     return members.select("member", "member_ord", "status", F.sha2("code", 256).alias("code_sha"))
 
 
+@register("archive_source")
+def archive_source(spark, sf):
+    """The same members through the data source, with the suffix as a pushed filter."""
+    from maskcorpus.sources.archive_source import register_archives
+    register_archives(spark)
+    members = spark.read.format("repo_archives").option("suffix", "").load(_archives(spark, sf)).where(F.col("member").endswith(".py"))
+    return members.select("member", "member_ord", "status", F.sha2("code", 256).alias("code_sha"))
+
+
 def _functions_of_archives(spark, sf, rank) -> DataFrame:
     from maskcorpus.operators.extract import functions_from_archives as ffa
     path = _archives(spark, sf)

@@ -12,7 +12,7 @@ import os
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from maskcorpus.config import Params
@@ -38,16 +38,28 @@ def cut_report(functions: DataFrame, p: Params = Params()) -> DataFrame:
     return dataset_parts(functions, p).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
-def build_datasets(functions: DataFrame, p: Params = Params()) -> DataFrame:
+PARTS = ("pretrain", "finetune", "unused")
+
+
+def count_values(col: str, values: Sequence[str]) -> dict[str, Column]:
+    """How many rows have each of ``values`` in ``col``, as aggregates to observe."""
+    return {v: F.count_if(F.col(col) == v).alias(v) for v in values}
+
+
+def build_datasets(functions: DataFrame, p: Params = Params(), parts_seen: Observation | None = None) -> DataFrame:
     """The preprocessing stage as one plan.
 
+    ``parts_seen`` observes how many functions each part gets, while the rows are written: what ``cut_report`` counts by a run of its own.
+
     ``functions`` needs ``id, code, if_statements``. ``dataset_parts`` sends functions to corruption or to
     condition masking; fine-tune examples are then split 80/10/10 by exact counts. Output:
     ``kind, split, id, input, target`` (pre-train rows carry their function id). Cuts are keys, so code and
     examples are never sorted; fine-tune examples are written once, so that masking runs once for cuts and labels.
     """
     parts = dataset_parts(functions, p)
-    pre = corrupt.pretrain_examples(parts.where(F.col("part") == "pretrain"), "code", "id", p.seed,
+    # observed in one of the two branches, in the job's last stage, where a lost executor cannot make it count twice
+    seen = parts.observe(parts_seen, *count_values("part", PARTS).values()) if parts_seen is not None else parts
+    pre = corrupt.pretrain_examples(seen.where(F.col("part") == "pretrain"), "code", "id", p.seed,
                                     p.mask_rate_percent, p.min_tokens)
     pre = pre.select(F.lit("pretrain").alias("kind"), F.lit("train").alias("split"), "id", "input", "target")
     fine = mask.mask_conditions(parts.where(F.col("part") == "finetune"), p.keywords, p.terminator, p.mask_token)
@@ -85,28 +97,38 @@ def is_complete(spark: SparkSession, path: str, min_rows: int | None = None) ->
 
 
 def materialize(spark: SparkSession, name: str, build: Callable[[], DataFrame], path: str,
-                min_rows: int | None = None, partition_by: str | None = None, depends: dict | None = None) -> DataFrame:
+                min_rows: int | None = None, partition_by: str | None = None, depends: dict | None = None,
+                counts: dict[str, Column] | None = None, seen: Observation | None = None) -> DataFrame:
     """M1: read the stage back if complete, else compute, write (overwrite) and read back.
 
     ``depends`` names what the stage is made from (parameters, input listings,
     keys of earlier stages; see ``manifest``): a stage written from anything
     else is rebuilt. Without ``depends`` only completeness counts, as in the
-    reference, and then a changed ``build`` is not noticed. The number of rows
-    is observed while they are written and kept in the manifest.
+    reference, and then a changed ``build`` is not noticed. The number of rows,
+    and the aggregates ``counts`` of them, are observed while they are written
+    and kept in the manifest, as is what ``build`` observes by ``seen``.
     """
     key = stage_key(name, depends or {})
     if is_fresh(spark, path, key) if depends is not None else is_complete(spark, path, min_rows):
         return spark.read.parquet(path)
     rows = Observation()
     df = build()
-    w = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    counts = counts or {}
+    w = df.observe(rows, F.count(F.lit(1)).alias("rows"), *counts.values()).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
     w.parquet(path)
-    write_manifest(spark, path, key, name=name, depends=depends or {}, rows=rows.get["rows"], schema=df.schema.simpleString())
+    write_manifest(spark, path, key, name=name, depends=depends or {}, rows=rows.get["rows"], schema=df.schema.simpleString(),
+                   counts={c: rows.get[c] for c in counts}, seen=seen.get if seen is not None else {})
     return spark.read.parquet(path)
 
 
+def observed(spark: SparkSession, path: str, name: str, kind: str = "counts") -> DataFrame:
+    """``name, n``: the counts that the manifest of a stage holds, without those that are 0; no job reads the stage."""
+    held = (read_manifest(spark, path) or {}).get(kind) or {}
+    return spark.createDataFrame([(k, n) for k, n in sorted(held.items()) if n], f"{name} string, n long")
+
+
 def progress_report(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Per stage output: present/complete and row count (one small row per stage; the count is the manifest's if it has one)."""
     rows = []
@@ -164,10 +186,10 @@ def run_pipeline(spark: SparkSession, functions: Callable[[], DataFrame], out_ro
     keys: dict[str, str] = {}
 
     def stage(name: str, build: Callable[[], DataFrame], after: Sequence[str] = (), params: Sequence[str] = (), partition_by: str | None = None,
-              **more) -> DataFrame:
+              counts: dict[str, Column] | None = None, seen: Observation | None = None, **more) -> DataFrame:
         depends = {"after": {a: keys[a] for a in after}, "params": {x: getattr(p, x) for x in params}, **more}
         keys[name] = stage_key(name, depends)
-        out[name] = materialize(spark, name, build, st.path(name), partition_by=partition_by, depends=depends)
+        out[name] = materialize(spark, name, build, st.path(name), partition_by=partition_by, depends=depends, counts=counts, seen=seen)
         return out[name]
 
     def files(name: str, after: str, write: Callable[[str], None]) -> None:
@@ -183,9 +205,11 @@ def run_pipeline(spark: SparkSession, functions: Callable[[], DataFrame], out_ro
     stage("functions", functions, params=("total_functions_target",), chosen=chosen or {},
           source={"listing": listing(spark, list(inputs))} if inputs is not None else source(functions))
     sizes = ("pretrain_target", "finetune_target", "pretrain_share", "seed")
-    stage("left_out", lambda: cut_report(out["functions"], p), ["functions"], sizes)
-    ds = stage("datasets", lambda: build_datasets(out["functions"], p), ["functions"],
-               (*sizes, "mask_rate_percent", "min_tokens", "keywords", "terminator", "mask_token", "train_fraction", "val_fraction"), "kind")
+    parts = Observation()
+    ds = stage("datasets", lambda: build_datasets(out["functions"], p, parts), ["functions"],
+               (*sizes, "mask_rate_percent", "min_tokens", "keywords", "terminator", "mask_token", "train_fraction", "val_fraction"), "kind",
+               counts=count_values("split", ("train", "val", "test")), seen=parts)
+    stage("left_out", lambda: observed(spark, st.path("datasets"), "part", "seen"), ["datasets"])
     files("examples", "datasets", lambda path: write_examples(
         ds.select("id", "input", "target", "kind", "split"), path, ("kind", "split"), fmt="json"))
 

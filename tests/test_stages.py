@@ -300,3 +300,34 @@ def test_changed_run_equals_a_fresh_one(spark, tmp_dir):
         assert _rows(changed[name]) == _rows(want[name]), name
     assert {d for d, x in written().items() if x == before[d]} == {"functions"}
     functions.unpersist()
+
+
+def test_counts_are_observed_while_rows_are_written(spark, tmp_dir):
+    """Manifest counts equal those of a run of their own, and reading them starts no job."""
+    from __spark_entry__ import SMOKE_DIR
+    from maskcorpus.plans import stages as S
+    from maskcorpus.plans.manifest import read_manifest
+    from maskcorpus.plans.queries import _functions_table
+    functions = _functions_table(spark, SMOKE_DIR).persist()
+    p = Params(pretrain_target=90, finetune_target=40)
+    path, parts = os.path.join(tmp_dir, "datasets"), S.Observation()
+    ds = S.materialize(spark, "datasets", lambda: S.build_datasets(functions, p, parts), path, partition_by="kind", depends={},
+                       counts=S.count_values("split", ("train", "val", "test")), seen=parts)
+    found = read_manifest(spark, path)
+    assert found["rows"] == ds.count()
+    spark.sparkContext.setJobGroup("observed", "reads manifests only")
+    left, splits = S.observed(spark, path, "part", "seen"), S.observed(spark, path, "split")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("observed")
+    spark.sparkContext.setJobGroup("", "")
+    assert _rows(left) == _rows(S.cut_report(functions, p)) and left.count() == 3
+    assert {r.split: r.n for r in splits.collect()} == {r.split: r["count"] for r in ds.groupBy("split").count().collect()}
+    functions.unpersist()
+
+
+def test_every_status_is_counted(spark, tmp_dir):
+    from maskcorpus.operators.extract import STATUSES, extract_all, extraction_report
+    from maskcorpus.plans import stages as S
+    files = spark.createDataFrame([(1, CODE), (2, "def ("), (3, None), (4, "x = 1")], "file_no long, code string")
+    path = os.path.join(tmp_dir, "extracted")
+    rows = S.materialize(spark, "extracted", lambda: extract_all(files, ("file_no",)), path, counts=S.count_values("status", STATUSES))
+    assert _rows(S.observed(spark, path, "status")) == _rows(extraction_report(rows))
