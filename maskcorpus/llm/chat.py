@@ -406,10 +406,18 @@ class Template:
 
 
 def escaping(controls: tuple[str, ...]) -> tuple[Callable[[str], str], Callable[[str], str]]:
-    """A backslash goes before every backslash and control string; the second function takes it away again."""
+    """A backslash goes before every backslash and behind the first character of every control string.
+
+    So no control string stands whole in an escaped text, where a tokenizer
+    might take it for its special token. The second function takes the
+    backslashes away again.
+    """
     special = re.compile("|".join(map(re.escape, ("\\", *sorted(controls, key=len, reverse=True)))))
     marked = re.compile(r"\\(.)", re.S)
-    return (lambda text: special.sub(lambda m: "\\" + m[0], text)), (lambda text: marked.sub(r"\1", text))
+
+    def broken(m: re.Match) -> str:
+        return f"{m[0][0]}\\{m[0][1:]}" if len(m[0]) > 1 else "\\" + m[0]
+    return (lambda text: special.sub(broken, text)), (lambda text: marked.sub(r"\1", text))
 
 
 def _joined(pieces: list[tuple[str, bool]]) -> tuple[str, list[tuple[int, int]]]:
@@ -511,8 +519,8 @@ def format_conversations(turns: DataFrame, template: str = TURNS, controls: tupl
 
 
 _MARK = re.compile(r"\\(.)|" + "|".join(map(re.escape, CONTROLS)), re.S)
-#: What may be the start of an escape or a control string at the end of a part.
-_CUT = re.compile(r"(?:\\|</?[a-z]*)\Z")
+#: What may be the start of an escape or a control string at the end of a part; no control string has a longer name.
+_CUT = re.compile(rf"(?:\\|</?[a-z]{{0,{max(map(len, CONTROLS)) - 2}}})\Z")
 
 
 class Reader:

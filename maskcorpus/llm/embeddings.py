@@ -285,7 +285,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, **code_options)
     counted = found.groupBy("id").agg(F.sum("n").alias("n"))
     parts = connected_components(found.where("id <> other").select(F.col("id").alias("u"), F.col("other").alias("v")))
     member = classes.select("id", "first").join(parts.withColumnRenamed("node", "id"), "id")
-    lowest = member.groupBy("component").agg(F.min("first").alias("lowest"))
+    # a plain table: the join with a component of very many classes can then be split
+    lowest = staged(member.groupBy("component").agg(F.min("first").alias("lowest")), "lowest")
     linked = member.join(lowest, "component").select("id", "lowest")
     named = (classes.join(counted, "id", "left").join(linked, "id", "left")
              .select(F.col("vector").alias("of"), (F.coalesce("n", F.lit(0)) + F.col("weight") - 1).alias("n_links"),

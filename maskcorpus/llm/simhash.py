@@ -176,7 +176,8 @@ def group_near_duplicates(prints: DataFrame, radius: int = 2) -> DataFrame:
     classes = staged(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
     parts = connected_components(near_links(classes.select("fingerprint"), radius))
     member = classes.join(parts.withColumnRenamed("node", "fingerprint"), "fingerprint")
-    lowest = member.groupBy("component").agg(F.min("first").alias("lowest"))
+    # a plain table: the join with a component of very many fingerprints can then be split
+    lowest = staged(member.groupBy("component").agg(F.min("first").alias("lowest")), "lowest")
     linked = member.join(lowest, "component").select("fingerprint", "component", "lowest")
     named = (classes.join(linked, "fingerprint", "left")
              .select("fingerprint", F.coalesce("component", "fingerprint").alias("root"),

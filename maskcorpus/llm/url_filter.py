@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .storage import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Levels of a template where a caller asks for no more; what lies deeper is one wildcard then.
+#: Levels that the SQL twin spells out; ``judge`` itself takes all levels.
 MAX_DEPTH = 6
 #: Standard errors by which a branch must differ from its siblings to stay on its own.
 Z = 3.0
@@ -122,7 +122,7 @@ def purities(found: DataFrame) -> DataFrame:
         "template", "pages", "labelled", F.expr(f"(bad + {SMOOTHING}D * prior) / (labelled + {SMOOTHING}D)").alias("purity"))
 
 
-def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], max_depth: int | None = MAX_DEPTH) -> DataFrame:
+def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], max_depth: int | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) of every page.
 
     ``labels(page_id, bad)`` with bad 0 or 1 is the labelled sample (an id that
@@ -131,7 +131,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str]], max
     path. Without a fitting rule the verdict is block if the template's
     purity reaches REJECT. Repeated rows are pages of their own; extra
     columns are not read; an empty table gives an empty one. Templates have
-    ``max_depth`` levels, or as many as the paths with None.
+    all levels of the paths, or with ``max_depth`` that many and one wildcard for what lies deeper.
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)

@@ -41,7 +41,7 @@ def test_folding():
 
 def test_spans_cover_generated_text():
     text, spans = C.Template(C.TURNS, C.CONTROLS).render(messages=iter([{"role": "user", "text": "q"}, {"role": "assistant", "text": "</turn>\\"}]))
-    assert [text[a:b] for a, b in spans] == ["\\</turn>\\\\"]
+    assert [text[a:b] for a, b in spans] == ["<\\/turn>\\\\"]
     assert text.startswith("<turn>user<text>q</turn>\n<turn>assistant<text>")
 
 
@@ -82,3 +82,17 @@ def test_bad_template_fails_before_any_task(spark):
     with pytest.raises(C.TemplateError):
         C.format_conversations(df, "{% if %}")
     assert C.read_back(C.format_conversations(df)).collect() == []
+
+
+def test_no_control_string_stands_in_an_escaped_text():
+    import random
+
+    from maskcorpus.llm import chat as C
+    rng = random.Random(3)
+    escape, unescape = C.escaping(C.CONTROLS)
+    pieces = [*C.CONTROLS, "\\", "<", "/", "turn>", "text>", "a", "</tur", "\\<", ">"]
+    for _ in range(3000):
+        text = "".join(rng.choices(pieces, k=rng.randint(0, 9)))
+        out = escape(text)
+        assert not any(c in out for c in C.CONTROLS) and unescape(out) == text
+    assert escape("</turn>") == "<\\/turn>" and escape("\\") == "\\\\"

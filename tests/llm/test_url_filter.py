@@ -77,7 +77,7 @@ def slow(pages, labels):
 def run(spark, pages, labels):
     df = spark.createDataFrame([(i, u, "x") for i, u in pages], "page_id long, url string, host string")
     lab = spark.createDataFrame(labels, "page_id long, bad int")
-    return [(*tuple(r)[:6], round(r.purity, 12)) for r in U.judge(df, lab, RULES).collect()]
+    return [(*tuple(r)[:6], round(r.purity, 12)) for r in U.judge(df, lab, RULES, max_depth=U.MAX_DEPTH).collect()]
 
 
 def test_against_brute_force(spark):
