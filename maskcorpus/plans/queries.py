@@ -665,6 +665,18 @@ def encode_datasets(spark, sf):
                       F.sha2(F.array_join("labels", ","), 256).alias("labels_sha"))
 
 
+@register("encode_datasets_2000")
+def encode_datasets_2000(spark, sf):
+    """J8 with a vocabulary of VOCAB_WHOLE tokens (a test compares with the tokenizers library)."""
+    from maskcorpus.config import Params
+    from maskcorpus.plans.stages import encode_datasets as ed
+    from maskcorpus.session import written_once
+    out = ed(written_once(build_datasets(spark, sf), "datasets"), _whole_model(spark, sf), Params())
+    return out.select("kind", "split", "id", F.sha2(F.array_join("input_ids", ","), 256).alias("input_sha"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("n_attended"),
+                      F.sha2(F.array_join("labels", ","), 256).alias("labels_sha"))
+
+
 def _even_lengths(examples: DataFrame) -> DataFrame:
     """Predictions that are right where the target's length is even."""
     return examples.selectExpr("id", "case when length(target) % 2 = 0 then upper(target) else 'None' end as prediction")

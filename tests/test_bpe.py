@@ -172,3 +172,18 @@ def test_whole_documents_at_2000_tokens(spark):
     got = {r.doc_id: (r.n_tokens, r.ids_sha) for r in E.queries()["encode_whole_texts"](spark, SF_SMALL).collect()}
     ids = {r.doc_id: tok.encode(r.text).ids for r in docs}
     assert got == {d: (len(x), hashlib.sha256(",".join(map(str, x)).encode()).hexdigest()) for d, x in ids.items()}
+
+    def sha(ids):
+        return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+    def padded(text):
+        x = tok.encode(text).ids[:512]
+        return x + [0] * (512 - len(x))
+
+    examples = {r.id: r for r in E.queries()["build_datasets"](spark, SF_SMALL).collect()}
+    rows = E.queries()["encode_datasets_2000"](spark, SF_SMALL).collect()
+    assert len(rows) > 100 and {r.kind for r in rows} == {"pretrain", "finetune"}
+    for r in rows:
+        x = examples[r.id]
+        assert (r.input_sha, r.labels_sha) == (sha(padded(x.input)), sha(padded(x.target)))
+        assert r.n_attended == min(512, len(tok.encode(x.input).ids))
