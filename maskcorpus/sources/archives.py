@@ -10,6 +10,8 @@ extraction that follows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,15 +50,19 @@ def _members(batches, suffix: str = SOURCE_SUFFIX):
 
 
 def read_archives(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
-                  num_partitions: int | None = None, split_members: bool = True, only: DataFrame | None = None) -> DataFrame:
+                  num_partitions: int | None = None, split_members: bool = True, only: DataFrame | None = None,
+                  carry: Sequence[str] = ()) -> DataFrame:
     """Every ``suffix`` member of every archive under ``path``: ``path, member, member_ord, code, status``.
 
     ``split_members`` (default): members of one archive are read by many tasks
     (see ``read_archives_split``). Otherwise each archive is read whole by one task.
-    ``only(path)`` names the archives to read; others are not opened.
+    ``only(path)`` names the archives to read; others are not opened. Its columns ``carry`` are
+    added to every member (a path that it names twice gives its members twice); they need ``split_members``.
     """
     if split_members:
-        return read_archives_split(spark, path, glob, suffix, num_partitions, only)
+        return read_archives_split(spark, path, glob, suffix, num_partitions, only, carry)
+    if carry:
+        raise ValueError("carry needs split_members")
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path", "content")
     if only is not None:
         raw = raw.join(only.select("path").distinct(), "path", "left_semi")
@@ -103,35 +109,40 @@ LISTED_ARCHIVES = 200
 TASK_BYTES = 64_000_000
 
 
-def _read_members(batches):
+def _read_members(batches, carry: list[str]):
     import zipfile
 
     import pandas as pd
-    columns = [f.name for f in MEMBER.fields]
+    columns = [f.name for f in MEMBER.fields] + carry
     for pdf in batches:
         rows, held = [], 0
         for path, grp in pdf.groupby("path", sort=False):
-            ok = grp[grp["status"] == "ok"]
-            rows += [(path, None, -1, None, s) for s in grp["status"] if s != "ok"]
-            if ok.empty:
+            todo = []
+            for member, ordinal, status, *more in zip(*(grp[c] for c in ("member", "member_ord", "status", *carry))):
+                if status == "ok":
+                    todo.append((member, int(ordinal), more))
+                else:
+                    rows.append((path, None, -1, None, status, *more))
+            if not todo:
                 continue
+            read = 0
             try:
                 with _open(path) as fh, zipfile.ZipFile(fh) as z:  # one open per archive per batch
                     infos = z.infolist()
-                    for member, ordinal in zip(ok["member"], ok["member_ord"]):
+                    for member, ordinal, more in todo:
                         try:
-                            with z.open(infos[int(ordinal)]) as m:
+                            with z.open(infos[ordinal]) as m:
                                 code = m.read().decode("utf-8", errors="ignore")
-                            rows.append((path, member, int(ordinal), code, "ok"))
+                            rows.append((path, member, ordinal, code, "ok", *more))
                             held += len(code)
                         except Exception:  # noqa: BLE001 - bad member: report, continue
-                            rows.append((path, member, int(ordinal), None, "bad_member"))
+                            rows.append((path, member, ordinal, None, "bad_member", *more))
+                        read += 1
                         if held >= BATCH_BYTES:
                             yield pd.DataFrame(rows, columns=columns)
                             rows, held = [], 0
             except Exception:  # noqa: BLE001
-                done = {r[2] for r in rows if r[0] == path}
-                rows += [(path, m, int(o), None, "bad_archive") for m, o in zip(ok["member"], ok["member_ord"]) if int(o) not in done]
+                rows += [(path, member, ordinal, None, "bad_archive", *more) for member, ordinal, more in todo[read:]]
         yield pd.DataFrame(rows, columns=columns)
 
 
@@ -141,7 +152,7 @@ def listing_tasks(spark: SparkSession, n_archives: int) -> int:
 
 
 def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suffix: str = SOURCE_SUFFIX,
-                        num_partitions: int | None = None, only: DataFrame | None = None) -> DataFrame:
+                        num_partitions: int | None = None, only: DataFrame | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """Archives read member by member, so one huge repository is decompressed by many tasks.
 
     1. list archive paths (``binaryFile`` with the content column pruned: no bytes
@@ -152,6 +163,9 @@ def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suf
        for: a hot archive's members land on every task;
     4. each task opens its archives with random access, reads only its members and
        hands rows on every BATCH_BYTES.
+
+    Columns ``carry`` of ``only`` meet the narrow listing, before any text is read: a join
+    behind the reader would take the texts for as small as the listing and broadcast them.
     """
     from maskcorpus.session import written_once
     paths = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
@@ -164,9 +178,13 @@ def read_archives_split(spark: SparkSession, path: str, glob: str = "*.zip", suf
     if num_partitions is None:
         size = listing.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
         num_partitions = max(spark.sparkContext.defaultParallelism, -(-int(size) // TASK_BYTES))
-    todo = listing.select("path", "member", "member_ord", "status")
+    todo, carry = listing.select("path", "member", "member_ord", "status"), list(carry)
+    if carry:  # as strings through Python, where a null would turn whole numbers into floats
+        todo = todo.hint("merge").join(only.select("path", *[F.col(c).cast("string").alias(c) for c in carry]), "path")
     todo = todo.repartition(num_partitions, "path", "member_ord").sortWithinPartitions("path", "member_ord")
-    return todo.mapInPandas(_read_members, MEMBER)
+    schema = T.StructType(MEMBER.fields + [T.StructField(c, T.StringType()) for c in carry])
+    members = todo.mapInPandas(lambda it: _read_members(it, carry), schema)
+    return members.select(*MEMBER.names, *[F.col(c).cast(only.schema[c].dataType).alias(c) for c in carry]) if carry else members
 
 
 def filter_members(df: DataFrame, suffix: str = SOURCE_SUFFIX, col: str = "member") -> DataFrame:
