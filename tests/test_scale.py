@@ -1,11 +1,14 @@
 """What must not grow with the input: broadcasts, Arrow batches and the learner's arrays."""
 
 import os
+import tracemalloc
 import zipfile
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from maskcorpus.operators import ordering
+from maskcorpus import session
+from maskcorpus.operators import bpe, ordering, pair_state
 from maskcorpus.operators.extract import extracted_from_archives
 
 
@@ -40,3 +43,65 @@ def test_many_positions_are_not_broadcast(spark, monkeypatch):
     assert n == 500 and "Broadcast" not in _plan(out) and sorted(r.i for r in out.collect()) == list(range(500))
     monkeypatch.setattr(ordering, "BROADCAST_KEYS", 100)
     assert "BroadcastHashJoin" in _plan(ordering.global_index(rows, ["k"], "i")[0])
+
+
+def _peak(run) -> float:
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_a_shard_is_never_laid_out_whole():
+    """Counting pairs and triples of all words took some 100 bytes a symbol."""
+    rng = np.random.default_rng(1)
+    words = pair_state.Words(rng.integers(0, 40, (120_000, 9)).tolist(), [1] * 120_000)
+    pairs, _ = words.counts()
+    assert _peak(words.counts) < 50 and _peak(lambda: words.triples(pairs[:64])) < 50
+    assert bpe.SHARD_WORDS <= 120_000
+
+
+def test_blocks_change_nothing(monkeypatch):
+    rng = np.random.default_rng(2)
+    listed = [rng.integers(0, 5, n).tolist() for n in rng.integers(1, 9, 400)]
+    got = []
+    for block in (1, 64, 1 << 20):
+        monkeypatch.setattr(pair_state, "BLOCK", block)
+        words = pair_state.Words(listed, list(range(1, 401)))
+        got.append([x.tolist() for y in (words.counts(), words.apply([(0, 1, 5), (5, 5, 6)]), words.triples(words.counts()[0]), words.counts()) for x in y])
+    assert got[0] == got[1] == got[2]
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    """Ten thousand rows of any length made one batch, held several times by each Python worker."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    bpe.word_frequencies(spark.range(1).select(F.lit("a b").alias("text")))
+    assert int(spark.conf.get(key).rstrip("b")) == session.ARROW_BYTES
+    spark.conf.set(key, "1000")
+    session.bounded_batches(spark)
+    assert spark.conf.get(key).rstrip("b") == "1000"
+    spark.conf.unset(key)
+
+
+def test_words_are_kept_over_batches(spark, monkeypatch):
+    """A task segments a word once, not once a batch."""
+    from maskcorpus.operators import encode
+
+    class Counting(encode.Encoder):
+        calls = 0
+
+        def word_ids(self, word):
+            self.calls += 1
+            return [self.calls]
+
+    monkeypatch.setattr(encode, "Encoder", Counting)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    limit = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    model = bpe.BpeModel(["<pad>", "<unk>", "</s>"], ["a", "b"], [])
+    rows = spark.range(0, 10, 1, 1).select(F.lit("abab").alias("text"))
+    got = [r.ids for r in encode.token_ids(rows, "text", model).collect()]
+    spark.conf.set(key, limit)
+    assert got == [[1]] * 10
