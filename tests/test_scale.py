@@ -85,8 +85,12 @@ def test_batches_of_texts_are_bounded_by_bytes(spark):
     spark.conf.unset(key)
 
 
-def test_words_are_kept_over_batches(spark, monkeypatch):
+def test_words_are_kept_over_batches():
     """A task segments a word once, not once a batch."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
     from maskcorpus.operators import encode
 
     class Counting(encode.Encoder):
@@ -96,12 +100,7 @@ def test_words_are_kept_over_batches(spark, monkeypatch):
             self.calls += 1
             return [self.calls]
 
-    monkeypatch.setattr(encode, "Encoder", Counting)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    limit = spark.conf.get(key)
-    spark.conf.set(key, "2")
     model = bpe.BpeModel(["<pad>", "<unk>", "</s>"], ["a", "b"], [])
-    rows = spark.range(0, 10, 1, 1).select(F.lit("abab").alias("text"))
-    got = [r.ids for r in encode.token_ids(rows, "text", model).collect()]
-    spark.conf.set(key, limit)
-    assert got == [[1]] * 10
+    ids = encode._ids_udf(SimpleNamespace(value=Counting(model))).func
+    batches = [pd.Series([["abab"], ["abab", "b"]]) for _ in range(5)]
+    assert [x for got in ids(iter(batches)) for x in got] == [[1], [1, 2]] * 5
